@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions import planes
 from tessera.session import sized
 
 
@@ -31,28 +30,6 @@ def attach(df: DataFrame, side: DataFrame, identity: str = "image_id") -> DataFr
     return df.join(side, identity)
 
 
-def template_list(templates: DataFrame, class_col: str = "class_id", plane: str = "plane") -> Column:
-    """All templates as one array in class order, as a scalar subquery.
-
-    One template per class: the array grows with the classes, not with the images.
-    """
-    ordered = F.sort_array(F.collect_list(F.struct(class_col, plane)))
-    return templates.agg(ordered.alias("templates")).scalar()
-
-
-def template_scores(df: DataFrame, templates: DataFrame, plane: str = "plane") -> DataFrame:
-    """Score of every image against every template, in class order, as one array per image."""
-    scored = lambda image, t: F.struct(
-        t["class_id"].alias("class_id"),
-        F.round(planes.correlation(image, t["plane"]), 9).alias("score"),
-    )
-    bound = planes.let(
-        F.struct(F.col(plane).alias("image"), template_list(templates).alias("templates")),
-        lambda s: F.transform(s["templates"], lambda t: scored(s["image"], t)),
-    )
-    return df.withColumn("scores", bound)
-
-
 def best_template(scores: Column) -> Column:
     """Class of the highest score; the lower class wins a tie."""
     best = F.array_max(F.transform(scores, lambda s: F.struct(s["score"], -s["class_id"])))

@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from tessera.functions import planes
 from tessera.operators import cuts, groups, joins
+from tessera.operators import images as image_ops
+from tessera.session import settle
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -72,7 +74,7 @@ def templates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class of the best matching template for every image."""
-    scored = joins.template_scores(tiles(spark, sf_dir), templates(spark, sf_dir))
+    scored = image_ops.plane_scores(tiles(spark, sf_dir), templates(spark, sf_dir))
     return scored.select(
         "image_id", F.col("class_id").alias("actual"), joins.best_template(F.col("scores")).alias("predicted")
     )
@@ -80,32 +82,20 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def family_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same per feature family: one row per family and image."""
-    cells = F.array(*[F.struct(F.lit(n).alias("family"), F.col(n).alias("plane")) for n in FAMILIES])
     wide = families(spark, sf_dir)
-    long = wide.select("image_id", "class_id", F.explode(cells).alias("f")).select(
-        "image_id", "class_id", "f.family", "f.plane"
+    chosen = settle(groups.first_per_class(wide, "class_id", "image_id"))
+    scored = wide
+    for name in FAMILIES:
+        own = chosen.select("class_id", F.col(name).alias("plane"))
+        scored = image_ops.plane_scores(scored, own, plane=name).withColumnRenamed("scores", f"by_{name}")
+    cells = F.array(
+        *[
+            F.struct(F.lit(n).alias("family"), joins.best_template(F.col(f"by_{n}")).alias("predicted"))
+            for n in FAMILIES
+        ]
     )
-    chosen = groups.first_per_class(wide, "class_id", "image_id")
-    sides = [F.struct(F.lit(n).alias("family"), F.col(n).alias("plane")) for n in FAMILIES]
-    best = None
-    for side, name in zip(sides, FAMILIES):
-        listed = joins.template_list(chosen.select("class_id", side.alias("s")).select("class_id", "s.plane"))
-        best = F.when(F.col("family") == name, listed) if best is None else best.when(F.col("family") == name, listed)
-    scored = planes.let(
-        F.struct(F.col("plane").alias("image"), best.alias("templates")),
-        lambda s: F.transform(
-            s["templates"],
-            lambda t: F.struct(
-                t["class_id"].alias("class_id"),
-                F.round(planes.correlation(s["image"], t["plane"]), 9).alias("score"),
-            ),
-        ),
-    )
-    return long.select(
-        "family",
-        "image_id",
-        F.col("class_id").alias("actual"),
-        joins.best_template(scored).alias("predicted"),
+    return scored.select("image_id", F.col("class_id").alias("actual"), F.explode(cells).alias("f")).select(
+        "f.family", "image_id", "actual", "f.predicted"
     )
 
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessera.functions import scalars
-from tessera.operators import cuts, evaluate, experiments, joins
+from tessera.operators import cuts, evaluate, experiments
+from tessera.operators import images as image_ops
 from tessera.plans.base import (
     CLASSES,
     CONFUSION_SQL,
@@ -33,7 +34,7 @@ def _six(df, names):
 
 @query("cross_templates", f"WITH {PREDICTIONS_SQL} SELECT image_id, template_class, round(score, 6) AS score FROM scores")
 def cross_templates(spark, d):
-    scored = joins.template_scores(tiles(spark, d), templates(spark, d))
+    scored = image_ops.plane_scores(tiles(spark, d), templates(spark, d))
     return scored.select("image_id", F.explode("scores").alias("s")).select(
         "image_id", F.col("s.class_id").alias("template_class"), F.round("s.score", 6).alias("score")
     )
