@@ -384,5 +384,5 @@ def embed_images(df: DataFrame, predict, batch: int = 100, image: str = "image",
     size = df.select(
         (F.col(f"{image}.height") * F.col(f"{image}.width") * F.col(f"{image}.channels")).alias("n")
     ).first()["n"]
-    model = predict_batch_udf(predict, return_type="array<float>", batch_size=batch, input_tensor_shapes=[[size]])
+    model = predict_batch_udf(predict, return_type=T.ArrayType(T.FloatType()), batch_size=batch, input_tensor_shapes=[[size]])
     return df.withColumn(name, model(flat(image)))
