@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.operators.cuts import medians
-from tessera.session import settle, sized
 
 
 def class_counts(df: DataFrame, classes: int, by: str = "class_id") -> DataFrame:
@@ -127,34 +128,32 @@ def feature_widths(df: DataFrame, names: list[str]) -> DataFrame:
     return wide.unpivot([], names, "feature", "width")
 
 
-def standardise(df: DataFrame, vector: str, out: str = "standardised") -> DataFrame:
-    """Columns to mean 0 and spread 1 (dividing by n); a constant column becomes 0.
+def vector_moments(df: DataFrame, vector: str) -> DataFrame:
+    """One row with the mean and the spread (dividing by n) of every position.
 
-    Means and spreads come from one pass of MLlib's summarizer over whole vectors.
+    One pass of MLlib's summarizer over whole vectors; nothing is exploded.
     """
-    from pyspark.ml.functions import array_to_vector, vector_to_array
-    from pyspark.ml.stat import Summarizer
-
-    summary = df.select(array_to_vector(F.col(vector).cast("array<double>")).alias("v")).agg(
-        Summarizer.metrics("mean", "variance", "count").summary(F.col("v")).alias("s")
-    )
+    dense = df.select(array_to_vector(F.col(vector).cast("array<double>")).alias("v"))
+    summary = dense.agg(Summarizer.metrics("mean", "variance", "count").summary(F.col("v")).alias("s"))
     shrink = (F.col("s.count") - 1) / F.col("s.count")
-    moments = summary.select(
-        F.struct(
-            vector_to_array("s.mean").alias("mean"),
-            F.transform(vector_to_array("s.variance"), lambda x: F.sqrt(x * shrink)).alias("spread"),
-        )
-    ).scalar()
-    scaled = lambda x, m: F.when(m["spread"] > 0, (x - m["mean"]) / F.nullif(m["spread"], F.lit(0.0))).otherwise(F.lit(0.0))
-    return (
-        df.withColumn("moments", moments)
-        .withColumn(
-            out,
-            F.zip_with(
-                F.col(vector).cast("array<double>"),
-                F.arrays_zip(F.col("moments.mean").alias("mean"), F.col("moments.spread").alias("spread")),
-                scaled,
-            ),
-        )
-        .drop("moments")
-    )
+    spread = F.transform(vector_to_array("s.variance"), lambda x: F.sqrt(x * shrink))
+    return summary.select(F.struct(vector_to_array("s.mean").alias("mean"), spread.alias("spread")).alias("moments"))
+
+
+def scale_by(df: DataFrame, vector: str, moments: DataFrame, out: str = "standardised") -> DataFrame:
+    """Subtract the mean and divide by the spread; a constant position becomes 0."""
+
+    def scaled(x: Column, m: Column) -> Column:
+        share = (x - m["mean"]) / F.nullif(m["spread"], F.lit(0.0))
+        return F.when(m["spread"] > 0, share).otherwise(F.lit(0.0))
+
+    sides = F.arrays_zip(F.col("moments.mean").alias("mean"), F.col("moments.spread").alias("spread"))
+    with_moments = df.withColumn("moments", moments.scalar())
+    return with_moments.withColumn(
+        out, F.zip_with(F.col(vector).cast("array<double>"), sides, scaled)
+    ).drop("moments")
+
+
+def standardise(df: DataFrame, vector: str, out: str = "standardised") -> DataFrame:
+    """Columns to mean 0 and spread 1."""
+    return scale_by(df, vector, vector_moments(df, vector), out)
