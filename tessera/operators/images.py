@@ -337,20 +337,14 @@ def plane_scores(
         return pa.array(out, pa.list_(pa.struct([("class_id", pa.int32()), ("score", pa.float64())])))
 
     images = df.select(identity, plane).withColumn("salt", F.pmod(F.xxhash64(identity), F.lit(salts)))
-    images = images.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).cast("bigint"))
+    images = images.withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint"))))
     scored = images.join(spread, ["block", "salt"]).select(identity, score_block(plane, "bank").alias("part"))
     whole = scored.groupBy(identity).agg(F.sort_array(F.flatten(F.collect_list("part"))).alias("scores"))
     return df.join(whole, identity)
 
 
-def template_pattern(
-    df: DataFrame, templates: DataFrame, image: str = "image", margin: int = 4, max_bytes: int = TEMPLATE_BYTES
-) -> DataFrame:
-    """Column template_pattern: grey correlation at all offsets, template by template in class order.
-
-    templates has class_id and image. A large template table is sent in several blocks,
-    each below max_bytes, whose patterns are laid end to end.
-    """
+def _template_banks(templates: DataFrame, image: str, max_bytes: int) -> list:
+    """Grey templates in class order as broadcast stacks, each below max_bytes."""
     greys = templates.select(
         "class_id", grey_plane(image).alias("plane"), F.col(f"{image}.height").alias("h"), F.col(f"{image}.width").alias("w")
     )
@@ -358,20 +352,63 @@ def template_pattern(
     line = stored.agg(F.count("*"), F.max(F.size("plane")), F.countDistinct("h", "w"), F.max("h"), F.max("w")).first()
     count, pixels, shapes, h, w = line
     if shapes != 1:
-        raise ValueError("templates must all have the same size")
+        raise ValueError(f"templates must be there and have one size: found {count} in {shapes} sizes")
     per_block = max(1, max_bytes // (pixels * 8))
     classes = [r[0] for r in stored.select("class_id").orderBy("class_id").collect()]
-    parts = []
+    banks = []
     for start in range(0, count, per_block):
         chosen = classes[start : start + per_block]
         rows = stored.where(F.col("class_id").between(chosen[0], chosen[-1])).orderBy("class_id").collect()
-        bank = df.sparkSession.sparkContext.broadcast(np.array([r["plane"] for r in rows]).reshape(-1, h, w))
-        parts.append(
-            vector_map(lambda s, bank=bank: kernels.template_map(kernels.grey(s), bank.value, margin), "float")(image)
-        )
+        stack = np.array([r["plane"] for r in rows]).reshape(-1, h, w)
+        banks.append(templates.sparkSession.sparkContext.broadcast(stack))
+    return banks
+
+
+def template_pattern(
+    df: DataFrame, templates: DataFrame, image: str = "image", margin: int = 4, max_bytes: int = TEMPLATE_BYTES
+) -> DataFrame:
+    """Column template_pattern: grey correlation at all offsets, template by template in class order.
+
+    templates has class_id and image. A large template table is sent in several blocks,
+    whose patterns are laid end to end.
+    """
+    parts = [
+        vector_map(lambda s, bank=bank: kernels.template_map(kernels.grey(s), bank.value, margin), "float")(image)
+        for bank in _template_banks(templates, image, max_bytes)
+    ]
     return df.withColumn("template_pattern", F.concat(*parts) if len(parts) > 1 else parts[0])
 
 
+def all_features(df: DataFrame, templates: DataFrame, image: str = "image", margin: int = 4) -> DataFrame:
+    """Struct column features: colour histograms, binary patterns, gradients and template match.
+
+    One function for all of them, so an image crosses to Python and is unpacked once.
+    """
+    banks = _template_banks(templates, image, TEMPLATE_BYTES)
+
+    def compute(stack: np.ndarray) -> list[tuple]:
+        plane, codes = kernels.grey(stack), _lbp_codes(stack)
+        patterns = [kernels.template_map(plane, bank.value, margin) for bank in banks]
+        columns = [codes, kernels.histograms(codes, 1024), kernels.hog(stack, 9, 6, 2), np.concatenate(patterns, axis=1)]
+        return [(*hsv, *rest) for hsv, rest in zip(_hsv_counts(stack), zip(*columns))]
+
+    kinds = {
+        **dict.fromkeys(HSV_TYPE.names, "int"),
+        "lbp_image": "smallint",
+        "lbp_hist": "int",
+        "hog_features": "float",
+        "template_pattern": "float",
+    }
+
+    @arrow_udf(_struct(*[(n, T.ArrayType(ELEMENTS[k][0])) for n, k in kinds.items()]))
+    def run(images: pa.Array) -> pa.Array:
+        found = by_shape(unpack(images), compute)
+        fields = [vectors([None if f is None else f[i] for f in found], ELEMENTS[k][1]) for i, k in enumerate(kinds.values())]
+        return pa.StructArray.from_arrays(fields, list(kinds))
+
+    return df.withColumn("features", run(image))
+
+
 def embed_images(df: DataFrame, predict, batch: int = 100, image: str = "image", name: str = "embedding") -> DataFrame:
     """Embedding column from any predict function.
 

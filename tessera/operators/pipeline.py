@@ -13,12 +13,14 @@ def with_sizes(df: DataFrame, image: str, prefix: str) -> DataFrame:
     return df.select("*", *ops.image_size(image, prefix))
 
 
-def image_table(spark: SparkSession, index_path: str, root: str, size: int = 64, wide: bool = False) -> DataFrame:
+def image_table(
+    spark: SparkSession, index_path: str, root: str, folder: str = "Train", size: int = 64, wide: bool = False
+) -> DataFrame:
     """Index joined with its image files, cropped to the region of interest and rescaled.
 
-    The steps are chained column functions, so each image crosses to Python once.
+    folder is the part of root that is read; the steps are chained column functions.
     """
-    joined = readers.with_images(readers.read_index(spark, index_path), readers.read_images(spark, root))
+    joined = readers.with_images(readers.read_index(spark, index_path), readers.read_images(spark, root, folder))
     region = [F.col(f"roi_{c}") for c in ("x1", "y1", "x2", "y2")]
     cropped = with_sizes(joined.withColumn("cropped_image", ops.crop("image", *region)), "cropped_image", "cropped_")
     scaled = with_sizes(
@@ -30,10 +32,10 @@ def image_table(spark: SparkSession, index_path: str, root: str, size: int = 64,
     return scaled
 
 
-def meta_table(spark: SparkSession, meta_path: str, root: str, size: int = 64) -> DataFrame:
+def meta_table(spark: SparkSession, meta_path: str, root: str, folder: str = "Meta", size: int = 64) -> DataFrame:
     """Class table with its template images, as read and rescaled."""
     meta = readers.read_meta(spark, meta_path)
-    joined = meta.join(readers.read_images(spark, root).select("path", F.col("image").alias("meta_image")), "path")
+    joined = readers.with_images(meta, readers.read_images(spark, root, folder)).withColumnRenamed("image", "meta_image")
     named = with_sizes(joined, "meta_image", "meta_")
     scaled = named.withColumn("scaled_meta_image", ops.rescale(size)("meta_image"))
     return with_sizes(scaled, "scaled_meta_image", "scaled_meta_")
@@ -45,17 +47,5 @@ def feature_table(base: DataFrame, templates: DataFrame) -> DataFrame:
     base has image_id, class_id, width, height, resolution, image; templates has
     class_id and image. Images stay in their own table: the result keeps only features.
     """
-    lbp, hog = ops.lbp(), ops.hog()
-    computed = base.withColumn("hsv", ops.hsv_histograms("image")).withColumn("lbp", lbp("image"))
-    matched = ops.template_pattern(computed.withColumn("hog_features", hog("image")), templates)
-    return matched.select(
-        "image_id",
-        "class_id",
-        "width",
-        "height",
-        "resolution",
-        "hsv.*",
-        "lbp.*",
-        "hog_features",
-        "template_pattern",
-    )
+    base_columns = ["image_id", "class_id", "width", "height", "resolution"]
+    return ops.all_features(base, templates).select(*base_columns, "features.*")

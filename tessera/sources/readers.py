@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera import schema
+from tessera.session import sized
 
 
 def absolute_path(path: Column, root: str) -> Column:
@@ -61,8 +62,11 @@ def list_files(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
     return listing.select(relative_path(F.col("path"), root).alias("path"))
 
 
-def read_images(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
-    """Decoded images as image_id, path, image; files that do not decode are dropped."""
+def read_images(spark: SparkSession, root: str, folder: str = "", glob: str = "*") -> DataFrame:
+    """Decoded images below root/folder as image_id, path, image; paths are relative to root.
+
+    Files that do not decode are dropped.
+    """
     from tessera.operators.images import to_rgb
 
     loaded = (
@@ -70,7 +74,7 @@ def read_images(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
         .option("dropInvalid", True)
         .option("pathGlobFilter", glob)
         .option("recursiveFileLookup", True)
-        .load(root)
+        .load(f"{root.rstrip('/')}/{folder}")
     )
     path = relative_path(F.col("image.origin"), root)
     pixels = F.struct(
@@ -84,8 +88,12 @@ def read_images(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
 
 
 def with_images(index: DataFrame, images: DataFrame) -> DataFrame:
-    """Index rows with their image, joined on the relative path."""
-    return index.join(images.select("path", "image"), "path")
+    """Index rows with their image, joined on the relative path.
+
+    A small index is broadcast, so the image bytes stay where they were read; otherwise
+    both sides meet by path, which is unique.
+    """
+    return images.select("path", "image").join(sized(index), "path")
 
 
 def labelled_images(index: DataFrame, images: DataFrame, side: int, labelled: bool = True) -> DataFrame:
