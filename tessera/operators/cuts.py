@@ -10,18 +10,22 @@ rows themselves (images, features) are only filtered, never shuffled.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.session import settle, sized
+from tessera.session import BROADCAST_ROWS, settle
 
 SEED = 42
-# Hex digits looked at per step: at most 65,536 counts per group.
-DIGITS = 4
+# Hex digits looked at per step: at most 4096 counts per group.
+DIGITS = 3
 # A bucket this small is ranked directly.
 BUCKET_ROWS = 100_000
-# Value ranges per step when a median is narrowed down.
+# Value ranges per step when a rank is looked for among numbers.
 RANGES = 1024
+# A range with no more rows than this is ranked directly.
+RANGE_ROWS = 10_000
 
 
 def sample_key(identity: Column, seed: int = SEED) -> Column:
@@ -36,85 +40,80 @@ def _same(by: list[str], left: str, right: str) -> Column:
     return same
 
 
-def _with_key(df: DataFrame, key: Column, by: list[str]) -> DataFrame:
-    return df.select(*by, key.alias("sample_key"))
+def _held_at(rank: str, order: str, by: list[str]) -> tuple[Column, Column]:
+    """Condition that a line of counts (held) covers the rank, and the rank inside that line."""
+    window = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    up_to = F.sum("held").over(window)
+    inside = F.col(rank) - up_to + F.col("held")
+    return (inside > 0) & (up_to >= F.col(rank)), inside
 
 
-def cut_keys(df: DataFrame, key: Column, rows: int | Column, by: list[str] | None = None) -> DataFrame:
-    """Per group, the key of the row at rank `rows`; rows may use the column `total`.
+def cut_key(df: DataFrame, key: Column, rows: int | Column) -> str | None:
+    """Key of the row at rank `rows` in the whole frame; rows may use the column `total`.
 
-    A group with fewer rows than that gets no line.
+    None when the frame has fewer rows or rows is 0.
     """
-    by = by or []
-    keyed = _with_key(df, key, by)
-    wanted = F.lit(rows) if isinstance(rows, int) else rows
-    cuts = None
-    digits = 0
-    while True:
-        digits += DIGITS
-        pool = keyed.withColumn("bucket", F.substring("sample_key", 1, digits))
-        if cuts is not None:
-            inside = F.substring(F.col("p.sample_key"), 1, digits - DIGITS) == F.col("c.bucket")
-            pool = (
-                pool.alias("p")
-                .join(sized(cuts).alias("c"), _same(by, "p", "c") & inside)
-                .select("p.*", "c.need")
-            )
-            counted = pool.groupBy(*by, "bucket").agg(F.count("*").alias("held"), F.first("need").alias("need"))
-        else:
-            counted = pool.groupBy(*by, "bucket").agg(F.count("*").alias("held"))
-            counted = counted.withColumn("total", F.sum("held").over(Window.partitionBy(*by)))
-            counted = counted.withColumn("need", wanted.cast("bigint"))
-        up_to = F.sum("held").over(
-            Window.partitionBy(*by).orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
+    keys = df.select(key.alias("sample_key"))
+    rank = F.lit(rows) if isinstance(rows, int) else rows
+    prefix, held = "", BUCKET_ROWS + 1
+    while held > BUCKET_ROWS and len(prefix) < 32:
+        buckets = (
+            keys.where(F.col("sample_key").startswith(prefix))
+            .groupBy(F.substring("sample_key", 1, len(prefix) + DIGITS).alias("bucket"))
+            .agg(F.count("*").alias("held"))
+            .withColumn("total", F.sum("held").over(Window.partitionBy()))
+            .withColumn("rank", rank.cast("bigint"))
         )
-        cuts = settle(
-            counted.withColumn("up_to", up_to)
-            .where((F.col("up_to") >= F.col("need")) & (F.col("up_to") - F.col("held") < F.col("need")))
-            .select(*by, "bucket", "held", (F.col("need") - F.col("up_to") + F.col("held")).alias("need"))
+        covers, inside = _held_at("rank", "bucket", [])
+        line = buckets.withColumn("covers", covers).withColumn("inside", inside).where("covers").first()
+        if line is None:
+            return None
+        prefix, held, rank = line["bucket"], line["held"], F.lit(line["inside"])
+    place = F.row_number().over(Window.partitionBy().orderBy("sample_key"))
+    bucket = keys.where(F.col("sample_key").startswith(prefix)).withColumn("place", place)
+    return bucket.where(F.col("place") == rank).first()["sample_key"]
+
+
+def cut_keys(df: DataFrame, key: Column, rows: int, by: list[str]) -> DataFrame:
+    """Per group, the key of the row at rank `rows`; a group with fewer rows gets no line."""
+    keyed = df.select(*by, key.alias("sample_key"))
+    cuts, digits, largest = None, 0, BUCKET_ROWS + 1
+    bucket_of = lambda n: F.substring(F.col("p.sample_key"), 1, n)
+    while largest > BUCKET_ROWS and digits < 32:
+        pool = keyed.withColumn("rank", F.lit(rows).cast("bigint"))
+        if cuts is not None:
+            same = _same(by, "p", "c") & (bucket_of(digits) == F.col("c.bucket"))
+            pool = keyed.alias("p").join(cuts.alias("c"), same).select("p.*", F.col("c.inside").alias("rank"))
+        digits += DIGITS
+        buckets = pool.groupBy(*by, F.substring("sample_key", 1, digits).alias("bucket")).agg(
+            F.count("*").alias("held"), F.max("rank").alias("rank")
         )
-        largest = cuts.agg(F.max("held")).first()[0]
-        if largest is None or largest <= BUCKET_ROWS or digits >= 32:
-            break
-    bucket = (
+        covers, inside = _held_at("rank", "bucket", by)
+        found = buckets.withColumn("covers", covers).withColumn("inside", inside).where("covers")
+        cuts = settle(found.select(*by, "bucket", "held", "inside"))
+        largest, groups = cuts.agg(F.coalesce(F.max("held"), F.lit(0)), F.count("*")).first()
+        cuts = F.broadcast(cuts) if groups <= BROADCAST_ROWS else cuts
+    same = _same(by, "p", "c") & (bucket_of(digits) == F.col("c.bucket"))
+    place = F.row_number().over(Window.partitionBy(*by).orderBy("sample_key"))
+    ends = (
         keyed.alias("p")
-        .join(
-            sized(cuts).alias("c"),
-            _same(by, "p", "c") & (F.substring(F.col("p.sample_key"), 1, digits) == F.col("c.bucket")),
-        )
-        .select("p.*", "c.need")
-    )
-    rank = F.row_number().over(Window.partitionBy(*by).orderBy("sample_key"))
-    return settle(
-        bucket.withColumn("rank", rank)
-        .where(F.col("rank") == F.col("need"))
+        .join(cuts.alias("c"), same)
+        .select("p.*", "c.inside")
+        .withColumn("place", place)
+        .where(F.col("place") == F.col("inside"))
         .select(*by, F.col("sample_key").alias("cut_key"))
     )
-
-
-def _marked(df: DataFrame, key: Column, rows: int | Column, by: list[str]) -> DataFrame:
-    """The frame with its key and a flag `taken` for the first `rows` rows of each group."""
-    cuts = cut_keys(df, key, rows, by)
-    keyed = df.withColumn("sample_key", key)
-    if not by:
-        cut = cuts.first()
-        if cut is None:  # fewer rows than asked for, or none asked for
-            everything = isinstance(rows, int) and rows > 0
-            return keyed.withColumn("taken", F.lit(everything))
-        return keyed.withColumn("taken", F.col("sample_key") <= F.lit(cut["cut_key"]))
-    return (
-        keyed.alias("d")
-        .join(sized(cuts).alias("c"), _same(by, "d", "c"), "left")
-        .select(
-            "d.*",
-            (F.col("c.cut_key").isNull() | (F.col("d.sample_key") <= F.col("c.cut_key"))).alias("taken"),
-        )
-    )
+    return F.broadcast(ends) if groups <= BROADCAST_ROWS else ends
 
 
 def sample_per_class(df: DataFrame, n: int, by: list[str], key: Column) -> DataFrame:
     """Up to n random rows per class; a smaller class is kept whole."""
-    return _marked(df, key, n, by).where("taken").drop("taken", "sample_key")
+    if n < 1:
+        raise ValueError("n must be at least 1")
+    keyed = df.withColumn("sample_key", key).alias("d")
+    marked = keyed.join(cut_keys(df, key, n, by).alias("c"), _same(by, "d", "c"), "left")
+    kept = F.col("c.cut_key").isNull() | (F.col("d.sample_key") <= F.col("c.cut_key"))
+    return marked.where(kept).select("d.*").drop("sample_key")
 
 
 def balanced_sample(df: DataFrame, n: int, by: list[str], key: Column) -> DataFrame:
@@ -126,8 +125,9 @@ def balanced_sample(df: DataFrame, n: int, by: list[str], key: Column) -> DataFr
 
 
 def sample_rows(df: DataFrame, n: int, key: Column) -> DataFrame:
-    """n random rows of the whole frame."""
-    return _marked(df, key, n, []).where("taken").drop("taken", "sample_key")
+    """n random rows of the whole frame, all rows when it has fewer."""
+    cut = cut_key(df, key, n)
+    return df.where(key <= cut) if cut else df.where(F.lit(n > 0))
 
 
 def shuffle_rows(df: DataFrame, key: Column) -> DataFrame:
@@ -137,11 +137,17 @@ def shuffle_rows(df: DataFrame, key: Column) -> DataFrame:
 
 def split_exact(df: DataFrame, share: float, key: Column) -> DataFrame:
     """First floor(share * rows) rows in key order get part 'train', the rest 'validation'."""
-    wanted = F.floor(F.col("total") * share)
-    marked = _marked(df, key, wanted, [])
-    return marked.withColumn(
-        "part", F.when(F.col("taken"), "train").otherwise("validation")
-    ).drop("taken", "sample_key")
+    cut = cut_key(df, key, F.floor(F.col("total") * share))
+    train = key <= cut if cut else F.lit(False)
+    return df.withColumn("part", F.when(train, "train").otherwise("validation"))
+
+
+def split_tail(df: DataFrame, share: float, order: str) -> DataFrame:
+    """The same in the order of a unique number: the last rows become 'validation'."""
+    found = values_at(df, order, [], lambda total: [F.floor(total * share)])
+    line = found.first()
+    train = F.col(order) <= line["value"] if line else F.lit(False)
+    return df.withColumn("part", F.when(train, "train").otherwise("validation"))
 
 
 def split_hashed(key: Column, share: float) -> Column:
@@ -157,72 +163,63 @@ def fold_of(key: Column, folds: int) -> Column:
 
 def rows_between(df: DataFrame, key: Column, offset: int, length: int) -> DataFrame:
     """Rows offset .. offset + length - 1 in key order."""
-    upper = _marked(df, key, offset + length, []).where("taken").drop("taken")
-    if offset == 0:
-        return upper.drop("sample_key")
-    lower = cut_keys(df, key, offset).first()
-    if lower is None:
-        return upper.where(F.lit(False)).drop("sample_key")
-    return upper.where(F.col("sample_key") > lower["cut_key"]).drop("sample_key")
-
-
-def medians(df: DataFrame, value: str, by: list[str]) -> DataFrame:
-    """Exact median per group.
-
-    Equal values are first merged into counts. Then each group's range is cut into
-    equal steps, the step holding the middle rank is kept, and its own smallest and
-    largest value become the new range, until one value is left. Only counts per step
-    meet in one place, never the values of a group.
+    upper = cut_key(df, key, offset + length)
+    lower = cut_key(df, key, offset) if offset else None
+    if offset and lower is None:
+        return df.where(F.lit(False))
+    kept = df.where(key <= upper) if upper else df
+    return kept.where(key > lower) if lower else kept
+
+
+def values_at(df: DataFrame, value: str, by: list[str], ranks: Callable[[Column], list[Column]]) -> DataFrame:
+    """Values at the given ranks of each group (by, rank, value), exact.
+
+    ranks turns the number of rows of a group into 1-based ranks. While a range holds many
+    rows it is cut into equal steps, and the step that holds the rank becomes the new
+    range, with its own smallest and largest value. Every pass reads the column and
+    merges it into counts per step before the shuffle; the values themselves are only
+    moved when few are left.
     """
-    counts = settle(
-        df.where(F.col(value).isNotNull())
-        .select(*by, F.col(value).cast("double").alias("v"))
-        .groupBy(*by, "v")
-        .agg(F.count("*").alias("n"))
-    )
+    rows = df.where(F.col(value).isNotNull()).select(*by, F.col(value).alias("v"))
+    asked = F.explode(F.array_distinct(F.array(*[r.cast("bigint") for r in ranks(F.col("held"))])))
     state = settle(
-        counts.groupBy(*by)
-        .agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.sum("n").alias("rows"))
-        .select(
-            *by,
-            "lo",
-            "hi",
-            F.explode(
-                F.array_distinct(
-                    F.array(F.floor((F.col("rows") + 1) / 2), F.floor(F.col("rows") / 2) + 1)
-                )
-            ).alias("rank"),
-        )
+        rows.groupBy(*by)
+        .agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.count("*").alias("held"))
+        .select(*by, "lo", "hi", "held", asked.alias("rank"))
+        .where("rank > 0")
         .withColumn("ask", F.col("rank"))
     )
-    while state.where("lo < hi").limit(1).count():
-        step = F.least(
-            F.lit(RANGES - 1),
-            F.floor((F.col("v") - F.col("lo")) / (F.col("hi") - F.col("lo")) * RANGES),
-        )
+    single = F.col("lo") == F.col("hi")
+    wide = ~single & (F.col("held") > RANGE_ROWS)
+
+    def pool(state: DataFrame, lines: int) -> DataFrame:
+        side = F.broadcast(state) if lines <= BROADCAST_ROWS else state
+        inside = _same(by, "p", "c") & F.col("p.v").between(F.col("c.lo"), F.col("c.hi"))
+        return rows.alias("p").join(side.alias("c"), inside).select("p.*", "c.lo", "c.hi", "c.rank", "c.ask")
+
+    while True:
+        lines, open_lines = state.agg(F.count("*"), F.count(F.when(wide, 1))).first()
+        if not open_lines:
+            break
+        share = (F.col("v") - F.col("lo")).cast("double") / (F.col("hi") - F.col("lo")).cast("double")
         steps = (
-            counts.alias("p")
-            .join(
-                sized(state.where("lo < hi")).alias("c"),
-                _same(by, "p", "c") & F.col("p.v").between(F.col("c.lo"), F.col("c.hi")),
-            )
-            .select("p.*", "c.lo", "c.hi", "c.rank", "c.ask")
-            .withColumn("step", step)
+            pool(state.where(wide), open_lines)
+            .withColumn("step", F.least(F.lit(RANGES - 1), F.floor(share * RANGES)))
             .groupBy(*by, "ask", "step")
-            .agg(
-                F.sum("n").alias("held"),
-                F.min("v").alias("lo"),
-                F.max("v").alias("hi"),
-                F.first("rank").alias("rank"),
-            )
-        )
-        up_to = F.sum("held").over(
-            Window.partitionBy(*by, "ask").orderBy("step").rowsBetween(Window.unboundedPreceding, 0)
-        )
-        narrowed = (
-            steps.withColumn("up_to", up_to)
-            .where((F.col("up_to") >= F.col("rank")) & (F.col("up_to") - F.col("held") < F.col("rank")))
-            .select(*by, "lo", "hi", (F.col("rank") - F.col("up_to") + F.col("held")).alias("rank"), "ask")
+            .agg(F.count("*").alias("held"), F.min("v").alias("lo"), F.max("v").alias("hi"), F.max("rank").alias("rank"))
         )
-        state = settle(state.where("lo = hi").unionByName(narrowed))
-    return state.groupBy(*by).agg(F.avg("lo").alias("median"))
+        covers, inside = _held_at("rank", "step", [*by, "ask"])
+        found = steps.withColumn("covers", covers).withColumn("inside", inside).where("covers")
+        narrowed = found.select(*by, "lo", "hi", "held", F.col("inside").alias("rank"), "ask")
+        state = settle(state.where(~wide).unionByName(narrowed))
+    place = F.row_number().over(Window.partitionBy(*by, "ask").orderBy("v"))
+    ranked = pool(state.where(~single), lines).withColumn("place", place).where(F.col("place") == F.col("rank"))
+    done = state.where(single).select(*by, F.col("ask").alias("rank"), F.col("lo").alias("value"))
+    return done.unionByName(ranked.select(*by, F.col("ask").alias("rank"), F.col("v").alias("value")))
+
+
+def medians(df: DataFrame, value: str, by: list[str]) -> DataFrame:
+    """Exact median per group."""
+    middle = lambda total: [F.floor((total + 1) / 2), F.floor(total / 2) + 1]
+    found = values_at(df, value, by, middle)
+    return found.groupBy(*by).agg(F.avg(F.col("value").cast("double")).alias("median"))

@@ -411,8 +411,7 @@ def hash_split(spark, d):
     THEN 'train' ELSE 'validation' END AS part FROM orders""",
 )
 def tail_split(spark, d):
-    order = F.lpad(F.hex("o_orderkey"), 16, "0")
-    return cuts.split_exact(table(spark, d, "orders").select("o_orderkey"), 0.9, order)
+    return cuts.split_tail(table(spark, d, "orders").select("o_orderkey"), 0.9, "o_orderkey")
 
 
 @query(

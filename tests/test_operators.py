@@ -36,7 +36,7 @@ def brute_lowest(df, n):
 @pytest.mark.parametrize("bucket_rows", [100_000, 3])
 def test_sample_per_class_matches_sort(skewed, monkeypatch, bucket_rows):
     monkeypatch.setattr(cuts, "BUCKET_ROWS", bucket_rows)
-    monkeypatch.setattr(cuts, "DIGITS", 1 if bucket_rows == 3 else 4)
+    monkeypatch.setattr(cuts, "DIGITS", 1 if bucket_rows == 3 else 3)
     for n in (1, 40, 500):
         assert ids(cuts.sample_per_class(skewed, n, ["class_id"], key())) == brute_lowest(skewed, n)
 
@@ -62,6 +62,17 @@ def test_exact_split_sizes(spark):
     assert [r["part"] for r in one] == ["validation"]
 
 
+def test_narrow_buckets_and_tail_split(spark, monkeypatch):
+    df = spark.range(1000).select((F.col("id") * 7 + 2**60).alias("id"))
+    whole = ids(cuts.sample_rows(df, 300, key()))
+    monkeypatch.setattr(cuts, "BUCKET_ROWS", 2)
+    monkeypatch.setattr(cuts, "DIGITS", 1)
+    monkeypatch.setattr(cuts, "RANGE_ROWS", 1)
+    assert ids(cuts.sample_rows(df, 300, key())) == whole
+    train = cuts.split_tail(df, 0.9, "id").where("part = 'train'")
+    assert ids(train) == [i * 7 + 2**60 for i in range(900)]
+
+
 def test_slices_tile_the_frame(spark):
     df = spark.range(250)
     parts = [ids(cuts.rows_between(df, key(), start, 100)) for start in (0, 100, 200, 300)]
@@ -75,9 +86,10 @@ def test_hash_split_and_folds(spark):
     assert all(abs(r["count"] - 4000) < 300 for r in df.groupBy("f").count().collect())
 
 
-@pytest.mark.parametrize("ranges", [1024, 2])
-def test_medians_match(spark, monkeypatch, ranges):
+@pytest.mark.parametrize("ranges,direct", [(1024, 10_000), (1024, 1), (2, 5)])
+def test_medians_match(spark, monkeypatch, ranges, direct):
     monkeypatch.setattr(cuts, "RANGES", ranges)
+    monkeypatch.setattr(cuts, "RANGE_ROWS", direct)
     rnd = random.Random(5)
     values = {0: [rnd.gauss(0, 1e6) for _ in range(501)], 1: [1.5] * 40, 2: [rnd.randrange(9) * 1.0 for _ in range(200)]}
     values[3], values[4] = [1e-300, 1e300, 5.0], [-4.0, 8.0]
