@@ -293,6 +293,21 @@ def template_map(plane: np.ndarray, templates: np.ndarray, margin: int) -> np.nd
     return np.array(out, dtype=np.float32).reshape(n, -1)
 
 
+def similarity_map(plane: np.ndarray, template: np.ndarray, threshold: int = -1) -> np.ndarray:
+    """Per pixel, sum of (1 - |difference| / 255) squared over the centred template pixels above the threshold."""
+    _, h, w = plane.shape
+    th, tw = template.shape
+    cy, cx = (th - 1) // 2, (tw - 1) // 2
+    out = np.zeros(plane.shape)
+    for y, x in np.argwhere(template > threshold):
+        dy, dx = y - cy, x - cx  # image pixel (row + dy, col + dx) meets this template pixel
+        rows, cols = slice(max(0, -dy), min(h, h - dy)), slice(max(0, -dx), min(w, w - dx))
+        seen = plane[:, rows.start + dy : max(rows.stop, rows.start) + dy, cols.start + dx : max(cols.stop, cols.start) + dx]
+        near = 1.0 - np.abs(seen.astype(np.float64) - float(template[y, x])) / 255.0
+        out[:, rows, cols] += near * near
+    return out
+
+
 def exact_correlation(planes: np.ndarray, templates: np.ndarray) -> np.ndarray:
     """Correlation of integer rows from exact sums (whole numbers below 2**53 in doubles)."""
     a, b, n = planes.astype(np.float64), templates.astype(np.float64), planes.shape[1]

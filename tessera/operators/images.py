@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
 from tessera import schema
-from tessera.functions import kernels
+from tessera.functions import kernels, planes
 from tessera.session import settle
 
 Kernel = Callable[[np.ndarray], np.ndarray]
@@ -189,6 +189,30 @@ def fit(height: int, width: int) -> Callable[[Column], Column]:
 # ---- colour and light ------------------------------------------------------------------------
 
 
+flip_left_right = image_map(lambda s: s[:, :, ::-1])
+transpose = image_map(lambda s: s.transpose(0, 2, 1, 3))
+
+
+def random_flip(image: str, key: Column, seed: int = 42) -> Column:
+    """Flip half of the images, the same ones on every run."""
+    return F.when(planes.coin(key, seed), flip_left_right(image)).otherwise(F.col(image))
+
+
+def brighten(delta: float = 0.3) -> Callable[[Column], Column]:
+    return image_map(lambda s: (kernels.to_unit(s) + delta).astype(np.float32))
+
+
+def contrast(factor: float = 3.0) -> Callable[[Column], Column]:
+    """Spread each channel about its mean."""
+
+    def run(stack: np.ndarray) -> np.ndarray:
+        unit = kernels.to_unit(stack)
+        mean = unit.mean(axis=(1, 2), keepdims=True)
+        return ((unit - mean) * factor + mean).astype(np.float32)
+
+    return image_map(run)
+
+
 def _channel_of(to: Kernel, back: Kernel, channel: int, change: Kernel) -> Callable[[Column], Column]:
     """Change one channel of another colour space and come back to RGB."""
 
@@ -276,6 +300,11 @@ def lightness_edges(sigma: float = 3.0) -> Callable[[Column], Column]:
     return vector_map(lambda s: kernels.edge_map(kernels.to_lab(s)[..., 0], sigma, size), "smallint")
 
 
+def similarity(template: np.ndarray, threshold: int = -1) -> Callable[[Column], Column]:
+    """Similarity map of the grey image with one small grey template."""
+    return vector_map(lambda s: kernels.similarity_map(kernels.grey(s), template, threshold), "float")
+
+
 # ---- templates -------------------------------------------------------------------------------
 
 

@@ -84,28 +84,33 @@ def stretch_image(spark, d):
     return grey_images(spark, d).select("image_id", text_of(ops.stretched_plane("image")).alias("plane"))
 
 
+def _from_hsv_sql(relation: str) -> str:
+    """Pixel text of a relation (image_id, pos, h, s, nv) with the new value nv."""
+    level = "CAST(CAST(round_even(u * (1 - t * greatest(0, least(k{c}, 4 - k{c}, 1))) * 255, 0) AS INTEGER) AS VARCHAR)"
+    pixel = " || ',' || ".join(level.format(c=c) for c in "rgb")
+    return f"""turnback AS (SELECT image_id, pos, nv / 255.0::DOUBLE AS u, s / 255.0::DOUBLE AS t, (5 + h / 30.0::DOUBLE) % 6 AS kr,
+      (3 + h / 30.0::DOUBLE) % 6 AS kg, (1 + h / 30.0::DOUBLE) % 6 AS kb FROM {relation}),
+    hsvback AS (SELECT image_id, string_agg({pixel}, ',' ORDER BY pos) AS pixels FROM turnback GROUP BY image_id)"""
+
+
 @query(
     "stretch_value",
     f"""WITH {HSV_SQL}, lim AS (SELECT *, min(v) OVER (PARTITION BY image_id) AS lo, max(v) OVER (PARTITION BY image_id) AS hi FROM hsv),
-    st AS (SELECT *, CASE WHEN hi = lo THEN 0 WHEN v = hi THEN 255 ELSE floor((v - lo) * (255.0::DOUBLE / (hi - lo))) END / 255.0::DOUBLE AS nv,
-      s / 255.0::DOUBLE AS ns, h / 30.0::DOUBLE AS nh FROM lim),
-    w AS (SELECT *, (5 + nh) % 6 AS kr, (3 + nh) % 6 AS kg, (1 + nh) % 6 AS kb FROM st)
-    SELECT image_id, string_agg("""
-    + " || ',' || ".join(
-        f"CAST(CAST(round_even(nv * (1 - ns * greatest(0, least(k{c}, 4 - k{c}, 1))) * 255, 0) AS INTEGER) AS VARCHAR)" for c in "rgb"
-    )
-    + ", ',' ORDER BY pos) AS pixels FROM w GROUP BY image_id",
+    st AS (SELECT *, CASE WHEN hi = lo THEN 0 WHEN v = hi THEN 255 ELSE floor((v - lo) * (255.0::DOUBLE / (hi - lo))) END AS nv FROM lim),
+    {_from_hsv_sql('st')} SELECT image_id, pixels FROM hsvback""",
 )
 def stretch_value(spark, d):
     return colour_images(spark, d).select("image_id", _bytes(ops.stretch_value("image")).alias("pixels"))
 
 
-@query("stretch_lightness")
-def stretch_lightness(spark, d):
-    return colour_images(spark, d).select("image_id", _bytes(ops.stretch_lightness("image")).alias("pixels"))
-
-
-@query("equalise_value")
+@query(
+    "equalise_value",
+    f"""WITH {HSV_SQL}, c AS (SELECT *, (SELECT count(*) FROM hsv q WHERE q.image_id = p.image_id AND q.v <= p.v) AS below FROM hsv p),
+    f AS (SELECT *, min(below) OVER (PARTITION BY image_id) AS first FROM c),
+    eq AS (SELECT *, CASE WHEN first = 16 THEN v ELSE round_even(CAST(CAST(below - first AS FLOAT)
+      * CAST(CAST(255 AS FLOAT) / CAST(16 - first AS FLOAT) AS FLOAT) AS DOUBLE), 0) END AS nv FROM f),
+    {_from_hsv_sql('eq')} SELECT image_id, pixels FROM hsvback""",
+)
 def equalise_value(spark, d):
     return colour_images(spark, d).select("image_id", _bytes(ops.equalise_value("image")).alias("pixels"))
 
@@ -139,6 +144,33 @@ def to_lab(spark, d):
     return colour_images(spark, d).select("image_id", _bytes(ops.lab_image("image")).alias("pixels"))
 
 
+_BACK = [[f"({x!r}::DOUBLE)" for x in row] for row in np.linalg.inv(kernels.RGB_TO_XYZ).tolist()]
+
+
+def _from_lab_sql(relation: str) -> str:
+    """Pixel text of a relation (image_id, pos, nl, a, b) with the new lightness nl."""
+    cube = lambda f: f"(CASE WHEN {f} > 6.0::DOUBLE / 29 THEN {f} * {f} * {f} ELSE ({f} - 16.0::DOUBLE / 116) / 7.787::DOUBLE END)"
+    linear = ", ".join(
+        f"least(1, greatest(0, x * {m[0]} + y * {m[1]} + z * {m[2]})) AS l{c}" for c, m in zip("rgb", _BACK)
+    )
+    level = "CAST(CAST(round_even((CASE WHEN l{c} > 0.0031308 THEN 1.055::DOUBLE * pow(l{c}, 1.0::DOUBLE / 2.4::DOUBLE) - 0.055::DOUBLE ELSE 12.92::DOUBLE * l{c} END) * 255, 0) AS INTEGER) AS VARCHAR)"
+    pixel = " || ',' || ".join(level.format(c=c) for c in "rgb")
+    return f"""curved AS (SELECT image_id, pos, (nl / 2.55::DOUBLE + 16) / 116 AS fy, (a - 128) / 500.0::DOUBLE AS da, (b - 128) / 200.0::DOUBLE AS db FROM {relation}),
+    space AS (SELECT image_id, pos, {cube('(fy + da)')} * 0.950456::DOUBLE AS x, {cube('fy')} AS y, {cube('(fy - db)')} * 1.088754::DOUBLE AS z FROM curved),
+    lights AS (SELECT image_id, pos, {linear} FROM space),
+    labback AS (SELECT image_id, string_agg({pixel}, ',' ORDER BY pos) AS pixels FROM lights GROUP BY image_id)"""
+
+
+@query(
+    "stretch_lightness",
+    f"""WITH {LAB_SQL}, lim AS (SELECT *, min(l) OVER (PARTITION BY image_id) AS lo, max(l) OVER (PARTITION BY image_id) AS hi FROM lab),
+    st AS (SELECT *, CASE WHEN hi = lo THEN 0 WHEN l = hi THEN 100 ELSE floor((l - lo) * (100.0::DOUBLE / (hi - lo))) END AS nl FROM lim),
+    {_from_lab_sql('st')} SELECT image_id, pixels FROM labback""",
+)
+def stretch_lightness(spark, d):
+    return colour_images(spark, d).select("image_id", _bytes(ops.stretch_lightness("image")).alias("pixels"))
+
+
 # one pixel per tile: the table of a tile is 255 from its own level upward
 @query(
     "clahe",
@@ -154,7 +186,21 @@ def clahe(spark, d):
     return grey_images(spark, d).select("image_id", text_of(even("image")).alias("plane"))
 
 
-@query("clahe_images")
+def _tile_blend_sql(relation: str, level: str, name: str) -> str:
+    """The same on 4x4 pixels, keeping the other columns."""
+    return f"""{name} AS (
+      SELECT p.*, (SELECT round_even(sum(CASE WHEN p.{level} >= t.{level} THEN 255 ELSE 0 END) / 4.0::DOUBLE, 0)
+        FROM (VALUES (-1), (0)) ys(dy), (VALUES (-1), (0)) xs(dx), {relation} t
+        WHERE t.image_id = p.image_id AND t.pos = greatest(0, p.pos // 4 + dy) * 4 + greatest(0, p.pos % 4 + dx)) AS n{level}
+      FROM {relation} p)"""
+
+
+@query(
+    "clahe_images",
+    f"""WITH {HSV_SQL}, {LAB_SQL.removeprefix(RGB_SQL).lstrip(', ')}, {_tile_blend_sql('hsv', 'v', 'cv')}, {_tile_blend_sql('lab', 'l', 'cl')},
+    {_from_hsv_sql('cv')}, {_from_lab_sql('cl')}
+    SELECT image_id, v.pixels AS by_value, l.pixels AS by_lightness FROM hsvback v JOIN labback l USING (image_id)""",
+)
 def clahe_images(spark, d):
     return colour_images(spark, d).select(
         "image_id",
@@ -267,15 +313,15 @@ def template_pattern(spark, d):
     return _long(matched, "template_pattern")
 
 
-def _blur_sql(sigma: float, radius: int, unit: float, border: str) -> str:
+def _blur_sql(sigma: float, radius: int, unit: float, border: str, source: str = "grid") -> str:
     weights = [math.exp(-0.5 * (i / sigma) ** 2) for i in range(-radius, radius + 1)]
     rows = ", ".join(f"({i - radius}, {w / sum(weights)!r}::DOUBLE)" for i, w in enumerate(weights))
     at = {
         "edge": "least(7, greatest(0, {0}))",
-        "symmetric": "CASE WHEN {0} < 0 THEN -1 - ({0}) WHEN {0} > 7 THEN 15 - ({0}) ELSE {0} END",
+        "symmetric": "least((({0}) % 16 + 16) % 16, 15 - (({0}) % 16 + 16) % 16)",
     }[border]
     return f"""tap(o, w) AS (VALUES {rows}),
-    down AS (SELECT a.image_id, a.y, a.x, sum(w * (b.v / {unit}::DOUBLE)) AS v FROM grid a CROSS JOIN tap JOIN grid b
+    down AS (SELECT a.image_id, a.y, a.x, sum(w * (b.v / {unit}::DOUBLE)) AS v FROM {source} a CROSS JOIN tap JOIN {source} b
       ON b.image_id = a.image_id AND b.x = a.x AND b.y = {at.format('a.y + o')} GROUP BY 1, 2, 3),
     blurred AS (SELECT a.image_id, a.y * 8 + a.x AS pos, a.y, a.x, sum(w * b.v) AS v FROM down a CROSS JOIN tap JOIN down b
       ON b.image_id = a.image_id AND b.y = a.y AND b.x = {at.format('a.x + o')} GROUP BY 1, 2, 3, 4)"""
@@ -291,17 +337,31 @@ def blur(spark, d):
     return _long(grey_images(spark, d).select("image_id", plane("image").alias("p")), "p")
 
 
-THIN_SQL = (
-    f"{PIXELS_SQL}, {_blur_sql(1.0, 2, 1.0, 'symmetric')}, "
-    + SOBEL_SQL.replace("FROM grid a,", "FROM blurred a,").replace(", grid b\n", ", blurred b\n")
-    + """, sector AS (SELECT *, CAST(floor((CASE WHEN degrees(angle) < 0 THEN degrees(angle) + 180 ELSE degrees(angle) END + 22.5) / 45) AS INTEGER) % 4 AS k FROM strong),
+def _thin_sql(source: str, sigma: float, radius: int) -> str:
+    gradient = SOBEL_SQL.replace("FROM grid a,", "FROM blurred a,").replace(", grid b\n", ", blurred b\n")
+    ahead_y = "CASE k WHEN 0 THEN 0 WHEN 1 THEN 1 WHEN 2 THEN 1 ELSE -1 END"
+    ahead_x = "CASE k WHEN 0 THEN 1 WHEN 1 THEN -1 WHEN 2 THEN 0 ELSE -1 END"
+    return f"""{_blur_sql(sigma, radius, 1.0, 'symmetric', source)}, {gradient},
+    sector AS (SELECT *, CAST(floor((CASE WHEN degrees(angle) < 0 THEN degrees(angle) + 180 ELSE degrees(angle) END + 22.5) / 45) AS INTEGER) % 4 AS k FROM strong),
     thin AS (SELECT s.image_id, s.pos, CASE WHEN s.y BETWEEN 1 AND 6 AND s.x BETWEEN 1 AND 6 AND s.strength >= p.strength AND s.strength >= q.strength
         THEN CAST(trunc(s.strength) AS INTEGER) ELSE 0 END AS v
-      FROM sector s LEFT JOIN strong p ON p.image_id = s.image_id AND p.y = s.y + CASE k WHEN 0 THEN 0 WHEN 1 THEN 1 WHEN 2 THEN 1 ELSE -1 END
-          AND p.x = s.x + CASE k WHEN 0 THEN 1 WHEN 1 THEN -1 WHEN 2 THEN 0 ELSE -1 END
-        LEFT JOIN strong q ON q.image_id = s.image_id AND q.y = s.y - CASE k WHEN 0 THEN 0 WHEN 1 THEN 1 WHEN 2 THEN 1 ELSE -1 END
-          AND q.x = s.x - CASE k WHEN 0 THEN 1 WHEN 1 THEN -1 WHEN 2 THEN 0 ELSE -1 END)"""
-)
+      FROM sector s LEFT JOIN strong p ON p.image_id = s.image_id AND p.y = s.y + {ahead_y} AND p.x = s.x + {ahead_x}
+        LEFT JOIN strong q ON q.image_id = s.image_id AND q.y = s.y - {ahead_y} AND q.x = s.x - {ahead_x})"""
+
+
+def _hysteresis_sql(sources: str, thin: str) -> str:
+    """Thresholds and one pass in reading order over the inner 6x6 pixels, one pixel per step."""
+    return f"""WITH RECURSIVE {sources}, {thin},
+    lim AS (SELECT *, max(v) OVER (PARTITION BY image_id) * 0.15::DOUBLE AS hi FROM thin),
+    marks AS (SELECT image_id, max(hi) AS hi, list(CASE WHEN v <= hi AND v >= hi * 0.05::DOUBLE THEN 75 WHEN v >= hi THEN 255 ELSE 0 END ORDER BY pos) AS state
+      FROM lim GROUP BY image_id),
+    walk AS (SELECT image_id, 0 AS k, hi, state FROM marks
+      UNION ALL SELECT image_id, k + 1, hi, list_transform(state, lambda v, i: CASE WHEN i <> (k // 6 + 1) * 8 + k % 6 + 2 OR v <> 75 THEN v
+        WHEN list_contains(list_concat(state[i - 9:i - 7], state[i - 1:i + 1], state[i + 7:i + 9]), 255) THEN 255 ELSE 0 END) FROM walk WHERE k < 36)
+    SELECT image_id, array_to_string(CASE WHEN hi > 0 THEN state ELSE list_transform(state, lambda v: 0) END, ',') AS edges FROM walk WHERE k = 36"""
+
+
+THIN_SQL = f"{PIXELS_SQL}, {_thin_sql('grid', 1.0, 2)}"
 
 
 @query("thin_edges", f"WITH {THIN_SQL} SELECT image_id, {LINE} AS plane FROM thin GROUP BY image_id")
@@ -315,12 +375,19 @@ def thin_edges(spark, d):
     return grey_images(spark, d).select("image_id", text_of(plane("image")).alias("plane"))
 
 
-@query("edge_map")
+@query("edge_map", _hysteresis_sql(PIXELS_SQL, _thin_sql("grid", 1.0, 2)))
 def edge_map(spark, d):
-    edges, wide = ops.edges(), ops.lightness_edges(3.0)
-    return grey_images(spark, d).select(
-        "image_id", text_of(edges("image")).alias("edges"), text_of(wide("image")).alias("lightness_edges")
-    )
+    edges = ops.edges()
+    return grey_images(spark, d).select("image_id", text_of(edges("image")).alias("edges"))
+
+
+LIGHT_GRID_SQL = f"{GREY_LAB_SQL}, lgrid AS (SELECT image_id, pos, pos // 8 AS y, pos % 8 AS x, v FROM light)"
+
+
+@query("lightness_edges", _hysteresis_sql(LIGHT_GRID_SQL, _thin_sql("lgrid", 3.0, 12)))
+def lightness_edges(spark, d):
+    edges = ops.lightness_edges(3.0)
+    return grey_images(spark, d).select("image_id", text_of(edges("image")).alias("edges"))
 
 
 @query(

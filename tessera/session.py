@@ -5,11 +5,13 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# A side with more rows than this is joined by shuffle instead of being broadcast.
+# A side with more rows or bytes than this is joined by shuffle instead of being broadcast.
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 256 * 1024 * 1024
 
 
 def build_session(cores: int | str = "*", app: str = "tessera", **extra: str) -> SparkSession:
@@ -56,7 +58,23 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def sized(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint when the (settled) frame is small, the frame itself otherwise."""
-    small = df.limit(rows + 1).count() <= rows
-    return F.broadcast(df) if small else df
+def _width(value: Column, kind: T.DataType) -> Column:
+    """Bytes a value takes up, roughly."""
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(value), F.lit(0)).cast("bigint")
+    if isinstance(kind, T.StructType):
+        return sum((_width(value[f.name], f.dataType) for f in kind.fields), F.lit(8).cast("bigint"))
+    if isinstance(kind, T.ArrayType) and not isinstance(kind.elementType, T.NumericType):
+        return F.coalesce(F.octet_length(F.to_json(value)), F.lit(0)).cast("bigint")
+    if isinstance(kind, T.ArrayType):
+        return F.greatest(F.size(value), F.lit(0)).cast("bigint") * 8
+    return F.lit(8).cast("bigint")
+
+
+def sized(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> DataFrame:
+    """Broadcast hint when the frame is small in rows and bytes, the frame itself otherwise."""
+    if df.select(F.lit(1)).offset(rows).limit(1).collect():  # reads only as far as needed
+        return df
+    widths = [_width(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields]
+    taken = df.agg(F.sum(sum(widths[1:], widths[0]))).first()[0]
+    return F.broadcast(df) if (taken or 0) <= size else df
