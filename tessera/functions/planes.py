@@ -184,6 +184,11 @@ def grey_mean(r: Column, g: Column, b: Column) -> Column:
     return _zip3(r, g, b, lambda x, y, z: F.floor((x + y + z) / 3).cast("int"))
 
 
+def grey_unit(r: Column, g: Column, b: Column) -> Column:
+    """Weighted luma of float channels, not rounded."""
+    return _zip3(r, g, b, lambda x, y, z: x * 0.2989 + y * 0.587 + z * 0.114)
+
+
 def _hsv_pixel(r: Column, g: Column, b: Column) -> Column:
     def shade(m: Column) -> Column:
         v, d = m["v"], m["d"]

@@ -125,12 +125,16 @@ def equalise(spark, d):
 @query(
     "to_grey",
     f"""WITH {RGB_SQL} SELECT image_id, string_agg(CAST(CAST(floor((9798 * r + 19235 * g + 3735 * b + 16384) / 32768) AS INTEGER) AS VARCHAR), ',' ORDER BY pos) AS luma,
-    string_agg(CAST(CAST(floor((r + g + b) / 3) AS INTEGER) AS VARCHAR), ',' ORDER BY pos) AS mean FROM rgbpx GROUP BY image_id""",
+    string_agg(CAST(CAST(floor((r + g + b) / 3) AS INTEGER) AS VARCHAR), ',' ORDER BY pos) AS mean,
+    {FINE.format("CAST(r AS DOUBLE) / 255 * 0.2989::DOUBLE + CAST(g AS DOUBLE) / 255 * 0.587::DOUBLE + CAST(b AS DOUBLE) / 255 * 0.114::DOUBLE")} AS unit FROM rgbpx GROUP BY image_id""",
 )
 def to_grey(spark, d):
     channels = [F.col(c) for c in "rgb"]
     return rgb(spark, d).select(
-        "image_id", text_of(planes.grey(*channels)).alias("luma"), text_of(planes.grey_mean(*channels)).alias("mean")
+        "image_id",
+        text_of(planes.grey(*channels)).alias("luma"),
+        text_of(planes.grey_mean(*channels)).alias("mean"),
+        thousandths(planes.grey_unit(*[scalars.scaled_down(c) for c in channels])).alias("unit"),
     )
 
 

@@ -117,13 +117,16 @@ def read_table(spark: SparkSession, path: str, names: list[str] | None = None) -
 
 
 def read_run_log(spark: SparkSession, path: str) -> DataFrame:
-    """Training run log: bracketed lists, percentages and padded seconds; other blocks are left out."""
+    """Training run log: bracketed lists, percentages and padded seconds.
+
+    The sheet repeats its runs in other orders below the first block; every run is kept once.
+    """
     raw_schema = T.StructType([T.StructField(n, T.StringType()) for n in schema.RUN_LOG.names])
     raw = spark.read.schema(raw_schema).option("header", True).option("mode", "PERMISSIVE").csv(path)
     kept = raw.where(F.trim("epochs").rlike("^[0-9]+$") & F.trim("kernel_size").startswith("["))
     numbers = lambda c: F.transform(F.split(F.regexp_replace(c, r"[\[\] ]", ""), ","), lambda x: x.cast("int"))
-    share = lambda c: F.regexp_replace(c, "[% ]", "").cast("double") / 100
-    return kept.select(
+    share = lambda c: F.round(F.regexp_replace(c, "[% ]", "").cast("double") / 100, 6)
+    runs = kept.select(
         F.trim("model").alias("model"),
         F.trim("epochs").cast("int").alias("epochs"),
         *[numbers(c).alias(c) for c in ("filter_size", "kernel_size", "dense_layer")],
@@ -131,3 +134,4 @@ def read_run_log(spark: SparkSession, path: str) -> DataFrame:
         *[share(c).alias(c) for c in ("train_accuracy", "val_accuracy", "test_accuracy")],
         F.trim("train_time").cast("double").alias("train_time"),
     )
+    return runs.distinct()

@@ -258,7 +258,7 @@ def test_run_log_and_its_best_runs(spark, tmp_path):
     lines = [header]
     for e, acc, sec in ((5, "94.9%", " 53.88 "), (5, "95.2%", " 45.61 "), (10, "96.3%", " 94.14 ")):
         lines.append(f'Model HOG,{e},"[6, 16]","[21, 5]","[120, 84]",0.5,99.0%,94.3%,{acc},{sec}')
-    lines += [",,,,,,,,,", "Model,Time,Accuracy,,,,,,,", "Model HOG,45.61,95.2%,,,,,,,"]
+    lines += [",,,,,,,,,", header, lines[2], lines[1], lines[3], "Model,Time,Accuracy,,,,,,,", "Model HOG,45.61,95.2%,,,,,,,"]
     (tmp_path / "log.csv").write_text("\n".join(lines) + "\n")
     runs = readers.read_run_log(spark, str(tmp_path / "log.csv"))
     assert runs.count() == 3 and runs.first()["filter_size"] == [6, 16]
@@ -288,3 +288,46 @@ def test_same_results_on_a_stream(spark, tmp_path):
     assert spark.read.parquet(sink).count() == 6
 
 
+
+
+def test_light_and_flips(spark):
+    df = tile_images(spark, 8)
+    coin = ops.random_flip("image", F.col("image_id"))
+    rows = df.select(
+        "image_id",
+        "image",
+        ops.flip_left_right("image").alias("flip"),
+        ops.transpose("image").alias("turn"),
+        ops.brighten(0.3)("image").alias("bright"),
+        ops.contrast(3.0)("image").alias("contrast"),
+        coin.alias("maybe"),
+        planes.coin(F.col("image_id")).alias("heads"),
+    ).collect()
+    for row in rows:
+        image = pixels_of(row["image"])
+        unit = image / 255
+        assert (pixels_of(row["flip"]) == image[:, ::-1]).all() and (pixels_of(row["turn"]) == image.transpose(1, 0, 2)).all()
+        assert np.allclose(pixels_of(row["bright"]), unit + 0.3, atol=1e-6)
+        assert np.allclose(pixels_of(row["contrast"]), (unit - unit.mean((0, 1))) * 3 + unit.mean((0, 1)), atol=1e-5)
+        assert (pixels_of(row["maybe"]) == (image[:, ::-1] if row["heads"] else image)).all()
+    assert 0 < sum(r["heads"] for r in rows) < 8
+
+
+def test_similarity_maps_agree(spark):
+    df = tile_images(spark, 4)
+    template = np.random.default_rng(2).integers(0, 256, (3, 5))
+    listed = F.array(*[F.lit(int(v)) for v in template.ravel()])
+    for threshold in (-1, 100):
+        row = df.select(
+            planes.similarity_map(planes.grey(F.col("r"), F.col("g"), F.col("b")), 8, 8, listed, 5, 3, threshold).alias("a"),
+            ops.similarity(template, threshold)("image").alias("b"),
+        ).first()
+        assert row["a"] == pytest.approx(row["b"], abs=1e-4)
+
+
+def test_large_sides_are_not_broadcast(spark):
+    from tessera.session import sized
+
+    side = spark.range(50).select("id", F.array_repeat(F.lit(1.0), 100).alias("v"))
+    hinted = lambda df: "ResolvedHint" in df._jdf.queryExecution().analyzed().toString()
+    assert hinted(sized(side)) and not hinted(sized(side, rows=49)) and not hinted(sized(side, size=30_000))
