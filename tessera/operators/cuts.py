@@ -193,9 +193,16 @@ def values_at(df: DataFrame, value: str, by: list[str], ranks: Callable[[Column]
     wide = ~single & (F.col("held") > RANGE_ROWS)
 
     def pool(state: DataFrame, lines: int) -> DataFrame:
-        side = F.broadcast(state) if lines <= BROADCAST_ROWS else state
+        """Rows inside the ranges; a range that several ranks share is taken once."""
+        ranges = state.select(*by, "lo", "hi").distinct()
+        side = F.broadcast(ranges) if lines <= BROADCAST_ROWS else ranges
         inside = _same(by, "p", "c") & F.col("p.v").between(F.col("c.lo"), F.col("c.hi"))
-        return rows.alias("p").join(side.alias("c"), inside).select("p.*", "c.lo", "c.hi", "c.rank", "c.ask")
+        return rows.alias("p").join(side.alias("c"), inside).select("p.*", "c.lo", "c.hi")
+
+    def ranked(lines: DataFrame, state: DataFrame) -> DataFrame:
+        """Lines of ranges beside the ranks asked of them."""
+        match = _same(by, "l", "s") & F.col("l.lo").eqNullSafe(F.col("s.lo"))
+        return lines.alias("l").join(state.alias("s"), match).select("l.*", "s.rank", "s.ask")
 
     while True:
         lines, open_lines = state.agg(F.count("*"), F.count(F.when(wide, 1))).first()
@@ -205,17 +212,20 @@ def values_at(df: DataFrame, value: str, by: list[str], ranks: Callable[[Column]
         steps = (
             pool(state.where(wide), open_lines)
             .withColumn("step", F.least(F.lit(RANGES - 1), F.floor(share * RANGES)))
-            .groupBy(*by, "ask", "step")
-            .agg(F.count("*").alias("held"), F.min("v").alias("lo"), F.max("v").alias("hi"), F.max("rank").alias("rank"))
+            .groupBy(*by, "lo", "step")
+            .agg(F.count("*").alias("held"), F.min("v").alias("first"), F.max("v").alias("hi"))
         )
         covers, inside = _held_at("rank", "step", [*by, "ask"])
-        found = steps.withColumn("covers", covers).withColumn("inside", inside).where("covers")
-        narrowed = found.select(*by, "lo", "hi", "held", F.col("inside").alias("rank"), "ask")
+        found = ranked(steps, state.where(wide)).withColumn("covers", covers).withColumn("inside", inside)
+        narrowed = found.where("covers").select(
+            *by, F.col("first").alias("lo"), "hi", "held", F.col("inside").alias("rank"), "ask"
+        )
         state = settle(state.where(~wide).unionByName(narrowed))
-    place = F.row_number().over(Window.partitionBy(*by, "ask").orderBy("v"))
-    ranked = pool(state.where(~single), lines).withColumn("place", place).where(F.col("place") == F.col("rank"))
+    place = F.row_number().over(Window.partitionBy(*by, "lo").orderBy("v"))
+    numbered = pool(state.where(~single), lines).withColumn("place", place)
+    last = ranked(numbered, state.where(~single)).where(F.col("place") == F.col("rank"))
     done = state.where(single).select(*by, F.col("ask").alias("rank"), F.col("lo").alias("value"))
-    return done.unionByName(ranked.select(*by, F.col("ask").alias("rank"), F.col("v").alias("value")))
+    return done.unionByName(last.select(*by, F.col("ask").alias("rank"), F.col("v").alias("value")))
 
 
 def medians(df: DataFrame, value: str, by: list[str]) -> DataFrame:

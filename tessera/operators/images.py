@@ -22,6 +22,8 @@ from tessera.session import settle
 
 Kernel = Callable[[np.ndarray], np.ndarray]
 
+# Pixel bytes handed to a kernel at once.
+STACK_BYTES = 2 * 1024 * 1024
 # A template table above this size is not sent whole to every executor.
 TEMPLATE_BYTES = 64 * 1024 * 1024
 
@@ -79,15 +81,21 @@ def vectors(rows: list[np.ndarray | None], kind: pa.DataType) -> pa.Array:
 
 
 def by_shape(images: list[np.ndarray | None], kernel: Kernel) -> list:
-    """Run the kernel once per image size on the stacked images; results in input order."""
+    """Run the kernel on stacks of images of one size; results in input order.
+
+    Stacks are kept short, so what a kernel builds up on the way stays small.
+    """
     places: dict[tuple, list[int]] = {}
     for i, image in enumerate(images):
         if image is not None:
             places.setdefault((image.shape, image.dtype.str), []).append(i)
     out: list = [None] * len(images)
     for where in places.values():
-        for i, result in zip(where, kernel(np.stack([images[i] for i in where]))):
-            out[i] = result
+        step = max(1, STACK_BYTES // max(1, images[where[0]].nbytes))
+        for start in range(0, len(where), step):
+            part = where[start : start + step]
+            for i, result in zip(part, kernel(np.stack([images[i] for i in part]))):
+                out[i] = result
     return out
 
 

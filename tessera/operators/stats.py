@@ -129,28 +129,26 @@ def feature_widths(df: DataFrame, names: list[str]) -> DataFrame:
 
 
 def vector_moments(df: DataFrame, vector: str) -> DataFrame:
-    """One row with the mean and the spread (dividing by n) of every position.
+    """One row: moments, an array with the mean and the spread (dividing by n) of every position.
 
-    One pass of MLlib's summarizer over whole vectors; nothing is exploded.
+    One pass of MLlib's summarizer over whole vectors; nothing is exploded. The spread of
+    a constant position is null.
     """
     dense = df.select(array_to_vector(F.col(vector).cast("array<double>")).alias("v"))
     summary = dense.agg(Summarizer.metrics("mean", "variance", "count").summary(F.col("v")).alias("s"))
     shrink = (F.col("s.count") - 1) / F.col("s.count")
-    spread = F.transform(vector_to_array("s.variance"), lambda x: F.sqrt(x * shrink))
-    return summary.select(F.struct(vector_to_array("s.mean").alias("mean"), spread.alias("spread")).alias("moments"))
+    pair = lambda m, v: F.struct(m.alias("mean"), F.nullif(F.sqrt(v * shrink), F.lit(0.0)).alias("spread"))
+    return summary.select(
+        F.zip_with(vector_to_array("s.mean"), vector_to_array("s.variance"), pair).alias("moments")
+    )
 
 
 def scale_by(df: DataFrame, vector: str, moments: DataFrame, out: str = "standardised") -> DataFrame:
     """Subtract the mean and divide by the spread; a constant position becomes 0."""
-
-    def scaled(x: Column, m: Column) -> Column:
-        share = (x - m["mean"]) / F.nullif(m["spread"], F.lit(0.0))
-        return F.when(m["spread"] > 0, share).otherwise(F.lit(0.0))
-
-    sides = F.arrays_zip(F.col("moments.mean").alias("mean"), F.col("moments.spread").alias("spread"))
+    scaled = lambda x, m: F.coalesce((x - m["mean"]) / m["spread"], F.lit(0.0))
     with_moments = df.withColumn("moments", moments.scalar())
     return with_moments.withColumn(
-        out, F.zip_with(F.col(vector).cast("array<double>"), sides, scaled)
+        out, F.zip_with(F.col(vector).cast("array<double>"), F.col("moments"), scaled)
     ).drop("moments")
 
 

@@ -82,12 +82,13 @@ def filter_class(spark, d):
 
 @query(
     "filter_metric",
-    """SELECT l_orderkey, l_linenumber, round(1 - l_discount, 6) AS accuracy FROM lineitem
-       WHERE l_discount < 0.05 AND l_linenumber = 1""",
+    """SELECT l_orderkey, l_linenumber AS num_features, round(1 - l_discount, 6) AS accuracy FROM lineitem
+       WHERE round(1 - l_discount, 6) > 0.95 AND l_linenumber = 1""",
 )
 def filter_metric(spark, d):
-    kept = table(spark, d, "lineitem").where((F.col("l_discount") < 0.05) & (F.col("l_linenumber") == 1))
-    return kept.select("l_orderkey", "l_linenumber", F.round(1 - F.col("l_discount"), 6).alias("accuracy"))
+    """Runs with a single feature that are accurate enough."""
+    good = (F.col("accuracy") > 0.95) & (F.col("num_features") == 1)
+    return _runs(spark, d).where(good).select("l_orderkey", "num_features", "accuracy")
 
 
 @query(
@@ -445,13 +446,13 @@ def slice_rows(spark, d):
     return cuts.rows_between(rows, cuts.sample_key(F.col("o_orderkey")), 100, 50)
 
 
-RUNS_SQL = """runs AS (SELECT l_partkey % 8 + 1 AS num_features, l_orderkey, l_extendedprice AS train_time,
+RUNS_SQL = """runs AS (SELECT l_linenumber AS num_features, l_orderkey, l_extendedprice AS train_time,
   l_tax AS predict_time, round(1 - l_discount, 6) AS accuracy, round(l_extendedprice + l_tax, 6) AS total_time FROM lineitem)"""
 
 
 def _runs(spark, d):
     rows = table(spark, d, "lineitem").select(
-        (F.col("l_partkey") % 8 + 1).alias("num_features"),
+        F.col("l_linenumber").alias("num_features"),
         "l_orderkey",
         F.col("l_extendedprice").alias("train_time"),
         F.col("l_tax").alias("predict_time"),
