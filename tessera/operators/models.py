@@ -12,17 +12,10 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.classification import (
-    LinearSVC,
-    LogisticRegression,
-    MultilayerPerceptronClassifier,
-    OneVsRest,
-)
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+from pyspark.ml.classification import LinearSVC, LogisticRegression, MultilayerPerceptronClassifier
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
@@ -73,85 +66,107 @@ def perceptron(hidden: list[int], classes: int, max_iter: int = 50, seed: int =
     return fit
 
 
-def _svc(rows: int, penalty: float, max_iter: int) -> LinearSVC:
-    # the mean loss plus reg/2 |w|^2 equals penalty * summed loss + 1/2 |w|^2 for reg = 1 / (penalty * rows)
-    return LinearSVC(regParam=1.0 / (penalty * rows), maxIter=max_iter, standardization=False)
+def _fit_planes(
+    ready: DataFrame, problems: list[tuple[DataFrame, int]], penalty: float, max_iter: int, threads: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """One linear machine per two-class problem (rows with a 0/1 label, their number): weights and shifts."""
 
+    def one(problem: tuple[DataFrame, int]):
+        rows, count = problem
+        # mean loss + reg/2 |w|^2 is penalty * summed loss + 1/2 |w|^2 for reg = 1 / (penalty * count)
+        svc = LinearSVC(regParam=1.0 / (penalty * count), maxIter=max_iter, standardization=False)
+        model = svc.fit(rows)
+        return model.coefficients.toArray(), model.intercept
+
+    with ThreadPoolExecutor(threads) as pool:
+        fitted = list(pool.map(one, problems))
+    return np.array([w for w, _ in fitted]), np.array([b for _, b in fitted])
 
-def svc_one_vs_rest(penalty: float = SVC_PENALTY, max_iter: int = 50, threads: int = 4) -> Callable[[DataFrame], Predict]:
-    """One linear machine per class against all others, on scaled columns."""
+
+def _svc(
+    problems_of: Callable[[DataFrame, dict[int, int]], list[tuple[DataFrame, int]]],
+    decide: Callable[[np.ndarray, np.ndarray], np.ndarray],
+    penalty: float,
+    max_iter: int,
+    threads: int,
+) -> Callable[[DataFrame], Predict]:
+    """Scale, fit all two-class problems, and predict a batch with one matrix product.
+
+    decide turns the distances (rows x problems) and the classes into the predicted class.
+    """
 
     def fit(train: DataFrame) -> Predict:
         moments = settle(stats.vector_moments(train, "vector"))
         scale = lambda df: stats.scale_by(df, "vector", moments, "scaled")
         ready = as_ml(scale(train), "scaled").select("features", "label").persist()
         try:
-            model = OneVsRest(classifier=_svc(ready.count(), penalty, max_iter), parallelism=threads).fit(ready)
+            sizes = {int(r["label"]): r["count"] for r in ready.groupBy("label").count().collect()}
+            weights, shifts = _fit_planes(ready, problems_of(ready, sizes), penalty, max_iter, threads)
         finally:
             ready.unpersist()
-        return lambda df: model.transform(as_ml(scale(df), "scaled")).drop("features", "label", "rawPrediction", "scaled")
+        bank = train.sparkSession.sparkContext.broadcast((weights, shifts, np.array(sorted(sizes))))
+
+        @arrow_udf(T.DoubleType())
+        def predict(scaled: pa.Array) -> pa.Array:
+            weights, shifts, classes = bank.value
+            flat = scaled.flatten().to_numpy(zero_copy_only=False).reshape(len(scaled), -1)
+            return pa.array(decide(flat @ weights.T + shifts, classes).astype(float))
+
+        return lambda df: scale(df).withColumn("prediction", predict("scaled")).drop("scaled")
 
     return fit
 
 
-def svc_one_vs_one(penalty: float = SVC_PENALTY, max_iter: int = 50, threads: int = 4) -> Callable[[DataFrame], Predict]:
-    """One linear machine per pair of classes; the class with most votes wins, the lower one on a tie.
+def svc_one_vs_rest(penalty: float = SVC_PENALTY, max_iter: int = 50, threads: int = 4) -> Callable[[DataFrame], Predict]:
+    """One linear machine per class against all others, on scaled columns; the farthest inside wins."""
 
-    The pair models are planes in feature space, so all votes of a batch are one matrix product.
-    """
+    def problems(ready: DataFrame, sizes: dict[int, int]):
+        return [(_as_label(ready, c), sum(sizes.values())) for c in sorted(sizes)]
 
-    def fit(train: DataFrame) -> Predict:
-        moments = settle(stats.vector_moments(train, "vector"))
-        scale = lambda df: stats.scale_by(df, "vector", moments, "scaled")
-        ready = as_ml(scale(train), "scaled").select("features", "label").persist()
-        sizes = {int(r["label"]): r["count"] for r in ready.groupBy("label").count().collect()}
-        pairs = list(combinations(sorted(sizes), 2))
+    return _svc(problems, lambda far, classes: classes[far.argmax(axis=1)], penalty, max_iter, threads)
 
-        def one(pair: tuple[int, int]):
-            rows = ready.where(F.col("label").isin(*pair)).withColumn("label", (F.col("label") == pair[1]).cast("double"))
-            model = _svc(sizes[pair[0]] + sizes[pair[1]], penalty, max_iter).fit(rows)
-            return model.coefficients.toArray(), model.intercept
 
-        try:
-            with ThreadPoolExecutor(threads) as pool:
-                fitted = list(pool.map(one, pairs))
-        finally:
-            ready.unpersist()
-        classes = np.array(sorted(sizes))
-        bank = train.sparkSession.sparkContext.broadcast(
-            (np.array([w for w, _ in fitted]), np.array([b for _, b in fitted]), np.array(pairs))
-        )
+def svc_one_vs_one(penalty: float = SVC_PENALTY, max_iter: int = 50, threads: int = 4) -> Callable[[DataFrame], Predict]:
+    """One linear machine per pair of classes; most votes win, the lower class on a tie."""
 
-        @arrow_udf(T.DoubleType())
-        def vote(scaled: pa.Array) -> pa.Array:
-            planes, shift, ends = bank.value
-            flat = scaled.flatten().to_numpy(zero_copy_only=False).reshape(len(scaled), -1)
-            second = flat @ planes.T + shift > 0
-            winner = np.where(second, ends[:, 1], ends[:, 0])
-            votes = (winner[:, :, None] == classes).sum(axis=1)
-            return pa.array(classes[votes.argmax(axis=1)].astype(float))
+    def problems(ready: DataFrame, sizes: dict[int, int]):
+        both = lambda a, b: ready.where(F.col("label").isin(a, b))
+        return [(_as_label(both(a, b), b), sizes[a] + sizes[b]) for a, b in combinations(sorted(sizes), 2)]
 
-        return lambda df: scale(df).withColumn("prediction", vote("scaled")).drop("scaled")
+    def vote(far: np.ndarray, classes: np.ndarray) -> np.ndarray:
+        ends = np.array(list(combinations(classes, 2)))
+        winner = np.where(far > 0, ends[:, 1], ends[:, 0])
+        votes = (winner[:, :, None] == classes).sum(axis=1)
+        return classes[votes.argmax(axis=1)]
 
-    return fit
+    return _svc(problems, vote, penalty, max_iter, threads)
 
 
-def grid_search(train: DataFrame, penalties: list[float], folds: int, fold: str, max_iter: int = 20, threads: int = 4) -> DataFrame:
-    """Mean accuracy over the folds for every penalty; fold is a column 0..folds-1."""
+def _as_label(rows: DataFrame, positive: int) -> DataFrame:
+    return rows.withColumn("label", (F.col("label") == positive).cast("double"))
+
+
+def grid_search(
+    train: DataFrame, candidates: dict[str, Callable[[DataFrame], Predict]], fold: str, folds: int, threads: int = 4
+) -> DataFrame:
+    """Accuracy of every candidate in every fold and its mean; fold is a column 0..folds-1."""
     spark = train.sparkSession
-    rows = train.count()
-    svc = LinearSVC(maxIter=max_iter, standardization=False)
-    grid = ParamGridBuilder().addGrid(svc.regParam, [1.0 / (c * rows) for c in penalties]).build()
-    validator = CrossValidator(
-        estimator=OneVsRest(classifier=svc, parallelism=threads),
-        estimatorParamMaps=grid,
-        evaluator=MulticlassClassificationEvaluator(metricName="accuracy"),
-        numFolds=folds,
-        foldCol=fold,
-        parallelism=threads,
-    )
-    metrics = validator.fit(as_ml(train).select("features", "label", fold)).avgMetrics
-    return spark.createDataFrame([(p, float(m)) for p, m in zip(penalties, metrics)], "penalty double, accuracy double")
+    stored = train.persist()
+
+    def run(task: tuple[str, int]):
+        name, k = task
+        predict = candidates[name](stored.where(F.col(fold) != k))
+        hit = (F.col("prediction") == F.col("class_id")).cast("double")
+        return name, k, predict(stored.where(F.col(fold) == k)).agg(F.avg(hit)).first()[0]
+
+    try:
+        with ThreadPoolExecutor(threads) as pool:
+            lines = list(pool.map(run, [(name, k) for name in candidates for k in range(folds)]))
+    finally:
+        stored.unpersist()
+    scores = spark.createDataFrame(lines, "candidate string, fold int, accuracy double")
+    mean = F.avg("accuracy").over(Window.partitionBy("candidate"))
+    return scores.withColumn("mean_accuracy", mean)
 
 
 def model_loss(predicted: DataFrame) -> DataFrame:

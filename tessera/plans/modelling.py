@@ -52,7 +52,8 @@ def perceptron(spark, d):
 def grid_cv(spark, d):
     train, _ = _split(spark, d)
     folded = train.withColumn("fold", cuts.fold_of(key(), 3))
-    return models.grid_search(folded, [0.005, 0.5], 3, "fold", max_iter=3, threads=8)
+    candidates = {f"C={c}": models.svc_one_vs_rest(c, max_iter=5) for c in (0.005, 0.5)}
+    return models.grid_search(folded, candidates, "fold", 3)
 
 
 @query("explained_variance")

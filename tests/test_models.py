@@ -70,8 +70,10 @@ def test_components_match_numpy(blobs):
 def test_grid_search_prefers_a_useful_penalty(blobs):
     train, _ = blobs
     folded = train.withColumn("fold", cuts.fold_of(cuts.sample_key(F.col("image_id")), 3))
-    found = {r["penalty"]: r["accuracy"] for r in models.grid_search(folded, [1e-7, 1.0], 3, "fold", 5).collect()}
-    assert found[1.0] > 0.9 and found[1.0] >= found[1e-7]
+    candidates = {str(c): models.svc_one_vs_rest(c, 5) for c in (1e-7, 1.0)}
+    lines = models.grid_search(folded, candidates, "fold", 3).collect()
+    found = {r["candidate"]: r["mean_accuracy"] for r in lines}
+    assert len(lines) == 6 and found["1.0"] > 0.9 and found["1.0"] >= found["1e-07"]
 
 
 def test_ablation_scores_every_subset(blobs):
