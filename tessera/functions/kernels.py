@@ -145,8 +145,8 @@ def from_hsv(hsv: np.ndarray) -> np.ndarray:
 
 def to_lab(rgb: np.ndarray) -> np.ndarray:
     """8-bit LAB: L over 0..255, a and b around 128."""
-    unit = to_bytes(rgb) / 255.0
-    linear = np.where(unit > 0.04045, ((unit + 0.055) / 1.055) ** 2.4, unit / 12.92)
+    unit = np.arange(256) / 255.0
+    linear = np.where(unit > 0.04045, ((unit + 0.055) / 1.055) ** 2.4, unit / 12.92)[to_bytes(rgb)]
     xyz = linear @ RGB_TO_XYZ.T / WHITE
     f = np.where(xyz > 0.008856, np.cbrt(xyz), 7.787 * xyz + 16 / 116)
     light = np.where(xyz[..., 1] > 0.008856, 116 * f[..., 1] - 16, 903.3 * xyz[..., 1])
@@ -267,8 +267,12 @@ def hog(image: np.ndarray, orientations: int, cell: int, block: int) -> np.ndarr
     rows, cols = h // cell, w // cell
     inside = (slice(None), slice(rows * cell), slice(cols * cell))
     bins = np.floor(angle / (180 / orientations)).astype(int)[inside]
-    per_bin = (bins[..., None] == np.arange(orientations)) * strength[inside][..., None]
-    cells = per_bin.reshape(n, rows, cell, cols, cell, orientations).mean(axis=(2, 4))
+    weight = np.where(bins < orientations, strength[inside], 0)  # an angle rounded up to 180 is in no bin
+    image, y, x = (np.arange(m) for m in (n, rows * cell, cols * cell))
+    place = (image[:, None, None] * rows + (y // cell)[:, None]) * cols + x // cell
+    slot = place * orientations + np.minimum(bins, orientations - 1)
+    cells = np.bincount(slot.ravel(), weight.ravel(), n * rows * cols * orientations)
+    cells = cells.reshape(n, rows, cols, orientations) / cell**2
     view = np.lib.stride_tricks.sliding_window_view(cells, (block, block), axis=(1, 2))
     blocks = view.transpose(0, 1, 2, 4, 5, 3)  # image, block row, block col, cell row, cell col, bin
     length = lambda b: np.sqrt((b**2).sum(axis=(3, 4, 5), keepdims=True) + 1e-10)
@@ -286,9 +290,10 @@ def template_map(plane: np.ndarray, templates: np.ndarray, margin: int) -> np.nd
     out = []
     for image in padded:  # one image at a time keeps the window matrix small
         windows = np.lib.stride_tricks.sliding_window_view(image, (th, tw)).reshape(-1, th * tw)
-        windows = windows - windows.mean(axis=1, keepdims=True)
-        scale = np.sqrt((windows**2).sum(axis=1))[:, None] * spread[None, :]
-        scores = windows @ flat.T / np.where(scale > 1e-9, scale, np.inf)
+        total, squares = windows.sum(axis=1), np.einsum("ij,ij->i", windows, windows)  # whole numbers, exact
+        scale = np.sqrt(squares - total * total / (th * tw))[:, None] * spread[None, :]
+        # the templates sum to zero, so the mean of a window drops out of the product
+        scores = windows @ flat.T / np.where(scale > 1e-6, scale, np.inf)
         out.append(scores.T.ravel())  # template by template, offsets row by row
     return np.array(out, dtype=np.float32).reshape(n, -1)
 
