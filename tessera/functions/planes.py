@@ -3,6 +3,10 @@
 A plane is one channel of an image as a flat row-major array. Everything here is a
 row map inside the JVM: no shuffle, no explode, no Python worker. The same operators
 for binary images of real size are in operators/images.py.
+
+Several of these nest one lambda in another. Spark cannot hand such an expression
+straight to a Python function (the inner lambda hides the input from it): store or
+checkpoint the column, or join in between, before it goes into operators/images.py.
 """
 
 from __future__ import annotations

@@ -313,6 +313,35 @@ def similarity(template: np.ndarray, threshold: int = -1) -> Callable[[Column],
     return vector_map(lambda s: kernels.similarity_map(kernels.grey(s), template, threshold), "float")
 
 
+def plane_similarity(
+    height: int, width: int, t_height: int, t_width: int, threshold: int = -1
+) -> Callable[[Column, Column], Column]:
+    """Similarity map of a plane with the template in the same row; rows with one template go together."""
+
+    @arrow_udf(T.ArrayType(T.DoubleType()))
+    def run(planes: pa.Array, templates: pa.Array) -> pa.Array:
+        stack = _as_matrix(planes).reshape(-1, height, width)
+        known, which = np.unique(_as_matrix(templates), axis=0, return_inverse=True)
+        out = np.empty(stack.shape)
+        for i, template in enumerate(known):
+            mine = which == i
+            out[mine] = kernels.similarity_map(stack[mine], template.reshape(t_height, t_width), threshold)
+        return pa.array(list(out.reshape(len(out), -1)), pa.list_(pa.float64()))
+
+    return run
+
+
+SOBEL_TYPE = _struct(("strength", T.ArrayType(T.DoubleType())), ("angle", T.ArrayType(T.DoubleType())))
+
+
+@arrow_udf(SOBEL_TYPE)
+def sobel(images: pa.Array) -> pa.Array:
+    """Struct of gradient strength (largest = 255) and angle per pixel of the grey image."""
+    found = by_shape(unpack(images), lambda s: list(zip(*kernels.sobel(kernels.grey(s)))))
+    fields = [vectors([None if f is None else f[i] for f in found], pa.float64()) for i in range(2)]
+    return pa.StructArray.from_arrays(fields, SOBEL_TYPE.names)
+
+
 # ---- templates -------------------------------------------------------------------------------
 
 

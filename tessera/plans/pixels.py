@@ -1,4 +1,4 @@
-"""Queries on pixel arrays, evaluated inside the JVM."""
+"""Queries on pixel arrays, evaluated inside the JVM but for the similarity maps."""
 
 from __future__ import annotations
 
@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import planes, scalars
 from tessera.operators import cuts, stats
+from tessera.operators import images as ops
 from tessera.plans.base import KEY_SQL, PIXELS_SQL, RGB_SQL, SIDE, key, query, rgb, templates, text_of, thousandths, tiles
 from tessera.session import sized
 
@@ -222,10 +223,10 @@ def template_score(spark, d):
 )
 def template_similarity(spark, d):
     """The central 4x4 part of the class template moved over the image, template pixels above 120 only."""
-    part = planes.crop(F.col("template"), SIDE, SIDE, 2, 2, 5, 5)["plane"]
-    scored = _with_own_template(spark, d).select(
-        "image_id", planes.similarity_map(F.col("plane"), SIDE, SIDE, part, 4, 4, 120).alias("map")
-    )
+    part = planes.crop(F.col("plane"), SIDE, SIDE, 2, 2, 5, 5)["plane"]
+    own = templates(spark, d).select("class_id", part.alias("template"))
+    similar = ops.plane_similarity(SIDE, SIDE, 4, 4, 120)
+    scored = tiles(spark, d).join(sized(own), "class_id").select("image_id", similar("plane", "template").alias("map"))
     return scored.select(
         "image_id",
         F.round(F.array_max("map"), 6).alias("best"),

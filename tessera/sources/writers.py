@@ -32,6 +32,16 @@ def write_table(
     writer.parquet(path)
 
 
+def write_bucketed(df: DataFrame, table: str, buckets: int, key: str = "image_id", force: bool = False) -> None:
+    """Catalog table bucketed and sorted by a key.
+
+    Images, features and embeddings written with the same number of buckets are joined
+    by that key without a shuffle.
+    """
+    writer = df.write.mode("overwrite" if force else "errorifexists").option("compression", "zstd")
+    writer.bucketBy(buckets, key).sortBy(key).saveAsTable(table)
+
+
 def refresh_column(spark: SparkSession, path: str, name: str, value: Callable[[DataFrame], Column]) -> None:
     """Recompute one column of a stored table.
 

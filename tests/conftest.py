@@ -11,8 +11,9 @@ from tessera.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
-    return build_session(8, "tests")
+def spark(tmp_path_factory):
+    warehouse = str(tmp_path_factory.mktemp("warehouse"))
+    return build_session(8, "tests", **{"spark.sql.warehouse.dir": warehouse})
 
 
 def write_png(path, pixels):

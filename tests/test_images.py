@@ -7,7 +7,7 @@ from conftest import write_png
 from pyspark.sql import functions as F
 
 from tessera.functions import planes
-from tessera.operators import columns, images as ops, pipeline
+from tessera.operators import columns, images as ops, joins, pipeline
 from tessera.sources import checks, readers, writers
 from tessera.streaming import rowmaps
 
@@ -331,3 +331,33 @@ def test_large_sides_are_not_broadcast(spark):
     side = spark.range(50).select("id", F.array_repeat(F.lit(1.0), 100).alias("v"))
     hinted = lambda df: "ResolvedHint" in df._jdf.queryExecution().analyzed().toString()
     assert hinted(sized(side)) and not hinted(sized(side, rows=49)) and not hinted(sized(side, size=30_000))
+
+
+def test_gradients_agree(spark):
+    df = tile_images(spark, 3)
+    native = planes.sobel(planes.grey(F.col("r"), F.col("g"), F.col("b")), 8, 8)
+    for row in df.select(native.alias("a"), ops.sobel("image").alias("b")).collect():
+        assert [e["strength"] for e in row["a"]] == pytest.approx(row["b"]["strength"])
+        assert [e["angle"] for e in row["a"]] == pytest.approx(row["b"]["angle"])
+
+
+def test_row_templates(spark):
+    df = tile_images(spark, 5).withColumn("t", F.slice("b", 1, 6))
+    similar = ops.plane_similarity(8, 8, 2, 3)
+    native = planes.similarity_map(F.col("r"), 8, 8, F.col("t"), 3, 2)
+    for row in df.select(native.alias("a"), similar(F.col("r"), F.col("t")).alias("b")).collect():
+        assert row["a"] == pytest.approx(row["b"])
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark):
+    names = ["bucketed_images", "bucketed_features"]
+    try:
+        for name, column in zip(names, ("image", "hog")):
+            writers.write_bucketed(spark.range(100).select(F.col("id").alias("image_id"), F.lit(1).alias(column)), name, 4, force=True)
+        left, right = (spark.table(n).hint("merge") for n in names)
+        joined = joins.attach(left, right)
+        assert joined.count() == 100
+        assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name in names:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
