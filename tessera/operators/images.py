@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+from pyspark.ml.functions import predict_batch_udf
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -475,17 +476,19 @@ def all_features(df: DataFrame, templates: DataFrame, image: str = "image", marg
     return df.withColumn("features", run(image))
 
 
-def embed_images(df: DataFrame, predict, batch: int = 100, image: str = "image", name: str = "embedding") -> DataFrame:
-    """Embedding column from any predict function.
+def embedder(predict, values: int, batch: int = 100) -> Callable[[Column], Column]:
+    """Column function image -> embedding from any predict function.
 
     predict is called once per Python worker and returns a function from a float stack
-    (n, height * width * channels) to an (n, k) matrix; all images have the same size.
+    (n, values) to an (n, k) matrix; values is height * width * channels of every image.
     """
-    from pyspark.ml.functions import predict_batch_udf
-
     flat = vector_map(lambda s: kernels.to_unit(s).reshape(len(s), -1), "float")
-    size = df.select(
-        (F.col(f"{image}.height") * F.col(f"{image}.width") * F.col(f"{image}.channels")).alias("n")
-    ).first()["n"]
-    model = predict_batch_udf(predict, return_type=T.ArrayType(T.FloatType()), batch_size=batch, input_tensor_shapes=[[size]])
-    return df.withColumn(name, model(flat(image)))
+    kind = T.ArrayType(T.FloatType())
+    model = predict_batch_udf(predict, return_type=kind, batch_size=batch, input_tensor_shapes=[[values]])
+    return lambda image: model(flat(image))
+
+
+def embed_images(df: DataFrame, predict, batch: int = 100, image: str = "image", name: str = "embedding") -> DataFrame:
+    """The frame with an embedding column; the first image tells the size of all."""
+    volume = F.col(f"{image}.height") * F.col(f"{image}.width") * F.col(f"{image}.channels")
+    return df.withColumn(name, embedder(predict, df.select(volume).first()[0], batch)(image))

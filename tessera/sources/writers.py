@@ -42,19 +42,26 @@ def write_bucketed(df: DataFrame, table: str, buckets: int, key: str = "image_id
     writer.bucketBy(buckets, key).sortBy(key).saveAsTable(table)
 
 
-def refresh_column(spark: SparkSession, path: str, name: str, value: Callable[[DataFrame], Column]) -> None:
+def refresh_column(
+    spark: SparkSession, path: str, name: str, value: Callable[[DataFrame], Column], by: list[str] | None = None
+) -> None:
     """Recompute one column of a stored table.
 
     The new table is written next to the old one and swapped in when it is complete,
-    because a table cannot be overwritten while it is read.
+    because a table cannot be overwritten while it is read. A swap that was cut short
+    is put back first.
     """
-    stored = spark.read.parquet(path)
-    rest = stored.drop(name)
     staging, old = f"{path}.staging", f"{path}.old"
-    write_table(rest.withColumn(name, value(rest)), staging, force=True)
     fs, current = _path(spark, path)
     _, fresh = _path(spark, staging)
     _, kept = _path(spark, old)
+    if fs.exists(kept):
+        if fs.exists(current):
+            fs.delete(kept, True)  # the swap was done, only the tidying was missing
+        elif not fs.rename(kept, current):
+            raise OSError(f"cannot put {old} back")
+    rest = spark.read.parquet(path).drop(name)
+    write_table(rest.withColumn(name, value(rest)), staging, force=True, by=by)
     if not fs.rename(current, kept):
         raise OSError(f"cannot move {path} aside")
     if not fs.rename(fresh, current):

@@ -227,6 +227,10 @@ def test_refresh_column(spark, tmp_path):
     rows = spark.read.parquet(path).orderBy("id").collect()
     assert [tuple(r) for r in rows] == [(i, 2 * i, i + 1) for i in range(4)]
     assert sorted(p.name for p in tmp_path.iterdir()) == ["features"]
+    (tmp_path / "features").rename(tmp_path / "features.old")  # as if the swap had been cut short
+    writers.refresh_column(spark, path, "extra", lambda df: F.col("id") + 5)
+    assert [r["extra"] for r in spark.read.parquet(path).orderBy("id").collect()] == [5, 6, 7, 8]
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["features"]
 
 
 def test_csv_and_matrix(spark, tmp_path):
@@ -273,6 +277,8 @@ def test_embeddings(spark):
     rows = ops.embed_images(tile_images(spark), load, batch=4).collect()
     for row in rows:
         assert row["embedding"] == pytest.approx([np.mean(row[c]) / 255 for c in "rgb"], abs=1e-5)
+    again = tile_images(spark).select("r", ops.embedder(load, 192)("image").alias("embedding")).first()
+    assert again["embedding"][0] == pytest.approx(np.mean(again["r"]) / 255, abs=1e-5)
 
 
 def test_same_results_on_a_stream(spark, tmp_path):

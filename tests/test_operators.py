@@ -48,6 +48,15 @@ def test_balanced_sample_and_guard(skewed):
         cuts.balanced_sample(skewed, 2000, ["class_id"], key())
 
 
+def test_samples_do_not_shuffle_the_rows(skewed):
+    wide = skewed.withColumn("payload", F.repeat(F.lit("x"), 1000))
+    for df in (cuts.sample_per_class(wide, 40, ["class_id"], key()), cuts.split_exact(wide, 0.8, key())):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
+        moved = [line for line in plan.splitlines() if "Exchange" in line and "payload" in line]
+        assert not moved
+
+
 def test_samples_do_not_depend_on_partitions(skewed):
     first = ids(cuts.sample_rows(skewed, 123, key()))
     assert first == ids(cuts.sample_rows(skewed.repartition(13), 123, key())) and len(first) == 123
