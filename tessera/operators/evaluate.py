@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.session import sized
+from tessera.session import settle, sized
 
 
 def confusion(df: DataFrame, classes: int, by: list[str] | None = None) -> DataFrame:
@@ -18,6 +18,8 @@ def confusion(df: DataFrame, classes: int, by: list[str] | None = None) -> DataF
             F.floor(i / classes).cast("int").alias("actual"), (i % classes).cast("int").alias("predicted")
         ),
     )
+    if by:
+        counted = settle(counted)  # read twice below
     groups = counted.select(*by).distinct() if by else df.sparkSession.range(1)
     grid = groups.select(*by, F.explode(cells).alias("cell")).select(*by, "cell.*")
     return grid.join(counted, [*by, "actual", "predicted"], "left").fillna(0, subset=["n"])

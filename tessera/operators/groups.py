@@ -53,11 +53,12 @@ def _flag(keyed: DataFrame, cold: DataFrame) -> DataFrame:
 def distinct_by(df: DataFrame, key: Column, identity: str) -> DataFrame:
     """One row per key: the one with the lowest id.
 
-    Only key and id take part in the aggregation, merged before the shuffle; the
-    chosen ids are unique, so the join that brings the rows back cannot be skewed.
+    Keys and ids alone are aggregated, merged before the shuffle. The ids to leave out
+    are unique, so nothing is skewed, and while they are few the rows stay in place.
     """
     chosen = df.groupBy(key.alias("dup_key")).agg(F.min(identity).alias(identity)).select(identity)
-    return df.join(chosen, identity, "left_semi")
+    spare = settle(df.select(identity).join(chosen, identity, "left_anti"))
+    return df.join(sized(spare), identity, "left_anti")
 
 
 def first_per_class(df: DataFrame, by: str, identity: str) -> DataFrame:

@@ -414,17 +414,58 @@ def fit_image(spark, d):
     return _long(grey_images(spark, d).select("image_id", first(fitted("image")).alias("p")), "p")
 
 
-@query("rescale_image")
+def _spline(x: float, degree: int = 5) -> float:
+    """Centred B-spline by recursion over the degree."""
+    if degree == 0:
+        return 1.0 if -0.5 <= x < 0.5 else 0.0
+    half = (degree + 1) / 2
+    return ((half + x) * _spline(x + 0.5, degree - 1) + (half - x) * _spline(x - 0.5, degree - 1)) / degree
+
+
+def _upscale_sql(n: int, m: int) -> str:
+    """Colour tiles of side n enlarged to side m, cut to the range of the image (image_id, y, x, c, v)."""
+    mirror = lambda i: (n - 1) - abs((n - 1) - abs(i) % (2 * n - 2))
+    knots, sample = np.zeros((n, n)), np.zeros((m, n))
+    for i in range(n):
+        for j in range(i - 2, i + 3):
+            knots[i, mirror(j)] += _spline(float(i - j))
+    for o in range(m):
+        at = (o + 0.5) * n / m - 0.5
+        for j in range(math.floor(at) - 2, math.floor(at) + 4):
+            sample[o, mirror(j)] += _spline(at - j)
+    weights = sample @ np.linalg.inv(knots)
+    rows = ", ".join(f"({o}, {i}, {weights[o, i].item()!r}::DOUBLE)" for o in range(m) for i in range(n))
+    return f"""{RGB_SQL}, chan AS (
+      SELECT image_id, pos // {n} AS y, pos % {n} AS x, unnest([0, 1, 2]) AS c, unnest([r, g, b]) / 255.0::DOUBLE AS v FROM rgbpx),
+    wt(o, i, w) AS (VALUES {rows}),
+    tall AS (SELECT image_id, c, o AS y, x, sum(w * v) AS v FROM chan JOIN wt ON i = y GROUP BY image_id, c, o, x),
+    free AS (SELECT image_id, c, y, o AS x, sum(w * v) AS v FROM tall JOIN wt ON i = x GROUP BY image_id, c, y, o),
+    ends AS (SELECT image_id, min(v) AS lo, max(v) AS hi FROM chan GROUP BY image_id),
+    big AS (SELECT image_id, c, y, x, CAST(CAST(least(hi, greatest(lo, v)) AS FLOAT) AS DOUBLE) AS v FROM free JOIN ends USING (image_id))"""
+
+
+UNITS = ops.vector_map(lambda s: s, "float")
+
+
+@query(
+    "rescale_image",
+    f"WITH {_upscale_sql(4, 16)} SELECT image_id, CAST((y * 16 + x) * 3 + c AS INTEGER) AS pos, round(v, 4) AS v FROM big",
+)
 def rescale_image(spark, d):
-    """Degree-5 rescale to 16x16 and, for network input, to 16 and its central 14."""
-    small, wide = ops.rescale(16), ops.rescale_wide(16, 14)
-    scaled = colour_images(spark, d).select("image_id", small("image").alias("scaled"), wide("image").alias("network"))
-    return scaled.select(
-        "image_id",
-        *ops.image_size("scaled", "scaled_"),
-        *ops.image_size("network", "network_"),
-        _bytes("scaled").alias("pixels"),
-    )
+    """Degree-5 rescale of the 4x4 colour tiles to 16x16."""
+    scaled = ops.rescale(16)
+    return _long(colour_images(spark, d).select("image_id", UNITS(scaled("image")).alias("p")), "p")
+
+
+@query(
+    "rescale_network",
+    f"""WITH {_upscale_sql(4, 16)} SELECT image_id, CAST(((y - 1) * 14 + x - 1) * 3 + c AS INTEGER) AS pos, round(v, 4) AS v
+    FROM big WHERE y BETWEEN 1 AND 14 AND x BETWEEN 1 AND 14""",
+)
+def rescale_network(spark, d):
+    """The same, then the central 14x14."""
+    wide = ops.rescale_wide(16, 14)
+    return _long(colour_images(spark, d).select("image_id", UNITS(wide("image")).alias("p")), "p")
 
 
 def channel_means():

@@ -18,7 +18,7 @@ IMAGE = _fields(
     ("data", T.BinaryType()),
 )
 
-# Header names of the index file, in file order, with the names used here.
+# Header names of the index file, in file order, with the names used here.
 INDEX_COLUMNS = {
     "Width": "width",
     "Height": "height",
@@ -68,6 +68,6 @@ RUN_LOG = _fields(
     ("train_time", T.DoubleType()),
 )
 
-# Feature families in the order in which they are laid side by side.
+# Feature families in the order in which they are laid side by side, number of classes.
 FEATURE_ORDER = ["lbp", "hue", "sat", "value", "template", "hog", "vgg16", "resnet101"]
 CLASS_COUNT = 43

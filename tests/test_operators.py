@@ -148,6 +148,12 @@ def test_confusion_and_scores(five):
     assert evaluate.misclassified(five, 0).count() == 1
 
 
+def test_confusion_by_group(five):
+    both = five.withColumn("m", F.lit("a")).unionByName(five.limit(2).withColumn("m", F.lit("b")))
+    found = evaluate.confusion(both, 3, ["m"])
+    assert found.count() == 18 and found.groupBy("m").agg(F.sum("n")).orderBy("m").collect()[0][1] == 5
+
+
 def test_percent_of_an_empty_class_is_null(spark):
     one = spark.createDataFrame([(0, 0)], "actual int, predicted int")
     shares = {r["actual"]: r["percent"] for r in evaluate.confusion_percent(evaluate.confusion(one, 2)).collect()}
