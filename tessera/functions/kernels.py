@@ -56,7 +56,7 @@ def _gauss(sigma: float, radius: int) -> np.ndarray:
     return weights / weights.sum()
 
 
-@lru_cache(maxsize=4096)
+@lru_cache(maxsize=256)
 def _rescale_matrix(n: int, m: int) -> np.ndarray:
     """One axis of the rescaling as an (m, n) matrix: smooth, spline coefficients, sample."""
     rows = np.arange(n)
@@ -376,8 +376,24 @@ def edge_map(
     lower = upper * low
     out = np.where(thin >= upper, strong, 0)
     out = np.where((thin <= upper) & (thin >= lower), weak, out)
-    for y in range(1, out.shape[1] - 1):  # in reading order: a promoted pixel counts for the next ones
-        for x in range(1, out.shape[2] - 1):
-            beside = (out[:, y - 1 : y + 2, x - 1 : x + 2] == strong).any(axis=(1, 2))
-            out[:, y, x] = np.where(out[:, y, x] == weak, np.where(beside, strong, 0), out[:, y, x])
-    return np.where(upper > 0, out, 0)  # a flat image has no edges
+    return np.where(upper > 0, _keep_touching(out, weak, strong), 0)  # a flat image has no edges
+
+
+def _keep_touching(marks: np.ndarray, weak: int, strong: int) -> np.ndarray:
+    """One pass in reading order over the inner pixels: weak ones beside a strong one become strong, others 0.
+
+    A pixel taken up counts for the next ones, so within a line it carries on along the
+    run of weak pixels to its right; lines are done one after the other.
+    """
+    hit, open_ = marks == strong, np.zeros(marks.shape, bool)
+    open_[:, 1:-1, 1:-1] = marks[:, 1:-1, 1:-1] == weak
+    column = np.arange(marks.shape[2])
+    for y in range(1, marks.shape[1] - 1):
+        near = np.pad(hit[:, y - 1] | hit[:, y + 1], ((0, 0), (1, 1)))
+        own = np.pad(hit[:, y], ((0, 0), (1, 1)))
+        beside = near[:, :-2] | near[:, 1:-1] | near[:, 2:] | own[:, :-2] | own[:, 2:]
+        line = open_[:, y]
+        start = np.maximum.accumulate(np.where(line & beside, column, -1), axis=1)
+        stop = np.maximum.accumulate(np.where(line, -1, column), axis=1)
+        hit[:, y] |= line & (start > stop)
+    return np.where(hit, strong, np.where(open_, 0, marks))

@@ -14,6 +14,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.session import BROADCAST_ROWS, settle
 
@@ -171,6 +172,22 @@ def rows_between(df: DataFrame, key: Column, offset: int, length: int) -> DataFr
     return kept.where(key > lower) if lower else kept
 
 
+def _step(kind: T.DataType) -> Column:
+    """Place of v in its range lo..hi, 0..RANGES-1.
+
+    The ends always fall into the first and the last step, so a range shrinks with every
+    pass also where differences overflow or are not numbers.
+    """
+    v, lo, hi = F.col("v"), F.col("lo"), F.col("hi")
+    if isinstance(kind, T.IntegralType):
+        gap = lambda x: F.try_subtract(x, lo).cast("double")
+    else:
+        gap = lambda x: x.cast("double") / 2 - lo.cast("double") / 2
+    share = F.coalesce(F.nanvl(F.try_divide(gap(v), gap(hi)), F.lit(0.5)), F.lit(0.5))
+    between = F.least(F.lit(RANGES - 1), F.greatest(F.lit(0), F.floor(share * RANGES)))
+    return F.when(v == lo, 0).when(v == hi, RANGES - 1).otherwise(between)
+
+
 def values_at(df: DataFrame, value: str, by: list[str], ranks: Callable[[Column], list[Column]]) -> DataFrame:
     """Values at the given ranks of each group (by, rank, value), exact.
 
@@ -208,10 +225,9 @@ def values_at(df: DataFrame, value: str, by: list[str], ranks: Callable[[Column]
         lines, open_lines = state.agg(F.count("*"), F.count(F.when(wide, 1))).first()
         if not open_lines:
             break
-        share = (F.col("v") - F.col("lo")).cast("double") / (F.col("hi") - F.col("lo")).cast("double")
         steps = (
             pool(state.where(wide), open_lines)
-            .withColumn("step", F.least(F.lit(RANGES - 1), F.floor(share * RANGES)))
+            .withColumn("step", _step(rows.schema["v"].dataType))
             .groupBy(*by, "lo", "step")
             .agg(F.count("*").alias("held"), F.min("v").alias("first"), F.max("v").alias("hi"))
         )

@@ -1,4 +1,4 @@
-"""Readers, writers, the image pipeline and the Arrow operators."""
+"""Readers, writers, the image and feature tables and the Arrow operators."""
 
 import numpy as np
 import pyarrow.parquet as pq
@@ -7,7 +7,7 @@ from conftest import write_png
 from pyspark.sql import functions as F
 
 from tessera.functions import planes
-from tessera.operators import columns, images as ops, joins, pipeline
+from tessera.operators import build, columns, images as ops, joins
 from tessera.sources import checks, readers, writers
 from tessera.streaming import rowmaps
 
@@ -80,7 +80,7 @@ def test_counts_in_file_names(spark):
 @pytest.fixture(scope="module")
 def table(spark, dataset, tmp_path_factory):
     path = str(tmp_path_factory.mktemp("tables") / "images")
-    built = pipeline.image_table(spark, str(dataset / "Train.csv"), str(dataset), wide=True)
+    built = build.image_table(spark, str(dataset / "Train.csv"), str(dataset), wide=True)
     writers.write_table(built, path)
     return path
 
@@ -100,9 +100,9 @@ def test_image_table(spark, table):
 
 def test_feature_table(spark, dataset, table):
     base = columns.feature_base(readers.read_table(spark, table))
-    meta = pipeline.meta_table(spark, str(dataset / "Meta_full.csv"), str(dataset))
+    meta = build.meta_table(spark, str(dataset / "Meta_full.csv"), str(dataset))
     templates = meta.select("class_id", F.col("scaled_meta_image").alias("image"))
-    features = pipeline.feature_table(base, templates)
+    features = build.feature_table(base, templates)
     row = features.first()
     widths = {n: len(row[n]) for n in ("hue_hist", "saturation_hist", "value_hist", "lbp_image", "lbp_hist", "hog_features", "template_pattern")}
     assert widths == {

@@ -102,11 +102,22 @@ def test_medians_match(spark, monkeypatch, ranges, direct):
     rnd = random.Random(5)
     values = {0: [rnd.gauss(0, 1e6) for _ in range(501)], 1: [1.5] * 40, 2: [rnd.randrange(9) * 1.0 for _ in range(200)]}
     values[3], values[4] = [1e-300, 1e300, 5.0], [-4.0, 8.0]
+    values[5] = [-1.7e308, 1.7e308, 3.0, 4.0, 5.0]
+    values[6] = [float("-inf"), float("inf"), 1.0, 2.0, 2.5]
     df = spark.createDataFrame([(g, v) for g, vs in values.items() for v in vs], "g int, v double").repartition(4)
     found = {r["g"]: r["median"] for r in cuts.medians(df, "v", ["g"]).collect()}
     assert found == {g: pytest.approx(statistics.median(vs)) for g, vs in values.items()}
 
 
+def test_median_of_wide_whole_numbers(spark, monkeypatch):
+    monkeypatch.setattr(cuts, "RANGE_ROWS", 1)
+    monkeypatch.setattr(cuts, "RANGES", 4)
+    values = [-(2**63), 2**63 - 1, 2**62, 2**62 + 1, 2**62 + 2]
+    df = spark.createDataFrame([(v,) for v in values], "v long")
+    third = cuts.values_at(df, "v", [], lambda total: [F.floor((total + 1) / 2)])
+    assert third.first()["value"] == 2**62 + 1
+
+
 def test_duplicates(spark):
     paths = spark.createDataFrame([(i, p) for i, p in enumerate("aabccc")], "id int, path string")
     assert groups.duplicate_rows(paths, F.col("path")).first()[0] == 5
