@@ -76,6 +76,9 @@ def sized(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES
     """Broadcast hint when the frame is small in rows and bytes, the frame itself otherwise."""
     if df.select(F.lit(1)).offset(rows).limit(1).collect():  # reads only as far as needed
         return df
+    fixed = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType)
+    if all(isinstance(f.dataType, fixed) for f in df.schema.fields):
+        return F.broadcast(df)  # so many rows of numbers are small
     widths = [_width(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields]
     taken = df.agg(F.sum(sum(widths[1:], widths[0]))).first()[0]
     return F.broadcast(df) if (taken or 0) <= size else df

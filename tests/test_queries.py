@@ -4,7 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from check import TABLES, shape
+from check import TABLES, column_types, shape
 
 SF = "/root/testdata/sf0.001"
 
@@ -26,7 +26,9 @@ def test_query(spark, db, name):
         assert rows
         return
     cursor = db.execute(sql)
-    assert shape(df.columns, rows) == shape([c[0] for c in cursor.description], cursor.fetchall())
+    types = {c[0]: str(c[1]) for c in cursor.description}
+    assert column_types(df) == types
+    assert shape(df.columns, rows) == shape(list(types), cursor.fetchall())
 
 
 def test_entry(spark):
