@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from tessera.llm import exact, mixing
+from tessera.llm import exact, jaccard, mixing, quality
 
 QUERIES = {
+    "op1_quality_rules": quality.op1_quality_rules,
     "op2_mix_sources": mixing.op2_mix_sources,
     "op7_exact_dedup": exact.op7_exact_dedup,
+    "op10_ngram_jaccard": jaccard.op10_ngram_jaccard,
 }
 
 ORACLES = {
+    "op1_quality_rules": quality.OP1_SQL,
     "op2_mix_sources": mixing.OP2_SQL,
     "op7_exact_dedup": exact.OP7_SQL,
+    "op10_ngram_jaccard": jaccard.OP10_SQL,
 }
