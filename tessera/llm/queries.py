@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from tessera.llm import exact, jaccard, mixing, quality
+from tessera.llm import exact, jaccard, language, mixing, packing, quality
 
 QUERIES = {
     "op1_quality_rules": quality.op1_quality_rules,
     "op2_mix_sources": mixing.op2_mix_sources,
+    "op3_best_fit_packing": packing.op3_best_fit_packing,
+    "op4_language_id": language.op4_language_id,
     "op7_exact_dedup": exact.op7_exact_dedup,
     "op10_ngram_jaccard": jaccard.op10_ngram_jaccard,
 }
