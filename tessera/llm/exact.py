@@ -57,8 +57,8 @@ def duplicate_groups(docs: DataFrame) -> DataFrame:
     return rows.groupBy("len", "prefix", "full").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size")).where("group_size > 1")
 
 
-def exact_dedup(docs: DataFrame) -> DataFrame:
-    """One row per row of docs: doc_id, keep_id, group_size, kept, text_sha256.
+def exact_dedup(docs: DataFrame, carried: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """One row per row of docs: the carried columns, keep_id, group_size, kept, text_sha256.
 
     Texts are equal when identical after lower-casing A-Z; null counts as empty, so all
     null and empty texts are one group. Of a group the largest doc_id stays. A null
@@ -67,12 +67,12 @@ def exact_dedup(docs: DataFrame) -> DataFrame:
     and all are marked alike. An empty table gives no rows; other columns are ignored.
     """
     groups = keep(duplicate_groups(docs), "groups")
-    rows = pick(docs, "doc_id", "text").select("doc_id", text_hash(F.col("text")).alias("full"))
+    rows = pick(docs, *dict.fromkeys(["doc_id", "text", *carried])).select(*dict.fromkeys(["doc_id", *carried]), text_hash(F.col("text")).alias("full"))
     joined = rows.join(sized(groups.select("full", F.col("keep_id").alias("of"), "group_size")), "full", "left")
     alone = F.col("group_size").isNull()
     keep_id = F.when(alone, F.col("doc_id")).otherwise(F.col("of"))
     return joined.select(
-        "doc_id",
+        *carried,
         keep_id.alias("keep_id"),
         F.coalesce("group_size", F.lit(1)).cast("bigint").alias("group_size"),
         F.col("doc_id").eqNullSafe(keep_id).alias("kept"),

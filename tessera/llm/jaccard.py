@@ -348,7 +348,7 @@ def _buckets(tokens: int) -> int:
 
 
 def similarity_classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """One row per row of docs: doc_id, n_shingles, component_id.
+    """One row per row of docs: doc_id, n_shingles, component_id, h (xxhash64 of the text).
 
     Two documents link when 100 * intersection >= percent * union of their sets of 5-word shingles;
     component_id is the least doc_id reachable. Equal sets are one class from the start, so copies
@@ -411,11 +411,19 @@ def similarity_classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     names = keep(named.select("key", "root").join(least, "root").select("key", "component"), "names")
     found = rows.join(sized(names.withColumnRenamed("key", "of")), F.col("key") == F.col("of"), "left")
     # a class of one row is its own component; a component of null ids alone has no name
-    return found.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("of").isNull(), F.col("doc_id")).otherwise(F.col("component")).alias("component_id"))
+    return found.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("of").isNull(), F.col("doc_id")).otherwise(F.col("component")).alias("component_id"), "h")
+
+
+def one_of_each(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The rows of docs that name their component; of a component without any id, all rows."""
+    found = similarity_classes(docs, percent)
+    gone = found.where(F.col("component_id").isNotNull() & ~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id"), F.col("h").alias("_h")).distinct()
+    gone = keep(gone, "gone")
+    return docs.join(sized(gone), docs["doc_id"].eqNullSafe(gone["_id"]) & (F.xxhash64(docs["text"]) == gone["_h"]), "left_anti")
 
 
 def op10_ngram_jaccard(spark, sf_dir):
-    return similarity_classes(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return similarity_classes(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("h")
 
 
 OP10_SQL = f"""

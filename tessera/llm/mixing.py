@@ -32,9 +32,10 @@ def targets(sources: DataFrame, weights=WEIGHTS, share: float = SHARE, most: flo
     everything = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     whole = F.lit(float(share)) * F.sum("source_size").over(everything)
     rows = rows.withColumn("level", (whole - F.coalesce(F.sum("cap").over(filled), F.lit(0.0))) / (F.sum("w").over(everything) - F.coalesce(F.sum("w").over(filled), F.lit(0.0))))
-    open_ = F.when(F.col("w") * F.col("level") < F.col("cap"), F.col("level"))
-    level = F.min(open_).over(everything)  # of the first source that does not fill up
-    target = F.when(open_.isNotNull() & level.isNotNull(), F.col("w") * level).otherwise(F.col("cap"))
+    # the first source in that order that does not fill up, and with it all after it, stand at its level
+    open_ = F.when(F.col("w") * F.col("level") < F.col("cap"), F.struct((F.col("cap") / F.col("w")).alias("at"), rank.alias("rank"), "level"))
+    level = F.min(open_).over(everything)["level"]
+    target = F.coalesce(F.least(F.col("cap"), F.col("w") * level), F.col("cap"))
     return rows.withColumn("target", target).select("source", "source_size", "target")
 
 
@@ -47,10 +48,10 @@ def apportion(parties: DataFrame, seats: Column, weight: Column, within: list[st
     """
     group = Window.partitionBy(*within)
     rows = parties.withColumn("_w", weight.cast("double")).withColumn("_seats", seats.cast("double"))
-    rows = rows.withColumn("_W", F.sum("_w").over(group)).withColumn("_m", F.count("*").over(group))
+    rows = rows.withColumn("_sum", F.sum("_w").over(group)).withColumn("_m", F.count("*").over(group))
     high, low = F.col("_seats") - F.col("_m") / 2, F.col("_seats") + F.col("_m") / 2
-    sure = F.when((high > 0) & (F.col("_W") > 0), F.floor(F.col("_w") * high / F.nullif("_W", F.lit(0.0)) + 0.5 - 1e-9)).otherwise(F.lit(0))
-    upper = F.when(F.col("_W") > 0, F.floor(F.col("_w") * low / F.nullif("_W", F.lit(0.0)) + 0.5 + 1e-9)).otherwise(F.lit(0))
+    sure = F.when((high > 0) & (F.col("_sum") > 0), F.floor(F.col("_w") * high / F.nullif("_sum", F.lit(0.0)) + 0.5 - 1e-9)).otherwise(F.lit(0))
+    upper = F.when(F.col("_sum") > 0, F.floor(F.col("_w") * low / F.nullif("_sum", F.lit(0.0)) + 0.5 + 1e-9)).otherwise(F.lit(0))
     rows = rows.withColumn("_sure", F.greatest(sure, F.lit(0)).cast("bigint")).withColumn("_upper", F.greatest(upper, F.col("_sure")).cast("bigint"))
     rows = rows.withColumn("_rest", F.col("_seats") - F.sum("_sure").over(group))
     open_ = F.when((F.col("_upper") > F.col("_sure")) & (F.col("_w") > 0), F.sequence(F.col("_sure"), F.col("_upper") - 1))
@@ -67,8 +68,8 @@ def block_words(total: Column, sources: Column, block: int = BLOCK) -> Column:
     return F.greatest(F.least(F.floor(total / (sources * 200)), F.lit(block)), F.lit(1)).cast("bigint")
 
 
-def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MOST, block: int = BLOCK, shard_blocks: int = SHARD_BLOCKS, seed: int = SEED) -> DataFrame:
-    """One row per row of docs: doc_id, size, source_size, target, taken, spans.
+def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MOST, block: int = BLOCK, shard_blocks: int = SHARD_BLOCKS, seed: int = SEED, carried: tuple[str, ...] = ()) -> DataFrame:
+    """One row per row of docs: doc_id, size, source_size, target, taken, spans, and the carried columns.
 
     A source is dealt by a hash of the id into shards of about shard_blocks blocks, so a
     source with a third of all rows is many shards. In a shard, documents stand end to end in
@@ -82,7 +83,8 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MOST
     the last. Rows that repeat an id stand side by side and each is taken for itself. An empty
     table gives no rows. Other columns are ignored. Reruns agree, as all orders are those of hashes.
     """
-    rows = keep(pick(docs, "doc_id", "source", "text").select("doc_id", "source", n_words(F.col("text")).alias("size")), "sizes")
+    whole_rows = pick(docs, *dict.fromkeys(["doc_id", "source", "text", *carried])).withColumn("size", n_words(F.col("text")))
+    rows = keep(whole_rows.select("doc_id", "source", "size"), "sizes")
     whole = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     sources = targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, most)
     sources = sources.withColumn("block", block_words(F.sum("target").over(whole), F.count("*").over(whole), block))
@@ -93,10 +95,13 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MOST
 
     key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))).cast("binary"))
     narrow = sources.select(F.col("source").alias("of"), "sid", "n_shards", "source_size", "target")
-    placed = rows.join(sized(narrow), F.col("source").eqNullSafe(F.col("of"))).withColumn("key", key)
-    placed = placed.withColumn("shard", F.pmod(F.conv(F.substring("key", 1, 8), 16, 10).cast("bigint"), F.col("n_shards")))
+    dealt = whole_rows.select(*dict.fromkeys(["doc_id", "source", "size", *carried])) if carried else rows
+    placed = dealt.join(sized(narrow), F.col("source").eqNullSafe(F.col("of"))).withColumn("key", key)
+    shard = F.pmod(F.conv(F.substring("key", 1, 8), 16, 10).cast("bigint"), F.col("n_shards"))
+    placed = placed.withColumn("shard", shard)
 
-    shards = placed.groupBy("sid", "shard").agg(F.sum("size").alias("shard_size"))
+    sizes = rows.join(sized(narrow), F.col("source").eqNullSafe(F.col("of"))).withColumn("key", key) if carried else placed
+    shards = sizes.withColumn("shard", shard).groupBy("sid", "shard").agg(F.sum("size").alias("shard_size"))
     shards = shards.join(sized(sources.select("sid", "block", F.col("quota").alias("source_quota"))), "sid")
     shards = apportion(shards, F.col("source_quota"), F.col("shard_size"), ["sid"], [F.col("shard")])
     blocks = F.greatest(F.round(F.col("shard_size") / F.col("block")), F.lit(1)).cast("int")
@@ -129,7 +134,7 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MOST
     ).otherwise(F.array().cast("array<struct<from:bigint,to:bigint,copies:int>>"))
     placed = placed.withColumn("spans", spans)
     taken = F.aggregate("spans", F.lit(0).cast("bigint"), lambda total, x: total + (x["to"] - x["from"]) * x["copies"])
-    return placed.select("doc_id", "size", "source_size", "target", taken.alias("taken"), "spans")
+    return placed.select("doc_id", "size", "source_size", "target", taken.alias("taken"), "spans", *[c for c in carried if c != "doc_id"])
 
 
 def op2_mix_sources(spark, sf_dir):
@@ -147,7 +152,7 @@ WITH d AS (
     SELECT *, ({SHARE}::DOUBLE * sum(source_size) OVER () - coalesce(sum(cap) OVER f, 0)) / (sum(w) OVER () - coalesce(sum(w) OVER f, 0)) AS own
     FROM s1 WINDOW f AS (ORDER BY cap / w, sid ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
 ), s3 AS (
-    SELECT *, CASE WHEN w * own < cap THEN w * min(CASE WHEN w * own < cap THEN own END) OVER () ELSE cap END AS target FROM s2
+    SELECT s2.*, coalesce(least(cap, w * (SELECT own FROM s2 WHERE w * own < cap ORDER BY cap / w, sid LIMIT 1)), cap) AS target FROM s2
 ), s4 AS (
     SELECT *, greatest(least(floor(sum(target) OVER () / (count(*) OVER () * 200)), {BLOCK}), 1)::BIGINT AS block FROM s3
 ), s5 AS (
