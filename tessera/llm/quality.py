@@ -46,7 +46,7 @@ def base_counts(docs: DataFrame) -> DataFrame:
 def line_hashes(text: Column) -> Column:
     """A hash of each line of a text in lower case with single blanks; null for lines without a word."""
     plain = F.split(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[\x20\x09\x0B-\x0D]+", " "), "\n")
-    return F.transform(F.transform(plain, F.trim), lambda line: F.when(line != "", F.xxhash64(line)))
+    return F.transform(F.transform(plain, lambda line: F.trim(line)), lambda line: F.when(line != "", F.xxhash64(line)))
 
 
 def frequent_lines(docs: DataFrame, least: int = LINE_DOCS, share: float = LINE_SHARE) -> DataFrame:
