@@ -82,7 +82,7 @@ def _marks(attributes: str) -> list[str]:
 class _Open:
     """An open element: its name, features, and what holds for text in it."""
 
-    __slots__ = ("name", "features", "outside", "labelled", "weight")
+    __slots__ = ("name", "features", "outside", "labelled", "around", "weight")
 
     def __init__(self, name: str, marks: list[str], above: _Open | None, weights: dict[str, float]) -> None:
         self.name = name
@@ -90,7 +90,11 @@ class _Open:
         self.labelled = bool(above and above.labelled) or name in LABELS
         own = name in _OUTSIDE or (name == "header" and not self.labelled) or (name not in (*LABELS, "body", "html") and not _KEYWORDS.isdisjoint(marks))
         self.outside = bool(above and above.outside) or own
-        self.weight = (above.weight if above else 0.0) + sum(weights.get(f, 0.0) for f in self.features)
+        # a feature counts once, however often elements with it are nested
+        around = above.around if above else frozenset()
+        new = [f for f in dict.fromkeys(self.features) if f not in around]
+        self.around = around.union(new) if new else around
+        self.weight = (above.weight if above else 0.0) + sum(weights.get(f, 0.0) for f in new)
 
 
 def walk(page: str, weights: dict[str, float]) -> Iterator[tuple[str, str, _Open | None, list[str]]]:

@@ -25,8 +25,10 @@ SIDE = 2
 WIDTH = 24
 #: Share of the positions of every document that are training targets, as in masked training.
 MASKED = 0.15
+#: Tokens that are scored at a time, and targets of a gradient step.
 BATCH = 2048
-RATE = 0.05
+STEP = 256
+RATE = 0.1
 ROUNDS = 2
 #: Models that are merged by one task of a round.
 MERGE = 64
@@ -64,10 +66,19 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield rows()
 
 
-def frequent_words(docs: DataFrame, n: int = FREQUENT) -> list[str]:
-    """The n most frequent words of all texts, ties by the word; counts are merged within tasks before the shuffle."""
+def frequent_words(docs: DataFrame, n: int = FREQUENT) -> tuple[list[str], np.ndarray]:
+    """The n most frequent words of all texts, ties by the word, and the share of each token in the corpus.
+
+    Counts are merged within tasks before the shuffle. Words by their ending share the rest evenly.
+    """
     counts = pick(docs, "text").mapInArrow(_word_counts, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
-    return [r.word for r in counts.orderBy(F.desc("n"), "word").limit(n).collect()]
+    counts = keep(counts, "words")
+    top = counts.orderBy(F.desc("n"), "word").limit(n).collect()
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    share = np.zeros(TOKENS)
+    share[: len(top)] = [r.n for r in top]
+    share[FREQUENT:BORDER] = max(total - share.sum(), 0) / ENDINGS
+    return [r.word for r in top], (share + 1) / (share + 1).sum()
 
 
 class Words:
@@ -93,12 +104,13 @@ class Words:
 Network = dict[str, np.ndarray]
 
 
-def start(seed: int = 3) -> Network:
+def start(share: np.ndarray | None = None, seed: int = 3) -> Network:
+    """Small random weights; without the sides the network predicts the tokens' shares in the corpus."""
     rng = np.random.default_rng(seed)
     return {
-        "near": rng.normal(0, 0.3, (2 * SIDE, TOKENS, WIDTH)).astype(np.float32),
-        "out": rng.normal(0, 0.3, (WIDTH, TOKENS)).astype(np.float32),
-        "bias": np.zeros(TOKENS, np.float32),
+        "near": rng.normal(0, 0.2, (2 * SIDE, TOKENS, WIDTH)).astype(np.float32),
+        "out": rng.normal(0, 0.1, (WIDTH, TOKENS)).astype(np.float32),
+        "bias": (np.zeros(TOKENS) if share is None else np.log(share)).astype(np.float32),
     }
 
 
@@ -157,8 +169,8 @@ class Trainer:
         if self.held:
             rows = np.concatenate(self.held)
             self.held = []
-            for a in range(0, len(rows), BATCH):
-                part = rows[a : a + BATCH]
+            for a in range(0, len(rows), STEP):
+                part = rows[a : a + STEP]
                 self.step(part.ravel(), np.arange(len(part)) * (2 * SIDE + 1) + SIDE)
 
     def step(self, line: np.ndarray, at: np.ndarray) -> None:
@@ -221,13 +233,13 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 MODEL = "n bigint, net binary"
 
 
-def train(docs: DataFrame, frequent: list[str], rounds: int = ROUNDS, share: float = MASKED) -> np.ndarray:
+def train(docs: DataFrame, frequent: list[str], shares: np.ndarray, rounds: int = ROUNDS, share: float = MASKED) -> np.ndarray:
     """Weights after rounds over disjoint parts of all documents, by a hash of the text.
 
     In a round each task starts from the same weights and trains on its rows; the models are averaged in a tree,
     a task merging MERGE of them, so the driver gets one.
     """
-    values = flat(start())
+    values = flat(start(shares))
     texts = pick(docs, "text").withColumn("part", F.pmod(F.xxhash64("text"), F.lit(rounds)))
     for turn in range(rounds):
         models = keep(texts.where(F.col("part") == turn).select("text").mapInArrow(_train(frequent, values, share), MODEL), "models")
@@ -286,8 +298,8 @@ def pseudo_likelihood(docs: DataFrame, rounds: int = ROUNDS, share: float = MASK
     ids stay null, repeated rows come back alike, an empty table gives no rows; other columns are ignored.
     """
     docs = pick(docs, "doc_id", "text")
-    frequent = frequent_words(docs)
-    model = docs.sparkSession.sparkContext.broadcast((frequent, train(docs, frequent, rounds, share)))
+    frequent, shares = frequent_words(docs)
+    model = docs.sparkSession.sparkContext.broadcast((frequent, train(docs, frequent, shares, rounds, share)))
     kind = docs.schema["doc_id"].dataType.simpleString()
     found = docs.mapInArrow(_score(model, uuid.uuid4().hex, ["doc_id"]), f"doc_id {kind}, n_tokens bigint, log_likelihood double")
     return found.withColumn("mean_log_prob", F.when(F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens")))
