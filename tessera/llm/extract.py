@@ -36,7 +36,9 @@ KEYWORDS = (
     "newsletter subscribe subscription signup paywall sidebar aside widget related recommended recommendations share sharing social menu nav navbar navigation "
     "breadcrumb breadcrumbs pagination pager header masthead topbar footer copyright comment comments commentlist reply replies respond disqus popup modal overlay login search toolbar contentinfo complementary"
 )
-_RAW, _VOID, _INLINE, _OUTSIDE, _KEYWORDS = (frozenset(x.split()) for x in (RAW, VOID, INLINE, OUTSIDE, KEYWORDS))
+#: Elements whose name says nothing; their class, id and role do.
+GENERIC = "html body div section span center table tbody thead tr td"
+_RAW, _VOID, _INLINE, _OUTSIDE, _KEYWORDS, _GENERIC = (frozenset(x.split()) for x in (RAW, VOID, INLINE, OUTSIDE, KEYWORDS, GENERIC))
 _IN_RAW = {name: re.compile(rf"</{name}\s*(?:>|$)|</{name}(?=[\s/])[^>]*>?", re.I) for name in _RAW}
 _MARKUP = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|$)|<(/?)([A-Za-z][^\s/>]*)([^>]*)(?:>|$)", re.S)
 _NAMED = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
@@ -86,7 +88,7 @@ class _Open:
 
     def __init__(self, name: str, marks: list[str], above: _Open | None, weights: dict[str, float]) -> None:
         self.name = name
-        self.features = [name, *[f".{m}" for m in marks]]
+        self.features = [*([] if name in _GENERIC else [name]), *[f".{m}" for m in marks]]
         self.labelled = bool(above and above.labelled) or name in LABELS
         own = name in _OUTSIDE or (name == "header" and not self.labelled) or (name not in (*LABELS, "body", "html") and not _KEYWORDS.isdisjoint(marks))
         self.outside = bool(above and above.outside) or own
@@ -123,7 +125,7 @@ def walk(page: str, weights: dict[str, float]) -> Iterator[tuple[str, str, _Open
             continue
         for k in range(len(stack) - 1, -1, -1):
             if stack[k].name == name:
-                yield kind, name, stack[k], [name]
+                yield kind, name, stack[k], [] if name in _GENERIC else [name]
                 del stack[k:]
                 break
 
