@@ -254,23 +254,27 @@ def lbp(plane: np.ndarray, points: int, radius: float, uniform: bool = False) ->
 
 
 def hog(image: np.ndarray, orientations: int, cell: int, block: int) -> np.ndarray:
-    """Oriented gradients: strongest channel, hard bins, cell means, clipped L2 per block."""
-    unit = to_unit(image)
-    gy, gx = np.zeros_like(unit), np.zeros_like(unit)
-    gy[:, 1:-1] = unit[:, 2:] - unit[:, :-2]
-    gx[:, :, 1:-1] = unit[:, :, 2:] - unit[:, :, :-2]
-    strength = np.hypot(gx, gy)
+    """Oriented gradients: strongest channel, hard bins, cell means, clipped L2 per block.
+
+    Differences of bytes are whole numbers, so equal ones have one angle. An angle counts from
+    the bin edge it is on, also where it is off by a last digit.
+    """
+    levels = image.astype(np.float64)
+    gy, gx = np.zeros_like(levels), np.zeros_like(levels)
+    gy[:, 1:-1] = levels[:, 2:] - levels[:, :-2]
+    gx[:, :, 1:-1] = levels[:, :, 2:] - levels[:, :, :-2]
+    strength = np.hypot(gx, gy) / (255 if image.dtype == np.uint8 else 1)
     best = strength.argmax(axis=-1)[..., None]
     gy, gx, strength = (np.take_along_axis(a, best, -1)[..., 0] for a in (gy, gx, strength))
     angle = np.rad2deg(np.arctan2(gy, gx)) % 180
     n, h, w = strength.shape
     rows, cols = h // cell, w // cell
     inside = (slice(None), slice(rows * cell), slice(cols * cell))
-    bins = np.floor(angle / (180 / orientations)).astype(int)[inside]
-    weight = np.where(bins < orientations, strength[inside], 0)  # an angle rounded up to 180 is in no bin
+    bins = np.floor(angle / (180 / orientations) + 1e-9).astype(int)[inside] % orientations
+    weight = strength[inside]
     image, y, x = (np.arange(m) for m in (n, rows * cell, cols * cell))
     place = (image[:, None, None] * rows + (y // cell)[:, None]) * cols + x // cell
-    slot = place * orientations + np.minimum(bins, orientations - 1)
+    slot = place * orientations + bins
     cells = np.bincount(slot.ravel(), weight.ravel(), n * rows * cols * orientations)
     cells = cells.reshape(n, rows, cols, orientations) / cell**2
     view = np.lib.stride_tricks.sliding_window_view(cells, (block, block), axis=(1, 2))

@@ -34,6 +34,18 @@ def sample_key(identity: Column, seed: int = SEED) -> Column:
     return F.md5(F.concat(identity.cast("string"), F.lit(f"-{seed}")))
 
 
+def _known(key: Column) -> Column:
+    """The key; an error for a null one, which has no place in any order."""
+    return F.when(key.isNotNull(), key).otherwise(F.raise_error(F.lit("a sample needs ids that are not null")).cast("string"))
+
+
+def _single(key: Column, following: Column) -> Column:
+    """The key of the last row taken; an error when the first row not taken has the same."""
+    return F.when(following.isNull() | (following != key), key).otherwise(
+        F.raise_error(F.lit("rows with one id lie on both sides of the cut; a sample needs unique ids")).cast("string")
+    )
+
+
 def _same(by: list[str], left: str, right: str) -> Column:
     same = F.lit(True)
     for name in by:
@@ -52,9 +64,10 @@ def _held_at(rank: str, order: str, by: list[str]) -> tuple[Column, Column]:
 def cut_key(df: DataFrame, key: Column, rows: int | Column) -> str | None:
     """Key of the row at rank `rows` in the whole frame; rows may use the column `total`.
 
-    None when the frame has fewer rows or rows is 0.
+    None when the frame has fewer rows or rows is 0. Null ids, and an id that repeats across the
+    cut, are errors.
     """
-    keys = df.select(key.alias("sample_key"))
+    keys = df.select(_known(key).alias("sample_key"))
     rank = F.lit(rows) if isinstance(rows, int) else rows
     prefix, held = "", BUCKET_ROWS + 1
     while held > BUCKET_ROWS and len(prefix) < 32:
@@ -70,14 +83,18 @@ def cut_key(df: DataFrame, key: Column, rows: int | Column) -> str | None:
         if line is None:
             return None
         prefix, held, rank = line["bucket"], line["held"], F.lit(line["inside"])
-    place = F.row_number().over(Window.partitionBy().orderBy("sample_key"))
-    bucket = keys.where(F.col("sample_key").startswith(prefix)).withColumn("place", place)
-    return bucket.where(F.col("place") == rank).first()["sample_key"]
+    order = Window.partitionBy().orderBy("sample_key")
+    bucket = keys.where(F.col("sample_key").startswith(prefix)).withColumn("place", F.row_number().over(order))
+    bucket = bucket.withColumn("next", F.lead("sample_key").over(order)).where(F.col("place") == rank)
+    return bucket.select(_single(F.col("sample_key"), F.col("next")).alias("sample_key")).first()["sample_key"]
 
 
 def cut_keys(df: DataFrame, key: Column, rows: int, by: list[str]) -> DataFrame:
-    """Per group, the key of the row at rank `rows`; a group with fewer rows gets no line."""
-    keyed = df.select(*by, key.alias("sample_key"))
+    """Per group, the key of the row at rank `rows`; a group with fewer rows gets no line.
+
+    Null ids, and an id that repeats across a cut, are errors.
+    """
+    keyed = df.select(*by, _known(key).alias("sample_key"))
     cuts, digits, largest = None, 0, BUCKET_ROWS + 1
     bucket_of = lambda n: F.substring(F.col("p.sample_key"), 1, n)
     while largest > BUCKET_ROWS and digits < 32:
@@ -95,14 +112,15 @@ def cut_keys(df: DataFrame, key: Column, rows: int, by: list[str]) -> DataFrame:
         largest, groups = cuts.agg(F.coalesce(F.max("held"), F.lit(0)), F.count("*")).first()
         cuts = F.broadcast(cuts) if groups <= BROADCAST_ROWS else cuts
     same = _same(by, "p", "c") & (bucket_of(digits) == F.col("c.bucket"))
-    place = F.row_number().over(Window.partitionBy(*by).orderBy("sample_key"))
+    order = Window.partitionBy(*by).orderBy("sample_key")
     ends = (
         keyed.alias("p")
         .join(cuts.alias("c"), same)
         .select("p.*", "c.inside")
-        .withColumn("place", place)
+        .withColumn("place", F.row_number().over(order))
+        .withColumn("next", F.lead("sample_key").over(order))
         .where(F.col("place") == F.col("inside"))
-        .select(*by, F.col("sample_key").alias("cut_key"))
+        .select(*by, _single(F.col("sample_key"), F.col("next")).alias("cut_key"))
     )
     return F.broadcast(ends) if groups <= BROADCAST_ROWS else ends
 
@@ -144,10 +162,13 @@ def split_exact(df: DataFrame, share: float, key: Column) -> DataFrame:
 
 
 def split_tail(df: DataFrame, share: float, order: str) -> DataFrame:
-    """The same in the order of a unique number: the last rows become 'validation'."""
+    """The same in the order of a unique number: the last rows become 'validation'. Nulls and repeats across the cut are errors."""
     found = values_at(df, order, [], lambda total: [F.floor(total * share)])
     line = found.first()
     train = F.col(order) <= line["value"] if line else F.lit(False)
+    total, known, first = df.agg(F.count("*"), F.count(order), F.count(F.when(train, 1))).first()
+    if known < total or first != int(total * share):
+        raise ValueError(f"a split by {order} needs numbers that are unique and not null")
     return df.withColumn("part", F.when(train, "train").otherwise("validation"))
 
 

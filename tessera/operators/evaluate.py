@@ -8,21 +8,33 @@ from pyspark.sql import functions as F
 from tessera.session import settle, sized
 
 
+# A confusion table has the square of so many cells at most.
+MOST_CLASSES = 10_000
+
+
+def _labels(counted: DataFrame, classes: int) -> list[int]:
+    """0 .. classes - 1 and every other label that occurs."""
+    both = counted.select(F.explode(F.array("actual", "predicted")).alias("label")).where("label IS NOT NULL")
+    others = [r[0] for r in both.where(~F.col("label").between(0, classes - 1)).distinct().limit(MOST_CLASSES + 1).collect()]
+    if classes + len(others) > MOST_CLASSES:
+        raise ValueError(f"more than {MOST_CLASSES} classes")
+    return sorted([*range(classes), *others])
+
+
 def confusion(df: DataFrame, classes: int, by: list[str] | None = None) -> DataFrame:
-    """Dense class x class counts in long form; df has actual and predicted."""
+    """Dense class x class counts in long form; df has actual and predicted.
+
+    The classes are 0 .. classes - 1 and all others that occur. Pairs with a null label keep their own line.
+    """
     by = by or []
-    counted = df.groupBy(*by, "actual", "predicted").agg(F.count("*").alias("n"))
-    cells = F.transform(
-        F.sequence(F.lit(0), F.lit(classes * classes - 1)),
-        lambda i: F.struct(
-            F.floor(i / classes).cast("int").alias("actual"), (i % classes).cast("int").alias("predicted")
-        ),
-    )
-    if by:
-        counted = settle(counted)  # read twice below
+    counted = settle(df.groupBy(*by, "actual", "predicted").agg(F.count("*").alias("n")))  # read twice below
+    labels = F.array(*[F.lit(i).cast("int") for i in _labels(counted, classes)])
     groups = counted.select(*by).distinct() if by else df.sparkSession.range(1)
-    grid = groups.select(*by, F.explode(cells).alias("cell")).select(*by, "cell.*")
-    return grid.join(counted, [*by, "actual", "predicted"], "left").fillna(0, subset=["n"])
+    grid = groups.select(*by, F.explode(labels).alias("actual")).select("*", F.explode(labels).alias("predicted"))
+    cells = grid.join(counted, [*by, "actual", "predicted"], "left").fillna(0, subset=["n"])
+    return cells.select(*by, "actual", "predicted", "n").union(
+        counted.where("actual IS NULL OR predicted IS NULL").select(*by, "actual", "predicted", "n")
+    )
 
 
 def confusion_counts(df: DataFrame, by: list[str] | None = None) -> DataFrame:
@@ -31,7 +43,8 @@ def confusion_counts(df: DataFrame, by: list[str] | None = None) -> DataFrame:
 
 
 def confusion_wide(counts: DataFrame, classes: int) -> DataFrame:
-    return counts.groupBy("actual").pivot("predicted", list(range(classes))).agg(F.sum("n")).fillna(0)
+    """One column per predicted class: 0 .. classes - 1 and all others that occur."""
+    return counts.groupBy("actual").pivot("predicted", _labels(counts, classes)).agg(F.sum("n")).fillna(0)
 
 
 def confusion_percent(counts: DataFrame, by: list[str] | None = None) -> DataFrame:
@@ -66,28 +79,33 @@ def per_class(counts: DataFrame, by: list[str] | None = None) -> DataFrame:
     precision, recall = _ratio(F.col("hits"), F.col("claimed")), _ratio(F.col("hits"), F.col("support"))
     f1 = _ratio(F.col("hits") * 2, F.col("claimed") + F.col("support"))
     return sums.select(
-        *by, "class_id", precision.alias("precision"), recall.alias("recall"), f1.alias("f1"), "support", "hits"
+        *by, "class_id", precision.alias("precision"), recall.alias("recall"), f1.alias("f1"), "support", "claimed", "hits"
     )
 
 
 def weighted_scores(counts: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Precision, recall and F1 averaged with the class supports as weights."""
-    weigh = lambda c: (F.sum(F.col(c) * F.col("support")) / F.sum("support")).alias(c)
+    weigh = lambda c: _ratio(F.sum(F.col(c) * F.col("support")), F.sum("support")).alias(c)
     return (
         per_class(counts, by).groupBy(*(by or [])).agg(weigh("precision"), weigh("recall"), weigh("f1"))
     )
 
 
 def class_report(counts: DataFrame) -> DataFrame:
-    """One line per class, then accuracy, macro and weighted averages (label, precision, recall, f1, support)."""
+    """One line per class, then accuracy, macro and weighted averages (label, precision, recall, f1, support).
+
+    Classes that are neither true nor predicted anywhere have no line and no part in the averages; what
+    divides by nothing is 0. A null class is a class with the label null.
+    """
     names = ("precision", "recall", "f1")
     macro = [F.avg(c).alias(f"macro_{c}") for c in names]
-    weighted = [(F.sum(F.col(c) * F.col("support")) / F.sum("support")).alias(f"weighted_{c}") for c in names]
-    rolled = per_class(counts).rollup("class_id").agg(
+    weighted = [_ratio(F.sum(F.col(c) * F.col("support")), F.sum("support")).alias(f"weighted_{c}") for c in names]
+    rolled = per_class(counts).where("support + claimed > 0").rollup("class_id").agg(
         *macro,
         *weighted,
         F.sum("support").alias("support"),
-        (F.sum("hits") / F.sum("support")).alias("accuracy"),
+        _ratio(F.sum("hits"), F.sum("support")).alias("accuracy"),
+        F.grouping("class_id").alias("total"),
     )
 
     def line(label: Column, kind: str) -> Column:
@@ -101,8 +119,8 @@ def class_report(counts: DataFrame) -> DataFrame:
         line(F.lit("macro avg"), "macro"),
         line(F.lit("weighted avg"), "weighted"),
     )
-    single = F.array(line(F.col("class_id").cast("string"), "macro"))
-    lines = F.when(F.col("class_id").isNull(), summary).otherwise(single)
+    single = F.array(line(F.coalesce(F.col("class_id").cast("string"), F.lit("null")), "macro"))
+    lines = F.when(F.col("total") == 1, summary).otherwise(single)
     return rolled.select(F.explode(lines).alias("line")).select("line.*")
 
 

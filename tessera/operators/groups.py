@@ -27,11 +27,10 @@ def flag_duplicates(df: DataFrame, key: Column, hot_rows: int = HOT_ROWS) -> Dat
 
     Rows of a hot key would all meet in one task of a shuffle join. Such keys are at
     most rows / hot_rows many, so they are broadcast; the other rows are joined by key.
+    Null keys equal each other, as they do in duplicate_rows.
     """
-    keyed = df.withColumn("dup_key", key)
-    repeated = settle(
-        keyed.groupBy("dup_key").agg(F.count("*").alias("n")).where("n > 1 and dup_key is not null")
-    )
+    keyed = df.withColumn("dup_key", F.struct(key.alias("k")))
+    repeated = settle(keyed.groupBy("dup_key").agg(F.count("*").alias("n")).where("n > 1"))
     hot = repeated.where(F.col("n") >= hot_rows).select("dup_key")
     cold = repeated.where(F.col("n") < hot_rows).select("dup_key", F.lit(True).alias("cold"))
     if hot.limit(1).count() == 0:

@@ -11,11 +11,11 @@ from tessera.operators.cuts import medians
 
 
 def class_counts(df: DataFrame, classes: int, by: str = "class_id") -> DataFrame:
-    """Rows per class with empty classes as 0, and the share of the largest class."""
+    """Rows per class and the share of the largest class: 0 .. classes - 1, with 0 for empty ones, and all others that occur."""
     counted = df.groupBy(by).agg(F.count("*").alias("n"))
     every = df.sparkSession.range(classes).select(F.col("id").cast("int").alias(by))
-    filled = every.join(counted, by, "left").select(by, F.coalesce("n", F.lit(0)).alias("n"))
-    return filled.withColumn("ratio", F.col("n") / F.max("n").over(Window.partitionBy()))
+    filled = every.join(counted, by, "full").select(by, F.coalesce("n", F.lit(0)).alias("n"))
+    return filled.withColumn("ratio", F.col("n") / F.nullif(F.max("n").over(Window.partitionBy()), F.lit(0)))
 
 
 def split_distribution(df: DataFrame, splits: list[str], by: str = "class_id") -> DataFrame:

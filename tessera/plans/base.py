@@ -58,8 +58,11 @@ def tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rgb(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parts = [F.slice("plane", 1 + 16 * i, 16).alias(n) for i, n in enumerate("rgb")]
-    return tiles(spark, sf_dir).select("image_id", "class_id", *parts)
+    """Four 4x4 colour images per vector, each from three quarters in turn, so that all values are read."""
+    part = lambda i, n: F.slice("plane", 1 + 16 * (i % 4), 16).alias(n)
+    quarters = [F.struct(F.lit(i).alias("i"), *[part(i + k, n) for k, n in enumerate("rgb")]) for i in range(4)]
+    cut = tiles(spark, sf_dir).select("image_id", "class_id", F.explode(F.array(*quarters)).alias("q"))
+    return cut.select((F.col("image_id") * 4 + F.col("q.i")).alias("image_id"), "class_id", "q.r", "q.g", "q.b")
 
 
 def families(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -127,14 +130,13 @@ PIXELS_SQL = (
 grid AS (SELECT image_id, class_id, pos, CAST(pos // 8 AS INTEGER) AS y, CAST(pos % 8 AS INTEGER) AS x, v FROM px)"""
 )
 
-# 4x4 colour pixels: pos 0..15 with r, g, b side by side
+# 4x4 colour pixels: pos 0..15 with r, g, b side by side; four images per vector
 RGB_SQL = (
     PIXELS_SQL
     + """, rgbpx AS (
-  SELECT r.image_id, r.class_id, r.pos, r.v AS r, g.v AS g, b.v AS b
-  FROM px r JOIN px g ON g.image_id = r.image_id AND g.pos = r.pos + 16
-            JOIN px b ON b.image_id = r.image_id AND b.pos = r.pos + 32
-  WHERE r.pos < 16)"""
+  SELECT r.image_id * 4 + r.pos // 16 AS image_id, r.class_id, CAST(r.pos % 16 AS INTEGER) AS pos, r.v AS r, g.v AS g, b.v AS b
+  FROM px r JOIN px g ON g.image_id = r.image_id AND g.pos = (r.pos + 16) % 64
+            JOIN px b ON b.image_id = r.image_id AND b.pos = (r.pos + 32) % 64)"""
 )
 
 SCORE_SQL = """CASE WHEN sqrt(CAST(n * xx - x * x AS DOUBLE)) * sqrt(CAST(n * yy - y * y AS DOUBLE)) > 0
@@ -175,7 +177,8 @@ fpreds AS (
 )
 
 # Dense 10 x 10 confusion counts from a relation named preds
-CONFUSION_SQL = """grid2 AS (SELECT CAST(i // 10 AS INTEGER) AS actual, CAST(i % 10 AS INTEGER) AS predicted FROM range(100) r(i)),
+CONFUSION_SQL = """found AS (SELECT CAST(i AS INTEGER) AS label FROM range(10) r(i) UNION SELECT actual FROM preds UNION SELECT predicted FROM preds),
+grid2 AS (SELECT a.label AS actual, p.label AS predicted FROM found a CROSS JOIN found p),
 cm AS (
   SELECT g.actual, g.predicted, CAST(count(p.image_id) AS BIGINT) AS n
   FROM grid2 g LEFT JOIN preds p ON p.actual = g.actual AND p.predicted = g.predicted GROUP BY 1, 2)"""
@@ -189,4 +192,4 @@ PER_CLASS_SQL = """per_class AS (
                (SELECT CAST(sum(n) AS DOUBLE) FROM cm WHERE actual = c.class_id) AS support,
                (SELECT CAST(sum(n) AS DOUBLE) FROM cm WHERE predicted = c.class_id) AS claimed,
                (SELECT CAST(sum(n) AS DOUBLE) FROM cm WHERE predicted = c.class_id AND actual = c.class_id) AS hits
-        FROM (SELECT DISTINCT actual AS class_id FROM cm) c))"""
+        FROM (SELECT DISTINCT actual AS class_id FROM cm) c) WHERE support + claimed > 0)"""

@@ -269,12 +269,12 @@ def lbp_uniform(spark, d):
 def _hog_sql(orientations: int, cell: int, block: int) -> str:
     n = SIDE // cell
     per_block = block * block * orientations
-    return f"""WITH {PIXELS_SQL}, u AS (SELECT image_id, y, x, v / 255.0::DOUBLE AS v FROM grid),
+    return f"""WITH {PIXELS_SQL}, u AS (SELECT image_id, y, x, CAST(v AS DOUBLE) AS v FROM grid),
     g AS (SELECT c.image_id, c.y, c.x, CASE WHEN c.x IN (0, 7) THEN 0 ELSE r.v - l.v END AS gx, CASE WHEN c.y IN (0, 7) THEN 0 ELSE b.v - t.v END AS gy
       FROM u c LEFT JOIN u l ON l.image_id = c.image_id AND l.y = c.y AND l.x = c.x - 1 LEFT JOIN u r ON r.image_id = c.image_id AND r.y = c.y AND r.x = c.x + 1
         LEFT JOIN u t ON t.image_id = c.image_id AND t.y = c.y - 1 AND t.x = c.x LEFT JOIN u b ON b.image_id = c.image_id AND b.y = c.y + 1 AND b.x = c.x),
-    o AS (SELECT image_id, y // {cell} AS cy, x // {cell} AS cx, sqrt(gx * gx + gy * gy) AS m, degrees(atan2(gy, gx)) AS a FROM g),
-    q AS (SELECT image_id, cy, cx, m, floor((a - 180 * floor(a / 180)) / (180.0::DOUBLE / {orientations})) AS k FROM o),
+    o AS (SELECT image_id, y // {cell} AS cy, x // {cell} AS cx, sqrt(gx * gx + gy * gy) / 255 AS m, degrees(atan2(gy, gx)) AS a FROM g),
+    q AS (SELECT image_id, cy, cx, m, CAST(floor((a - 180 * floor(a / 180)) / (180.0::DOUBLE / {orientations}) + 1e-9) AS INTEGER) % {orientations} AS k FROM o),
     h AS (SELECT image_id, cy, cx, k, sum(m) / {cell * cell} AS v FROM q GROUP BY ALL),
     slots AS (SELECT b1.i AS bly, b2.i AS blx, c1.i AS oy, c2.i AS ox, k.i AS k FROM range({n - block + 1}) b1(i), range({n - block + 1}) b2(i),
       range({block}) c1(i), range({block}) c2(i), range({orientations}) k(i)),

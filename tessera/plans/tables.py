@@ -180,7 +180,7 @@ def _with_split(spark, d):
 @query(
     "class_counts",
     """WITH c AS (SELECT CAST(i AS INTEGER) AS class_id, CAST(count(vec_id) AS BIGINT) AS n
-                  FROM range(12) r(i) LEFT JOIN embeddings ON label = i GROUP BY 1)
+                  FROM (SELECT i FROM range(12) r(i) UNION SELECT label FROM embeddings) LEFT JOIN embeddings ON label = i GROUP BY 1)
        SELECT class_id, n, round(n / max(n) OVER (), 6) AS ratio FROM c""",
 )
 def class_counts(spark, d):
@@ -280,13 +280,14 @@ def pixel_histogram(spark, d):
 @query(
     "equal_width_histogram",
     """WITH v AS (SELECT CASE WHEN pos < 16 THEN 'red' WHEN pos < 32 THEN 'green' ELSE 'blue' END AS channel, CAST(x AS DOUBLE) AS x
-      FROM (SELECT unnest(embedding) AS x, generate_subscripts(embedding, 1) - 1 AS pos FROM embeddings) WHERE pos < 48),
+      FROM (SELECT unnest(embedding) AS x, generate_subscripts(embedding, 1) - 1 AS pos FROM embeddings)),
     e AS (SELECT channel, min(x) AS lo, max(x) AS hi FROM v GROUP BY channel)
     SELECT channel, CAST(least(255, floor((x - lo) / (hi - lo) * 256)) AS INTEGER) AS bin, CAST(count(*) AS BIGINT) AS n
     FROM v JOIN e USING (channel) GROUP BY 1, 2""",
 )
 def equal_width_histogram(spark, d):
-    parts = {n: F.slice("embedding", 1 + 16 * i, 16) for i, n in enumerate(("red", "green", "blue"))}
+    """The vector in three parts of 16, 16 and 32 values."""
+    parts = {n: F.slice("embedding", 1 + 16 * i, 16 if i < 2 else 32) for i, n in enumerate(("red", "green", "blue"))}
     return stats.equal_width_histogram(images(spark, d), parts)
 
 

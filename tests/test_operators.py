@@ -233,3 +233,52 @@ def test_similarity_of_an_image_with_itself(spark):
     df = spark.createDataFrame([([10, 20, 30, 40, 50, 60, 70, 80, 90],)], "p array<int>")
     found = df.select(planes.similarity_map(F.col("p"), 3, 3, F.col("p"), 3, 3)).first()[0]
     assert found[4] == pytest.approx(9) and max(found) == found[4]
+
+
+def test_reports_with_classes_that_are_missing_null_or_unforeseen(spark):
+    pairs = [(0, 0), (0, 2), (1, 0), (11, 11), (None, 0)]
+    df = spark.createDataFrame(pairs, "actual int, predicted int")
+    cells = {(r.actual, r.predicted): r.n for r in evaluate.confusion(df, 3).collect()}
+    assert len(cells) == 17 and sum(cells.values()) == 5 and cells[11, 11] == 1 and cells[None, 0] == 1
+    assert evaluate.confusion_wide(evaluate.confusion(df, 3), 3).columns == ["actual", "0", "1", "2", "11"]
+    lines = {r.label: r for r in evaluate.class_report(evaluate.confusion(df, 3)).collect()}
+    assert sorted(lines) == sorted(["0", "1", "2", "11", "null", "accuracy", "macro avg", "weighted avg"])
+    assert (lines["2"].support, lines["2"].recall, lines["1"].precision) == (0, 0.0, 0.0)
+    assert lines["accuracy"].precision == 2 / 5
+    assert lines["macro avg"].recall == (0.5 + 0 + 0 + 1 + 0) / 5  # class 9 of a wider grid would not count
+    empty = evaluate.confusion(df.limit(0), 2)
+    assert {r.label: r.precision for r in evaluate.class_report(empty).collect()}.get("accuracy", 0.0) == 0.0
+
+
+def test_class_counts_keep_unforeseen_classes(spark):
+    df = spark.createDataFrame([(0,), (12,), (12,), (None,)], "class_id int")
+    got = {r.class_id: r.n for r in stats.class_counts(df, 3).collect()}
+    assert got == {0: 1, 1: 0, 2: 0, 12: 2, None: 1}
+
+
+def test_samples_refuse_ids_that_decide_nothing(spark):
+    key = cuts.sample_key(F.col("id"))
+    nulls = spark.createDataFrame([(i if i > 2 else None, 0) for i in range(20)], "id int, c int")
+    for n in (2, 5, 10):
+        with pytest.raises(Exception, match="not null"):
+            cuts.balanced_sample(nulls, n, ["c"], key).collect()
+        with pytest.raises(Exception, match="not null"):
+            cuts.sample_rows(nulls, n, key).collect()
+    with pytest.raises(Exception, match="not null"):
+        cuts.split_exact(nulls, 0.8, key).collect()
+    with pytest.raises(ValueError, match="unique"):
+        cuts.split_tail(nulls, 0.8, "id")
+    repeated = spark.createDataFrame([(i // 4, 0) for i in range(20)], "id int, c int")
+    for n in (2, 5):
+        with pytest.raises(Exception, match="unique"):
+            cuts.balanced_sample(repeated, n, ["c"], key).collect()
+    assert cuts.balanced_sample(repeated, 8, ["c"], key).count() == 8
+    with pytest.raises(ValueError, match="unique"):
+        cuts.split_tail(repeated, 0.75, "id")
+
+
+def test_null_keys_are_duplicates_of_each_other(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "a"), (3, None), (4, None), (5, "b")], "id int, k string")
+    assert groups.duplicate_rows(df, F.col("k")).first()[0] == 4
+    for hot in (1, 100):
+        assert sorted(r.id for r in groups.flag_duplicates(df, F.col("k"), hot).where("is_duplicate").collect()) == [1, 2, 3, 4]
