@@ -7,7 +7,8 @@ batches short for big images (spark.sql.execution.arrow.maxRecordsPerBatch).
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -352,83 +353,76 @@ def _as_matrix(planes: pa.Array) -> np.ndarray:
     return planes.flatten().to_numpy(zero_copy_only=False).reshape(len(planes), -1)
 
 
-def _blocks(templates: DataFrame, class_col: str, plane: str, max_bytes: int) -> tuple[DataFrame, int]:
-    """Stored templates and the number of blocks needed to keep each below max_bytes."""
-    stored = settle(templates.select(F.col(class_col).alias("class_id"), F.col(plane).alias("plane")))
-    size = stored.agg(F.sum(F.size("plane").cast("bigint") * 8)).first()[0] or 0
-    return stored, -(-size // max_bytes)
+def _banks(stored: DataFrame, max_bytes: int) -> Iterator[tuple[list, np.ndarray]]:
+    """Templates (class_id, plane) in class order as stacks below max_bytes, cut between classes, one at a time.
 
-
-def plane_scores(
-    df: DataFrame,
-    templates: DataFrame,
-    plane: str = "plane",
-    identity: str = "image_id",
-    max_bytes: int = TEMPLATE_BYTES,
-) -> DataFrame:
-    """Column scores: array of (class_id, score) against every template, in class order.
-
-    A template table below max_bytes is sent to the executors and each batch is one
-    matrix product. A larger one is cut into blocks that meet the images in a join on a
-    block number; the number is salted so that no block draws all images to one task.
+    Templates of one class come in the order of their pixels.
     """
-    stored, blocks = _blocks(templates, "class_id", "plane", max_bytes)
-    if blocks <= 1:
-        rows = stored.orderBy("class_id").collect()
-        classes = np.array([r["class_id"] for r in rows], dtype=np.int32)
-        bank = df.sparkSession.sparkContext.broadcast(np.array([r["plane"] for r in rows]))
+    sizes = stored.groupBy("class_id").agg(F.sum(F.size("plane").cast("bigint") * 8).alias("held")).orderBy("class_id").collect()
+    parts: list[list] = []
+    held = 0
+    for line in sizes:
+        if not parts or held + line["held"] > max_bytes:
+            parts.append([])
+            held = 0
+        parts[-1].append(line["class_id"])
+        held += line["held"]
+    for part in parts:
+        rows = stored.where(F.col("class_id").between(part[0], part[-1])).orderBy("class_id", "plane").collect()
+        yield [r["class_id"] for r in rows], np.array([r["plane"] for r in rows])
+
+
+def _by_bank(df: DataFrame, banks: Iterable, column: Callable, name: str) -> DataFrame:
+    """df with one array column, the parts of every bank end to end.
+
+    The images meet one bank after the other. A bank is broadcast for its pass alone, and what it gave
+    is written before the next, so executors hold one at a time whatever the number of templates.
+    """
+    held = None
+    for classes, stack in banks:
+        if held is not None:
+            df = settle(df)
+            held.unpersist()
+        held = df.sparkSession.sparkContext.broadcast(stack)
+        part = column(classes, held)
+        df = df.withColumn(name, F.concat(name, part)) if name in df.columns else df.withColumn(name, part)
+    if held is None:
+        raise ValueError("no templates")
+    return df
+
+
+def plane_scores(df: DataFrame, templates: DataFrame, plane: str = "plane", max_bytes: int = TEMPLATE_BYTES) -> DataFrame:
+    """Column scores: array of (class_id, score) against every template, in class order; null for a null plane.
+
+    A template table below max_bytes is sent to the executors and each batch is one matrix product.
+    A larger one is cut into banks that the images meet in turn, with the same result.
+    """
+    stored = settle(templates.select("class_id", F.col(plane).alias("plane")))
 
+    def column(classes: list, bank) -> Column:
         @arrow_udf(SCORE_TYPE)
         def score(planes: pa.Array) -> pa.Array:
-            found = np.round(kernels.exact_correlation(_as_matrix(planes), bank.value), 9)
-            cells = pa.StructArray.from_arrays(
-                [pa.array(np.tile(classes, len(found))), pa.array(found.ravel())], ["class_id", "score"]
-            )
-            return pa.ListArray.from_arrays(
-                pa.array(np.arange(len(found) + 1, dtype=np.int32) * len(classes)), cells
-            )
-
-        return df.withColumn("scores", score(plane))
-
-    salts = 64
-    sides = stored.withColumn("block", F.pmod(F.xxhash64("class_id"), F.lit(blocks)))
-    packed = sides.groupBy("block").agg(F.collect_list(F.struct("class_id", "plane")).alias("bank"))
-    spread = packed.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-
-    @arrow_udf(SCORE_TYPE)
-    def score_block(planes: pa.Array, bank: pa.Array) -> pa.Array:
-        out = []
-        for image, row in zip(_as_matrix(planes), bank.to_pylist()):
-            found = kernels.exact_correlation(image[None], np.array([t["plane"] for t in row]))[0]
-            out.append([{"class_id": t["class_id"], "score": float(v)} for t, v in zip(row, np.round(found, 9))])
-        return pa.array(out, pa.list_(pa.struct([("class_id", pa.int32()), ("score", pa.float64())])))
-
-    images = df.select(identity, plane).withColumn("salt", F.pmod(F.xxhash64(identity), F.lit(salts)))
-    images = images.withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint"))))
-    scored = images.join(spread, ["block", "salt"]).select(identity, score_block(plane, "bank").alias("part"))
-    whole = scored.groupBy(identity).agg(F.sort_array(F.flatten(F.collect_list("part"))).alias("scores"))
-    return df.join(whole, identity)
-
-
-def _template_banks(templates: DataFrame, image: str, max_bytes: int) -> list:
-    """Grey templates in class order as broadcast stacks, each below max_bytes."""
+            valid = np.asarray(planes.is_valid().to_pylist(), bool)
+            ends = np.concatenate(([0], np.cumsum(np.where(valid, len(classes), 0)))).astype(np.int32)
+            found = np.round(kernels.exact_correlation(_as_matrix(planes.drop_null()), bank.value), 9) if valid.any() else np.zeros((0, len(classes)))
+            cells = pa.StructArray.from_arrays([pa.array(np.tile(np.array(classes, np.int32), len(found))), pa.array(found.ravel())], ["class_id", "score"])
+            return pa.ListArray.from_arrays(pa.array(ends, mask=np.append(~valid, False)), cells)
+
+        return score(plane)
+
+    return _by_bank(df.drop("scores"), _banks(stored, max_bytes), column, "scores")
+
+
+def _stored_planes(templates: DataFrame, image: str) -> tuple[DataFrame, int, int]:
+    """Grey templates, and the one size they have."""
     greys = templates.select(
         "class_id", grey_plane(image).alias("plane"), F.col(f"{image}.height").alias("h"), F.col(f"{image}.width").alias("w")
     )
     stored = settle(greys)
-    line = stored.agg(F.count("*"), F.max(F.size("plane")), F.countDistinct("h", "w"), F.max("h"), F.max("w")).first()
-    count, pixels, shapes, h, w = line
+    count, shapes, h, w = stored.agg(F.count("*"), F.countDistinct("h", "w"), F.max("h"), F.max("w")).first()
     if shapes != 1:
         raise ValueError(f"templates must be there and have one size: found {count} in {shapes} sizes")
-    per_block = max(1, max_bytes // (pixels * 8))
-    classes = [r[0] for r in stored.select("class_id").orderBy("class_id").collect()]
-    banks = []
-    for start in range(0, count, per_block):
-        chosen = classes[start : start + per_block]
-        rows = stored.where(F.col("class_id").between(chosen[0], chosen[-1])).orderBy("class_id").collect()
-        stack = np.array([r["plane"] for r in rows]).reshape(-1, h, w)
-        banks.append(templates.sparkSession.sparkContext.broadcast(stack))
-    return banks
+    return stored.select("class_id", "plane"), h, w
 
 
 def template_pattern(
@@ -436,29 +430,26 @@ def template_pattern(
 ) -> DataFrame:
     """Column template_pattern: grey correlation at all offsets, template by template in class order.
 
-    templates has class_id and image. A large template table is sent in several blocks,
-    whose patterns are laid end to end.
+    templates has class_id and image. A large template table is taken in banks, whose patterns are
+    laid end to end.
     """
-    parts = [
-        vector_map(lambda s, bank=bank: kernels.template_map(kernels.grey(s), bank.value, margin), "float")(image)
-        for bank in _template_banks(templates, image, max_bytes)
-    ]
-    return df.withColumn("template_pattern", F.concat(*parts) if len(parts) > 1 else parts[0])
+    stored, h, w = _stored_planes(templates, image)
 
+    def column(classes: list, bank) -> Column:
+        return vector_map(lambda s: kernels.template_map(kernels.grey(s), bank.value.reshape(-1, h, w), margin), "float")(image)
 
-def all_features(df: DataFrame, templates: DataFrame, image: str = "image", margin: int = 4) -> DataFrame:
-    """Struct column features: colour histograms, binary patterns, gradients and template match.
+    return _by_bank(df.drop("template_pattern"), _banks(stored, max_bytes), column, "template_pattern")
 
-    One function for all of them, so an image crosses to Python and is unpacked once.
-    """
-    banks = _template_banks(templates, image, TEMPLATE_BYTES)
 
-    def compute(stack: np.ndarray) -> list[tuple]:
-        plane, codes = kernels.grey(stack), _lbp_codes(stack)
-        patterns = [kernels.template_map(plane, bank.value, margin) for bank in banks]
-        columns = [codes, kernels.histograms(codes, 1024), kernels.hog(stack, 9, 6, 2), np.concatenate(patterns, axis=1)]
-        return [(*hsv, *rest) for hsv, rest in zip(_hsv_counts(stack), zip(*columns))]
+def all_features(
+    df: DataFrame, templates: DataFrame, image: str = "image", margin: int = 4, max_bytes: int = TEMPLATE_BYTES
+) -> DataFrame:
+    """Struct column features: colour histograms, binary patterns, gradients and template match.
 
+    One function for all of them, so an image crosses to Python and is unpacked once; template banks
+    beyond the first take a pass each.
+    """
+    stored, h, w = _stored_planes(templates, image)
     kinds = {
         **dict.fromkeys(HSV_TYPE.names, "int"),
         "lbp_image": "smallint",
@@ -466,6 +457,15 @@ def all_features(df: DataFrame, templates: DataFrame, image: str = "image", marg
         "hog_features": "float",
         "template_pattern": "float",
     }
+    banks = _banks(stored, max_bytes)
+    _, stack = next(banks)
+    bank = df.sparkSession.sparkContext.broadcast(stack)
+
+    def compute(stack: np.ndarray) -> list[tuple]:
+        plane, codes = kernels.grey(stack), _lbp_codes(stack)
+        pattern = kernels.template_map(plane, bank.value.reshape(-1, h, w), margin)
+        columns = [codes, kernels.histograms(codes, 1024), kernels.hog(stack, 9, 6, 2), pattern]
+        return [(*hsv, *others) for hsv, others in zip(_hsv_counts(stack), zip(*columns))]
 
     @arrow_udf(_struct(*[(n, T.ArrayType(ELEMENTS[k][0])) for n, k in kinds.items()]))
     def run(images: pa.Array) -> pa.Array:
@@ -473,7 +473,18 @@ def all_features(df: DataFrame, templates: DataFrame, image: str = "image", marg
         fields = [vectors([None if f is None else f[i] for f in found], ELEMENTS[k][1]) for i, k in enumerate(kinds.values())]
         return pa.StructArray.from_arrays(fields, list(kinds))
 
-    return df.withColumn("features", run(image))
+    def column(classes: list, bank) -> Column:
+        return vector_map(lambda s: kernels.template_map(kernels.grey(s), bank.value.reshape(-1, h, w), margin), "float")(image)
+
+    df = df.withColumn("features", run(image))
+    more = next(banks, None)
+    if more is None:
+        return df
+    df = settle(df)
+    bank.unpersist()
+    df = _by_bank(df, chain([more], banks), column, "_more")
+    whole = F.concat("features.template_pattern", "_more")
+    return df.withColumn("features", F.col("features").withField("template_pattern", whole)).drop("_more")
 
 
 def embedder(predict, values: int, batch: int = 100) -> Callable[[Column], Column]:
@@ -488,7 +499,9 @@ def embedder(predict, values: int, batch: int = 100) -> Callable[[Column], Colum
     return lambda image: model(flat(image))
 
 
-def embed_images(df: DataFrame, predict, batch: int = 100, image: str = "image", name: str = "embedding") -> DataFrame:
-    """The frame with an embedding column; the first image tells the size of all."""
-    volume = F.col(f"{image}.height") * F.col(f"{image}.width") * F.col(f"{image}.channels")
-    return df.withColumn(name, embedder(predict, df.select(volume).first()[0], batch)(image))
+def embed_images(df: DataFrame, predict, values: int, batch: int = 100, image: str = "image", name: str = "embedding") -> DataFrame:
+    """The frame with an embedding column; an image that has not `values` numbers is an error."""
+    size = F.col(f"{image}.height") * F.col(f"{image}.width") * F.col(f"{image}.channels")
+    wrong = F.raise_error(F.concat(F.lit(f"an image has not {values} but "), size.cast("string"), F.lit(" values"))).cast(df.schema[image].dataType)
+    checked = F.when(F.col(image).isNull() | (size == values), F.col(image)).otherwise(wrong)
+    return df.withColumn(name, embedder(predict, values, batch)(checked))

@@ -483,4 +483,4 @@ def channel_means():
     SELECT image_id, pos, round(v / 255, 4) AS v FROM m""",
 )
 def embed_images(spark, d):
-    return _long(ops.embed_images(colour_images(spark, d), channel_means), "embedding")
+    return _long(ops.embed_images(colour_images(spark, d), channel_means, 48), "embedding")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -44,10 +46,27 @@ def read_lookup(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(wide).option("header", True).csv(path).select("id", "description")
 
 
-def relative_path(uri: Column, root: str) -> Column:
-    """Part of a file URI after the root folder, with escapes undone."""
-    tail = F.substring_index(uri, root.rstrip("/") + "/", -1)
-    return F.url_decode(F.replace(tail, F.lit("+"), F.lit("%2B")))
+_SCHEME = r"^([A-Za-z][A-Za-z0-9+.-]*):/+"
+
+
+def _qualified(spark: SparkSession, root: str) -> str:
+    """The folder as its file system names it, not escaped."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    full = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    return re.sub(_SCHEME, r"\1:/", full).rstrip("/") + "/"
+
+
+def unescaped(uri: Column) -> Column:
+    """A file URI with its escapes undone; a plus sign is no escape."""
+    return F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))
+
+
+def relative_path(spark: SparkSession, path: Column, root: str) -> Column:
+    """Part of a path (not escaped) after the root folder, which it must begin with."""
+    front = _qualified(spark, root)
+    plain = F.regexp_replace(path, _SCHEME, "$1:/")
+    inside = F.substring(plain, len(front) + 1, 2**31 - 1)
+    return F.when(plain.startswith(front), inside).otherwise(F.raise_error(F.concat(path, F.lit(f" is not below {root}"))).cast("string"))
 
 
 def list_files(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
@@ -59,24 +78,24 @@ def list_files(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
         .load(root)
         .select("path")
     )
-    return listing.select(relative_path(F.col("path"), root).alias("path"))
+    return listing.select(relative_path(spark, F.col("path"), root).alias("path"))  # this listing does not escape
 
 
 def read_images(spark: SparkSession, root: str, folder: str = "", glob: str = "*") -> DataFrame:
     """Decoded images below root/folder as image_id, path, image; paths are relative to root.
 
-    Files that do not decode are dropped.
+    A file that does not decode has a null image.
     """
     from tessera.operators.images import to_rgb
 
     loaded = (
         spark.read.format("image")
-        .option("dropInvalid", True)
+        .option("dropInvalid", False)
         .option("pathGlobFilter", glob)
         .option("recursiveFileLookup", True)
         .load(f"{root.rstrip('/')}/{folder}")
     )
-    path = relative_path(F.col("image.origin"), root)
+    path = relative_path(spark, unescaped(F.col("image.origin")), root)
     pixels = F.struct(
         F.col("image.height"),
         F.col("image.width"),
@@ -84,23 +103,39 @@ def read_images(spark: SparkSession, root: str, folder: str = "", glob: str = "*
         F.lit("bgr").alias("dtype"),
         F.col("image.data"),
     )
-    return loaded.select(image_id(path).alias("image_id"), path.alias("path"), to_rgb(pixels).alias("image"))
+    image = to_rgb(F.when(F.col("image.height") > 0, pixels))  # Python sees every row, so the rest is null before
+    return loaded.select(image_id(path).alias("image_id"), path.alias("path"), image.alias("image"))
+
+
+def rejects(index: DataFrame, images: DataFrame) -> DataFrame:
+    """Index rows without a usable image, with the reason: absent or broken."""
+    seen = images.select("path", F.col("image").isNull().alias("broken"))
+    reason = F.when(F.col("broken").isNull(), "absent").when(F.col("broken"), "broken")
+    return index.join(seen, "path", "left").withColumn("reason", reason).where("reason IS NOT NULL").drop("broken")
 
 
-def with_images(index: DataFrame, images: DataFrame) -> DataFrame:
+def with_images(index: DataFrame, images: DataFrame, listed: DataFrame | None = None) -> DataFrame:
     """Index rows with their image, joined on the relative path.
 
     A small index is broadcast, so the image bytes stay where they were read; otherwise
-    both sides meet by path, which is unique.
+    both sides meet by path, which is unique. A broken image is an error when it is met. With the
+    listing of the files, index rows without a file are an error at once; `rejects` reports both instead.
     """
-    return images.select("path", "image").join(sized(index), "path")
+    if listed is not None:
+        absent = index.select("path").join(listed.select("path"), "path", "left_anti").limit(5).collect()
+        if absent:
+            raise FileNotFoundError(f"no image for {[r['path'] for r in absent]}")
+    broken = F.raise_error(F.concat(F.col("path"), F.lit(" is not an image that can be read"))).cast(images.schema["image"].dataType)
+    sound = images.select("path", F.when(F.col("image").isNotNull(), F.col("image")).otherwise(broken).alias("image"))
+    return sound.join(sized(index), "path")
 
 
 def labelled_images(index: DataFrame, images: DataFrame, side: int, labelled: bool = True) -> DataFrame:
-    """(image, class_id) or (image, image_id) pairs; every image must be side x side."""
+    """(image, class_id) or (image, image_id) pairs; an image that is not side x side is an error."""
     joined = with_images(index, images)
-    sized = joined.where((F.col("image.height") == side) & (F.col("image.width") == side))
-    return sized.select("image", "class_id" if labelled else "image_id")
+    fits = (F.col("image.height") == side) & (F.col("image.width") == side)
+    wrong = F.raise_error(F.concat(F.col("path"), F.lit(f" is not {side} x {side}"))).cast("boolean")
+    return joined.where(F.when(fits, True).otherwise(wrong)).select("image", "class_id" if labelled else "image_id")
 
 
 def read_matrix(spark: SparkSession, path: str) -> DataFrame:
@@ -119,11 +154,16 @@ def read_table(spark: SparkSession, path: str, names: list[str] | None = None) -
 def read_run_log(spark: SparkSession, path: str) -> DataFrame:
     """Training run log: bracketed lists, percentages and padded seconds.
 
-    The sheet repeats its runs in other orders below the first block; every run is kept once.
+    A sheet repeats its runs in other orders further down: of each file the first block of runs is
+    read, up to the first line that is none. Runs that are equal are all kept.
     """
     raw_schema = T.StructType([T.StructField(n, T.StringType()) for n in schema.RUN_LOG.names])
     raw = spark.read.schema(raw_schema).option("header", True).option("mode", "PERMISSIVE").csv(path)
-    kept = raw.where(F.trim("epochs").rlike("^[0-9]+$") & F.trim("kernel_size").startswith("["))
+    run = F.coalesce(F.trim("epochs").rlike("^[0-9]+$") & F.trim("kernel_size").startswith("["), F.lit(False))
+    lines = raw.select("*", F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("line"), run.alias("run"))
+    starts = lines.where("run").groupBy("file").agg(F.min("line").alias("first"))
+    ends = lines.where("NOT run").join(starts, "file").where("line > first").groupBy("file").agg(F.min("line").alias("end"))
+    kept = lines.where("run").join(ends, "file", "left").where("end IS NULL OR line < end")
     numbers = lambda c: F.transform(F.split(F.regexp_replace(c, r"[\[\] ]", ""), ","), lambda x: x.cast("int"))
     share = lambda c: F.round(F.regexp_replace(c, "[% ]", "").cast("double") / 100, 6)
     runs = kept.select(
@@ -134,4 +174,4 @@ def read_run_log(spark: SparkSession, path: str) -> DataFrame:
         *[share(c).alias(c) for c in ("train_accuracy", "val_accuracy", "test_accuracy")],
         F.trim("train_time").cast("double").alias("train_time"),
     )
-    return runs.distinct()
+    return runs

@@ -89,14 +89,20 @@ def write_matrix(df: DataFrame, vector: str, path: str, force: bool = False) ->
 
 
 def load_or_compute(spark: SparkSession, path: str, compute: Callable[[], DataFrame]) -> DataFrame:
-    """The stored table, computed and stored first when it is not there."""
-    if not exists(spark, path):
-        write_table(compute(), path)
+    """The stored table, computed and stored first when it is not there or was not written to the end."""
+    if not exists(spark, f"{path}/_SUCCESS"):
+        write_table(compute(), path, force=True)
     return spark.read.parquet(path)
 
 
 def load_or_fit(spark: SparkSession, path: str, fit: Callable, load: Callable):
-    """The stored model, fitted and stored first when it is not there."""
+    """The stored model, fitted and stored first when it is not there.
+
+    It is saved beside its place and moved there when complete.
+    """
     if not exists(spark, path):
-        fit().write().overwrite().save(path)
+        fit().write().overwrite().save(f"{path}.staging")
+        fs, fresh = _path(spark, f"{path}.staging")
+        if not fs.rename(fresh, _path(spark, path)[1]):
+            raise OSError(f"cannot move the new model to {path}")
     return load(path)

@@ -132,7 +132,8 @@ def test_labelled_images(spark, dataset):
     loaded = loaded.withColumn("image", ops.centre_crop(20, 20)("image"))
     assert readers.labelled_images(index, loaded, 20).columns == ["image", "class_id"]
     assert readers.labelled_images(index, loaded, 20, labelled=False).count() == 12
-    assert readers.labelled_images(index, loaded, 21).count() == 0
+    with pytest.raises(Exception, match="is not 21 x 21"):
+        readers.labelled_images(index, loaded, 21).count()
 
 
 def tile_images(spark, n=6, side=8):
@@ -274,7 +275,7 @@ def test_embeddings(spark):
     def load():
         return lambda flat: flat.reshape(len(flat), -1, 3).mean(axis=1)
 
-    rows = ops.embed_images(tile_images(spark), load, batch=4).collect()
+    rows = ops.embed_images(tile_images(spark), load, 192, batch=4).collect()
     for row in rows:
         assert row["embedding"] == pytest.approx([np.mean(row[c]) / 255 for c in "rgb"], abs=1e-5)
     again = tile_images(spark).select("r", ops.embedder(load, 192)("image").alias("embedding")).first()
@@ -367,3 +368,62 @@ def test_bucketed_tables_join_without_a_shuffle(spark):
     finally:
         for name in names:
             spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_no_image_is_lost_on_reading(spark, tmp_path):
+    root = tmp_path / "a root" / "root"
+    (root / "root").mkdir(parents=True)
+    names = ["plain.png", "b%41.png", "c d.png", "e+f.png", "root/again.png"]
+    for i, name in enumerate(names):
+        write_png(root / name, [[(10 * i, 0, 0)] * 4] * 4)
+    (root / "broken.png").write_bytes(b"not a picture")
+    index = spark.createDataFrame([(n, i) for i, n in enumerate([*names, "broken.png", "absent.png"])], "path string, class_id int")
+    listed = readers.list_files(spark, str(root))
+    assert sorted(r["path"] for r in listed.collect()) == sorted([*names, "broken.png"])
+    loaded = readers.read_images(spark, str(root))
+    assert sorted(r["path"] for r in loaded.collect()) == sorted([*names, "broken.png"])
+    assert {r["path"]: r["reason"] for r in readers.rejects(index, loaded).collect()} == {"broken.png": "broken", "absent.png": "absent"}
+    good = index.where("path NOT IN ('broken.png', 'absent.png')")
+    assert sorted(r["path"] for r in readers.with_images(good, loaded, listed).collect()) == sorted(names)
+    with pytest.raises(FileNotFoundError, match="absent.png"):
+        readers.with_images(index, loaded, listed)
+    with pytest.raises(Exception, match="broken.png is not an image"):
+        readers.with_images(index.where("path <> 'absent.png'"), loaded, listed).collect()
+
+
+def test_half_written_tables_are_computed_again(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(5).write.parquet(path)
+    (tmp_path / "t" / "_SUCCESS").unlink()
+    assert writers.load_or_compute(spark, path, lambda: spark.range(50)).count() == 50
+
+
+def test_equal_runs_are_all_kept(spark, tmp_path):
+    header = "Model,Epochs,Filter_Size,Kernel_Size,Dense_Layer,Dropout,Train_Accuracy,Val_Accuracy,Test_Accuracy,Train_Time"
+    line = 'Model HOG,5,"[6, 16]","[21, 5]","[120, 84]",0.5,99.0%,94.3%,94.9%, 53.88 '
+    (tmp_path / "log.csv").write_text("\n".join([header, line, line, ",,,,,,,,,", header, line]) + "\n")
+    assert readers.read_run_log(spark, str(tmp_path / "log.csv")).count() == 2
+
+
+def test_banks_of_templates_change_nothing(spark):
+    rng = np.random.default_rng(8)
+    plane = lambda: [int(v) for v in rng.integers(0, 256, 16)]
+    templates = spark.createDataFrame([(c, plane()) for c in (2, 0, 1, 0, 2, 1)], "class_id int, plane array<int>")
+    rows = [(i, plane()) for i in (1, 1, 2)] + [(3, None)]
+    df = spark.createDataFrame(rows, "image_id int, plane array<int>")
+    whole = [tuple(r) for r in ops.plane_scores(df, templates).collect()]
+    for size in (1, 300, 600):
+        assert [tuple(r) for r in ops.plane_scores(df, templates, max_bytes=size).collect()] == whole
+    assert [len(r[2]) if r[2] else None for r in whole] == [6, 6, 6, None]
+    assert [x["class_id"] for x in whole[0][2]] == [0, 0, 1, 1, 2, 2]
+    images = lambda df: df.withColumn("image", ops.from_planes(F.col("plane"), F.col("plane"), F.col("plane"), 4, 4)).drop("plane")
+    pictures, shown = images(df.where("plane IS NOT NULL")), images(templates)
+    pattern = [r["template_pattern"] for r in ops.template_pattern(pictures, shown, margin=1).collect()]
+    assert all(len(p) == 54 for p in pattern)
+    for size in (1, 300, 600):
+        assert [r["template_pattern"] for r in ops.template_pattern(pictures, shown, margin=1, max_bytes=size).collect()] == pattern
+
+
+def test_an_image_of_another_size_is_not_embedded(spark):
+    with pytest.raises(Exception, match="has not 100 but 192 values"):
+        ops.embed_images(tile_images(spark), lambda: lambda flat: flat, 100).collect()
