@@ -397,7 +397,7 @@ def plane_scores(df: DataFrame, templates: DataFrame, plane: str = "plane", max_
     A template table below max_bytes is sent to the executors and each batch is one matrix product.
     A larger one is cut into banks that the images meet in turn, with the same result.
     """
-    stored = settle(templates.select("class_id", F.col(plane).alias("plane")))
+    stored = settle(templates.select("class_id", "plane"))
 
     def column(classes: list, bank) -> Column:
         @arrow_udf(SCORE_TYPE)
