@@ -143,26 +143,31 @@ def stretch(plane: Column, top: int = 255) -> Column:
 
 
 def equalise(plane: Column) -> Column:
-    """Map each grey level through the plane's own cumulative distribution."""
+    """Map each grey level through the plane's own cumulative distribution.
+
+    A level's new value is found once; pixels look it up, so the work is that of pixels times levels.
+    """
 
     def remap(s: Column) -> Column:
         # rank of x = pixels at or below x, read off the sorted plane from its far end
         at_or_below = lambda x: s["n"] - F.array_position(s["down"], x) + 1
         scale = (F.lit(255).cast("float") / F.nullif(s["n"] - s["first"], F.lit(0)).cast("float")).cast("float")
-        return F.transform(
-            s["p"],
+        levels = F.transform(
+            s["levels"],
             lambda x: F.when(s["n"] == s["first"], x).otherwise(
                 F.rint(
                     ((at_or_below(x) - s["first"]).cast("float") * scale).cast("float").cast("double")
                 ).cast("int")
             ),
         )
+        return let(F.map_from_arrays(s["levels"], levels), lambda m: F.transform(s["p"], lambda x: m[x]))
 
     low = F.array_min(plane)
     return let(
         F.struct(
             plane.alias("p"),
             F.sort_array(plane, asc=False).alias("down"),
+            F.array_distinct(plane).alias("levels"),
             F.size(plane).cast("bigint").alias("n"),
             F.size(F.filter(plane, lambda x: x == low)).cast("bigint").alias("first"),
         ),

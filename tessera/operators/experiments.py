@@ -10,7 +10,7 @@ from itertools import combinations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.operators import evaluate
+from tessera.operators import evaluate, models
 from tessera.operators.columns import assemble, union_all
 from tessera.schema import FEATURE_ORDER, RESULTS
 
@@ -111,6 +111,21 @@ def ablation(
     return spark.createDataFrame(lines, RESULTS)
 
 
+def ablation_counts(
+    train: DataFrame, test: DataFrame, width: int, parts: dict[str, tuple[int, int]], vector: str = "vector"
+) -> DataFrame:
+    """Confusion counts (subset, actual, predicted, n) of the nearest class mean for every subset of the parts.
+
+    From these follow accuracy, reports and weighted scores of each subset. One job serves all subsets.
+    """
+    names = list(parts)
+    subsets = [list(c) for size in range(1, len(names) + 1) for c in combinations(range(len(names)), size)]
+    predict = models.subset_means(train, width, list(parts.values()), subsets, vector)
+    labels = F.array(*[F.lit("+".join(names[i] for i in s)) for s in subsets])
+    found = predict(test).select(F.col("class_id").alias("actual"), F.explode(F.arrays_zip(labels.alias("subset"), F.col("predictions").alias("predicted"))).alias("p"))
+    return evaluate.confusion_counts(found.select("p.subset", "actual", "p.predicted"), ["subset"])
+
+
 def collect_runs(frames: list[DataFrame]) -> DataFrame:
     """Result tables of several experiments as one."""
     return union_all(frames)

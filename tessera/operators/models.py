@@ -136,7 +136,8 @@ def svc_one_vs_one(penalty: float = SVC_PENALTY, max_iter: int = 50, threads: in
     def vote(far: np.ndarray, classes: np.ndarray) -> np.ndarray:
         ends = np.array(list(combinations(classes, 2)))
         winner = np.where(far > 0, ends[:, 1], ends[:, 0])
-        votes = (winner[:, :, None] == classes).sum(axis=1)
+        places = np.searchsorted(classes, winner) + np.arange(len(far))[:, None] * len(classes)
+        votes = np.bincount(places.ravel(), minlength=far.shape[0] * len(classes)).reshape(len(far), -1)
         return classes[votes.argmax(axis=1)]
 
     return _svc(problems, vote, penalty, max_iter, threads)
@@ -146,6 +147,47 @@ def _as_label(rows: DataFrame, positive: int) -> DataFrame:
     return rows.withColumn("label", (F.col("label") == positive).cast("double"))
 
 
+def _class_sums(train: DataFrame, vector: str, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Classes, their rows and their sums of whole numbers by position; one line a class comes to the driver."""
+    lines = train.groupBy("class_id").agg(F.count("*").alias("n"), F.array(*[F.sum(F.get(vector, F.lit(i)).cast("bigint")) for i in range(width)]).alias("sums"))
+    rows = lines.where("class_id IS NOT NULL").orderBy("class_id").collect()
+    return tuple(np.array([r[c] for r in rows], np.int64) for c in ("class_id", "n", "sums"))
+
+
+def subset_means(train: DataFrame, width: int, parts: list[tuple[int, int]], subsets: list[list[int]], vector: str = "vector") -> Callable[[DataFrame], DataFrame]:
+    """Fits the nearest class mean; returns a function that adds `predictions`, one class for each subset of the parts.
+
+    Vectors hold whole numbers, so the distances, which add up over the parts (from, to), are exact: one pass
+    over the training rows and one over the others serve all subsets. Equal distances go to the lower class.
+    """
+    classes, n, sums = _class_sums(train, vector, width)
+    member = np.array([[p in chosen for p in range(len(parts))] for chosen in subsets], np.int64)
+    bank = train.sparkSession.sparkContext.broadcast((classes, n, sums))
+
+    @arrow_udf(T.ArrayType(T.IntegerType()))
+    def predict(vectors: pa.Array) -> pa.Array:
+        classes, n, sums = bank.value
+        flat = vectors.flatten().to_numpy(zero_copy_only=False).reshape(len(vectors), -1).astype(np.int64)
+        out = np.empty((len(flat), len(member)), np.int32)
+        for a in range(0, len(flat), 256):
+            gaps = (n[None, :, None] * flat[a : a + 256, None, :] - sums[None]) ** 2
+            far = np.stack([gaps[:, :, x:y].sum(axis=2) for x, y in parts], axis=2) @ member.T
+            out[a : a + 256] = classes[(far / (n * n)[None, :, None].astype(float)).argmin(axis=1)]
+        return pa.array(list(out), pa.list_(pa.int32()))
+
+    return lambda df: df.withColumn("predictions", predict(vector))
+
+
+def nearest_mean(width: int, parts: list[tuple[int, int]], vector: str = "vector") -> Callable[[DataFrame], Predict]:
+    """The nearest class mean over some parts of the vector, as a fit for grid_search."""
+
+    def fit(train: DataFrame) -> Predict:
+        predict = subset_means(train, width, parts, [list(range(len(parts)))], vector)
+        return lambda df: predict(df).withColumn("prediction", F.get("predictions", F.lit(0))).drop("predictions")
+
+    return fit
+
+
 def grid_search(
     train: DataFrame, candidates: dict[str, Callable[[DataFrame], Predict]], fold: str, folds: int, threads: int = 4
 ) -> DataFrame:
@@ -192,19 +234,17 @@ def explained_variance(df: DataFrame, vector: str = "vector") -> DataFrame:
     return df.sparkSession.createDataFrame(lines, "component int, variance double, cumulative double")
 
 
-def components(df: DataFrame, vector: str = "vector", keep: float = 0.95, limit: int | None = None) -> DataFrame:
+def components(df: DataFrame, vector: str = "vector", keep: float = 0.95) -> DataFrame:
     """Centred rows on the first components that hold more than `keep` of the variance.
 
     The covariance (width x width) is summed over the cluster and solved on the driver, so
-    fit one feature family at a time when the whole row is very wide. limit bounds the
-    number of components that are computed.
+    fit one feature family at a time when the whole row is very wide.
     """
     ready = df.withColumn("features", array_to_vector(F.col(vector).cast("array<double>")))
     width = df.select(F.size(vector)).first()[0]
-    k = min(width, limit or width)
-    model = PCA(k=k, inputCol="features", outputCol="projected").fit(ready)
+    model = PCA(k=width, inputCol="features", outputCol="projected").fit(ready)
     running = np.cumsum(model.explainedVariance.toArray())
-    chosen = min(k, int(np.searchsorted(running, keep, side="right")) + 1)
+    chosen = min(width, int(np.searchsorted(running, keep, side="right")) + 1)
     mean = stats.vector_moments(df, vector).select("moments.mean").first()[0]
     shift = np.array(mean) @ model.pc.toArray()  # transform does not centre
     moved = F.zip_with(

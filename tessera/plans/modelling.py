@@ -1,11 +1,13 @@
-"""Queries that fit models; they have no SQL twin."""
+"""Queries that fit models. Those with a rule that SQL can repeat have a twin."""
 
 from __future__ import annotations
 
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from tessera.operators import cuts, experiments, models
-from tessera.plans.base import CLASSES, FAMILIES, families, images, key, query
+from tessera.operators import images as image_ops
+from tessera.plans.base import CLASSES, FAMILIES, KEY_SQL, PIXELS_SQL, PREDICTIONS_SQL, families, images, key, query, templates, tiles
 from tessera.session import settle
 
 
@@ -24,13 +26,13 @@ def _predicted(spark, d, fit):
 
 @query("logistic")
 def logistic(spark, d):
-    return _predicted(spark, d, models.logistic(max_iter=20))
+    return _predicted(spark, d, models.logistic(max_iter=100))
 
 
 @query("model_loss")
 def model_loss(spark, d):
     train, test = _split(spark, d)
-    return models.model_loss(models.logistic(max_iter=20)(train)(test))
+    return models.model_loss(models.logistic(max_iter=100)(train)(test))
 
 
 @query("linear_svc_ovr")
@@ -45,7 +47,7 @@ def linear_svc_ovo(spark, d):
 
 @query("perceptron")
 def perceptron(spark, d):
-    return _predicted(spark, d, models.perceptron([32], CLASSES, max_iter=10))
+    return _predicted(spark, d, models.perceptron([32], CLASSES, max_iter=100))
 
 
 @query("grid_cv")
@@ -74,3 +76,65 @@ def ablation(spark, d):
     rows = settle(families(spark, d).withColumn("split", cuts.split_hashed(key(), 0.8)))
     train, test = (rows.where(F.col("split") == part) for part in ("train", "test"))
     return experiments.ablation(train, test, FAMILIES, models.logistic(max_iter=5))
+
+
+#: Eight families of eight pixel levels each.
+PARTS = {f"f{i}": (8 * i, 8 * i + 8) for i in range(8)}
+
+SPLIT_SQL = f"""{PIXELS_SQL}, split AS (
+  SELECT image_id, class_id, pos, v, {KEY_SQL} AS k FROM px)"""
+
+
+@query(
+    "ablation_counts",
+    f"""WITH {SPLIT_SQL}, train AS (SELECT * FROM split WHERE substr(k, 1, 8) < '{int(0.8 * 2**32):08x}'), test AS (SELECT * FROM split WHERE substr(k, 1, 8) >= '{int(0.8 * 2**32):08x}'),
+    m AS (SELECT class_id AS c, pos, count(*) AS n, sum(v) AS s FROM train GROUP BY 1, 2),
+    fam AS (SELECT image_id, class_id AS actual, c, test.pos // 8 AS f, max(n) AS n, sum((n * v - s) * (n * v - s)) AS far FROM test JOIN m USING (pos) GROUP BY ALL),
+    sub AS (SELECT b, string_agg('f' || f, '+' ORDER BY f) AS subset, list(f) AS fs FROM (SELECT b, f FROM range(1, 256) r(b), range(8) q(f) WHERE (b >> f) & 1 = 1) GROUP BY b),
+    d AS (SELECT subset, image_id, actual, c, CAST(sum(far) AS DOUBLE) / CAST(max(n) * max(n) AS DOUBLE) AS far FROM fam JOIN (SELECT subset, unnest(fs) AS f FROM sub) USING (f) GROUP BY 1, 2, 3, 4),
+    p AS (SELECT subset, actual, c AS predicted FROM d QUALIFY row_number() OVER (PARTITION BY subset, image_id ORDER BY far, c) = 1)
+    SELECT subset, actual, predicted, CAST(count(*) AS BIGINT) AS n FROM p GROUP BY ALL""",
+)
+def ablation_counts(spark, d):
+    """Confusion counts of all 255 subsets of eight families."""
+    rows = tiles(spark, d).withColumn("split", cuts.split_hashed(key(), 0.8)).withColumnRenamed("plane", "vector")
+    train, test = (rows.where(F.col("split") == part) for part in ("train", "test"))
+    return experiments.ablation_counts(train, test, 64, PARTS)
+
+
+@query(
+    "grid_cv_means",
+    f"""WITH {PIXELS_SQL}, rows AS (SELECT *, CAST(CAST('0x' || substr({KEY_SQL}, 1, 8) AS BIGINT) % 5 AS INTEGER) AS fold FROM px),
+    cand(candidate, upto) AS (VALUES ('16', 16), ('32', 32), ('64', 64)), folds AS (SELECT CAST(i AS INTEGER) AS fold FROM range(5) r(i)),
+    m AS (SELECT folds.fold, class_id AS c, pos, count(*) AS n, sum(v) AS s FROM folds JOIN rows ON rows.fold <> folds.fold GROUP BY 1, 2, 3),
+    d AS (SELECT candidate, rows.fold, image_id, class_id AS actual, c, CAST(sum((n * v - s) * (n * v - s)) AS DOUBLE) / CAST(max(n) * max(n) AS DOUBLE) AS far
+      FROM cand JOIN rows ON pos < upto JOIN m ON m.fold = rows.fold AND m.pos = rows.pos GROUP BY ALL),
+    p AS (SELECT candidate, fold, actual, c AS predicted FROM d QUALIFY row_number() OVER (PARTITION BY candidate, fold, image_id ORDER BY far, c) = 1),
+    a AS (SELECT candidate, fold, CAST(count(*) FILTER (actual = predicted) AS DOUBLE) / count(*) AS accuracy FROM p GROUP BY 1, 2)
+    SELECT candidate, fold, accuracy, round(avg(accuracy) OVER (PARTITION BY candidate), 9) AS mean_accuracy FROM a""",
+)
+def grid_cv_means(spark, d):
+    """Five folds for the nearest class mean over the first 16, 32 and all 64 values."""
+    folded = tiles(spark, d).withColumn("fold", cuts.fold_of(key(), 5)).withColumnRenamed("plane", "vector")
+    candidates = {str(n): models.nearest_mean(64, [(0, n)]) for n in (16, 32, 64)}
+    return models.grid_search(folded, candidates, "fold", 5).withColumn("mean_accuracy", F.round("mean_accuracy", 9))
+
+
+@query(
+    "template_loss",
+    f"""WITH {PREDICTIONS_SQL}, e AS (SELECT image_id, actual, template_class, exp(score) / sum(exp(score)) OVER (PARTITION BY image_id) AS p FROM scores),
+    l AS (SELECT avg(-ln(greatest(p, 1e-7))) AS loss FROM e WHERE actual = template_class),
+    a AS (SELECT CAST(count(*) FILTER (actual = predicted) AS DOUBLE) / count(*) AS accuracy FROM preds)
+    SELECT round(loss, 9) AS loss, round(accuracy, 9) AS accuracy, round(sqrt(loss), 9) AS root_loss, round(sqrt(accuracy), 9) AS root_accuracy FROM l, a""",
+)
+def template_loss(spark, d):
+    """Loss of the softmax of the template scores."""
+    scored = image_ops.plane_scores(tiles(spark, d), templates(spark, d))
+    odds = F.transform("scores", lambda s: F.exp(s["score"]))
+    total = F.aggregate("odds", F.lit(0.0), lambda t, x: t + x)
+    best = F.array_position(F.transform("scores", lambda s: s["score"]), F.array_max(F.transform("scores", lambda s: s["score"])))
+    classes = F.transform("scores", lambda s: s["class_id"])
+    given = scored.withColumn("odds", odds).withColumn("probability", F.transform("odds", lambda x: x / total))
+    given = given.withColumn("prediction", F.get(classes, (best - 1).cast("int")))
+    ready = given.withColumn("probability", array_to_vector("probability"))
+    return models.model_loss(ready).select(*[F.round(c, 9).alias(c) for c in ("loss", "accuracy", "root_loss", "root_accuracy")])

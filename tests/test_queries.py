@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from tessera.plans import registry
 from check import TABLES, column_types, shape
 
 SF = "/root/testdata/sf0.001"
@@ -17,7 +18,7 @@ def db():
     return con
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(registry.QUERIES))
 def test_query(spark, db, name):
     df = entry.queries()[name](spark, SF)
     rows = df.collect()
