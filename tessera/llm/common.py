@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,14 +50,28 @@ def n_words(text: Column) -> Column:
     return F.size(words(text)).cast("bigint")
 
 
-def chunks(texts: list, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
-    """Cuts a list of texts into slices of about so many characters, one text at least."""
+def chunks(batch: pa.RecordBatch, column: str = "text", limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
+    """Cuts a batch into slices with about so many bytes of text, one row at least, so that Python holds few texts at a time."""
     start = held = 0
-    for i, text in enumerate(texts):
-        size = len(text) if text else 0
+    for i, size in enumerate(pc.binary_length(batch.column(column)).to_pylist()):
+        size = size or 0
         if held and held + size > limit:
-            yield start, i
+            yield batch.slice(start, i - start)
             start, held = i, 0
         held += size
-    if start < len(texts):
-        yield start, len(texts)
+    if start < batch.num_rows:
+        yield batch.slice(start)
+
+
+_HELD: dict[str, object] = {}
+
+
+def held(name: str | None, make: Callable[[], object] = lambda: None):
+    """What this Python worker keeps between tasks under a name; whatever it kept under others is let go.
+
+    Workers outlive tasks and serve one operator after another; their memory is that of one.
+    """
+    if name not in _HELD:
+        _HELD.clear()
+        _HELD[name] = make()
+    return _HELD[name]

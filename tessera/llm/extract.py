@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import pick
+from tessera.llm.common import chunks, held, pick
 
 #: Labelled pages that the weights are taken from, those of the least hashes.
 FIT_PAGES = 2000
@@ -221,8 +221,9 @@ def fit_weights(pages: DataFrame, fit_pages: int = FIT_PAGES) -> dict[str, float
 
 def _extract(weights):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held(None)
         table = weights.value
-        for batch in batches:
+        for batch in (part for whole in batches for part in chunks(whole, "html")):
             texts = [main_text(page or "", table) for page in batch.column("html").to_pylist()]
             yield pa.record_batch({"page_id": batch.column("page_id"), "url": batch.column("url"), "text": pa.array(texts, pa.string()), "n_chars": pa.array([len(t) for t in texts], pa.int64())})
 

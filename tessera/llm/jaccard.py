@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import CHUNK_BYTES, keep, pick
+from tessera.llm.common import chunks, held, keep, pick
 from tessera.llm.components import components
 from tessera.session import sized
 
@@ -21,6 +21,8 @@ PERCENT = 75
 EXTRA = 0.15
 #: Tokens that a task of the filters handles, and that are gathered before rows are made of them.
 BUCKET_TOKENS = 500_000
+#: Bytes of text that are hashed at a time; each takes some 40 bytes of arrays.
+CHUNK_BYTES = 512 * 1024
 #: Documents and tokens of a chunk of a candidate group; a task compares two chunks at most.
 CHUNK_DOCS = 1024
 CHUNK_TOKENS = 1_000_000
@@ -116,8 +118,14 @@ def _tag(key: bytes) -> int:
     return int.from_bytes(key[:8], "little", signed=True)
 
 
-def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held(None)
     for batch in batches:
+        yield from chunks(batch)
+
+
+def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in _slices(batches):
         sets = shingle_sets(batch.column("text").to_pylist())
         keys = [_key(s) if len(s) else None for s in sets]
         yield pa.record_batch(
@@ -181,7 +189,7 @@ def _shared(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nda
 def _prefix_blobs(buckets: int, share: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blobs, seen = _Blobs(buckets), set()
-        for batch in batches:
+        for batch in _slices(batches):
             for tokens in shingle_sets(batch.column("text").to_pylist()):
                 if not len(tokens):
                     continue
@@ -190,7 +198,7 @@ def _prefix_blobs(buckets: int, share: float):
                     continue
                 seen.add(tag)
                 blobs.add(tokens[: min(len(tokens), int(share * len(tokens)) + 1)], tag, len(tokens))
-                if blobs.n >= 2 * BUCKET_TOKENS:
+                if blobs.n >= BUCKET_TOKENS:
                     yield blobs.rows()
                     seen.clear()
         yield blobs.rows()
@@ -205,7 +213,7 @@ def _shared_counts(table: pa.Table) -> pa.Table:
 
 def _whole_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     seen = set()
-    for batch in batches:
+    for batch in _slices(batches):
         rows = []
         for tokens in shingle_sets(batch.column("text").to_pylist()):
             key = _key(tokens) if len(tokens) else None
@@ -228,7 +236,7 @@ def _set_blobs(buckets: int):
             for tag, data in zip(batch.column("tag").to_pylist(), batch.column("tokens").to_pylist()):
                 tokens = np.frombuffer(data, np.uint64)
                 blobs.add(tokens, tag, len(tokens))
-                if blobs.n >= 2 * BUCKET_TOKENS:
+                if blobs.n >= BUCKET_TOKENS:
                     yield blobs.rows()
         yield blobs.rows()
 

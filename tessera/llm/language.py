@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import chunks, pick
+from tessera.llm.common import chunks, held, pick
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: Documents of each language that the model is fitted on, those of the least hashes.
@@ -25,7 +25,7 @@ LONGEST = 12
 UNIT = 32
 SMOOTH = 0.05
 #: Words whose scores a Python worker remembers.
-MEMORY = 400_000
+MEMORY = 300_000
 UNKNOWN = "und"
 
 _LETTERS = re.compile(r"[^\W\d_]+")
@@ -189,7 +189,7 @@ def held_out(doc_id):
 
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in (part for whole in batches for part in chunks(whole)):
         counts: dict[tuple[str, str], int] = {}
         for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
             for word in units_of(text):
@@ -214,18 +214,11 @@ def fit_sample(docs: DataFrame, fit_docs: int = FIT_DOCS) -> dict[str, dict[str,
     return counts
 
 
-_SCORERS: dict[str, Scorer] = {}
-
-
 def _predict(model, name: str, vocabulary: str, carried: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if name not in _SCORERS:
-            _SCORERS.clear()
-            _SCORERS[name] = Scorer(*model.value, vocabulary)
-        scorer = _SCORERS[name]
-        for batch in batches:
-            texts = [x or "" for x in batch.column("text").to_pylist()]
-            found = [x for a, b in chunks(texts) for x in scorer(texts[a:b])]
+        scorer = held(name, lambda: Scorer(*model.value, vocabulary))
+        for batch in (part for whole in batches for part in chunks(whole)):
+            found = scorer([x or "" for x in batch.column("text").to_pylist()])
             columns = {c: batch.column(c) for c in carried}
             columns["lang_pred"] = pa.array([x[0] for x in found], pa.string())
             columns["score"] = pa.array([x[1] for x in found], pa.float64())

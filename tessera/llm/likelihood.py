@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import keep, pick
+from tessera.llm.common import chunks, held, keep, pick
 
 #: Tokens: the most frequent words of the corpus each for itself, other words by a hash of their ending, and the border.
 FREQUENT = 191
@@ -56,7 +56,8 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def rows() -> pa.RecordBatch:
         return pa.record_batch({"word": pa.array(list(counts), pa.string()), "n": pa.array(list(counts.values()), pa.int64())})
 
-    for batch in batches:
+    held(None)
+    for batch in (part for whole in batches for part in chunks(whole)):
         for text in batch.column("text").to_pylist():
             for part in slices(text or ""):
                 counts.update(part.lower().split())
@@ -202,8 +203,9 @@ def _masked(n: int, key: int, share: float) -> np.ndarray:
 
 def _train(frequent: list[str], values: np.ndarray, share: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held(None)
         words, trainer = Words(frequent), Trainer(shaped(values))
-        for batch in batches:
+        for batch in (part for whole in batches for part in chunks(whole)):
             for text in batch.column("text").to_pylist():
                 tokens = words(text or "")
                 targets = _masked(len(tokens), zlib.crc32(tokens.tobytes()), share)
@@ -253,36 +255,29 @@ def train(docs: DataFrame, frequent: list[str], shares: np.ndarray, rounds: int
     return values
 
 
-_NETWORKS: dict[str, tuple[Words, Network]] = {}
-
-
 def _score(model, name: str, carried: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if name not in _NETWORKS:
-            _NETWORKS.clear()
-            frequent, values = model.value
-            _NETWORKS[name] = Words(frequent), shaped(values)
-        words, net = _NETWORKS[name]
-        for batch in batches:
+        words, net = held(name, lambda: (Words(model.value[0]), shaped(model.value[1])))
+        for batch in (part for whole in batches for part in chunks(whole)):
             counts, sums = [], []
-            held: list[np.ndarray] = []
+            waiting: list[np.ndarray] = []
 
             def flush() -> None:
-                line = bordered(held)
-                lengths = np.array([len(t) for t in held])
+                line = bordered(waiting)
+                lengths = np.array([len(t) for t in waiting])
                 firsts = SIDE + np.concatenate(([0], np.cumsum(lengths + SIDE)[:-1]))
                 at = np.concatenate([np.arange(a, a + n) for a, n in zip(firsts, lengths)])
                 found = np.concatenate((log_probs(net, line, at), [0.0]))
                 bounds = np.concatenate(([0], np.cumsum(lengths)))
                 sums.extend(float(found[a:b].sum()) for a, b in zip(bounds[:-1], bounds[1:]))
                 counts.extend(int(n) for n in lengths)
-                held.clear()
+                waiting.clear()
 
             for text in batch.column("text").to_pylist():
-                held.append(words(text or ""))
-                if sum(map(len, held)) > 50_000:
+                waiting.append(words(text or ""))
+                if sum(map(len, waiting)) > 50_000:
                     flush()
-            if held:
+            if waiting:
                 flush()
             yield pa.record_batch({**{c: batch.column(c) for c in carried}, "n_tokens": pa.array(counts, pa.int64()), "log_likelihood": pa.array(sums, pa.float64())})
 

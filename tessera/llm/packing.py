@@ -15,7 +15,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import chunks, keep, pick
+from tessera.llm.common import chunks, held, keep, pick
 from tessera.session import sized
 
 VOCABULARY = "word_bpe_49k.json"
@@ -82,36 +82,29 @@ class Encoder:
         return [self._text(text) for text in texts]
 
 
-_ENCODERS: dict[str, Encoder] = {}
-
-
 def _pieces(vocabulary: str, end: int, capacity: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         path = public_tokenizers.path(vocabulary)
-        if path not in _ENCODERS:
-            _ENCODERS[path] = Encoder(path)
-        encode = _ENCODERS[path]
+        encode = held(path, lambda: Encoder(path))
         last = end.to_bytes(4, "little")
-        for batch in batches:
-            ids, texts = batch.column("doc_id").to_pylist(), [x or "" for x in batch.column("text").to_pylist()]
-            for a, b in chunks(texts):
-                rows = []
-                for doc_id, found in zip(ids[a:b], encode(texts[a:b])):
-                    found += last
-                    for piece, at in enumerate(range(0, len(found), 4 * capacity)):
-                        part = found[at : at + 4 * capacity]
-                        rows.append((doc_id, piece, at // 4, len(part) // 4, zlib.crc32(part)))
-                columns = list(zip(*rows))
-                yield pa.record_batch(
-                    {
-                        "doc_id": pa.array(columns[0], batch.schema.field("doc_id").type),
-                        "piece": pa.array(columns[1], pa.int32()),
-                        "start": pa.array(columns[2], pa.int64()),
-                        "length": pa.array(columns[3], pa.int64()),
-                        "ids_crc32": pa.array(columns[4], pa.int64()),
-                    }
-                )
+        for batch in (part for whole in batches for part in chunks(whole)):
+            rows = []
+            for doc_id, found in zip(batch.column("doc_id").to_pylist(), encode([x or "" for x in batch.column("text").to_pylist()])):
+                found += last
+                for piece, at in enumerate(range(0, len(found), 4 * capacity)):
+                    part = found[at : at + 4 * capacity]
+                    rows.append((doc_id, piece, at // 4, len(part) // 4, zlib.crc32(part)))
+            columns = list(zip(*rows))
+            yield pa.record_batch(
+                {
+                    "doc_id": pa.array(columns[0], batch.schema.field("doc_id").type),
+                    "piece": pa.array(columns[1], pa.int32()),
+                    "start": pa.array(columns[2], pa.int64()),
+                    "length": pa.array(columns[3], pa.int64()),
+                    "ids_crc32": pa.array(columns[4], pa.int64()),
+                }
+            )
 
     return run
 

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import pick
+from tessera.llm.common import chunks, held, pick
 
 KINDS = ("email", "ip", "card", "phone")
 #: Documents whose windows the field is fitted on, those of the least hashes.
@@ -313,8 +313,9 @@ def fit_sample(docs: DataFrame, fit_docs: int = FIT_DOCS, fit_windows: int = FIT
 
 def _mark(field, carried: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held(None)
         model = field.value
-        for batch in batches:
+        for batch in (part for whole in batches for part in chunks(whole)):
             base, every, counts = [], [], {kind: [] for kind in KINDS}
             for text in batch.column("text").to_pylist():
                 found, added = find(text, model) if text else ([], [])
