@@ -8,14 +8,13 @@ from pyspark.sql import functions as F
 from tessera.operators import cuts, experiments, models
 from tessera.operators import images as image_ops
 from tessera.plans.base import CLASSES, FAMILIES, KEY_SQL, PIXELS_SQL, PREDICTIONS_SQL, families, images, key, query, templates, tiles
-from tessera.session import settle
 
 
 def _split(spark, d):
     rows = images(spark, d).select(
         "image_id", "class_id", F.col("embedding").cast("array<double>").alias("vector"), cuts.split_hashed(key(), 0.8).alias("split")
     )
-    stored = settle(rows)
+    stored = rows.persist()
     return [stored.where(F.col("split") == part).drop("split") for part in ("train", "test")]
 
 
@@ -73,7 +72,7 @@ def components(spark, d):
 @query("ablation")
 def ablation(spark, d):
     """All 15 subsets of four feature families."""
-    rows = settle(families(spark, d).withColumn("split", cuts.split_hashed(key(), 0.8)))
+    rows = families(spark, d).withColumn("split", cuts.split_hashed(key(), 0.8)).persist()
     train, test = (rows.where(F.col("split") == part) for part in ("train", "test"))
     return experiments.ablation(train, test, FAMILIES, models.logistic(max_iter=5))
 
