@@ -11,7 +11,7 @@ from functools import lru_cache
 import numpy as np
 
 # BT.601 luma weights over 32768.
-LUMA_15 = np.array([9798, 19235, 3735])
+LUMA_15 = (9798, 19235, 3735)
 # Linear sRGB to XYZ under D65, rows X, Y, Z, and the white point.
 RGB_TO_XYZ = np.array(
     [[0.412453, 0.357580, 0.180423], [0.212671, 0.715160, 0.072169], [0.019334, 0.119193, 0.950227]]
@@ -119,7 +119,7 @@ def fit(image: np.ndarray, height: int, width: int) -> np.ndarray:
 
 
 def grey(rgb: np.ndarray) -> np.ndarray:
-    return ((to_bytes(rgb).astype(np.int64) @ LUMA_15 + 16384) >> 15).astype(np.uint8)
+    return ((to_bytes(rgb).astype(np.int64) @ np.array(LUMA_15) + 16384) >> 15).astype(np.uint8)
 
 
 def to_hsv(rgb: np.ndarray) -> np.ndarray:

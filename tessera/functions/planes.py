@@ -16,12 +16,13 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tessera.functions.kernels import LUMA_15
 from tessera.functions.scalars import let
 
 Size = int | Column
 
-# Fixed-point luma weights over 32768 for red, green, blue (BT.601 in 15 bits).
-LUMA_15 = (9798, 19235, 3735)
+# Luma weights of float channels.
+LUMA = (0.2989, 0.587, 0.114)
 
 
 def _int(value: Size) -> Column:
@@ -195,7 +196,8 @@ def grey_mean(r: Column, g: Column, b: Column) -> Column:
 
 def grey_unit(r: Column, g: Column, b: Column) -> Column:
     """Weighted luma of float channels, not rounded."""
-    return _zip3(r, g, b, lambda x, y, z: x * 0.2989 + y * 0.587 + z * 0.114)
+    wr, wg, wb = LUMA
+    return _zip3(r, g, b, lambda x, y, z: x * wr + y * wg + z * wb)
 
 
 def _hsv_pixel(r: Column, g: Column, b: Column) -> Column:

@@ -65,7 +65,7 @@ def _width(value: Column, kind: T.DataType) -> Column:
         return F.coalesce(F.octet_length(value), F.lit(0)).cast("bigint")
     if isinstance(kind, T.StructType):
         return sum((_width(value[f.name], f.dataType) for f in kind.fields), F.lit(8).cast("bigint"))
-    if isinstance(kind, T.ArrayType) and not isinstance(kind.elementType, T.NumericType):
+    if isinstance(kind, T.MapType) or (isinstance(kind, T.ArrayType) and not isinstance(kind.elementType, T.NumericType)):
         return F.coalesce(F.octet_length(F.to_json(value)), F.lit(0)).cast("bigint")
     if isinstance(kind, T.ArrayType):
         return F.greatest(F.size(value), F.lit(0)).cast("bigint") * 8
