@@ -7,10 +7,10 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tessera.session import checkpoint_dir
+from tessera.session import checkpoint_dir, sized
 
 #: Words of all operators: runs of anything but ASCII white space.
 GAP = r"[\x20\x09-\x0D]+"
@@ -41,6 +41,23 @@ def keep(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def least_hashes(df: DataFrame, k: int, by: tuple[str, ...] = ()) -> DataFrame:
+    """At most k rows of each group, those of the least h (a 64-bit hash column), one for each hash.
+
+    The number of hashes tells below which bound some 3 k of them lie, so that no task gets more than
+    these, however many rows, partitions or copies there are.
+    """
+    n = df.groupBy(*by).agg(F.approx_count_distinct("h").alias("n"))
+    if by:
+        df = df.join(sized(n), list(by))
+    else:
+        df = df.withColumn("n", F.lit(n.first()[0]))
+    below = F.col("h").cast("double") <= F.least(F.lit(1.0), F.lit(3.0 * k) / F.greatest("n", F.lit(1))) * 2.0**64 - 2.0**63
+    near = df.where(below).drop("n").dropDuplicates([*by, "h"])
+    place = F.row_number().over(Window.partitionBy(*by).orderBy("h"))
+    return near.withColumn("place", place).where(F.col("place") <= k).drop("place")
+
+
 def words(text: Column) -> Column:
     """The words of a text in order; none for null."""
     return F.coalesce(F.array_remove(F.split(text, GAP), ""), F.array().cast("array<string>"))

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import chunks, held, pick
+from tessera.llm.common import chunks, held, least_hashes, pick
 
 #: Labelled pages that the weights are taken from, those of the least hashes.
 FIT_PAGES = 2000
@@ -215,7 +215,7 @@ def learn(counts: list[tuple[str, bool, int]], smooth: float = SMOOTH) -> dict[s
 def fit_weights(pages: DataFrame, fit_pages: int = FIT_PAGES) -> dict[str, float]:
     """Weights from at most fit_pages whole pages that label their content by an article or main element."""
     labelled = pages.where(F.col("html").rlike("(?i)<(article|main)[ >]")).select("html", F.xxhash64("html").alias("h"))
-    counts = labelled.orderBy("h").limit(fit_pages).select("html").mapInArrow(_feature_counts, "feature string, labelled boolean, n bigint")
+    counts = least_hashes(labelled, fit_pages).select("html").mapInArrow(_feature_counts, "feature string, labelled boolean, n bigint")
     return learn([tuple(r) for r in counts.groupBy("feature", "labelled").agg(F.sum("n")).collect()])
 
 

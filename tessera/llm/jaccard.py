@@ -24,8 +24,8 @@ BUCKET_TOKENS = 500_000
 #: Bytes of text that are hashed at a time; each takes some 40 bytes of arrays.
 CHUNK_BYTES = 512 * 1024
 #: Documents and tokens of a chunk of a candidate group; a task compares two chunks at most.
-CHUNK_DOCS = 1024
-CHUNK_TOKENS = 1_000_000
+CHUNK_DOCS = 256
+CHUNK_TOKENS = 500_000
 
 _GAP = re.compile(rb"[\x20\x09-\x0D]")
 _IS_GAP = np.zeros(256, bool)

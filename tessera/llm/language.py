@@ -11,10 +11,10 @@ from functools import lru_cache
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import chunks, held, pick
+from tessera.llm.common import chunks, held, least_hashes, pick
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: Documents of each language that the model is fitted on, those of the least hashes.
@@ -203,9 +203,7 @@ def fit_sample(docs: DataFrame, fit_docs: int = FIT_DOCS) -> dict[str, dict[str,
     """Word counts by language over at most fit_docs whole texts of each, those of the least hashes, none held out."""
     usable = docs.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & ~held_out(F.col("doc_id")))
     hashed = usable.select("lang", "text", F.xxhash64("doc_id", "text").alias("h"))
-    ranked = hashed.select("lang", "h").withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).where(F.col("place") <= fit_docs)
-    cuts = ranked.groupBy("lang").agg(F.max("h").alias("cut")).withColumnRenamed("lang", "of")
-    chosen = hashed.join(F.broadcast(cuts), (F.col("lang") == F.col("of")) & (F.col("h") <= F.col("cut"))).select("lang", "h", "text").dropDuplicates(["lang", "h"])
+    chosen = least_hashes(hashed, fit_docs, ("lang",))
     counts: dict[str, dict[str, int]] = {}
     found = chosen.select("lang", "text").mapInArrow(_word_counts, "lang string, word string, n bigint").groupBy("lang", "word").agg(F.sum("n").alias("n"))
     table = found.toArrow()

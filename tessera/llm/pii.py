@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import chunks, held, pick
+from tessera.llm.common import chunks, held, least_hashes, pick
 
 KINDS = ("email", "ip", "card", "phone")
 #: Documents whose windows the field is fitted on, those of the least hashes.
@@ -303,7 +303,7 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def fit_sample(docs: DataFrame, fit_docs: int = FIT_DOCS, fit_windows: int = FIT_WINDOWS) -> list[tuple[str, list[Span]]]:
     """Windows and base spans of at most fit_docs whole documents of the least hashes, at most fit_windows of them."""
-    chosen = docs.where(F.col("text").rlike("[0-9@]")).select("text", F.xxhash64("text").alias("h")).orderBy("h").limit(fit_docs)
+    chosen = least_hashes(docs.where(F.col("text").rlike("[0-9@]")).select("text", F.xxhash64("text").alias("h")), fit_docs)
     rows = chosen.select("text").mapInArrow(_windows, "text string, spans string").distinct().orderBy(F.xxhash64("text", "spans"), "text").limit(fit_windows).toArrow()
     found = []
     for text, spans in zip(rows["text"].to_pylist(), rows["spans"].to_pylist()):
