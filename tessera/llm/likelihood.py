@@ -15,11 +15,16 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import chunks, held, keep, pick
 
-#: Tokens: the most frequent words of the corpus each for itself, other words by a hash of their ending, and the border.
+#: Tokens of the network: the most frequent words of the corpus each for itself, classes of the other words by a
+#: hash of their ending, and the border. A word of a class is told from the others of it by its count in the corpus.
 FREQUENT = 191
 ENDINGS = 64
 BORDER = FREQUENT + ENDINGS
 TOKENS = BORDER + 1
+#: Words that are at least one of so many in the corpus, so at most that many, are sent to all tasks with their counts.
+HOT = 50_000
+#: Log-probabilities within a class are whole multiples of 1 / GRAIN, so that their sums do not depend on the order.
+GRAIN = 2.0**24
 #: Tokens to either side that the network sees, and the size of its layer.
 SIDE = 2
 WIDTH = 24
@@ -67,19 +72,39 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield rows()
 
 
-def frequent_words(docs: DataFrame, n: int = FREQUENT) -> tuple[list[str], np.ndarray]:
-    """The n most frequent words of all texts, ties by the word, and the share of each token in the corpus.
+def word_counts(docs: DataFrame) -> DataFrame:
+    """word, n, token: all words of all texts in lower case; token is the class by the ending, whether the word is frequent or not.
 
-    Counts are merged within tasks before the shuffle. Words by their ending share the rest evenly.
+    Counts are merged within tasks before the shuffle.
     """
     counts = pick(docs, "text").mapInArrow(_word_counts, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
-    counts = keep(counts, "words")
+    ending = F.crc32(F.encode(F.right("word", F.lit(3)), "UTF-8"))
+    return keep(counts.withColumn("token", (FREQUENT + ending % ENDINGS).cast("int")), "words")
+
+
+def frequent_words(counts: DataFrame, n: int = FREQUENT) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """The n most frequent words, ties by the word, the share of each token in the corpus, and the words counted in each class."""
     top = counts.orderBy(F.desc("n"), "word").limit(n).collect()
-    total = counts.agg(F.sum("n")).first()[0] or 0
     share = np.zeros(TOKENS)
-    share[: len(top)] = [r.n for r in top]
-    share[FREQUENT:BORDER] = max(total - share.sum(), 0) / ENDINGS
-    return [r.word for r in top], (share + 1) / (share + 1).sum()
+    for r in counts.groupBy("token").agg(F.sum("n").alias("n")).collect():
+        share[r.token] = r.n
+    for i, r in enumerate(top):
+        share[i] = r.n
+        share[r.token] -= r.n
+    return [r.word for r in top], (share + 1) / (share + 1).sum(), share[FREQUENT:BORDER].copy()
+
+
+def within(counts: DataFrame, frequent: list[str], sizes: np.ndarray) -> tuple[dict[str, float], DataFrame]:
+    """log P(word | class): of the hot words, and of all others as a table (word, weight). Frequent words are in neither.
+
+    A word that is not hot is under 1 in HOT of all words, so no task of a join by the word gets many rows of one.
+    """
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    size = F.get(F.array(*[F.lit(float(x)) for x in sizes]), F.col("token") - FREQUENT)
+    rows = counts.where(~F.col("word").isin(frequent)) if frequent else counts
+    rows = rows.withColumn("weight", F.rint(F.log(F.col("n") / size) * GRAIN) / GRAIN)
+    hot = F.col("n") * HOT >= total
+    return {r.word: r.weight for r in rows.where(hot).select("word", "weight").collect()}, rows.where(~hot).select("word", "weight")
 
 
 class Words:
@@ -257,9 +282,9 @@ def train(docs: DataFrame, frequent: list[str], shares: np.ndarray, rounds: int
 
 def _score(model, name: str, carried: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, net = held(name, lambda: (Words(model.value[0]), shaped(model.value[1])))
+        words, net, hot = held(name, lambda: (Words(model.value[0]), shaped(model.value[1]), dict.fromkeys(model.value[0], 0.0) | model.value[2]))
         for batch in (part for whole in batches for part in chunks(whole)):
-            counts, sums = [], []
+            counts, sums, others = [], [], []
             waiting: list[np.ndarray] = []
 
             def flush() -> None:
@@ -273,13 +298,26 @@ def _score(model, name: str, carried: list[str]):
                 counts.extend(int(n) for n in lengths)
                 waiting.clear()
 
+            weights = []
             for text in batch.column("text").to_pylist():
                 waiting.append(words(text or ""))
+                seen: Counter[str] = Counter()
+                for part in slices(text or ""):
+                    seen.update(part.lower().split())
+                weights.append(sum(n * hot[word] for word, n in seen.items() if word in hot))
+                others.append([{"word": word, "times": n} for word, n in seen.items() if word not in hot])
                 if sum(map(len, waiting)) > 50_000:
                     flush()
             if waiting:
                 flush()
-            yield pa.record_batch({**{c: batch.column(c) for c in carried}, "n_tokens": pa.array(counts, pa.int64()), "log_likelihood": pa.array(sums, pa.float64())})
+            yield pa.record_batch(
+                {
+                    **{c: batch.column(c) for c in carried},
+                    "n_tokens": pa.array(counts, pa.int64()),
+                    "log_likelihood": pa.array([a + b for a, b in zip(sums, weights)], pa.float64()),
+                    "others": pa.array(others, pa.list_(pa.struct([("word", pa.string()), ("times", pa.int64())]))),
+                }
+            )
 
     return run
 
@@ -287,16 +325,27 @@ def _score(model, name: str, carried: list[str]):
 def pseudo_likelihood(docs: DataFrame, rounds: int = ROUNDS, share: float = MASKED) -> DataFrame:
     """One row per row of docs: doc_id, n_tokens, log_likelihood, mean_log_prob.
 
-    The vocabulary is counted and the network trained on all documents. log_likelihood sums, over every
-    token of the whole text, the log-probability given the SIDE tokens before and after it; mean_log_prob
-    is that by token. Texts without words (null, empty, blank) have 0 tokens, 0.0 and a null mean. Null
-    ids stay null, repeated rows come back alike, an empty table gives no rows; other columns are ignored.
+    The vocabulary is every word of the corpus in lower case, counted over all documents, and the network is trained
+    on all documents. log_likelihood sums, over every token of the whole text, the log-probability given the SIDE
+    tokens before and after it; mean_log_prob is that by token. The FREQUENT most frequent words are predicted
+    each for itself; any other word by its class (one of ENDINGS, a hash of its last three characters), which
+    the network predicts, times the share of the word among all words counted in the class. The sides are seen
+    as frequent words and classes. Texts without words (null, empty, blank) have 0 tokens, 0.0 and a null mean.
+    Null ids stay null, repeated rows come back alike, an empty table gives no rows; other columns are ignored.
     """
     docs = pick(docs, "doc_id", "text")
-    frequent, shares = frequent_words(docs)
-    model = docs.sparkSession.sparkContext.broadcast((frequent, train(docs, frequent, shares, rounds, share)))
+    counted = word_counts(docs)
+    frequent, shares, sizes = frequent_words(counted)
+    hot, rare = within(counted, frequent, sizes)
+    model = docs.sparkSession.sparkContext.broadcast((frequent, train(docs, frequent, shares, rounds, share), hot))
     kind = docs.schema["doc_id"].dataType.simpleString()
-    found = docs.mapInArrow(_score(model, uuid.uuid4().hex, ["doc_id"]), f"doc_id {kind}, n_tokens bigint, log_likelihood double")
+    shape = f"row bigint, doc_id {kind}, n_tokens bigint, log_likelihood double, others array<struct<word: string, times: bigint>>"
+    # written, so that the numbers of the rows stay
+    found = keep(docs.withColumn("row", F.monotonically_increasing_id()).mapInArrow(_score(model, uuid.uuid4().hex, ["row", "doc_id"]), shape), "scores")
+    pairs = found.select("row", F.inline("others")).join(rare, "word")
+    sums = pairs.groupBy("row").agg(F.sum(F.col("times") * F.col("weight")).alias("more"))
+    found = found.drop("others").join(sums, "row", "left")
+    found = found.select("doc_id", "n_tokens", (F.col("log_likelihood") + F.coalesce("more", F.lit(0.0))).alias("log_likelihood"))
     return found.withColumn("mean_log_prob", F.when(F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens")))
 
 

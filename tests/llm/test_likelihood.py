@@ -1,5 +1,7 @@
 """Masked pseudo-likelihood: sums against a plain reading, gradients, training, odd rows."""
 
+from collections import Counter
+
 import numpy as np
 import pytest
 
@@ -79,3 +81,33 @@ def test_odd_rows(spark):
     got = sorted(((r.doc_id or 0), r.n_tokens, r.mean_log_prob is None) for r in found)
     assert got == [(0, 2, False), (1, 0, True), (2, 0, True), (3, 0, True), (4, 2, False), (4, 2, False), (5, 3000, False)]
     assert pseudo_likelihood(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_every_word_has_its_own_probability(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    ending = ["ing", "éa", "日本語", "z", "xy"]
+    vocabulary = [f"w{i}{ending[i % 5]}" for i in range(600)] + ["日本語", "z", "xy", "é"]
+    texts = [" ".join(rng.choice(vocabulary, rng.integers(1, 60))) for _ in range(80)] + [None, " "]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    seen = Counter(w for t in texts for w in (t or "").split())
+    counted = ll.word_counts(docs)
+    frequent, shares, sizes = ll.frequent_words(counted)
+    assert frequent == sorted(seen, key=lambda w: (-seen[w], w))[: ll.FREQUENT]
+    tokens = {w: int(Words(frequent)(w)[0]) for w in seen}
+    classes = Counter()
+    for w, n in seen.items():
+        classes[tokens[w]] += n
+    assert shares == pytest.approx([(classes[t] + 1) / (sum(classes.values()) + ll.TOKENS) for t in range(ll.TOKENS)])
+    values = flat(start(shares))
+    monkeypatch.setattr(ll, "train", lambda *_: values)
+    for hot in (ll.HOT, 700, 1):  # every word is sent to all tasks, some are, all are joined
+        monkeypatch.setattr(ll, "HOT", hot)
+        sent, joined = ll.within(counted, frequent, sizes)
+        given = sent | {r.word: r.weight for r in joined.collect()}
+        assert set(given) == set(seen) - set(frequent) and (hot > 1 or not sent) and (hot == 700) == bool(sent and joined.count())
+        for token in range(ll.FREQUENT, ll.BORDER):
+            assert sum(np.exp(given[w]) for w in given if tokens[w] == token) == pytest.approx(1.0 if classes[token] else 0.0)
+        for r in pseudo_likelihood(docs).collect():
+            found = (texts[r.doc_id] or "").split()
+            want = brute(shaped(values), [tokens[w] for w in found]) + sum(np.log(seen[w] / classes[tokens[w]]) for w in found)
+            assert r.n_tokens == len(found) and r.log_likelihood == pytest.approx(want, rel=1e-4, abs=1e-6)
