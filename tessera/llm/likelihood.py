@@ -28,8 +28,8 @@ GRAIN = 2.0**24
 #: Tokens to either side that the network sees, and the size of its layer.
 SIDE = 2
 WIDTH = 24
-#: Share of the positions of every document that are training targets, as in masked training.
-MASKED = 0.15
+#: Share of the positions of every document that are training targets. The network never sees its own target, so all can be.
+MASKED = 1.0
 #: Tokens that are scored at a time, and targets of a gradient step.
 BATCH = 2048
 STEP = 256
@@ -221,7 +221,9 @@ class Trainer:
 
 
 def _masked(n: int, key: int, share: float) -> np.ndarray:
-    """Seeded positions of a text of n tokens that are targets."""
+    """Positions of a text of n tokens that are targets: all, or a seeded share."""
+    if share >= 1:
+        return np.arange(n)
     rng = np.random.default_rng(key)
     return np.flatnonzero(rng.random(n) < share)
 
@@ -234,8 +236,9 @@ def _train(frequent: list[str], values: np.ndarray, share: float):
             for text in batch.column("text").to_pylist():
                 tokens = words(text or "")
                 targets = _masked(len(tokens), zlib.crc32(tokens.tobytes()), share)
-                if len(targets):
-                    trainer.add(bordered([tokens]), targets + SIDE)
+                line = bordered([tokens])
+                for a in range(0, len(targets), BATCH):
+                    trainer.add(line, targets[a : a + BATCH] + SIDE)
         trainer.flush()
         yield _row(trainer.seen, flat(trainer.net))
 
@@ -261,7 +264,7 @@ MODEL = "n bigint, net binary"
 
 
 def train(docs: DataFrame, frequent: list[str], shares: np.ndarray, rounds: int = ROUNDS, share: float = MASKED) -> np.ndarray:
-    """Weights after rounds over disjoint parts of all documents, by a hash of the text.
+    """Weights after rounds over disjoint parts of all documents, by a hash of the text; so each position is a target once.
 
     In a round each task starts from the same weights and trains on its rows; the models are averaged in a tree,
     a task merging MERGE of them, so the driver gets one.

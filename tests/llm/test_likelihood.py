@@ -3,6 +3,7 @@
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tessera.llm import likelihood as ll
@@ -111,3 +112,21 @@ def test_every_word_has_its_own_probability(spark, monkeypatch):
             found = (texts[r.doc_id] or "").split()
             want = brute(shaped(values), [tokens[w] for w in found]) + sum(np.log(seen[w] / classes[tokens[w]]) for w in found)
             assert r.n_tokens == len(found) and r.log_likelihood == pytest.approx(want, rel=1e-4, abs=1e-6)
+
+
+def test_every_position_is_a_target_once(monkeypatch):
+    texts = ["one", "a b c " * 9000, None, "x y"]
+    line_of = {}
+    taken, add = Counter(), Trainer.add
+
+    def watched(self, line, at):
+        assert len(at) <= ll.BATCH
+        line_of[line.tobytes()] = len(line) - 2 * ll.SIDE
+        taken.update((line.tobytes(), int(i)) for i in at)
+        add(self, line, at)
+
+    monkeypatch.setattr(Trainer, "add", watched)
+    batch = pa.record_batch({"text": pa.array(texts, pa.string())})
+    (row,) = ll._train([], flat(start()), ll.MASKED)(iter([batch]))
+    assert row.column("n")[0].as_py() == sum(len((t or "").split()) for t in texts)
+    assert taken == {(k, i): 1 for k, n in line_of.items() for i in range(ll.SIDE, ll.SIDE + n)}
