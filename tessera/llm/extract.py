@@ -24,21 +24,35 @@ TAG_COST = (0.02, 1.0)
 OUTSIDE_COST = (0.1, 2.0)
 
 # Fixed values of the HTML standard: elements by their role.
-RAW = "script style noscript template iframe svg math canvas object textarea title"
+RAW = "script style noscript template iframe canvas object textarea title annotation annotation-xml"
 VOID = "area base br col embed hr img input link meta param source track wbr"
-INLINE = "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr img"
+INLINE = "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark math q rp rt ruby s samp small span strike strong sub sup time tt u var wbr img"
 #: Elements that are never article text, and those that mark it on labelled pages.
 OUTSIDE = "nav footer aside form button select dialog menu fieldset head datalist"
 LABELS = ("article", "main")
-#: Words in a class, id or role that say the same of any element.
+#: Parts of drawings and formulas: their text counts, they do not.
+SILENT = "path circle ellipse rect line polyline polygon g defs use stop lineargradient radialgradient clippath mask pattern marker tspan mi mn mo ms mtext mrow mfrac msqrt mroot msub msup msubsup munder mover munderover mtable mtr mtd mspace mstyle mpadded mphantom semantics"
+#: Of the elements that are never article text, those in which an article is a teaser or a comment.
+SHUT = "nav footer aside button select dialog menu datalist"
+#: Elements whose id names their subject.
+TITLED = "h1 h2 h3 h4 h5 h6 p section article main"
+#: Words in a class, id or role that say the same of an element when a name ends with one, before words for what
+#: holds it; a header so named is that of the page. A name with a word for a state says nothing (has-sidebar).
 KEYWORDS = (
     "ad ads adbox advert advertisement advertising adsense sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notification alert "
     "newsletter subscribe subscription signup paywall sidebar aside widget related recommended recommendations share sharing social menu nav navbar navigation "
     "breadcrumb breadcrumbs pagination pager header masthead topbar footer copyright comment comments commentlist reply replies respond disqus popup modal overlay login search toolbar contentinfo complementary"
 )
+HOLDERS = "box bar wrap wrapper container holder inner outer list area block notice message button buttons link links item items icon icons form field panel left right top bottom posts articles stories section"
+STATES = "has no with without is not hide show"
+SITE = "site page global top main"
+#: Weight of a keyword elsewhere in a name, where none is learned.
+FIXED = -0.5
 #: Elements whose name says nothing; their class, id and role do.
 GENERIC = "html body div section span center table tbody thead tr td"
 _RAW, _VOID, _INLINE, _OUTSIDE, _KEYWORDS, _GENERIC = (frozenset(x.split()) for x in (RAW, VOID, INLINE, OUTSIDE, KEYWORDS, GENERIC))
+_SILENT, _SHUT, _TITLED, _HOLDERS, _STATES, _SITE = (frozenset(x.split()) for x in (SILENT, SHUT, TITLED, HOLDERS, STATES, SITE))
+_FIXED = {f".{word}": FIXED for word in _KEYWORDS}
 _IN_RAW = {name: re.compile(rf"</{name}\s*(?:>|$)|</{name}(?=[\s/])[^>]*>?", re.I) for name in _RAW}
 _MARKUP = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|$)|<(/?)([A-Za-z][^\s/>]*)([^>]*)(?:>|$)", re.S)
 _NAMED = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
@@ -71,32 +85,53 @@ def tokens(page: str) -> Iterator[Token]:
         yield "text", page[at:], ""
 
 
-def _marks(attributes: str) -> list[str]:
-    """Words in class, id and role."""
+def _names(name: str, attributes: str) -> list[list[str]]:
+    """The words of each name in class, id and role; ids of headings, paragraphs and sections and names of states are left out."""
     if "=" not in attributes:
         return []
     found = []
     for m in _NAMED.finditer(attributes):
-        found += [p.lower() for p in _PART.split(html.unescape(m[2] or m[3] or m[4] or "")) if p]
+        if m[1].lower() == "id" and name in _TITLED:
+            continue
+        for each in html.unescape(m[2] or m[3] or m[4] or "").split():
+            parts = [p.lower() for p in _PART.split(each) if p]
+            if parts and _STATES.isdisjoint(parts):
+                found.append(parts)
     return found
 
 
+def _outside(parts: list[str], labelled: bool) -> bool:
+    """Whether a name says that its element is never article text."""
+    last = len(parts) - 1
+    while last and parts[last] not in _KEYWORDS and parts[last] in _HOLDERS:
+        last -= 1
+    if parts[last] == "header":
+        return not labelled and (not last or parts[0] in _SITE)
+    return parts[last] in _KEYWORDS
+
+
 class _Open:
     """An open element: its name, features, and what holds for text in it."""
 
-    __slots__ = ("name", "features", "outside", "labelled", "around", "weight")
+    __slots__ = ("name", "features", "outside", "shut", "labelled", "around", "weight")
 
-    def __init__(self, name: str, marks: list[str], above: _Open | None, weights: dict[str, float]) -> None:
+    def __init__(self, name: str, names: list[list[str]], above: _Open | None, weights: dict[str, float]) -> None:
         self.name = name
-        self.features = [*([] if name in _GENERIC else [name]), *[f".{m}" for m in marks]]
+        self.features = [*([] if name in _GENERIC else [name]), *[f".{m}" for parts in names for m in parts]]
         self.labelled = bool(above and above.labelled) or name in LABELS
-        own = name in _OUTSIDE or (name == "header" and not self.labelled) or (name not in (*LABELS, "body", "html") and not _KEYWORDS.isdisjoint(marks))
-        self.outside = bool(above and above.outside) or own
+        marked = any(_outside(parts, self.labelled) for parts in names)
+        own = name in _OUTSIDE or (name == "header" and not self.labelled) or (name not in (*LABELS, "body", "html") and marked)
+        self.shut = bool(above and above.shut) or name in _SHUT
+        # an article in a marked element is article text, unless the mark is in another article or on this one
+        inherited = bool(above and above.outside)
+        if name in LABELS and not (above and above.labelled) and not self.shut and not marked:
+            inherited = False
+        self.outside = inherited or own
         # a feature counts once, however often elements with it are nested
         around = above.around if above else frozenset()
         new = [f for f in dict.fromkeys(self.features) if f not in around]
         self.around = around.union(new) if new else around
-        self.weight = (above.weight if above else 0.0) + sum(weights.get(f, 0.0) for f in new)
+        self.weight = (above.weight if above else 0.0) + sum(weights.get(f, _FIXED.get(f, 0.0)) for f in new)
 
 
 def walk(page: str, weights: dict[str, float]) -> Iterator[tuple[str, str, _Open | None, list[str]]]:
@@ -107,6 +142,8 @@ def walk(page: str, weights: dict[str, float]) -> Iterator[tuple[str, str, _Open
         if kind == "text":
             yield kind, name, top, []
             continue
+        if name in _SILENT:
+            continue
         if kind == "open":
             if name == "body":  # a head without its end
                 while stack and stack[-1].name == "head":
@@ -118,7 +155,7 @@ def walk(page: str, weights: dict[str, float]) -> Iterator[tuple[str, str, _Open
                         break
                     if stack[k].name not in _INLINE:
                         break
-            opened = _Open(name, _marks(attributes), stack[-1] if stack else None, weights)
+            opened = _Open(name, _names(name, attributes), stack[-1] if stack else None, weights)
             yield kind, name, opened, opened.features
             if name not in _VOID and not attributes.rstrip().endswith("/"):
                 stack.append(opened)
@@ -162,7 +199,9 @@ def main_text(page: str, weights: dict[str, float]) -> str:
                 spent += cost
                 steps.append((-cost, ""))
                 continue
-            odds = (element.weight if element else 0.0) + (2.0 if element and element.labelled else 0.0)
+            odds = element.weight if element else 0.0
+            if element and element.labelled:  # names in an article lower its text, but do not cut it
+                odds = max(0.0, odds + 2.0)
             steps.append((n * max(-1.0, min(1.0, 0.5 + odds / 2)), data))
         elif outside:
             steps.append((0.0, "" if data in _INLINE else None))

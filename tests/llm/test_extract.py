@@ -65,3 +65,20 @@ def test_odd_pages(spark, weights):
 def test_time_is_linear_in_broken_markup(weights):
     for page in ("<" * 100_000, "<a " * 50_000, "<a b='" * 30_000, "<!--" * 30_000, "</p" * 50_000, "&" * 100_000):
         main_text(page, weights)
+
+
+def test_names_that_only_hold_a_word_of_the_list(weights):
+    text = "First words of it that say something here."
+    pages = {
+        f"<div class='layout has-sidebar'><article><p>{text}</p></article></div>": text,
+        f"<form id='search'><div class='widget'><main><p>{text}</p></main></div></form>": text,
+        f"<article><h2 id='related-work'>Related work</h2><p id='share-prices'>{text}</p><section id='search-algorithms'><p>Many are known.</p></section></article>": f"Related work\n{text}\nMany are known.",
+        f"<article><div class='article-header'><h1>Real title</h1></div><p>{text}</p><div class='share-prices'><p>One two three</p></div></article>": f"Real title\n{text}\nOne two three",
+        f"<article><p>{text}</p><p>So <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x=2</annotation></math> it is.</p><svg><title>T</title><g><path d='M0'/><text>Year 2020</text></g></svg></article>": f"{text}\nSo x=2 it is.\nYear 2020",
+        # marks on blocks of their own still hold, in an article and beside it
+        f"<article><p>{text}</p><div class='sidebar'><p>no no</p></div><div class='share-buttons'>no no</div><p>And the end of it.</p></article>": f"{text}\nAnd the end of it.",
+        f"<main><p>{text}</p><div class='related-posts'><article><p>A teaser of some words</p></article></div></main><aside><article>Another teaser</article></aside>": text,
+        f"<main><p>{text}</p></main><div id='comments'><article class='comment'><p>I liked it a lot thanks</p></article></div>": text,
+    }
+    for page, want in pages.items():
+        assert main_text(page, weights) == want == main_text(page, {})
