@@ -36,12 +36,12 @@ def model_loss(spark, d):
 
 @query("linear_svc_ovr")
 def linear_svc_ovr(spark, d):
-    return _predicted(spark, d, models.svc_one_vs_rest(max_iter=5))
+    return _predicted(spark, d, models.svc_one_vs_rest(max_iter=100))
 
 
 @query("linear_svc_ovo")
 def linear_svc_ovo(spark, d):
-    return _predicted(spark, d, models.svc_one_vs_one(max_iter=5))
+    return _predicted(spark, d, models.svc_one_vs_one(max_iter=100))
 
 
 @query("perceptron")
@@ -52,9 +52,9 @@ def perceptron(spark, d):
 @query("grid_cv")
 def grid_cv(spark, d):
     train, _ = _split(spark, d)
-    folded = train.withColumn("fold", cuts.fold_of(key(), 3))
-    candidates = {f"C={c}": models.svc_one_vs_rest(c, max_iter=5) for c in (0.005, 0.5)}
-    return models.grid_search(folded, candidates, "fold", 3)
+    folded = train.withColumn("fold", cuts.fold_of(key(), 5))
+    candidates = {f"C={c}": models.svc_one_vs_rest(c, max_iter=100) for c in (0.005, 0.5)}
+    return models.grid_search(folded, candidates, "fold", 5)
 
 
 @query("explained_variance")

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from tessera.operators import cuts, experiments, models
 from tessera.sources import writers
 
@@ -98,3 +99,26 @@ def test_fitted_model_is_loaded_the_second_time(spark, blobs, tmp_path):
     for _ in range(2):
         model = writers.load_or_fit(spark, str(tmp_path / "model"), fit, LogisticRegressionModel.load)
     assert len(fits) == 1 and model.numClasses == 3
+
+
+class _Reached(Exception):
+    pass
+
+
+def test_support_vector_queries_run_to_the_full_number_of_iterations_and_folds(spark, monkeypatch):
+    limits, folds = [], []
+
+    def reached(ready, problems, penalty, max_iter, threads):
+        limits.append(max_iter)
+        raise _Reached
+
+    def search(rows, candidates, fold, n):
+        folds.append((n, rows.agg({fold: "max"}).first()[0] + 1))
+        return next(iter(candidates.values()))(rows)
+
+    monkeypatch.setattr(models, "_fit_planes", reached)
+    monkeypatch.setattr(models, "grid_search", search)
+    for name in ("linear_svc_ovr", "linear_svc_ovo", "grid_cv"):
+        with pytest.raises(_Reached):
+            entry.queries()[name](spark, "/root/testdata/sf0.001")
+    assert limits == [100, 100, 100] and folds == [(5, 5)]
