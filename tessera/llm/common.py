@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -81,14 +83,20 @@ def chunks(batch: pa.RecordBatch, column: str = "text", limit: int = CHUNK_BYTES
 
 
 _HELD: dict[str, object] = {}
+_LIBC = ctypes.CDLL(None)
 
 
 def held(name: str | None, make: Callable[[], object] = lambda: None):
     """What this Python worker keeps between tasks under a name; whatever it kept under others is let go.
 
-    Workers outlive tasks and serve one operator after another; their memory is that of one.
+    Workers outlive tasks and serve one operator after another; their memory is that of one. What
+    has been freed goes back to the system, where that has a call for it.
     """
     if name not in _HELD:
         _HELD.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        if hasattr(_LIBC, "malloc_trim"):
+            _LIBC.malloc_trim(0)
         _HELD[name] = make()
     return _HELD[name]

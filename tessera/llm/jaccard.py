@@ -34,7 +34,6 @@ _BYTES = np.random.default_rng(11).integers(1, 2**63, 256, dtype=np.uint64) | np
 _BASE = 0x9E3779B97F4A7C15
 _ROUND = np.uint64(0xBF58476D1CE4E5B9)
 _LAST = np.uint64(0x94D049BB133111EB)
-_POWERS: list[np.ndarray] = []
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -45,14 +44,15 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 def _powers(n: int) -> list[np.ndarray]:
     """Powers of the base and of its inverse, modulo 2^64."""
-    if not _POWERS or len(_POWERS[0]) < n:
+    powers: list[np.ndarray] = held("powers", list)
+    if not powers or len(powers[0]) < n:
         n = max(n, CHUNK_BYTES + CHUNK_BYTES // 4)
+        powers.clear()
         for base in (_BASE, pow(_BASE, -1, 2**64)):
             factors = np.full(n, base, np.uint64)
             factors[0] = 1
-            _POWERS.append(np.cumprod(factors))
-        del _POWERS[:-2]
-    return _POWERS
+            powers.append(np.cumprod(factors))
+    return powers
 
 
 def _word_hashes(blob: bytes) -> tuple[np.ndarray, np.ndarray]:

@@ -6,7 +6,6 @@ import base64
 import re
 import uuid
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
@@ -66,11 +65,6 @@ class Pieces:
         return found
 
 
-@lru_cache(maxsize=2)
-def pieces_of(vocabulary: str) -> Pieces:
-    return Pieces(vocabulary)
-
-
 def forward(places: list[np.ndarray], table: np.ndarray) -> np.ndarray:
     """Sum over all segmentations of the product of piece probabilities, up to each byte: [byte, unit, language]."""
     n, length = places[0].shape
@@ -118,7 +112,7 @@ def _by_length(units: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 
 def fit(counts: dict[str, dict[str, int]], vocabulary: str = VOCABULARY, rounds: int = ROUNDS) -> tuple[list[str], np.ndarray]:
     """Languages and piece probabilities [piece, language] from word counts, by expectation and maximisation."""
-    pieces, languages = pieces_of(vocabulary), sorted(counts)
+    pieces, languages = Pieces(vocabulary), sorted(counts)
     table = np.zeros((pieces.size + 1, len(languages)))
     for column, lang in enumerate(languages):
         weight: dict[bytes, float] = {}
@@ -147,7 +141,7 @@ class Scorer:
     """Log-likelihood of texts by language; remembers words."""
 
     def __init__(self, languages: list[str], table: np.ndarray, vocabulary: str) -> None:
-        self.languages, self.table, self.pieces = languages, table, pieces_of(vocabulary)
+        self.languages, self.table, self.pieces = languages, table, Pieces(vocabulary)
         self.known: dict[str, int] = {}
         self.scores = np.zeros((0, len(languages)))
 

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
+from itertools import accumulate
 
 import public_tokenizers
 import pyarrow as pa
@@ -26,60 +29,140 @@ PART_ITEMS = 200_000
 FAN_IN = 8
 #: Bins with less room than this leave at once.
 SLACK = 32
-#: Words whose ids a Python worker remembers, and half of the runs.
-MEMORY = 300_000
-#: These split texts in Python but are no white space to the tokenizer.
+#: Characters of a text that are encoded at a time; longer words are read in windows.
+PART = 256 * 1024
+LONG = 2048
+#: The tokenizer's white space: unlike Python's, without the four separators from 1c to 1f.
+_SPACE = re.compile(r"[^\S\x1c-\x1f]+")
 _ODD = re.compile("[\x1c-\x1f]")
 #: Letters that compose and change case alike everywhere; the runs are those the vocabulary file names.
-_LATIN = re.compile("[\x00-\u024f]+")
+_LATIN = re.compile("[\x01-\u024f]*")
+_ASCII_RUNS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
 _RUNS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+#: A character that never composes with the one before it.
+_APART = regex.compile(r"[^\p{M}\u1160-\u11ff]")
+#: Ends a run; a run's last byte and this one are the vocabulary's letter with a word end.
+_MARK = "\0"
+
+
+def _split(text: str) -> list[str]:
+    return list(filter(None, _SPACE.split(text))) if _ODD.search(text) else text.split()
+
+
+def _parts(text: str) -> Iterator[str]:
+    """A text cut at white space, each part not much longer than PART unless a word is."""
+    at = 0
+    while at < len(text):
+        cut = _SPACE.search(text, at + PART) if len(text) - at > PART else None
+        end = cut.end() if cut else len(text)
+        yield text[at:end]
+        at = end
+
+
+def _marked(words: list[str]) -> list[str]:
+    """The words with a mark behind each of their runs but the last."""
+    ascii_runs, runs = _ASCII_RUNS.findall, _RUNS.findall
+    return [word if word.isalpha() else _MARK.join(ascii_runs(word) if word.isascii() else runs(word)) for word in words]
 
 
 class Encoder:
     """Ids of texts as little-endian unsigned 32-bit bytes.
 
-    The tokenizer never joins characters across white space, so a text's ids are those of its
-    words in order; words are remembered, and so are the runs of letters, digits and signs they
-    are made of. Words in other than Latin letters go through the tokenizer as they are.
+    The tokenizer never joins characters across white space, so a text's ids are those of its words in
+    order. Words of Latin letters are cut into the vocabulary's runs (letters, digits, signs), each with
+    a mark at its end, and merged by rank; the vocabulary's ids are its ranks. Short words in other
+    letters go through the tokenizer as they are. Nothing is remembered, and texts of any length are
+    read part by part.
     """
 
     def __init__(self, path: str) -> None:
+        import tiktoken
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import ByteLevel
 
-        self.tokenizer, self.words, self.runs = Tokenizer.from_file(path), {}, {}
-        self.model, self.as_bytes = self.tokenizer.model, ByteLevel(add_prefix_space=False, use_regex=False)
-
-    def _encode(self, text: str) -> bytes:
-        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return struct.pack(f"<{len(ids)}I", *ids)
-
-    def _run(self, run: str) -> bytes:
-        shown = run if run.isascii() and run.isprintable() else self.as_bytes.pre_tokenize_str(run)[0][0]
-        ids = [t.id for t in self.model.tokenize(shown)]
-        found = self.runs[run] = struct.pack(f"<{len(ids)}I", *ids)
-        return found
-
-    def _word(self, word: str) -> bytes:
-        if "<|" in word or not _LATIN.fullmatch(word):
-            return self._encode(word)
-        runs = self.runs
-        return b"".join([runs.get(run) or self._run(run) for run in _RUNS.findall(word.lower())])
-
-    def _text(self, text: str) -> bytes:
-        if _ODD.search(text):
-            return self._encode(text)
-        known, found = self.words, text.split()
-        for word in set(found).difference(known):
-            known[word] = self._word(word)
-        return b"".join(map(known.__getitem__, found))
+        self.tokenizer, self.as_bytes = Tokenizer.from_file(path), ByteLevel(add_prefix_space=False, use_regex=False)
+        self.model = self.tokenizer.model
+        self.special = {t.content: t_id for t_id, t in self.tokenizer.get_added_tokens_decoder().items()}
+        self.any_special = re.compile("(" + "|".join(map(re.escape, self.special)) + ")")
+        with open(path, encoding="utf-8") as file:
+            model = json.load(file)["model"]
+        end = model["end_of_word_suffix"]
+        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]  # bytes written as themselves; the others follow from 256 on
+        letters = {chr(c): bytes([b]) for b, c in [*zip(shown, shown), *zip(sorted({*range(256)} - {*shown}), range(256, 512))]}
+        ranks = {b"".join(letters[c] for c in t.removesuffix(end)) + _MARK.encode() * t.endswith(end): i for t, i in model["vocab"].items() if t not in self.special}
+        self.by_rank = tiktoken.Encoding(os.path.basename(path), pat_str="[^\0 ]+\0", mergeable_ranks=ranks, special_tokens={})
+
+    def _shown(self, run: str) -> str:
+        """The run in the letters that the vocabulary writes bytes with."""
+        return run if run.isascii() and run.isprintable() else self.as_bytes.pre_tokenize_str(run)[0][0]
+
+    def _long_run(self, run: str) -> bytes:
+        """A run in windows. Ids are right when each two neighbours are right on their own, so a window
+        that begins with a token of the one before it goes on from there."""
+        out, rest, at, width = bytearray(), "", 0, LONG
+        while True:
+            while len(rest) < width and at < len(run):
+                rest += self._shown(run[at : at + LONG])
+                at += LONG
+            tokens = self.model.tokenize(rest)
+            if at >= len(run):
+                return bytes(out + struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens]))
+            ends = list(accumulate(len(t.value) for t in tokens))
+            for n in range(len(tokens) - 9, 0, -8):  # what the end of the window changes lies behind this
+                if self.model.tokenize(rest[ends[n - 1] :])[0].id == tokens[n].id:
+                    out += struct.pack(f"<{n}I", *[t.id for t in tokens[:n]])
+                    rest, width = rest[ends[n - 1] :], LONG
+                    break
+            else:
+                width += LONG
+
+    def _long_word(self, word: str) -> bytes:
+        out = bytearray()
+        for part in self.any_special.split(word):
+            if part in self.special:
+                out += struct.pack("<I", self.special[part])
+                continue
+            plain, at = [], 0
+            while at < len(part):
+                cut = _APART.search(part, at + PART)
+                end = cut.start() if cut else len(part)
+                plain.append(self.tokenizer.normalizer.normalize_str(part[at:end]))
+                at = end
+            runs = []
+            for m in _RUNS.finditer("".join(plain)):
+                runs.append(m.group())
+                if len(runs[-1]) > LONG:
+                    out += self._merged(runs[:-1]) + self._long_run(runs.pop())
+                    runs = []
+                elif len(runs) > LONG:
+                    out += self._merged(runs)
+                    runs = []
+            out += self._merged(runs)
+        return bytes(out)
+
+    def _merged(self, marked: list[str]) -> bytes:
+        """Ids of words in lower case with marks behind their runs but the last."""
+        return array("I", self.by_rank.encode_ordinary(f"{_MARK} ".join(marked) + _MARK)).tobytes() if marked else b""
+
+    def _tokenizer_ids(self, word: str) -> bytes:
+        return array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+
+    def _ids(self, text: str) -> bytes:
+        if "<|" not in text and _LATIN.fullmatch(text):
+            words = _split(text.lower())
+            if len(text) <= LONG or max(map(len, words), default=0) <= LONG:
+                return self._merged(_marked(words))
+        out, plain = bytearray(), []
+        for word in _split(text):
+            if len(word) <= LONG and "<|" not in word and _LATIN.fullmatch(word):
+                plain.extend(_marked([word.lower()]))
+                continue
+            out += self._merged(plain) + (self._long_word(word) if len(word) > LONG else self._tokenizer_ids(word))
+            plain = []
+        return bytes(out + self._merged(plain))
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        if len(self.words) > MEMORY:
-            self.words.clear()
-        if len(self.runs) > 2 * MEMORY:
-            self.runs.clear()
-        return [self._text(text) for text in texts]
+        return [self._ids(text) if len(text) <= PART else b"".join(map(self._ids, _parts(text))) for text in texts]
 
 
 def _pieces(vocabulary: str, end: int, capacity: int):

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from tessera.llm import language
-from tessera.llm.language import expected, fit, forward, pieces_of, predict
+from tessera.llm.language import Pieces, expected, fit, forward, predict
 
 SCHEMA = "doc_id long, lang string, text string, LANG_PRED string, score int"
 
@@ -21,7 +21,7 @@ def segmentations(word, known):
 
 
 def test_forward_and_expected_counts_against_all_segmentations():
-    pieces = pieces_of(language.VOCABULARY)
+    pieces = Pieces(language.VOCABULARY)
     known = {p: i for i, p in enumerate(pieces.pieces)}
     rng = np.random.default_rng(1)
     table = np.vstack([rng.random((pieces.size, 2)) / 50, np.zeros((1, 2))])
@@ -42,7 +42,7 @@ def test_forward_and_expected_counts_against_all_segmentations():
 
 def test_rounds_raise_the_likelihood():
     counts = {"x": {"thing": 5, "other": 3, "nothing": 2, "éclair": 1}}
-    pieces = pieces_of(language.VOCABULARY)
+    pieces = Pieces(language.VOCABULARY)
 
     def total(table):
         return sum(n * np.log(forward(pieces.places(np.frombuffer((" " + w).encode(), np.uint8)[None]), table)[-1, 0, 0]) for w, n in counts["x"].items())
