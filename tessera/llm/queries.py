@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tessera.llm import chat, exact, extract, jaccard, language, likelihood, mixing, packing, pii, quality
+from tessera.llm import chat, exact, extract, jaccard, language, likelihood, mixing, packing, pii, quality, runs, windows
 
 QUERIES = {
     "op1_quality_rules": quality.op1_quality_rules,
@@ -15,6 +15,8 @@ QUERIES = {
     "op8_extract_text": extract.op8_extract_text,
     "op9_pseudo_likelihood": likelihood.op9_pseudo_likelihood,
     "op10_ngram_jaccard": jaccard.op10_ngram_jaccard,
+    "op11_window_packing": windows.op11_window_packing,
+    "op12_periodic_runs": runs.op12_periodic_runs,
 }
 
 ORACLES = {
