@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessera.functions import scalars
-from tessera.operators import columns, cuts, experiments, groups, joins, stats
+from tessera.operators import columns, cuts, experiments, groups, joins, numbering, stats
 from tessera.plans.base import (
     FAMILIES,
     IMAGES_SQL,
@@ -126,6 +126,44 @@ def chunk_ids(spark, d):
     return table(spark, d, "orders").select("o_orderkey", columns.chunk_of(F.col("o_orderkey"), 1000).alias("chunk"))
 
 
+@query(
+    "row_ids",
+    """SELECT l_orderkey, l_linenumber, l_shipdate, row_id, row_id // 1000 AS chunk FROM (
+         SELECT l_orderkey, l_linenumber, CAST(l_shipdate AS VARCHAR) AS l_shipdate,
+                row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_shipdate) - 1 AS row_id FROM lineitem)""",
+)
+def row_ids(spark, d):
+    """Lines numbered through, and the chunk of 1000 that each lies in."""
+    lines = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_shipdate").cast("string"), "l_partkey", "l_suppkey", "l_extendedprice")
+    order = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate"]
+    return numbering.row_chunks(lines, 1000, order).drop("l_partkey", "l_suppkey", "l_extendedprice")
+
+
+@query(
+    "running_characters",
+    """SELECT doc_id, CAST(sum(n_chars) OVER (ORDER BY doc_id) AS BIGINT) AS up_to, CAST(sum(n_chars) OVER (PARTITION BY source ORDER BY doc_id) AS BIGINT) AS in_source,
+              row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS place FROM documents""",
+)
+def running_characters(spark, d):
+    """Characters up to each document, in all and in its source, and its place there."""
+    docs = table(spark, d, "documents").select("doc_id", "source", F.col("n_chars").cast("bigint").alias("n_chars"))
+    summed = numbering.running_sum(numbering.running_sum(docs, "n_chars", ["doc_id"], out="up_to"), "n_chars", ["doc_id"], ["source"], "in_source")
+    return numbering.numbered(summed, ["doc_id"], ["source"], "place").drop("source", "n_chars")
+
+
+@query(
+    "positional_zip",
+    """WITH a AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS place FROM documents),
+            b AS (SELECT doc_id AS ranked_doc, n_chars, row_number() OVER (ORDER BY n_chars, doc_id) AS place FROM documents)
+       SELECT doc_id, ranked_doc, n_chars FROM a JOIN b USING (place)""",
+)
+def positional_zip(spark, d):
+    """Two frames side by side by place: documents by id, and by length."""
+    docs = table(spark, d, "documents")
+    ranked = docs.select(F.col("doc_id").alias("ranked_doc"), "n_chars")
+    return numbering.zip_rows(docs.select("doc_id"), ranked, ["doc_id"], ["n_chars", "ranked_doc"])
+
+
 # ---- joins -----------------------------------------------------------------------------
 
 
