@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tessera.llm import chat, exact, extract, jaccard, language, likelihood, mixing, packing, pii, quality, runs, windows
+from tessera.llm import chat, exact, extract, jaccard, language, likelihood, merkle, mixing, packing, pii, quality, runs, windows
 
 QUERIES = {
     "op1_quality_rules": quality.op1_quality_rules,
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_ngram_jaccard": jaccard.op10_ngram_jaccard,
     "op11_window_packing": windows.op11_window_packing,
     "op12_periodic_runs": runs.op12_periodic_runs,
+    "op13_merkle_manifest": merkle.op13_merkle_manifest,
 }
 
 ORACLES = {
@@ -25,4 +26,5 @@ ORACLES = {
     "op6_tool_calls": chat.OP6_SQL,
     "op7_exact_dedup": exact.OP7_SQL,
     "op10_ngram_jaccard": jaccard.OP10_SQL,
+    "op13_merkle_manifest": merkle.OP13_SQL,
 }
