@@ -82,14 +82,15 @@ def ablation(
     test: DataFrame,
     names: list[str],
     fit: Callable[[DataFrame], Callable[[DataFrame], DataFrame]],
-    threads: int = 4,
+    threads: int = 1,
 ) -> DataFrame:
     """Fit, predict, time and score every subset of the feature families.
 
     fit takes a frame with `vector` and `class_id` and returns a function that adds
     `prediction`. Both input frames should be stored or cached: every subset reads them.
-    A few threads on the driver keep several Spark jobs going; only the result line of
-    each subset (one accuracy, one width) comes back to it.
+    Subsets are fitted one after the other, so that each has the cluster to itself while it is
+    timed; with more threads the times hold what the others take. Only the result line
+    of each subset (one accuracy, one width) comes back to the driver.
     """
     spark = train.sparkSession
 

@@ -1,4 +1,4 @@
-"""Classifiers and components on feature vectors, fitted by MLlib.
+"""Classifiers on feature vectors: MLlib's, linear machines, nearest means.
 
 Input frames have class_id and an array column `vector`; predictions come back as a
 column `prediction` next to the input columns.
@@ -8,19 +8,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
-from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.classification import LinearSVC, LogisticRegression, MultilayerPerceptronClassifier
-from pyspark.ml.feature import PCA
+from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
-from tessera.operators import stats
+from tessera.operators import machines, stats
 from tessera.session import settle
 
 Predict = Callable[[DataFrame], DataFrame]
@@ -66,87 +64,28 @@ def perceptron(hidden: list[int], classes: int, max_iter: int = 50, seed: int =
     return fit
 
 
-def _fit_planes(
-    ready: DataFrame, problems: list[tuple[DataFrame, int]], penalty: float, max_iter: int, threads: int
-) -> tuple[np.ndarray, np.ndarray]:
-    """One linear machine per two-class problem (rows with a 0/1 label, their number): weights and shifts."""
-
-    def one(problem: tuple[DataFrame, int]):
-        rows, count = problem
-        # mean loss + reg/2 |w|^2 is penalty * summed loss + 1/2 |w|^2 for reg = 1 / (penalty * count)
-        svc = LinearSVC(regParam=1.0 / (penalty * count), maxIter=max_iter, standardization=False)
-        model = svc.fit(rows)
-        return model.coefficients.toArray(), model.intercept
+def svc_one_vs_rest(penalty: float = SVC_PENALTY, max_iter: int = 100) -> Callable[[DataFrame], Predict]:
+    """One linear machine per class against all others, on scaled columns; the farthest inside wins."""
+    return _svc(machines.one_vs_rest, machines.nearest_sides, penalty, max_iter)
 
-    with ThreadPoolExecutor(threads) as pool:
-        fitted = list(pool.map(one, problems))
-    return np.array([w for w, _ in fitted]), np.array([b for _, b in fitted])
 
+def svc_one_vs_one(penalty: float = SVC_PENALTY, max_iter: int = 100) -> Callable[[DataFrame], Predict]:
+    """One linear machine per pair of classes; most votes win, the lower class on a tie."""
+    return _svc(machines.one_vs_one, machines.most_votes, penalty, max_iter)
 
-def _svc(
-    problems_of: Callable[[DataFrame, dict[int, int]], list[tuple[DataFrame, int]]],
-    decide: Callable[[np.ndarray, np.ndarray], np.ndarray],
-    penalty: float,
-    max_iter: int,
-    threads: int,
-) -> Callable[[DataFrame], Predict]:
-    """Scale, fit all two-class problems, and predict a batch with one matrix product.
-
-    decide turns the distances (rows x problems) and the classes into the predicted class.
-    """
 
+def _svc(make: Callable, decide: Callable, penalty: float, max_iter: int) -> Callable[[DataFrame], Predict]:
     def fit(train: DataFrame) -> Predict:
-        moments = settle(stats.vector_moments(train, "vector"))
-        scale = lambda df: stats.scale_by(df, "vector", moments, "scaled")
-        ready = as_ml(scale(train), "scaled").select("features", "label").persist()
+        stored = train.select("class_id", "vector").persist()
         try:
-            sizes = {int(r["label"]): r["count"] for r in ready.groupBy("label").count().collect()}
-            weights, shifts = _fit_planes(ready, problems_of(ready, sizes), penalty, max_iter, threads)
+            found = machines.fit_machines(stored, lambda classes: make(classes, penalty), max_iter=max_iter)
         finally:
-            ready.unpersist()
-        bank = train.sparkSession.sparkContext.broadcast((weights, shifts, np.array(sorted(sizes))))
-
-        @arrow_udf(T.DoubleType())
-        def predict(scaled: pa.Array) -> pa.Array:
-            weights, shifts, classes = bank.value
-            flat = scaled.flatten().to_numpy(zero_copy_only=False).reshape(len(scaled), -1)
-            return pa.array(decide(flat @ weights.T + shifts, classes).astype(float))
-
-        return lambda df: scale(df).withColumn("prediction", predict("scaled")).drop("scaled")
+            stored.unpersist()
+        return machines.predictor(found, decide, train.sparkSession)
 
     return fit
 
 
-def svc_one_vs_rest(penalty: float = SVC_PENALTY, max_iter: int = 50, threads: int = 4) -> Callable[[DataFrame], Predict]:
-    """One linear machine per class against all others, on scaled columns; the farthest inside wins."""
-
-    def problems(ready: DataFrame, sizes: dict[int, int]):
-        return [(_as_label(ready, c), sum(sizes.values())) for c in sorted(sizes)]
-
-    return _svc(problems, lambda far, classes: classes[far.argmax(axis=1)], penalty, max_iter, threads)
-
-
-def svc_one_vs_one(penalty: float = SVC_PENALTY, max_iter: int = 50, threads: int = 4) -> Callable[[DataFrame], Predict]:
-    """One linear machine per pair of classes; most votes win, the lower class on a tie."""
-
-    def problems(ready: DataFrame, sizes: dict[int, int]):
-        both = lambda a, b: ready.where(F.col("label").isin(a, b))
-        return [(_as_label(both(a, b), b), sizes[a] + sizes[b]) for a, b in combinations(sorted(sizes), 2)]
-
-    def vote(far: np.ndarray, classes: np.ndarray) -> np.ndarray:
-        ends = np.array(list(combinations(classes, 2)))
-        winner = np.where(far > 0, ends[:, 1], ends[:, 0])
-        places = np.searchsorted(classes, winner) + np.arange(len(far))[:, None] * len(classes)
-        votes = np.bincount(places.ravel(), minlength=far.shape[0] * len(classes)).reshape(len(far), -1)
-        return classes[votes.argmax(axis=1)]
-
-    return _svc(problems, vote, penalty, max_iter, threads)
-
-
-def _as_label(rows: DataFrame, positive: int) -> DataFrame:
-    return rows.withColumn("label", (F.col("label") == positive).cast("double"))
-
-
 def _class_sums(train: DataFrame, vector: str, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Classes, their rows and their sums of whole numbers by position; one line a class comes to the driver."""
     lines = train.groupBy("class_id").agg(F.count("*").alias("n"), F.array(*[F.sum(F.get(vector, F.lit(i)).cast("bigint")) for i in range(width)]).alias("sums"))
@@ -221,35 +160,3 @@ def model_loss(predicted: DataFrame) -> DataFrame:
     return scored.select(
         "loss", "accuracy", F.sqrt("loss").alias("root_loss"), F.sqrt("accuracy").alias("root_accuracy")
     )
-
-
-def explained_variance(df: DataFrame, vector: str = "vector") -> DataFrame:
-    """Share of the variance of every component and the running sum."""
-    width = df.select(F.size(vector)).first()[0]
-    model = PCA(k=width, inputCol="features", outputCol="components").fit(
-        df.select(array_to_vector(F.col(vector).cast("array<double>")).alias("features"))
-    )
-    shares = model.explainedVariance.toArray()
-    lines = [(i, float(v), float(c)) for i, (v, c) in enumerate(zip(shares, np.cumsum(shares)))]
-    return df.sparkSession.createDataFrame(lines, "component int, variance double, cumulative double")
-
-
-def components(df: DataFrame, vector: str = "vector", keep: float = 0.95) -> DataFrame:
-    """Centred rows on the first components that hold more than `keep` of the variance.
-
-    The covariance (width x width) is summed over the cluster and solved on the driver, so
-    fit one feature family at a time when the whole row is very wide.
-    """
-    ready = df.withColumn("features", array_to_vector(F.col(vector).cast("array<double>")))
-    width = df.select(F.size(vector)).first()[0]
-    model = PCA(k=width, inputCol="features", outputCol="projected").fit(ready)
-    running = np.cumsum(model.explainedVariance.toArray())
-    chosen = min(width, int(np.searchsorted(running, keep, side="right")) + 1)
-    mean = stats.vector_moments(df, vector).select("moments.mean").first()[0]
-    shift = np.array(mean) @ model.pc.toArray()  # transform does not centre
-    moved = F.zip_with(
-        F.slice(vector_to_array("projected"), 1, chosen),
-        F.array(*[F.lit(float(s)) for s in shift[:chosen]]),
-        lambda x, s: x - s,
-    )
-    return model.transform(ready).withColumn("components", moved).drop("features", "projected")

@@ -111,11 +111,6 @@ def mean_colour_by_class(df: DataFrame, channels: dict[str, Column], by: str = "
     )
 
 
-def median_vectors(df: DataFrame, vector: str, by: str = "class_id") -> DataFrame:
-    """Element-wise median of the vectors of each class, as (class, pos, median)."""
-    return medians(df.select(by, F.posexplode(vector).alias("pos", "value")), "value", [by, "pos"])
-
-
 def matrix_extremes(df: DataFrame, vector: str) -> DataFrame:
     return df.agg(
         F.min(F.array_min(vector)).alias("smallest"), F.max(F.array_max(vector)).alias("largest")

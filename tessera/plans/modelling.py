@@ -5,9 +5,15 @@ from __future__ import annotations
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
-from tessera.operators import cuts, experiments, models
+from tessera.operators import cuts, experiments, gram, machines, models, spectra
 from tessera.operators import images as image_ops
-from tessera.plans.base import CLASSES, FAMILIES, KEY_SQL, PIXELS_SQL, PREDICTIONS_SQL, families, images, key, query, templates, tiles
+from tessera.plans.base import CLASSES, KEY_SQL, PIXELS_SQL, PREDICTIONS_SQL, TILES_SQL, images, key, query, templates, tiles
+
+
+#: Eight families of eight pixel levels each.
+PARTS = {f"f{i}": (8 * i, 8 * i + 8) for i in range(8)}
+#: Three families of one level each, whose least squares SQL can solve.
+SINGLES = {"a": (9, 10), "b": (30, 31), "c": (52, 53)}
 
 
 def _split(spark, d):
@@ -52,33 +58,50 @@ def perceptron(spark, d):
 @query("grid_cv")
 def grid_cv(spark, d):
     train, _ = _split(spark, d)
-    folded = train.withColumn("fold", cuts.fold_of(key(), 5))
-    candidates = {f"C={c}": models.svc_one_vs_rest(c, max_iter=100) for c in (0.005, 0.5)}
-    return models.grid_search(folded, candidates, "fold", 5)
+    return machines.grid_scores(train.withColumn("fold", cuts.fold_of(key(), 5)), [0.005, 0.01, 0.05, 0.1], "fold", 5)
 
 
 @query("explained_variance")
 def explained_variance(spark, d):
-    return models.explained_variance(images(spark, d), "embedding")
+    return spectra.explained_variance(images(spark, d), "embedding")
 
 
 @query("components")
 def components(spark, d):
-    return models.components(images(spark, d), "embedding").select(
+    return spectra.components(images(spark, d), "embedding").select(
         "image_id", F.size("components").alias("kept"), F.posexplode("components").alias("pos", "v")
     )
 
 
+@query(
+    "variance_trace",
+    """WITH x AS (SELECT vec_id, CAST(unnest(embedding) AS DOUBLE) AS v, generate_subscripts(embedding, 1) AS pos FROM embeddings)
+       SELECT CAST(count(*) AS INTEGER) AS components, round(sum(s), 6) AS trace, round(sum(s), 6) AS along_components FROM (SELECT pos, var_samp(v) AS s FROM x GROUP BY pos)""",
+)
+def variance_trace(spark, d):
+    """The summed variance of all positions, and of all components."""
+    found = spectra.spectrum(images(spark, d), "embedding", spectra.MOST)
+    line = (len(found.variances), round(found.trace, 6), round(float(found.variances.sum()), 6))
+    return spark.createDataFrame([line], "components int, trace double, along_components double")
+
+
+def _halves(spark, d):
+    rows = tiles(spark, d).withColumn("split", cuts.split_hashed(key(), 0.8)).withColumnRenamed("plane", "vector").persist()
+    return [rows.where(F.col("split") == part) for part in ("train", "test")]
+
+
 @query("ablation")
 def ablation(spark, d):
-    """All 15 subsets of four feature families."""
-    rows = families(spark, d).withColumn("split", cuts.split_hashed(key(), 0.8)).persist()
-    train, test = (rows.where(F.col("split") == part) for part in ("train", "test"))
-    return experiments.ablation(train, test, FAMILIES, models.logistic(max_iter=5))
+    """All 255 subsets of eight feature families by least squares from one matrix of inner products."""
+    return gram.ablation(*_halves(spark, d), PARTS)[0]
 
 
-#: Eight families of eight pixel levels each.
-PARTS = {f"f{i}": (8 * i, 8 * i + 8) for i in range(8)}
+@query("ablation_svc")
+def ablation_svc(spark, d):
+    """Accuracy of linear machines, one for each pair of classes, on all 255 subsets, fitted together."""
+    train, test = _halves(spark, d)
+    return machines.subset_scores(train, test, PARTS)
+
 
 SPLIT_SQL = f"""{PIXELS_SQL}, split AS (
   SELECT image_id, class_id, pos, v, {KEY_SQL} AS k FROM px)"""
@@ -101,6 +124,35 @@ def ablation_counts(spark, d):
     return experiments.ablation_counts(train, test, 64, PARTS)
 
 
+def _squares_sql() -> str:
+    """Least squares of the class marks on up to three scaled columns by Cramer's rule; a column left out is a row of the unit matrix."""
+    place = {name: cut[0] for name, cut in SINGLES.items()}
+    wide = ", ".join(f"CAST(plane[{p + 1}] AS DOUBLE) AS {n}" for n, p in place.items())
+    pairs = [("a", "a"), ("b", "b"), ("c", "c"), ("a", "b"), ("a", "c"), ("b", "c")]
+    entry = {(x, y): f"CASE WHEN i{x} AND i{y} THEN {'1 + ' + str(gram.RIDGE) if x == y else f'r{x}{y}'} ELSE {1.0 if x == y else 0.0} END AS {x}{y}" for x, y in pairs}
+    det = lambda u, v, w: f"({u[0]} * ({v[1]} * {w[2]} - {w[1]} * {v[2]}) - {v[0]} * ({u[1]} * {w[2]} - {w[1]} * {u[2]}) + {w[0]} * ({u[1]} * {v[2]} - {v[1]} * {u[2]}))"
+    cols, marks = [("aa", "ab", "ac"), ("ab", "bb", "bc"), ("ac", "bc", "cc")], ("ma", "mb", "mc")
+    solved = ", ".join(f"{det(*[marks if k == j else cols[k] for k in range(3)])} / {det(*cols)} AS w{n}" for j, n in enumerate("abc"))
+    return f"""WITH {TILES_SQL}, rows AS (SELECT image_id, class_id, {wide}, substr({KEY_SQL}, 1, 8) < '{int(0.8 * 2**32):08x}' AS train FROM tiles),
+    n AS (SELECT count(*) AS n, {", ".join(f"sum({x}) / count(*) AS u{x}" for x in "abc")}, {", ".join(f"sum({x} * {y}) / count(*) AS p{x}{y}" for x, y in pairs)} FROM rows WHERE train),
+    z AS (SELECT *, {", ".join(f"sqrt(p{x}{x} - u{x} * u{x}) AS s{x}" for x in "abc")} FROM n),
+    r AS (SELECT *, {", ".join(f"(p{x}{y} - u{x} * u{y}) / (s{x} * s{y}) AS r{x}{y}" for x, y in pairs if x != y)} FROM z),
+    m AS (SELECT class_id AS k, count(*) AS nk, {", ".join(f"sum({x}) AS t{x}" for x in "abc")} FROM rows WHERE train GROUP BY 1),
+    sub(subset, ia, ib, ic) AS (VALUES ('a', true, false, false), ('b', false, true, false), ('c', false, false, true), ('a+b', true, true, false), ('a+c', true, false, true), ('b+c', false, true, true), ('a+b+c', true, true, true)),
+    e AS (SELECT subset, k, nk, n, ua, ub, uc, sa, sb, sc, {", ".join(entry.values())},
+            {", ".join(f"CASE WHEN i{x} THEN (t{x} - nk * u{x}) / n / s{x} ELSE 0.0 END AS m{x}" for x in "abc")} FROM sub, r, m),
+    w AS (SELECT subset, k, CAST(nk AS DOUBLE) / n AS base, ua, ub, uc, sa, sb, sc, {solved} FROM e),
+    f AS (SELECT subset, image_id, class_id AS actual, k, base + wa * (a - ua) / sa + wb * (b - ub) / sb + wc * (c - uc) / sc AS score FROM rows, w WHERE NOT train),
+    p AS (SELECT subset, actual, k AS predicted FROM f QUALIFY row_number() OVER (PARTITION BY subset, image_id ORDER BY round(score, 9) DESC, k) = 1)
+    SELECT subset, actual, predicted, CAST(count(*) AS BIGINT) AS n FROM p GROUP BY ALL"""
+
+
+@query("ablation_squares", _squares_sql())
+def ablation_squares(spark, d):
+    """Confusion counts of the least squares on all subsets of three single levels."""
+    return gram.ablation(*_halves(spark, d), SINGLES)[1]
+
+
 @query(
     "grid_cv_means",
     f"""WITH {PIXELS_SQL}, rows AS (SELECT *, CAST(CAST('0x' || substr({KEY_SQL}, 1, 8) AS BIGINT) % 5 AS INTEGER) AS fold FROM px),

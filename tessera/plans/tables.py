@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessera.functions import scalars
-from tessera.operators import columns, cuts, experiments, groups, joins, numbering, stats
+from tessera.operators import columns, cuts, experiments, groups, joins, middles, numbering, stats
 from tessera.plans.base import (
     FAMILIES,
     IMAGES_SQL,
@@ -365,7 +365,7 @@ def mean_colour_class(spark, d):
     FROM (SELECT label, unnest(embedding) AS x, generate_subscripts(embedding, 1) - 1 AS pos FROM embeddings) GROUP BY 1, 2""",
 )
 def median_vector_class(spark, d):
-    return stats.median_vectors(images(spark, d), "embedding").withColumn("median", F.round("median", 6))
+    return middles.median_vectors(images(spark, d), "embedding").withColumn("median", F.round("median", 6))
 
 
 @query(
