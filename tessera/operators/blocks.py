@@ -71,20 +71,15 @@ def _add_sorted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield done()
 
 
-def sums(df: DataFrame, shapes: dict[str, tuple[int, ...]], add: Callable[[Arrays, pa.RecordBatch], None], parts: int | None = None) -> Arrays:
-    """Arrays of the given shapes to which `add` has added every batch of the frame; an empty frame leaves them as they begin.
+def gathered(df: DataFrame, shapes: dict[str, tuple[int, ...]], task: Callable[[Iterator[pa.RecordBatch]], Arrays | None], parts: int | None = None) -> Arrays:
+    """Arrays of the given shapes, merged from those that `task` gives for each partition (None: nothing).
 
     `parts` is the number of the frame's partitions, asked for where it is not known.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        arrays = {name: np.full(shape, _how(name)[1]) for name, shape in shapes.items()}
-        rows = 0
-        for batch in batches:
-            if batch.num_rows:
-                add(arrays, batch)
-                rows += batch.num_rows
-        if rows:
+        arrays = task(batch for batch in batches if batch.num_rows)
+        if arrays is not None:
             yield from _cells(arrays, TaskContext.get().partitionId())
 
     parts = parts or df.rdd.getNumPartitions()
@@ -99,3 +94,16 @@ def sums(df: DataFrame, shapes: dict[str, tuple[int, ...]], add: Callable[[Array
         held = found[row["name"]][start : start + len(given)]
         _how(row["name"])[0](held, given, out=held)
     return {name: found[name].reshape(shape) for name, shape in shapes.items()}
+
+
+def sums(df: DataFrame, shapes: dict[str, tuple[int, ...]], add: Callable[[Arrays, pa.RecordBatch], None], parts: int | None = None) -> Arrays:
+    """Arrays of the given shapes to which `add` has added every batch of the frame; an empty frame leaves them as they begin."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Arrays | None:
+        arrays = None
+        for batch in batches:
+            arrays = arrays or {name: np.full(shape, _how(name)[1]) for name, shape in shapes.items()}
+            add(arrays, batch)
+        return arrays
+
+    return gathered(df, shapes, task, parts)

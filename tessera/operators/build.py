@@ -20,7 +20,7 @@ def image_table(
 
     folder is the part of root that is read; the steps are chained column functions.
     """
-    listed = readers.list_files(spark, root)
+    listed = readers.list_files(spark, root, folder=folder)
     joined = readers.with_images(readers.read_index(spark, index_path), readers.read_images(spark, root, folder), listed)
     region = [F.col(f"roi_{c}") for c in ("x1", "y1", "x2", "y2")]
     cropped = with_sizes(joined.withColumn("cropped_image", ops.crop("image", *region)), "cropped_image", "cropped_")
@@ -36,7 +36,7 @@ def image_table(
 def meta_table(spark: SparkSession, meta_path: str, root: str, folder: str = "Meta", size: int = 64) -> DataFrame:
     """Class table with its template images, as read and rescaled."""
     meta = readers.read_meta(spark, meta_path)
-    listed = readers.list_files(spark, root)
+    listed = readers.list_files(spark, root, folder=folder)
     joined = readers.with_images(meta, readers.read_images(spark, root, folder), listed).withColumnRenamed("image", "meta_image")
     named = with_sizes(joined, "meta_image", "meta_")
     scaled = named.withColumn("scaled_meta_image", ops.rescale(size)("meta_image"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from itertools import combinations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators import evaluate, models
@@ -66,6 +66,38 @@ def record_runs(grid: DataFrame, results: DataFrame, names: list[str]) -> DataFr
     return grid.join(results, names, "left")
 
 
+def run_missing(
+    plan: DataFrame, ledger: str, names: list[str], execute: Callable[[Row], dict], results: str, most: int = 100_000
+) -> DataFrame:
+    """The plan with the results of its runs, after those that the ledger lacks have been made.
+
+    The ledger is an append-only table of finished runs: the parameters `names`, the columns of `results` (a
+    schema) and seconds. Each line is written when its run ends, so a call that is cut short loses one run at
+    most and the next call goes on from there. Runs are made one after the other, so seconds is the time of a
+    run that has the cluster to itself. execute takes a line of the plan and returns its results by
+    name. A plan with more than `most` open runs is an error.
+    """
+    spark = plan.sparkSession
+    kinds = [f"`{n}` {plan.schema[n].dataType.simpleString()}" for n in names]
+    schema = ", ".join([*kinds, results, "seconds double"])
+    spark.createDataFrame([], schema).write.mode("append").parquet(ledger)
+    known = spark.read.schema(schema).parquet(ledger)
+    same = [F.col(f"p.`{n}`").eqNullSafe(F.col(f"k.`{n}`")) for n in names]
+    open_ = plan.select(*names).distinct().alias("p").join(known.alias("k"), same, "left_anti").orderBy(*names).limit(most + 1).collect()
+    if len(open_) > most:
+        raise ValueError(f"more than {most} runs to make")
+    for line in open_:
+        began = time.perf_counter()
+        found = execute(line)
+        row = {**line.asDict(), **found, "seconds": time.perf_counter() - began}
+        frame = spark.createDataFrame([], schema)
+        frame = spark.createDataFrame([tuple(row[c] for c in frame.columns)], frame.schema)
+        frame.coalesce(1).write.mode("append").parquet(ledger)
+    known = spark.read.schema(schema).parquet(ledger).dropDuplicates(names)
+    joined = plan.alias("p").join(known.alias("k"), same, "left")
+    return joined.select("p.*", *[f"k.`{c}`" for c in known.columns if c not in names])
+
+
 def compare_models(df: DataFrame, by: str = "feature") -> DataFrame:
     """Weighted precision, recall and F1 of several models from their predictions."""
     return evaluate.weighted_scores(evaluate.confusion_counts(df, [by]), [by])

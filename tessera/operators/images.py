@@ -7,12 +7,12 @@ batches short for big images (spark.sql.execution.arrow.maxRecordsPerBatch).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable, Iterator
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.functions import predict_batch_udf
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,6 +20,7 @@ from pyspark.sql.functions import arrow_udf
 
 from tessera import schema
 from tessera.functions import kernels, planes
+from tessera.operators.numbering import numbered
 from tessera.session import settle
 
 Kernel = Callable[[np.ndarray], np.ndarray]
@@ -354,48 +355,50 @@ def _as_matrix(planes: pa.Array) -> np.ndarray:
 
 
 def _banks(stored: DataFrame, max_bytes: int) -> Iterator[tuple[list, np.ndarray]]:
-    """Templates (class_id, plane) in class order as stacks below max_bytes, cut between classes, one at a time.
-
-    Templates of one class come in the order of their pixels.
-    """
-    sizes = stored.groupBy("class_id").agg(F.sum(F.size("plane").cast("bigint") * 8).alias("held")).orderBy("class_id").collect()
-    parts: list[list] = []
-    held = 0
-    for line in sizes:
-        if not parts or held + line["held"] > max_bytes:
-            parts.append([])
-            held = 0
-        parts[-1].append(line["class_id"])
-        held += line["held"]
-    for part in parts:
-        rows = stored.where(F.col("class_id").between(part[0], part[-1])).orderBy("class_id", "plane").collect()
-        yield [r["class_id"] for r in rows], np.array([r["plane"] for r in rows])
-
-
-def _by_bank(df: DataFrame, banks: Iterable, column: Callable, name: str) -> DataFrame:
-    """df with one array column, the parts of every bank end to end.
-
-    The images meet one bank after the other. A bank is broadcast for its pass alone, and what it gave
-    is written before the next, so executors hold one at a time whatever the number of templates.
+    """Templates (class_id, plane) in the order of class and pixels as stacks of at most max_bytes (one template at least), one at a time."""
+    count, width = stored.agg(F.count("*"), F.max(F.size("plane"))).first()
+    each = max(1, max_bytes // (8 * max(1, width or 0)))
+    cuts = [stored]
+    if count > each:
+        placed = numbered(stored, ["class_id", "plane"], out="template_place")
+        cuts = [placed.where(F.col("template_place").between(a, a + each - 1)) for a in range(0, count, each)]
+    for rows in cuts if count else []:
+        part = rows.orderBy("class_id", "plane").collect()
+        yield [r["class_id"] for r in part], np.array([r["plane"] for r in part])
+
+
+def _by_bank(df: DataFrame, banks: Iterable, column: Callable, name: str, source: str) -> DataFrame:
+    """df with one array column, the parts of every bank end to end; `source` is the column they are made from.
+
+    The images meet one bank after the other. A bank is broadcast for its pass alone; what it gives is
+    written under a hash of the image (equal images share a line) and joined at the end, so
+    no image is written or moved for a bank, and executors hold one bank at a time.
     """
-    held = None
-    for classes, stack in banks:
-        if held is not None:
-            df = settle(df)
-            held.unpersist()
-        held = df.sparkSession.sparkContext.broadcast(stack)
-        part = column(classes, held)
-        df = df.withColumn(name, F.concat(name, part)) if name in df.columns else df.withColumn(name, part)
-    if held is None:
+    context = df.sparkSession.sparkContext
+    banks = iter(banks)
+    first, second = next(banks, None), next(banks, None)
+    if first is None:
         raise ValueError("no templates")
-    return df
+    if second is None:
+        return df.withColumn(name, column(first[0], context.broadcast(first[1])))
+    keys = {"bank_hash": F.xxhash64(F.lit(1), F.col(source)), "bank_check": F.xxhash64(F.lit(2), F.col(source))}
+    parts = None
+    for number, (classes, stack) in enumerate(chain([first, second], banks)):
+        held = context.broadcast(stack)
+        lines = df.select(*[value.alias(k) for k, value in keys.items()], column(classes, held).alias("part"))
+        lines = settle(lines.groupBy(*keys).agg(F.first("part").alias("part")).withColumn("bank", F.lit(number)))
+        held.unpersist()
+        parts = lines if parts is None else parts.unionByName(lines)
+    ordered = F.sort_array(F.collect_list(F.struct("bank", "part")))
+    merged = parts.groupBy(*keys).agg(F.flatten(F.transform(ordered, lambda x: x["part"])).alias(name))
+    return df.withColumns(keys).join(merged, list(keys), "left").select(*[f"`{c}`" for c in df.columns if c != name], name)
 
 
 def plane_scores(df: DataFrame, templates: DataFrame, plane: str = "plane", max_bytes: int = TEMPLATE_BYTES) -> DataFrame:
     """Column scores: array of (class_id, score) against every template, in class order; null for a null plane.
 
     A template table below max_bytes is sent to the executors and each batch is one matrix product.
-    A larger one is cut into banks that the images meet in turn, with the same result.
+    A larger one is cut into banks, where need be inside a class, that the images meet in turn, with the same result.
     """
     stored = settle(templates.select("class_id", "plane"))
 
@@ -410,7 +413,7 @@ def plane_scores(df: DataFrame, templates: DataFrame, plane: str = "plane", max_
 
         return score(plane)
 
-    return _by_bank(df.drop("scores"), _banks(stored, max_bytes), column, "scores")
+    return _by_bank(df.drop("scores"), _banks(stored, max_bytes), column, "scores", plane)
 
 
 def _stored_planes(templates: DataFrame, image: str) -> tuple[DataFrame, int, int]:
@@ -438,7 +441,7 @@ def template_pattern(
     def column(classes: list, bank) -> Column:
         return vector_map(lambda s: kernels.template_map(kernels.grey(s), bank.value.reshape(-1, h, w), margin), "float")(image)
 
-    return _by_bank(df.drop("template_pattern"), _banks(stored, max_bytes), column, "template_pattern")
+    return _by_bank(df.drop("template_pattern"), _banks(stored, max_bytes), column, "template_pattern", image)
 
 
 def all_features(
@@ -480,23 +483,38 @@ def all_features(
     more = next(banks, None)
     if more is None:
         return df
-    df = settle(df)
-    bank.unpersist()
-    df = _by_bank(df, chain([more], banks), column, "_more")
+    df = _by_bank(df, chain([more], banks), column, "_more", image)
     whole = F.concat("features.template_pattern", "_more")
     return df.withColumn("features", F.col("features").withField("template_pattern", whole)).drop("_more")
 
 
+_MODELS: dict[str, Callable] = {}
+
+
 def embedder(predict, values: int, batch: int = 100) -> Callable[[Column], Column]:
     """Column function image -> embedding from any predict function.
 
     predict is called once per Python worker and returns a function from a float stack
-    (n, values) to an (n, k) matrix; values is height * width * channels of every image.
+    (n, values) to an (n, k) matrix; values is height * width * channels of every image. Images cross to
+    Python once, and `batch` of them at most are predicted at a time; a null image has no embedding.
     """
-    flat = vector_map(lambda s: kernels.to_unit(s).reshape(len(s), -1), "float")
-    kind = T.ArrayType(T.FloatType())
-    model = predict_batch_udf(predict, return_type=kind, batch_size=batch, input_tensor_shapes=[[values]])
-    return lambda image: model(flat(image))
+    name = uuid.uuid4().hex
+
+    def embed(stack: np.ndarray) -> list[np.ndarray]:
+        model = _MODELS[name]
+        flat = kernels.to_unit(stack).reshape(len(stack), -1).astype(np.float32, copy=False)
+        if flat.shape[1] != values:
+            raise ValueError(f"an image has not {values} but {flat.shape[1]} values")
+        return [row for a in range(0, len(flat), batch) for row in np.asarray(model(flat[a : a + batch]), np.float32)]
+
+    @arrow_udf(T.ArrayType(T.FloatType()))
+    def run(images: pa.Array) -> pa.Array:
+        if name not in _MODELS:
+            _MODELS.clear()  # workers serve one model at a time
+            _MODELS[name] = predict()
+        return vectors(by_shape(unpack(images), embed), pa.float32())
+
+    return run
 
 
 def embed_images(df: DataFrame, predict, values: int, batch: int = 100, image: str = "image", name: str = "embedding") -> DataFrame:

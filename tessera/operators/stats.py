@@ -38,10 +38,16 @@ def mean_median(df: DataFrame, names: list[str]) -> DataFrame:
     return means.join(medians(long, "value", ["name"]), "name")
 
 
+#: Values that distinct_classes lists at most.
+MOST_CLASSES = 1_000_000
+
+
 def distinct_classes(df: DataFrame, by: str = "class_id") -> DataFrame:
-    return df.agg(
-        F.sort_array(F.collect_set(by)).alias("classes"), F.countDistinct(by).alias("n_classes")
-    )
+    """One row: the distinct values, without null, and their number; an error where there are more than MOST_CLASSES."""
+    found = df.select(by).where(F.col(by).isNotNull()).distinct().limit(MOST_CLASSES + 1)
+    many = F.raise_error(F.lit(f"more than {MOST_CLASSES} distinct values of {by}")).cast("bigint")
+    count = F.count("*")
+    return found.agg(F.sort_array(F.collect_list(by)).alias("classes"), F.when(count > MOST_CLASSES, many).otherwise(count).alias("n_classes"))
 
 
 def value_histogram(df: DataFrame, plane: str, by: list[str]) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
-from tessera.operators import cuts, experiments, gram, machines, models, spectra
+from tessera.operators import cuts, experiments, gram, machines, models, nets, spectra
 from tessera.operators import images as image_ops
 from tessera.plans.base import CLASSES, KEY_SQL, PIXELS_SQL, PREDICTIONS_SQL, TILES_SQL, images, key, query, templates, tiles
 
@@ -55,6 +55,16 @@ def perceptron(spark, d):
     return _predicted(spark, d, models.perceptron([32], CLASSES, max_iter=100))
 
 
+@query("softmax_sgd")
+def softmax_sgd(spark, d):
+    return _predicted(spark, d, nets.softmax(20))
+
+
+@query("dense_net")
+def dense_net(spark, d):
+    return _predicted(spark, d, nets.dense_net([32], 20, first=CLASSES))
+
+
 @query("grid_cv")
 def grid_cv(spark, d):
     train, _ = _split(spark, d)
@@ -124,6 +134,24 @@ def ablation_counts(spark, d):
     return experiments.ablation_counts(train, test, 64, PARTS)
 
 
+@query(
+    "softmax_step",
+    f"""WITH {SPLIT_SQL}, train AS (SELECT * FROM split WHERE substr(k, 1, 8) < '{int(0.8 * 2**32):08x}'), test AS (SELECT * FROM split WHERE substr(k, 1, 8) >= '{int(0.8 * 2**32):08x}'),
+    m AS (SELECT class_id AS c, pos, count(*) AS n, sum(v) AS s FROM train GROUP BY 1, 2),
+    f AS (SELECT image_id, class_id AS actual, c, sum(s * v) + max(n) AS score FROM test JOIN m USING (pos) GROUP BY 1, 2, 3)
+    SELECT image_id, actual, c AS prediction FROM f QUALIFY row_number() OVER (PARTITION BY image_id ORDER BY score DESC, c) = 1""",
+)
+def softmax_step(spark, d):
+    """Classes after the first step of the softmax regression over all rows, averaged over the tasks.
+
+    From equal weights the first step leads along the classes' sums, which SQL can add up.
+    """
+    train, test = _halves(spark, d)
+    net = nets.fit_net(train, [], 1, 0.1, None, ones=1)
+    found = nets.predictor(net, spark)(test)
+    return found.select("image_id", F.col("class_id").alias("actual"), F.col("prediction").cast("int").alias("prediction"))
+
+
 def _squares_sql() -> str:
     """Least squares of the class marks on up to three scaled columns by Cramer's rule; a column left out is a row of the unit matrix."""
     place = {name: cut[0] for name, cut in SINGLES.items()}

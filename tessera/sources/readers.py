@@ -69,13 +69,13 @@ def relative_path(spark: SparkSession, path: Column, root: str) -> Column:
     return F.when(plain.startswith(front), inside).otherwise(F.raise_error(F.concat(path, F.lit(f" is not below {root}"))).cast("string"))
 
 
-def list_files(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
-    """Paths below a folder; file contents are not read."""
+def list_files(spark: SparkSession, root: str, glob: str = "*", folder: str = "") -> DataFrame:
+    """Paths below root/folder, relative to root; file contents are not read."""
     listing = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", glob)
         .option("recursiveFileLookup", True)
-        .load(root)
+        .load(f"{root.rstrip('/')}/{folder}")
         .select("path")
     )
     return listing.select(relative_path(spark, F.col("path"), root).alias("path"))  # this listing does not escape
@@ -130,9 +130,13 @@ def with_images(index: DataFrame, images: DataFrame, listed: DataFrame | None =
     return sound.join(sized(index), "path")
 
 
-def labelled_images(index: DataFrame, images: DataFrame, side: int, labelled: bool = True) -> DataFrame:
-    """(image, class_id) or (image, image_id) pairs; an image that is not side x side is an error."""
-    joined = with_images(index, images)
+def labelled_images(index: DataFrame, images: DataFrame, side: int, labelled: bool = True, listed: DataFrame | None = None) -> DataFrame:
+    """(image, class_id) or (image, image_id) pairs; an image that is not side x side is an error.
+
+    So is an index row without a file. These are looked for in `listed`, the listing of the files, which needs
+    no pixels, and without it in the paths of the images.
+    """
+    joined = with_images(index, images, images if listed is None else listed)
     fits = (F.col("image.height") == side) & (F.col("image.width") == side)
     wrong = F.raise_error(F.concat(F.col("path"), F.lit(f" is not {side} x {side}"))).cast("boolean")
     return joined.where(F.when(fits, True).otherwise(wrong)).select("image", "class_id" if labelled else "image_id")
