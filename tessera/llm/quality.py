@@ -13,8 +13,8 @@ WINDOW = 8
 MIN_WORDS = 20
 REPEAT_PERCENT = 30
 #: A line is boilerplate of its host when so many of the host's documents, and this share of them, hold it.
-LINE_DOCS = 20
-LINE_SHARE = 0.1
+LINE_DOCS = 5
+LINE_SHARE = 0.01
 #: A document is depleted when fewer words than MIN_WORDS, or less than this share of them, are left.
 LEFT_SHARE = 0.5
 
@@ -49,19 +49,28 @@ def line_hashes(text: Column) -> Column:
     return F.transform(F.transform(plain, lambda line: F.trim(line)), lambda line: F.when(line != "", F.xxhash64(line)))
 
 
+def _document(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
 def frequent_lines(docs: DataFrame, least: int = LINE_DOCS, share: float = LINE_SHARE) -> DataFrame:
-    """host, frequent: the hashes of lines in at least `least` documents and `share` of the host's.
+    """of, document, n_lines_removed, n_words_gone, frequent: of each different text with lines frequent in its host, these lines.
 
-    Copies of a text count as one document. Counts are merged before each shuffle, so a host or
-    a line with a third of all rows is no single task. A host has at most 1 / share times the mean
-    number of lines of its documents here, which bounds the array.
+    A line is frequent that at least `least` documents and `share` of the host's hold; copies of a text count as
+    one document. Pairs of text and line are counted by host and line, counts merged before each shuffle, and
+    joined with the frequent ones, so neither a host nor a line with a third of all rows is a single task
+    and nothing is gathered but the lines of one text.
     """
-    rows = docs.select("host", F.xxhash64(F.coalesce("text", F.lit(""))).alias("doc"), F.array_compact(F.array_distinct(line_hashes(F.col("text")))).alias("lines"))
-    rows = keep(rows.dropDuplicates(["host", "doc"]), "lines")
-    held = rows.groupBy("host").agg(F.count("*").alias("docs"))
-    counts = rows.select("host", F.explode("lines").alias("line")).groupBy("host", "line").agg(F.count("*").alias("n")).where(F.col("n") >= least)
-    chosen = counts.join(sized(held.withColumnRenamed("host", "of")), F.col("host").eqNullSafe(F.col("of"))).where(F.col("n") >= share * F.col("docs"))
-    return chosen.groupBy("host").agg(F.collect_list("line").alias("frequent"))
+    line = F.transform(F.arrays_zip(F.split(F.coalesce("text", F.lit("")), "\n").alias("line"), line_hashes(F.col("text")).alias("h")), lambda x: F.struct(x["h"].alias("h"), F.size(words(x["line"])).alias("words")))
+    rows = docs.select("host", _document(F.col("text")).alias("document"), F.filter(line, lambda x: x["h"].isNotNull()).alias("lines"))
+    rows = keep(rows.dropDuplicates(["host", "document"]), "lines")
+    held = sized(rows.groupBy("host").agg(F.count("*").alias("docs")).withColumnRenamed("host", "of"))
+    once = F.array_distinct(F.transform("lines", lambda x: x["h"]))
+    counts = rows.select("host", F.explode(once).alias("h")).groupBy("host", "h").agg(F.count("*").alias("n")).where(F.col("n") >= least)
+    chosen = counts.join(held, F.col("host").eqNullSafe(F.col("of"))).where(F.col("n") >= share * F.col("docs"))
+    chosen = sized(keep(chosen.select(F.col("host").alias("of"), F.col("h").alias("known")), "frequent"))
+    pairs = rows.select("host", "document", F.inline("lines")).join(chosen, F.col("host").eqNullSafe(F.col("of")) & (F.col("h") == F.col("known")))
+    return pairs.groupBy(F.col("host").alias("of"), "document").agg(F.count("*").alias("n_lines_removed"), F.sum("words").alias("n_words_gone"), F.collect_set("h").alias("frequent"))
 
 
 def quality(docs: DataFrame, host: str = "source", least: int = LINE_DOCS, share: float = LINE_SHARE, left: float = LEFT_SHARE) -> DataFrame:
@@ -74,19 +83,17 @@ def quality(docs: DataFrame, host: str = "source", least: int = LINE_DOCS, share
     Other columns are ignored.
     """
     docs = pick(docs, "doc_id", host, "text").toDF("doc_id", "host", "text")
-    frequent = keep(frequent_lines(docs, least, share), "frequent").withColumnRenamed("host", "of")
-    rows = base_counts(docs).join(sized(frequent), F.col("host").eqNullSafe(F.col("of")), "left").drop("of")
-    touched = F.col("frequent").isNotNull() & F.col("text").isNotNull()
-    rows = rows.withColumn("line_list", F.when(touched, F.arrays_zip(F.split("text", "\n").alias("line"), line_hashes(F.col("text")).alias("h"))))
-    out = F.filter("line_list", lambda x: F.coalesce(F.array_contains("frequent", x["h"]), F.lit(False)))
-    rows = rows.withColumn("removed", F.coalesce(F.transform(out, lambda x: x["line"]), F.array().cast("array<string>")))
-    rows = rows.withColumn("n_lines_removed", F.size("removed").cast("bigint"))
-    gone = F.aggregate("removed", F.lit(0), lambda total, line: total + F.size(words(line)))
-    rows = rows.withColumn("n_words_left", (F.col("n_words") - gone).cast("bigint"))
-    stay = F.filter("line_list", lambda x: ~F.coalesce(F.array_contains("frequent", x["h"]), F.lit(False)))
-    cleaned = F.when(F.size("removed") > 0, F.array_join(F.transform(stay, lambda x: x["line"]), "\n")).otherwise(F.col("text"))
+    touched = sized(keep(frequent_lines(docs, least, share), "touched").withColumnRenamed("document", "touched"))
+    rows = base_counts(docs.withColumn("document", _document(F.col("text"))))
+    rows = rows.join(touched, F.col("host").eqNullSafe(F.col("of")) & (F.col("document") == F.col("touched")), "left")
+    rows = rows.withColumn("n_lines_removed", F.coalesce("n_lines_removed", F.lit(0)).cast("bigint"))
+    rows = rows.withColumn("n_words_left", (F.col("n_words") - F.coalesce("n_words_gone", F.lit(0))).cast("bigint"))
+    lines = F.arrays_zip(F.split("text", "\n").alias("line"), line_hashes(F.col("text")).alias("h"))
+    stay = F.filter(lines, lambda x: ~F.coalesce(F.array_contains("frequent", x["h"]), F.lit(False)))
+    cleaned = F.when(F.col("n_lines_removed") > 0, F.array_join(F.transform(stay, lambda x: x["line"]), "\n")).otherwise(F.col("text"))
     depleted = (F.col("n_words_left") < MIN_WORDS) | (F.col("n_words_left") < left * F.col("n_words"))
-    return rows.withColumn("cleaned", cleaned).withColumn("kept", ~F.col("base_failed") & ~depleted).drop("line_list", "removed", "frequent")
+    rows = rows.withColumn("cleaned", cleaned).withColumn("kept", ~F.col("base_failed") & ~depleted)
+    return rows.drop("of", "document", "touched", "n_words_gone", "frequent")
 
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
