@@ -10,8 +10,16 @@ from tessera.session import sized
 
 #: Kinds of JSON values by the type that a schema names.
 KINDS = {"string": ("STRING",), "integer": ("BIGINT",), "number": ("BIGINT", "DOUBLE", "DECIMAL"), "boolean": ("BOOLEAN",), "object": ("OBJECT",), "array": ("ARRAY",)}
-#: Tools of the query: name, parameter, type, required.
-TOOLS = [("ask", "text", "string", True), ("ask", "turn", "integer", True), ("ask", "words", "integer", False), ("configure", "text", "string", True)]
+#: Tools of the query: name, parameter, type, required. Turns break them: see tool_tables.
+TOOLS = [
+    ("ask", "text", "string", True),
+    ("ask", "turn", "integer", True),
+    ("ask", "title", "string", True),
+    ("ask", "lines", "integer", False),
+    ("ask", "words", "integer", False),
+    ("configure", "text", "string", True),
+]
+ROLES = ("user", "system", "assistant")
 
 
 def depths(calls: DataFrame) -> DataFrame:
@@ -90,44 +98,79 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> Data
     return linked.select("call_id", "name", "after", "depth", status.alias("status"), (F.size("errors") == 0).alias("valid"), "errors", written.alias("json"), "n_calls", "n_results")
 
 
-def tool_tables(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Calls and results read from turns: a user's turn asks, a system's configures, the assistant's next turn is the result.
+def _call_id(prefix: str, back: int = 0) -> Column:
+    turn = F.col("turn") - back
+    return F.concat_ws("_", F.lit(prefix), F.coalesce(F.col("conv_id").cast("string"), F.lit("null")), F.coalesce(turn.cast("string"), F.lit("null")))
 
-    A call follows the user's turn two before it, if there is one. Identifiers are conversation and turn.
-    """
-    rows = pick(conversations, "conv_id", "turn", "role", "text")
 
-    def call_id(back: int) -> Column:
-        turn = F.col("turn") - back
-        return F.concat_ws("_", F.lit("call"), F.coalesce(F.col("conv_id").cast("string"), F.lit("null")), F.coalesce(turn.cast("string"), F.lit("null")))
+def tool_tables(conversations: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Calls, results and rows of other roles read from turns: a user's turn asks, a system's configures, the assistant's next turn is the result.
 
+    A user's call has the text, the turn, the number of words, the number of lines (one line is the text "1", no
+    integer), a title (the text before its first full stop, where more follows it) and a question mark's flag
+    where the text has one, so whether its arguments fit the schema depends on the turn. A call follows the
+    user's turn two before it, if there is one. Identifiers are conversation and turn.
+    """
+    rows = pick(conversations, "conv_id", "turn", "role", "text")
     asks = F.col("role") == "user"
-    given = F.when(asks, F.to_json(F.struct("text", "turn", F.size(F.split(F.trim(F.col("text")), r"\s+")).alias("words")))).otherwise(F.to_json(F.struct("text")))
+    stop = F.instr("text", ".")
+    lines = F.size(F.split("text", "\n"))
+
+    def given(count: Column) -> Column:
+        return F.to_json(
+            F.struct(
+                F.when(F.col("text").isNotNull(), count).alias("lines"),
+                F.when(F.contains("text", F.lit("?")), F.lit(True)).alias("question"),
+                "text",
+                F.when((stop > 0) & (stop < F.char_length("text")), F.substring("text", F.lit(1), stop - 1)).alias("title"),
+                "turn",
+                F.size(F.split(F.trim(F.col("text")), r"\s+")).alias("words"),
+            )
+        )
+
+    asked = F.when(lines > 1, given(lines)).otherwise(given(F.lit("1")))
     calls = rows.where(F.col("role").isin("user", "system")).select(
-        call_id(0).alias("call_id"), F.when(asks, "ask").otherwise("configure").alias("name"), given.alias("arguments"), F.when(asks & F.col("turn").isNotNull(), call_id(2)).alias("after")
+        _call_id("call").alias("call_id"),
+        F.when(asks, "ask").otherwise("configure").alias("name"),
+        F.when(asks, asked).otherwise(F.to_json(F.struct("text"))).alias("arguments"),
+        F.when(asks & F.col("turn").isNotNull(), _call_id("call", 2)).alias("after"),
     )
-    results = rows.where(F.col("role") == "assistant").select(call_id(1).alias("call_id"), F.col("text").alias("content"))
-    return calls, results
+    results = rows.where(F.col("role") == "assistant").select(_call_id("call", 1).alias("call_id"), F.col("text").alias("content"))
+    others = rows.where(~F.coalesce(F.col("role").isin(*ROLES), F.lit(False))).select(_call_id("turn").alias("call_id"))
+    return calls, results, others
 
 
 def op6_tool_calls(spark, sf_dir):
-    calls, results = tool_tables(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    """Calls with their results, and with the status other_role a row for each turn of any other role or none."""
+    calls, results, others = tool_tables(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
     schemas = spark.createDataFrame(TOOLS, "name string, parameter string, type string, required boolean")
     found = link_calls(calls, results, schemas)
-    return found.withColumn("errors", F.array_join("errors", ","))
+    found = found.withColumn("errors", F.array_join("errors", ","))
+    kinds = {f.name: f.dataType for f in found.schema}
+    fixed = {"call_id": F.col("call_id"), "status": F.lit("other_role"), "n_calls": F.lit(0), "n_results": F.lit(0)}
+    return found.union(others.select(*[fixed.get(c, F.lit(None)).cast(kinds[c]).alias(c) for c in found.columns]))
 
 
 OP6_SQL = r"""
 WITH RECURSIVE t AS (
-    SELECT 'call_' || coalesce(conv_id::VARCHAR, 'null') || '_' AS pre, turn, role, text FROM conversations
+    SELECT 'call_' || coalesce(conv_id::VARCHAR, 'null') || '_' AS pre, conv_id, turn, role, text, len(string_split(text, chr(10))) AS lines,
+        CASE WHEN instr(text, '.') > 0 AND instr(text, '.') < length(text) THEN left(text, instr(text, '.') - 1) END AS title FROM conversations
 ), c0 AS (
     SELECT pre || coalesce(turn::VARCHAR, 'null') AS call_id, CASE WHEN role = 'user' THEN 'ask' ELSE 'configure' END AS name,
         CASE WHEN role = 'user' AND turn IS NOT NULL THEN pre || (turn - 2)::VARCHAR END AS after,
-        CASE WHEN role = 'user' THEN '{"text":' || to_json(text)::VARCHAR || ',"turn":' || turn || ',"words":' || len(regexp_split_to_array(trim(text, ' '), '\s+')) || '}'
-            ELSE '{"text":' || to_json(text)::VARCHAR || '}' END AS arguments
+        '{' || concat_ws(',',
+            CASE WHEN role = 'user' AND text IS NOT NULL THEN '"lines":' || CASE WHEN lines > 1 THEN lines::VARCHAR ELSE '"1"' END END,
+            CASE WHEN role = 'user' AND contains(text, '?') THEN '"question":true' END,
+            '"text":' || to_json(text)::VARCHAR,
+            CASE WHEN role = 'user' THEN '"title":' || to_json(title)::VARCHAR END,
+            CASE WHEN role = 'user' THEN '"turn":' || turn END,
+            CASE WHEN role = 'user' THEN '"words":' || len(regexp_split_to_array(trim(text, ' '), '\s+')) END) || '}' AS arguments,
+        concat_ws(',', CASE WHEN text IS NULL THEN 'missing text' END, CASE WHEN role = 'user' AND title IS NULL THEN 'missing title' END,
+            CASE WHEN role = 'user' AND turn IS NULL THEN 'missing turn' END, CASE WHEN role = 'user' AND lines = 1 THEN 'type lines' END,
+            CASE WHEN role = 'user' AND contains(text, '?') THEN 'unknown question' END) AS errors
     FROM t WHERE role IN ('user', 'system')
 ), c AS (
-    SELECT call_id, min(name) AS name, min(arguments) AS arguments, min(after) AS after, count(*) AS n_calls FROM c0 GROUP BY call_id
+    SELECT call_id, min(name) AS name, min(arguments) AS arguments, min(errors) AS errors, min(after) AS after, count(*) AS n_calls FROM c0 GROUP BY call_id
 ), r AS (
     SELECT pre || (turn - 1)::VARCHAR AS call_id, min(text) AS content, count(*) AS n_results FROM t WHERE role = 'assistant' GROUP BY 1
 ), d(call_id, depth) AS (
@@ -136,9 +179,12 @@ WITH RECURSIVE t AS (
 )
 SELECT coalesce(c.call_id, r.call_id) AS call_id, name, after, d.depth,
     CASE WHEN c.call_id IS NULL THEN 'no_call' WHEN r.call_id IS NULL THEN 'no_result' ELSE 'linked' END AS status,
-    CASE WHEN c.call_id IS NOT NULL THEN true END AS valid, CASE WHEN c.call_id IS NOT NULL THEN '' END AS errors,
+    errors = '' AS valid, errors,
     '{"arguments":' || coalesce(arguments, 'null') || ',"call_id":' || to_json(coalesce(c.call_id, r.call_id))::VARCHAR || ',"depth":' || coalesce(d.depth::VARCHAR, 'null')
         || ',"name":' || coalesce('"' || name || '"', 'null') || ',"result":' || coalesce(to_json(content)::VARCHAR, 'null') || '}' AS json,
     coalesce(n_calls, 0)::BIGINT AS n_calls, coalesce(n_results, 0)::BIGINT AS n_results
 FROM c FULL JOIN r ON c.call_id = r.call_id LEFT JOIN d ON d.call_id = c.call_id
+UNION ALL
+SELECT 'turn_' || coalesce(conv_id::VARCHAR, 'null') || '_' || coalesce(turn::VARCHAR, 'null'), NULL, NULL, NULL, 'other_role', NULL, NULL, NULL, 0, 0
+FROM t WHERE role IS NULL OR role NOT IN ('user', 'system', 'assistant')
 """

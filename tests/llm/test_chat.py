@@ -2,7 +2,9 @@
 
 import json
 
-from tessera.llm.chat import link_calls, tool_tables
+import duckdb
+
+from tessera.llm.chat import OP6_SQL, link_calls, op6_tool_calls, tool_tables
 
 CALLS = "call_id string, name string, arguments string, after string, DEPTH int, status int"
 RESULTS = "call_id string, content string, n_calls int"
@@ -68,6 +70,27 @@ def test_empty_tables(spark):
 
 def test_turns_with_nulls(spark):
     rows = [(1, 0, "system", None), (1, 1, "user", "hi"), (1, 2, "assistant", "yo"), (1, 3, "user", None), (None, 0, "user", "a b"), (2, None, "user", "q"), (3, 0, "assistant", "x"), (4, 0, None, "x"), (4, 1, "tool", "x")]
-    calls, results = tool_tables(spark.createDataFrame(rows, "conv_id long, turn int, role string, text string"))
+    calls, results, others = tool_tables(spark.createDataFrame(rows, "conv_id long, turn int, role string, text string"))
     assert {r.call_id: r.after for r in calls.collect()} == {"call_1_0": None, "call_1_1": "call_1_-1", "call_1_3": "call_1_1", "call_null_0": "call_null_-2", "call_2_null": None}
     assert {r.call_id for r in results.collect()} == {"call_1_1", "call_3_-1"}
+    assert {r.call_id for r in others.collect()} == {"turn_4_0", "turn_4_1"}
+
+
+def test_turns_that_break_the_schema(spark, tmp_path):
+    texts = {0: "First. Then\nmore", 2: "One line", 4: "Ends here.", 6: "What? Yes. Really", 8: None, 10: ". x\ny", 12: "", 14: "a\nb. c?"}
+    rows = [(1, turn, "user", text) for turn, text in texts.items()] + [(1, 1, "system", "s"), (1, 3, "system", None), (2, 0, "tool", "x"), (2, 1, None, "x"), (None, None, "user", "T. x\ny")]
+    spark.createDataFrame(rows, "conv_id long, turn int, role string, text string").write.parquet(str(tmp_path / "conversations.parquet"))
+    found = {r.call_id: r for r in op6_tool_calls(spark, str(tmp_path)).collect()}
+    errors = {turn: found[f"call_1_{turn}"].errors for turn in texts}
+    assert errors == {
+        0: "", 2: "missing title,type lines", 4: "missing title,type lines", 6: "type lines,unknown question", 8: "missing text,missing title",
+        10: "", 12: "missing title,type lines", 14: "unknown question",
+    }
+    assert found["call_1_1"].valid and found["call_1_3"].errors == "missing text" and found["call_null_null"].errors == "missing turn"
+    assert found["turn_2_0"].status == found["turn_2_1"].status == "other_role" and found["turn_2_0"].valid is None
+    assert json.loads(found["call_1_0"].json)["arguments"] == {"lines": 2, "text": "First. Then\nmore", "title": "First", "turn": 0, "words": 3}
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM '{tmp_path}/conversations.parquet/*.parquet'")
+    names = list(found["call_1_0"].asDict())
+    theirs = con.execute(f"SELECT {', '.join(names)} FROM ({OP6_SQL})").fetchall()
+    assert sorted(map(repr, theirs)) == sorted(repr(tuple(r)) for r in found.values())
