@@ -365,6 +365,7 @@ def thin_edges(strength: np.ndarray, angle: np.ndarray) -> np.ndarray:
     return framed
 
 
+# The default settings of the edge map.
 def edge_map(
     plane: np.ndarray,
     sigma: float = 1.0,

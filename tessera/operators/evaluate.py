@@ -24,7 +24,8 @@ def _labels(counted: DataFrame, classes: int) -> list[int]:
 def confusion(df: DataFrame, classes: int, by: list[str] | None = None) -> DataFrame:
     """Dense class x class counts in long form; df has actual and predicted.
 
-    The classes are 0 .. classes - 1 and all others that occur. Pairs with a null label keep their own line.
+    The classes are 0 .. classes - 1 and all others that occur; more than MOST_CLASSES are an error. Pairs with a null
+    label keep their own line.
     """
     by = by or []
     counted = settle(df.groupBy(*by, "actual", "predicted").agg(F.count("*").alias("n")))  # read twice below
@@ -43,7 +44,7 @@ def confusion_counts(df: DataFrame, by: list[str] | None = None) -> DataFrame:
 
 
 def confusion_wide(counts: DataFrame, classes: int) -> DataFrame:
-    """One column per predicted class: 0 .. classes - 1 and all others that occur."""
+    """One column per predicted class: 0 .. classes - 1 and all others that occur; more than MOST_CLASSES are an error."""
     return counts.groupBy("actual").pivot("predicted", _labels(counts, classes)).agg(F.sum("n")).fillna(0)
 
 
