@@ -19,9 +19,14 @@ VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: Documents of each language that the model is fitted on, those of the least hashes.
 FIT_DOCS = 1000
 ROUNDS = 4
-#: Bytes of a piece, and of a unit: longer words are scored in units of that length.
-LONGEST = 12
-UNIT = 32
+#: Bytes of the words that are learned from; longer ones are only scored.
+FIT_BYTES = 40
+#: A piece's probability counts e to the power of LIFT for each of its bytes while it is summed, so that sums stay numbers;
+#: they are brought back to 1 every SCALED bytes.
+LIFT = 4.0
+SCALED = 16
+#: Bytes of places of pieces held at a time.
+PLACE_BYTES = 8 * 1024 * 1024
 SMOOTH = 0.05
 #: Words whose scores a Python worker remembers.
 MEMORY = 300_000
@@ -38,10 +43,11 @@ class Pieces:
         with open(public_tokenizers.path(vocabulary), "rb") as lines:
             found = {base64.b64decode(line.split()[0]) for line in lines}
         spelt = re.compile(rb" ?[a-z\x80-\xff]+| ")
-        self.pieces = sorted({p for p in found if len(p) <= LONGEST and spelt.fullmatch(p)} | {bytes([b]) for b in range(256)}, key=lambda p: (len(p), p))
-        self.size = len(self.pieces)
+        self.pieces = sorted({p for p in found if spelt.fullmatch(p)} | {bytes([b]) for b in range(256)}, key=lambda p: (len(p), p))
+        self.size, self.longest = len(self.pieces), len(self.pieces[-1])
+        self.lengths = np.array([*map(len, self.pieces), 0])
         self.tables = []
-        for length in range(1, LONGEST + 1):
+        for length in range(1, self.longest + 1):
             ids = np.array([i for i, p in enumerate(self.pieces) if len(p) == length], np.int32)
             rows = np.frombuffer(b"".join(self.pieces[i] for i in ids), np.uint8).reshape(len(ids), length)
             hashes = np.zeros(len(ids), np.uint64)
@@ -54,7 +60,7 @@ class Pieces:
         """For units of one length (rows of bytes): by piece length, the piece that starts at each byte, or `size` for none."""
         n, length = units.shape
         hashes, found = np.zeros((n, length), np.uint64), []
-        for k in range(1, min(LONGEST, length) + 1):
+        for k in range(1, min(self.longest, length) + 1):
             hashes = (hashes[:, : length - k + 1] + units[:, k - 1 :] + np.uint64(1)) * _BASE
             known, ids = self.tables[k - 1]
             if not len(known):
@@ -96,9 +102,58 @@ def units_of(text: str) -> list[str]:
     return _LETTERS.findall(text.lower())
 
 
-def _as_bytes(word: str) -> list[bytes]:
-    data = b" " + word.encode("utf-8", "surrogatepass")
-    return [data[i : i + UNIT] for i in range(0, len(data), UNIT)]
+def _as_bytes(word: str) -> bytes:
+    return b" " + word.encode("utf-8", "surrogatepass")
+
+
+def log_totals(pieces: Pieces, lifted: np.ndarray, units: list[bytes]) -> np.ndarray:
+    """Log of the sum over all segmentations of each unit, of any length: [unit, language].
+
+    lifted holds the piece probabilities, lifted by their bytes. Short units are summed by length. In longer ones sums go
+    from byte to byte to the ends of the pieces that start there, so that as many states are held as the
+    longest piece has bytes; the bytes are looked up some at a time.
+    """
+    found = np.zeros((len(units), lifted.shape[1]))
+    short = [i for i, unit in enumerate(units) if len(unit) <= FIT_BYTES]
+    for part, rows in _by_length([units[i] for i in short]):
+        found[np.array(short)[part]] = np.log(forward(pieces.places(rows), lifted)[-1]) - LIFT * rows.shape[1]
+    order = sorted((i for i, unit in enumerate(units) if len(unit) > FIT_BYTES), key=lambda i: len(units[i]))
+    at = 0
+    while at < len(order):
+        n = 1
+        while at + n < len(order) and (n + 1) * (len(units[order[at + n]]) + pieces.longest) * 4 * pieces.longest <= PLACE_BYTES:
+            n += 1
+        part = order[at : at + n]
+        found[part] = _batch_totals(pieces, lifted, [units[i] for i in part])
+        at += n
+    return found
+
+
+def _batch_totals(pieces: Pieces, lifted: np.ndarray, units: list[bytes]) -> np.ndarray:
+    n, languages, ring = len(units), lifted.shape[1], pieces.longest + 1
+    lengths = np.array([len(u) for u in units])
+    longest = int(lengths[-1])
+    width = max(1, min(longest, PLACE_BYTES // (4 * pieces.longest * n)))
+    states, scale, out = np.zeros((ring, n, languages)), np.zeros(n), np.zeros((n, languages))
+    states[0] = 1.0
+    for a in range(0, longest, width):
+        rows = np.frombuffer(b"".join(u[a : a + width + pieces.longest].ljust(width + pieces.longest, b"\xff") for u in units), np.uint8).reshape(n, -1)
+        places = [(k, found) for k, found in enumerate(pieces.places(rows), 1) if (found != pieces.size).any()]
+        for i in range(a, min(a + width, longest)):
+            here = states[i % ring].copy()
+            states[i % ring] = 0.0
+            for k, found in places:
+                states[(i + k) % ring] += here * lifted[found[:, i - a]]
+            end = i + 1
+            if end % SCALED == 0:
+                top = states.max(axis=(0, 2))
+                top = np.where(top > 0, top, 1.0)
+                states /= top[:, None]
+                scale += np.log(top)
+            done = slice(np.searchsorted(lengths, end, "left"), np.searchsorted(lengths, end, "right"))
+            if done.start < done.stop:
+                out[done] = np.log(states[end % ring, done]) + (scale[done] - LIFT * end)[:, None]
+    return out
 
 
 def _by_length(units: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -111,14 +166,14 @@ def _by_length(units: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 
 
 def fit(counts: dict[str, dict[str, int]], vocabulary: str = VOCABULARY, rounds: int = ROUNDS) -> tuple[list[str], np.ndarray]:
-    """Languages and piece probabilities [piece, language] from word counts, by expectation and maximisation."""
+    """Languages and piece probabilities [piece, language] from word counts, by expectation and maximisation.
+
+    Words of more than FIT_BYTES bytes are left out.
+    """
     pieces, languages = Pieces(vocabulary), sorted(counts)
     table = np.zeros((pieces.size + 1, len(languages)))
     for column, lang in enumerate(languages):
-        weight: dict[bytes, float] = {}
-        for word, n in counts[lang].items():
-            for unit in _as_bytes(word):
-                weight[unit] = weight.get(unit, 0) + n
+        weight = {unit: n for word, n in counts[lang].items() if len(unit := _as_bytes(word)) <= FIT_BYTES}
         units = list(weight)
         amount = np.array([weight[u] for u in units], float)
         groups = [(pieces.places(rows), amount[part]) for part, rows in _by_length(units)]
@@ -141,20 +196,13 @@ class Scorer:
     """Log-likelihood of texts by language; remembers words."""
 
     def __init__(self, languages: list[str], table: np.ndarray, vocabulary: str) -> None:
-        self.languages, self.table, self.pieces = languages, table, Pieces(vocabulary)
+        self.languages, self.pieces = languages, Pieces(vocabulary)
+        self.lifted = table * np.exp(LIFT * self.pieces.lengths)[:, None]
         self.known: dict[str, int] = {}
         self.scores = np.zeros((0, len(languages)))
 
     def _learn(self, new: list[str]) -> None:
-        units, owner = [], []
-        for i, word in enumerate(new):
-            for unit in _as_bytes(word):
-                units.append(unit)
-                owner.append(i)
-        found = np.zeros((len(new), len(self.languages)))
-        owner = np.array(owner)
-        for part, rows in _by_length(units):
-            np.add.at(found, owner[part], np.log(forward(self.pieces.places(rows), self.table)[-1]))
+        found = log_totals(self.pieces, self.lifted, [_as_bytes(word) for word in new])
         self.known.update(zip(new, range(len(self.scores), len(self.scores) + len(new))))
         self.scores = np.concatenate((self.scores, found))
 

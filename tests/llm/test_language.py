@@ -40,6 +40,25 @@ def test_forward_and_expected_counts_against_all_segmentations():
             assert np.allclose(expected(places, table[:, lang : lang + 1], np.array([3.0])), want)
 
 
+def test_long_words_sum_over_all_segmentations(monkeypatch):
+    pieces = Pieces(language.VOCABULARY)
+    known = {p: i for i, p in enumerate(pieces.pieces)}
+    rng = np.random.default_rng(1)
+    table = np.vstack([rng.random((pieces.size, 2)) / 5000, np.zeros((1, 2))])
+    lifted = table * np.exp(language.LIFT * pieces.lengths)[:, None]
+    units = [b" " + "".join(rng.choice(list("etaoinsréü漢字"), n)).encode() for n in (1, 5, 60, 300, 1500)]
+    for limit in (language.PLACE_BYTES, 20_000):  # in one block of bytes, and in several
+        monkeypatch.setattr(language, "PLACE_BYTES", limit)
+        found = language.log_totals(pieces, lifted, units)
+        for unit, got in zip(units, found):
+            for lang in range(2):
+                ahead = [0.0] + [-np.inf] * len(unit)
+                for j in range(1, len(unit) + 1):
+                    ways = [ahead[i] + np.log(table[known[unit[i:j]], lang]) for i in range(max(0, j - pieces.longest), j) if unit[i:j] in known]
+                    ahead[j] = np.logaddexp.reduce(ways)
+                assert got[lang] == pytest.approx(ahead[-1], rel=1e-9)
+
+
 def test_rounds_raise_the_likelihood():
     counts = {"x": {"thing": 5, "other": 3, "nothing": 2, "éclair": 1}}
     pieces = Pieces(language.VOCABULARY)
