@@ -15,30 +15,37 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import chunks, held, keep, pick
 
-#: Tokens of the network: the most frequent words of the corpus each for itself, classes of the other words by a
-#: hash of their ending, and the border. A word of a class is told from the others of it by its count in the corpus.
-FREQUENT = 191
-ENDINGS = 64
-BORDER = FREQUENT + ENDINGS
-TOKENS = BORDER + 1
-#: Words that are at least one of so many in the corpus, so at most that many, are sent to all tasks with their counts.
-HOT = 50_000
+#: What the network predicts: the most frequent words of the corpus each for itself, and classes of all other words by
+#: the words they stand near. What it sees at the sides: these, words that are not hot by a hash of their ending, and the border.
+FREQUENT = 63
+CLASSES = 48
+ENDINGS = 16
+TARGETS = FREQUENT + CLASSES
+BORDER = TARGETS + ENDINGS
+SIDES = BORDER + 1
+#: Letters of the short words that mark the words near them, the places where a word's mark is looked for, in order, and the mark of a word near none.
+SHORT = 4
+NEAR = (-1, 1, -2, 2)
+UNMARKED = CLASSES - 1
+#: Words that are at least one of so many in the corpus, so at most that many, are sent to all tasks with their counts, if they
+#: occur so often that their marks say little of a single place, and have no more letters than this.
+HOT = 500_000
+LEAST = 8
+LETTERS = 64
 #: Log-probabilities within a class are whole multiples of 1 / GRAIN, so that their sums do not depend on the order.
 GRAIN = 2.0**24
 #: Tokens to either side that the network sees, and the size of its layer.
 SIDE = 2
-WIDTH = 24
-#: Share of the positions of every document that are training targets. The network never sees its own target, so all can be.
-MASKED = 1.0
+WIDTH = 16
 #: Tokens that are scored at a time, and targets of a gradient step.
 BATCH = 2048
-STEP = 256
-RATE = 0.1
-ROUNDS = 2
+STEP = 512
+RATE = 0.6
+ROUNDS = 4
 #: Models that are merged by one task of a round.
 MERGE = 64
-#: Words whose token a Python worker remembers, and characters of a text that are split at a time.
-MEMORY = 400_000
+#: Short words and endings that a Python worker remembers, and characters of a text that are split at a time.
+MEMORY = 200_000
 SLICE = 1_000_000
 FLUSH = 300_000
 
@@ -55,17 +62,59 @@ def slices(text: str, size: int = SLICE) -> Iterator[str]:
         at = end
 
 
+class _Hashes(dict):
+    """Hash of a text modulo `size`; remembers MEMORY texts."""
+
+    def __init__(self, size: int) -> None:
+        self.of = size
+
+    def __missing__(self, text: str) -> int:
+        found = zlib.crc32(text.encode("utf-8", "surrogatepass")) % self.of
+        if len(self) < MEMORY:
+            self[text] = found
+        return found
+
+
+class Reader:
+    """Words of texts in lower case, with the mark of each: a hash of the first short word among those at the places NEAR it."""
+
+    def __init__(self) -> None:
+        self.short = _Hashes(UNMARKED)
+
+    def _own(self, words: list[str]) -> np.ndarray:
+        short = self.short
+        return np.fromiter([short[x] if len(x) <= SHORT else -1 for x in words], np.int8, len(words))
+
+    def __call__(self, text: str | None) -> Iterator[tuple[list[str], np.ndarray]]:
+        """The parts of a text; a part's marks know the words of its neighbours."""
+        if not text:
+            return
+        parts = [text.lower().split()] if len(text) <= SLICE else None  # a long text is split twice, so that only its marks are held
+        split = lambda: parts or (part.lower().split() for part in slices(text, SLICE))
+        own = np.concatenate([self._own(words) for words in split()])
+        line = np.concatenate((np.full(2, -1, np.int8), own, np.full(2, -1, np.int8)))
+        marks = np.full(len(own), UNMARKED, np.int8)
+        for d in reversed(NEAR):
+            there = line[2 + d : 2 + d + len(own)]
+            marks = np.where(there >= 0, there, marks)
+        at = 0
+        for words in split():
+            yield words, marks[at : at + len(words)]
+            at += len(words)
+
+
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts: Counter[str] = Counter()
+    counts: Counter[tuple[str, int]] = Counter()
 
     def rows() -> pa.RecordBatch:
-        return pa.record_batch({"word": pa.array(list(counts), pa.string()), "n": pa.array(list(counts.values()), pa.int64())})
+        return pa.record_batch({"word": pa.array([k[0] for k in counts], pa.string()), "mark": pa.array([k[1] for k in counts], pa.int32()), "n": pa.array(list(counts.values()), pa.int64())})
 
     held(None)
+    read = Reader()
     for batch in (part for whole in batches for part in chunks(whole)):
         for text in batch.column("text").to_pylist():
-            for part in slices(text or ""):
-                counts.update(part.lower().split())
+            for words, marks in read(text):
+                counts.update(zip(words, marks.tolist()))
             if len(counts) > FLUSH:
                 yield rows()
                 counts.clear()
@@ -73,70 +122,113 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
-    """word, n, token: all words of all texts in lower case; token is the class by the ending, whether the word is frequent or not.
+    """word, n, class, marks: all words of all texts in lower case, how often each has which mark (mark, n), and the mark it has most often.
 
-    Counts are merged within tasks before the shuffle.
+    Counts are merged within tasks before the shuffle; a word has CLASSES marks at most.
     """
-    counts = pick(docs, "text").mapInArrow(_word_counts, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
-    ending = F.crc32(F.encode(F.right("word", F.lit(3)), "UTF-8"))
-    return keep(counts.withColumn("token", (FREQUENT + ending % ENDINGS).cast("int")), "words")
+    pairs = pick(docs, "text").mapInArrow(_word_counts, "word string, mark int, n bigint").groupBy("word", "mark").agg(F.sum("n").alias("n"))
+    words = pairs.groupBy("word").agg(F.sum("n").alias("n"), F.array_sort(F.collect_list(F.struct("mark", "n"))).alias("marks"))
+    most = F.array_max(F.transform("marks", lambda m: F.struct(m["n"].alias("n"), (-m["mark"]).alias("less"))))
+    return keep(words.withColumn("class", -most["less"]), "words")
 
 
-def frequent_words(counts: DataFrame, n: int = FREQUENT) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """The n most frequent words, ties by the word, the share of each token in the corpus, and the words counted in each class."""
-    top = counts.orderBy(F.desc("n"), "word").limit(n).collect()
-    share = np.zeros(TOKENS)
-    for r in counts.groupBy("token").agg(F.sum("n").alias("n")).collect():
-        share[r.token] = r.n
-    for i, r in enumerate(top):
-        share[i] = r.n
-        share[r.token] -= r.n
-    return [r.word for r in top], (share + 1) / (share + 1).sum(), share[FREQUENT:BORDER].copy()
+class Vocabulary:
+    """The frequent words, the hot ones with their classes and weights, and the share of each target in the corpus.
 
+    The weight of a word is log P(word | class). A word that is neither frequent nor hot belongs to the
+    class of its mark where it stands.
+    """
 
-def within(counts: DataFrame, frequent: list[str], sizes: np.ndarray) -> tuple[dict[str, float], DataFrame]:
-    """log P(word | class): of the hot words, and of all others as a table (word, weight). Frequent words are in neither.
+    def __init__(self, frequent: list[str], hot: list[tuple[str, int, int]], sizes: np.ndarray, shares: np.ndarray) -> None:
+        self.ids = {word: i for i, word in enumerate([*frequent, *[word for word, _, _ in hot]])}
+        self.target = np.array([*range(len(frequent)), *[FREQUENT + c for _, _, c in hot]], np.uint8)
+        self.weight = np.array([0.0] * len(frequent) + [np.rint(np.log(n / sizes[c]) * GRAIN) / GRAIN for _, n, c in hot])
+        self.sizes, self.shares = sizes, shares
 
-    A word that is not hot is under 1 in HOT of all words, so no task of a join by the word gets many rows of one.
-    """
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    size = F.get(F.array(*[F.lit(float(x)) for x in sizes]), F.col("token") - FREQUENT)
-    rows = counts.where(~F.col("word").isin(frequent)) if frequent else counts
-    rows = rows.withColumn("weight", F.rint(F.log(F.col("n") / size) * GRAIN) / GRAIN)
-    hot = F.col("n") * HOT >= total
-    return {r.word: r.weight for r in rows.where(hot).select("word", "weight").collect()}, rows.where(~hot).select("word", "weight")
 
+def vocabulary(counts: DataFrame) -> tuple[Vocabulary, DataFrame]:
+    """The vocabulary that goes to all tasks, and the weights of all other words as a table (word, mark, weight).
 
-class Words:
-    """Tokens of texts; remembers words."""
+    Ties among frequent words go by the word. A word that is not hot is under 1 in HOT of all words, or very long, so no
+    task of a join by the word gets many rows of one.
+    """
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    frequent = counts.orderBy(F.desc("n"), "word").limit(FREQUENT).collect()
+    names = [r["word"] for r in frequent]
+    others = counts.where(~F.col("word").isin(names)) if names else counts
+    hot = (F.col("n") * HOT >= total) & (F.col("n") >= LEAST) & (F.char_length("word") <= LETTERS)
+    chosen = [(r["word"], r["n"], r["class"]) for r in others.where(hot).select("word", "n", "class").orderBy("word").collect()]
+    rare = others.where(~hot).select("word", F.inline("marks"))
+    sizes = np.zeros(CLASSES)
+    for _, n, c in chosen:
+        sizes[c] += n
+    for r in rare.groupBy("mark").agg(F.sum("n").alias("n")).collect():
+        sizes[r["mark"]] += r["n"]
+    share = np.concatenate([[float(r["n"]) for r in frequent], np.zeros(FREQUENT - len(names)), sizes]) + 1
+    size = F.get(F.array(*[F.lit(float(max(x, 1))) for x in sizes]), F.col("mark"))
+    return Vocabulary(names, chosen, sizes, share / share.sum()), rare.select("word", "mark", (F.rint(F.log(F.col("n") / size) * GRAIN) / GRAIN).alias("weight"))
+
+
+class Tokens:
+    """What the network sees and predicts of texts."""
+
+    def __init__(self, vocabulary: Vocabulary) -> None:
+        self.vocabulary, self.read, self.endings = vocabulary, Reader(), _Hashes(ENDINGS)
+
+    def __call__(self, text: str | None) -> tuple[np.ndarray, np.ndarray, float, Counter]:
+        """Side and target tokens of a text, the summed weights of its hot words, and its other words with their marks."""
+        sides, targets, weight, others = [np.zeros(0, np.uint8)], [np.zeros(0, np.uint8)], 0.0, Counter()
+        known, endings = self.vocabulary.ids.get, self.endings
+        for words, marks in self.read(text):
+            ids = np.fromiter([known(x, -1) for x in words], np.int32, len(words))
+            rare = np.flatnonzero(ids < 0)
+            seen = self.vocabulary.target[ids] if len(self.vocabulary.target) else np.zeros(len(ids), np.uint8)
+            target = seen.copy()
+            if len(rare):
+                own, own_marks = [words[i] for i in rare.tolist()], marks[rare]
+                target[rare] = FREQUENT + own_marks
+                seen[rare] = np.fromiter([TARGETS + endings[x[-3:]] for x in own], np.uint8, len(own))
+                others.update(zip(own, own_marks.tolist()))
+            weight += float(self.vocabulary.weight[ids[ids >= 0]].sum())
+            sides.append(seen)
+            targets.append(target)
+        return np.concatenate(sides), np.concatenate(targets), weight, others
+
+
+def _tokens(model, name: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens = held(name, lambda: Tokens(model.value))
+        for batch in (part for whole in batches for part in chunks(whole)):
+            found = [tokens(text) for text in batch.column("text").to_pylist()]
+            lines = [key for f in found for key in f[3]]
+            pairs = pa.StructArray.from_arrays(
+                [pa.array([k[0] for k in lines], pa.string()), pa.array([k[1] for k in lines], pa.int32()), pa.array([n for f in found for n in f[3].values()], pa.int64())], ["word", "mark", "times"]
+            )
+            ends = pa.array(np.concatenate(([0], np.cumsum([len(f[3]) for f in found]))).astype(np.int32))
+            columns = {c: batch.column(c) for c in ("row", "doc_id")} | {
+                "n_tokens": pa.array([len(f[0]) for f in found], pa.int64()),
+                "sides": pa.array([f[0].tobytes() for f in found], pa.binary()),
+                "targets": pa.array([f[1].tobytes() for f in found], pa.binary()),
+                "weight": pa.array([f[2] for f in found], pa.float64()),
+                "others": pa.ListArray.from_arrays(ends, pairs),
+            }
+            yield pa.record_batch(columns)
 
-    def __init__(self, frequent: list[str]) -> None:
-        self.fixed = {word: i for i, word in enumerate(frequent)}
-        self.known = dict(self.fixed)
+    return run
 
-    def __call__(self, text: str) -> np.ndarray:
-        parts = []
-        for part in slices(text):
-            found = part.lower().split()
-            known = self.known
-            for word in set(found).difference(known):
-                known[word] = FREQUENT + zlib.crc32(word[-3:].encode("utf-8", "surrogatepass")) % ENDINGS
-            parts.append(np.fromiter(map(known.__getitem__, found), np.int16, len(found)))
-            if len(known) > MEMORY:
-                self.known = dict(self.fixed)
-        return np.concatenate(parts) if parts else np.zeros(0, np.int16)
 
+TOKENS = "n_tokens bigint, sides binary, targets binary, weight double, others array<struct<word: string, mark: int, times: bigint>>"
 
 Network = dict[str, np.ndarray]
 
 
-def start(share: np.ndarray | None = None, seed: int = 3) -> Network:
-    """Small random weights; without the sides the network predicts the tokens' shares in the corpus."""
+def start(shares: np.ndarray | None = None, seed: int = 3) -> Network:
+    """Small random weights; without the sides the network predicts the targets' shares in the corpus."""
     rng = np.random.default_rng(seed)
     return {
-        "near": rng.normal(0, 0.2, (2 * SIDE, TOKENS, WIDTH)).astype(np.float32),
-        "out": rng.normal(0, 0.1, (WIDTH, TOKENS)).astype(np.float32),
-        "bias": (np.zeros(TOKENS) if share is None else np.log(share)).astype(np.float32),
+        "near": rng.normal(0, 0.2, (2 * SIDE * SIDES, WIDTH)).astype(np.float32),
+        "out": rng.normal(0, 0.1, (WIDTH, TARGETS)).astype(np.float32),
+        "bias": (np.zeros(TARGETS) if shares is None else np.log(shares)).astype(np.float32),
     }
 
 
@@ -152,25 +244,29 @@ def shaped(values: np.ndarray) -> Network:
     return net
 
 
-def bordered(tokens: list[np.ndarray]) -> np.ndarray:
-    """Texts end to end, with borders between and around them."""
-    gap = np.full(SIDE, BORDER, np.int16)
-    return np.concatenate([gap, *[x for t in tokens for x in (t, gap)]])
+def windows(sides: list[np.ndarray]) -> np.ndarray:
+    """For every token of texts, the places in `near` of the 2 * SIDE tokens around it; beyond a text's ends is the border."""
+    gap = np.full(SIDE, BORDER, np.uint8)
+    line = np.concatenate([gap, *[x for t in sides for x in (t, gap)]])
+    at = np.flatnonzero(line != BORDER)
+    steps = [*range(-SIDE, 0), *range(1, SIDE + 1)]
+    return np.stack([line[at + d].astype(np.int16) + k * SIDES for k, d in enumerate(steps)], axis=1)
 
 
-def _sides(line: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
-    return [line[at + d] for d in (*range(-SIDE, 0), *range(1, SIDE + 1))]
+def _layer(net: Network, seen: np.ndarray) -> np.ndarray:
+    total = net["near"][seen[:, 0]]
+    for k in range(1, seen.shape[1]):
+        total += net["near"][seen[:, k]]
+    return np.tanh(total, out=total)
 
 
-def log_probs(net: Network, line: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Log-probability of the tokens at these places, given both sides."""
-    found = np.empty(len(at), np.float64)
-    for a in range(0, len(at), BATCH):
-        here = at[a : a + BATCH]
-        layer = np.tanh(sum(net["near"][k][side] for k, side in enumerate(_sides(line, here))))
-        logits = layer @ net["out"] + net["bias"]
+def log_probs(net: Network, seen: np.ndarray, targets: np.ndarray) -> np.ndarray:
+    """Log-probability of the targets, given what is seen around each."""
+    found = np.empty(len(seen), np.float64)
+    for a in range(0, len(seen), BATCH):
+        logits = _layer(net, seen[a : a + BATCH]) @ net["out"] + net["bias"]
         logits -= logits.max(axis=1, keepdims=True)
-        target = logits[np.arange(len(here)), line[here]]
+        target = logits[np.arange(len(logits)), targets[a : a + BATCH]]
         np.exp(logits, out=logits)
         found[a : a + BATCH] = target - np.log(logits.sum(axis=1))
     return found
@@ -182,63 +278,62 @@ class Trainer:
     def __init__(self, net: Network, rate: float = RATE) -> None:
         self.net, self.rate, self.seen = net, rate, 0
         self.scale = {k: np.full(v.shape, 1e-3, np.float32) for k, v in net.items()}
-        self.held: list[np.ndarray] = []
-
-    def add(self, line: np.ndarray, at: np.ndarray) -> None:
-        """Takes targets with their sides; makes a step when a batch is full."""
-        self.held.append(line[at[:, None] + np.arange(-SIDE, SIDE + 1)])
-        if sum(map(len, self.held)) >= BATCH:
+        self.held: list[tuple[np.ndarray, np.ndarray]] = []
+        self.waiting = 0
+
+    def add(self, seen: np.ndarray, targets: np.ndarray) -> None:
+        """Takes targets with what is seen around them; makes steps when a batch is full."""
+        self.held.append((seen, targets))
+        self.waiting += len(targets)
+        if self.waiting >= BATCH:
             self.flush()
 
     def flush(self) -> None:
-        """Steps over what is held; each row is laid out with its target in the middle."""
         if self.held:
-            rows = np.concatenate(self.held)
-            self.held = []
-            for a in range(0, len(rows), STEP):
-                part = rows[a : a + STEP]
-                self.step(part.ravel(), np.arange(len(part)) * (2 * SIDE + 1) + SIDE)
-
-    def step(self, line: np.ndarray, at: np.ndarray) -> None:
-        net, sides = self.net, _sides(line, at)
-        layer = np.tanh(sum(net["near"][k][side] for k, side in enumerate(sides)))
+            seen, targets = (np.concatenate(x) for x in zip(*self.held))
+            self.held, self.waiting = [], 0
+            for a in range(0, len(seen), STEP):
+                self.step(seen[a : a + STEP], targets[a : a + STEP])
+
+    def step(self, seen: np.ndarray, targets: np.ndarray) -> None:
+        net, n = self.net, len(seen)
+        layer = _layer(net, seen)
         p = layer @ net["out"] + net["bias"]
         p -= p.max(axis=1, keepdims=True)
         np.exp(p, out=p)
-        p /= p.sum(axis=1, keepdims=True)
-        p[np.arange(len(at)), line[at]] -= 1
-        p /= len(at)
+        p /= p.sum(axis=1, keepdims=True) * np.float32(n)
+        p[np.arange(n), targets] -= np.float32(1 / n)
         back = (p @ net["out"].T) * (1 - layer * layer)
-        near = np.zeros_like(net["near"])
-        for k, side in enumerate(sides):
-            order = np.argsort(side, kind="stable")
-            first = np.flatnonzero(np.concatenate(([True], side[order][1:] != side[order][:-1])))
-            near[k][side[order][first]] = np.add.reduceat(back[order], first, axis=0)
-        for name, grad in (("out", layer.T @ p), ("bias", p.sum(axis=0)), ("near", near)):
+        places = seen.T.ravel()
+        order = np.argsort(places, kind="stable")
+        ordered = places[order]
+        first = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
+        near = np.add.reduceat(back[order % n], first, axis=0)
+        used = ordered[first]
+        self.scale["near"][used] += near * near
+        net["near"][used] -= self.rate * near / np.sqrt(self.scale["near"][used])
+        for name, grad in (("out", layer.T @ p), ("bias", p.sum(axis=0))):
             self.scale[name] += grad * grad
             net[name] -= self.rate * grad / np.sqrt(self.scale[name])
-        self.seen += len(at)
+        self.seen += n
 
 
-def _masked(n: int, key: int, share: float) -> np.ndarray:
-    """Positions of a text of n tokens that are targets: all, or a seeded share."""
-    if share >= 1:
-        return np.arange(n)
-    rng = np.random.default_rng(key)
-    return np.flatnonzero(rng.random(n) < share)
+def _parts(sides: np.ndarray, targets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Windows and targets of a text, so many at a time; the windows know the tokens beyond."""
+    for a in range(0, len(sides), FLUSH):
+        b = min(a + FLUSH, len(sides))
+        around = windows([sides[max(0, a - SIDE) : b + SIDE]])
+        yield around[min(a, SIDE) :][: b - a], targets[a:b]
 
 
-def _train(frequent: list[str], values: np.ndarray, share: float):
+def _train(values: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held(None)
-        words, trainer = Words(frequent), Trainer(shaped(values))
-        for batch in (part for whole in batches for part in chunks(whole)):
-            for text in batch.column("text").to_pylist():
-                tokens = words(text or "")
-                targets = _masked(len(tokens), zlib.crc32(tokens.tobytes()), share)
-                line = bordered([tokens])
-                for a in range(0, len(targets), BATCH):
-                    trainer.add(line, targets[a : a + BATCH] + SIDE)
+        trainer = Trainer(shaped(values))
+        for batch in batches:
+            for sides, targets in zip(batch.column("sides"), batch.column("targets")):
+                for part in _parts(np.frombuffer(sides.as_buffer(), np.uint8), np.frombuffer(targets.as_buffer(), np.uint8)):
+                    trainer.add(*part)
         trainer.flush()
         yield _row(trainer.seen, flat(trainer.net))
 
@@ -263,16 +358,16 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 MODEL = "n bigint, net binary"
 
 
-def train(docs: DataFrame, frequent: list[str], shares: np.ndarray, rounds: int = ROUNDS, share: float = MASKED) -> np.ndarray:
-    """Weights after rounds over disjoint parts of all documents, by a hash of the text; so each position is a target once.
+def train(tokens: DataFrame, shares: np.ndarray, rounds: int = ROUNDS) -> np.ndarray:
+    """Weights after rounds over disjoint parts of all documents, by a hash of the row; so each position is a target once.
 
     In a round each task starts from the same weights and trains on its rows; the models are averaged in a tree,
     a task merging MERGE of them, so the driver gets one.
     """
     values = flat(start(shares))
-    texts = pick(docs, "text").withColumn("part", F.pmod(F.xxhash64("text"), F.lit(rounds)))
+    rows = tokens.select("sides", "targets", F.pmod(F.xxhash64("row"), F.lit(rounds)).alias("part"))
     for turn in range(rounds):
-        models = keep(texts.where(F.col("part") == turn).select("text").mapInArrow(_train(frequent, values, share), MODEL), "models")
+        models = keep(rows.where(F.col("part") == turn).select("sides", "targets").mapInArrow(_train(values), MODEL), "models")
         tasks = models.count()
         while tasks > 1:
             tasks = -(-tasks // MERGE)
@@ -283,72 +378,66 @@ def train(docs: DataFrame, frequent: list[str], shares: np.ndarray, rounds: int
     return values
 
 
-def _score(model, name: str, carried: list[str]):
+def _score(model, name: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, net, hot = held(name, lambda: (Words(model.value[0]), shaped(model.value[1]), dict.fromkeys(model.value[0], 0.0) | model.value[2]))
-        for batch in (part for whole in batches for part in chunks(whole)):
-            counts, sums, others = [], [], []
-            waiting: list[np.ndarray] = []
+        net = held(name, lambda: shaped(model.value))
+        for batch in batches:
+            sums: list[float] = []
+            waiting: list[tuple[np.ndarray, np.ndarray]] = []
 
             def flush() -> None:
-                line = bordered(waiting)
-                lengths = np.array([len(t) for t in waiting])
-                firsts = SIDE + np.concatenate(([0], np.cumsum(lengths + SIDE)[:-1]))
-                at = np.concatenate([np.arange(a, a + n) for a, n in zip(firsts, lengths)])
-                found = np.concatenate((log_probs(net, line, at), [0.0]))
-                bounds = np.concatenate(([0], np.cumsum(lengths)))
+                found = np.concatenate((log_probs(net, windows([s for s, _ in waiting]), np.concatenate([t for _, t in waiting])), [0.0]))
+                bounds = np.concatenate(([0], np.cumsum([len(s) for s, _ in waiting])))
                 sums.extend(float(found[a:b].sum()) for a, b in zip(bounds[:-1], bounds[1:]))
-                counts.extend(int(n) for n in lengths)
                 waiting.clear()
 
-            weights = []
-            for text in batch.column("text").to_pylist():
-                waiting.append(words(text or ""))
-                seen: Counter[str] = Counter()
-                for part in slices(text or ""):
-                    seen.update(part.lower().split())
-                weights.append(sum(n * hot[word] for word, n in seen.items() if word in hot))
-                others.append([{"word": word, "times": n} for word, n in seen.items() if word not in hot])
-                if sum(map(len, waiting)) > 50_000:
+            for sides, targets in zip(batch.column("sides"), batch.column("targets")):
+                sides, targets = np.frombuffer(sides.as_buffer(), np.uint8), np.frombuffer(targets.as_buffer(), np.uint8)
+                if len(sides) > FLUSH:
+                    if waiting:
+                        flush()
+                    sums.append(sum(float(log_probs(net, *part).sum()) for part in _parts(sides, targets)))
+                    continue
+                waiting.append((sides, targets))
+                if sum(len(s) for s, _ in waiting) > 50_000:
                     flush()
             if waiting:
                 flush()
-            yield pa.record_batch(
-                {
-                    **{c: batch.column(c) for c in carried},
-                    "n_tokens": pa.array(counts, pa.int64()),
-                    "log_likelihood": pa.array([a + b for a, b in zip(sums, weights)], pa.float64()),
-                    "others": pa.array(others, pa.list_(pa.struct([("word", pa.string()), ("times", pa.int64())]))),
-                }
-            )
+            values = np.array(sums) + batch.column("weight").to_numpy()
+            yield pa.record_batch({**{c: batch.column(c) for c in ("row", "doc_id", "n_tokens")}, "log_likelihood": pa.array(values)})
 
     return run
 
 
-def pseudo_likelihood(docs: DataFrame, rounds: int = ROUNDS, share: float = MASKED) -> DataFrame:
+def pseudo_likelihood(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """One row per row of docs: doc_id, n_tokens, log_likelihood, mean_log_prob.
 
     The vocabulary is every word of the corpus in lower case, counted over all documents, and the network is trained
-    on all documents. log_likelihood sums, over every token of the whole text, the log-probability given the SIDE
-    tokens before and after it; mean_log_prob is that by token. The FREQUENT most frequent words are predicted
-    each for itself; any other word by its class (one of ENDINGS, a hash of its last three characters), which
-    the network predicts, times the share of the word among all words counted in the class. The sides are seen
-    as frequent words and classes. Texts without words (null, empty, blank) have 0 tokens, 0.0 and a null mean.
-    Null ids stay null, repeated rows come back alike, an empty table gives no rows; other columns are ignored.
+    on every position of all documents. log_likelihood sums, over every token of the whole text, the
+    log-probability given the SIDE tokens before and after it; mean_log_prob is that by token. The FREQUENT most
+    frequent words are predicted each for itself. Any other word is predicted in two levels: its class by the
+    network, then the word within the class by its share there. The class of a hot word (at least one in HOT of
+    all words, LEAST times) is the mark it has most often in the corpus, a mark being a hash of the short word next to it, before or
+    after, or else two words away; any other word belongs, where it stands, to the class of its mark there, and its share is
+    counted for word and mark. At the sides the network sees frequent words, classes of hot words, and others by
+    their ending, none of which depends on the target. Texts are encoded once, as two bytes a token. Texts without words (null, empty,
+    blank) have 0 tokens, 0.0 and a null mean. Null ids stay null, repeated rows come back alike, an empty table
+    gives no rows; other columns are ignored.
     """
     docs = pick(docs, "doc_id", "text")
-    counted = word_counts(docs)
-    frequent, shares, sizes = frequent_words(counted)
-    hot, rare = within(counted, frequent, sizes)
-    model = docs.sparkSession.sparkContext.broadcast((frequent, train(docs, frequent, shares, rounds, share), hot))
+    known, rare = vocabulary(word_counts(docs))
+    context = docs.sparkSession.sparkContext
     kind = docs.schema["doc_id"].dataType.simpleString()
-    shape = f"row bigint, doc_id {kind}, n_tokens bigint, log_likelihood double, others array<struct<word: string, times: bigint>>"
-    # written, so that the numbers of the rows stay
-    found = keep(docs.withColumn("row", F.monotonically_increasing_id()).mapInArrow(_score(model, uuid.uuid4().hex, ["row", "doc_id"]), shape), "scores")
-    pairs = found.select("row", F.inline("others")).join(rare, "word")
+    sent = context.broadcast(known)  # at most HOT words
+    tokens = docs.withColumn("row", F.monotonically_increasing_id()).mapInArrow(_tokens(sent, uuid.uuid4().hex), f"row bigint, doc_id {kind}, {TOKENS}")
+    # written, so that the numbers of the rows stay; words that are not hot go on as 64-bit hashes of word and mark
+    hashed = F.transform("others", lambda x: F.struct(F.xxhash64(x["word"], x["mark"]).alias("pair"), x["times"].cast("int").alias("times")))
+    tokens = keep(tokens.withColumn("others", hashed), "tokens")
+    model = context.broadcast(train(tokens, known.shares, rounds))
+    found = tokens.drop("others").mapInArrow(_score(model, uuid.uuid4().hex), f"row bigint, doc_id {kind}, n_tokens bigint, log_likelihood double")
+    pairs = tokens.select("row", F.inline("others")).join(rare.select(F.xxhash64("word", "mark").alias("pair"), "weight"), "pair")
     sums = pairs.groupBy("row").agg(F.sum(F.col("times") * F.col("weight")).alias("more"))
-    found = found.drop("others").join(sums, "row", "left")
-    found = found.select("doc_id", "n_tokens", (F.col("log_likelihood") + F.coalesce("more", F.lit(0.0))).alias("log_likelihood"))
+    found = found.join(sums, "row", "left").select("doc_id", "n_tokens", (F.col("log_likelihood") + F.coalesce("more", F.lit(0.0))).alias("log_likelihood"))
     return found.withColumn("mean_log_prob", F.when(F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens")))
 
 

@@ -1,5 +1,6 @@
-"""Masked pseudo-likelihood: sums against a plain reading, gradients, training, odd rows."""
+"""Masked pseudo-likelihood: marks, weights and sums against a plain reading, gradients, training, odd rows."""
 
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -7,55 +8,83 @@ import pyarrow as pa
 import pytest
 
 from tessera.llm import likelihood as ll
-from tessera.llm.likelihood import Trainer, Words, bordered, flat, log_probs, pseudo_likelihood, shaped, start
+from tessera.llm.likelihood import Reader, Tokens, Trainer, flat, log_probs, pseudo_likelihood, shaped, start, vocabulary, windows, word_counts
 
 SCHEMA = "doc_id long, text string, N_TOKENS int, mean_log_prob string"
 
 
-def brute(net, tokens):
-    line = [ll.BORDER] * ll.SIDE + list(tokens) + [ll.BORDER] * ll.SIDE
+def plain_marks(words):
+    own = [zlib.crc32(w.encode()) % ll.UNMARKED if len(w) <= ll.SHORT else None for w in words]
+    near = lambda i: [own[i + d] for d in (-1, 1, -2, 2) if 0 <= i + d < len(own) and own[i + d] is not None]
+    return [(near(i) or [ll.UNMARKED])[0] for i in range(len(own))]
+
+
+def brute(net, sides, targets):
+    """Sum over all tokens, one after the other."""
+    line = [ll.BORDER] * ll.SIDE + list(sides) + [ll.BORDER] * ll.SIDE
     total = 0.0
-    for i in range(ll.SIDE, len(line) - ll.SIDE):
-        sides = [line[i + d] for d in (-2, -1, 1, 2)]
-        layer = np.tanh(sum(net["near"][k][s].astype(float) for k, s in enumerate(sides)))
+    for i, target in enumerate(targets):
+        around = [line[i + ll.SIDE + d] for d in (-2, -1, 1, 2)]
+        layer = np.tanh(sum(net["near"][int(s) + k * ll.SIDES].astype(float) for k, s in enumerate(around)))
         logits = layer @ net["out"] + net["bias"]
-        total += logits[line[i]] - np.log(np.exp(logits).sum())
+        total += logits[target] - np.log(np.exp(logits).sum())
     return total
 
 
-def test_sums_over_every_token_and_both_sides():
+def test_sums_over_every_token_and_both_sides(monkeypatch):
     net = start(seed=5)
     rng = np.random.default_rng(2)
-    texts = [rng.integers(0, ll.BORDER, n).astype(np.int16) for n in (1, 2, 7, 40)]
-    line = bordered(texts)
-    at = ll.SIDE
-    for t in texts:
-        assert log_probs(net, line, np.arange(at, at + len(t))).sum() == pytest.approx(brute(net, t), rel=1e-4)
-        at += len(t) + ll.SIDE
+    sides = [rng.integers(0, ll.BORDER, n).astype(np.uint8) for n in (1, 2, 7, 40)]
+    targets = [rng.integers(0, ll.TARGETS, len(s)).astype(np.uint8) for s in sides]
+    seen, at = windows(sides), 0
+    for s, t in zip(sides, targets):
+        want = brute(net, s, t)
+        assert log_probs(net, seen[at : at + len(t)], t).sum() == pytest.approx(want, rel=1e-4)
+        at += len(t)
+        monkeypatch.setattr(ll, "FLUSH", 3)  # a long text is read in parts
+        assert sum(log_probs(net, *part).sum() for part in ll._parts(s, t)) == pytest.approx(want, rel=1e-4)
     assert np.array_equal(flat(shaped(flat(net))), flat(net))
 
 
-def test_steps_raise_the_likelihood_by_the_gradient():
+def test_steps_follow_the_gradient():
+    rng = np.random.default_rng(3)
+    sides, targets = rng.integers(0, ll.BORDER, 60).astype(np.uint8), rng.integers(0, ll.TARGETS, 60).astype(np.uint8)
+    seen, net = windows([sides]), start(seed=1)
+    trainer = Trainer({k: v.copy() for k, v in net.items()}, rate=1.0)
+    trainer.scale = {k: np.full(v.shape, 1e12, np.float32) for k, v in net.items()}  # a step is the gradient / 1e6
+    trainer.step(seen, targets)
+    for name in net:
+        slope = (net[name].astype(float) - trainer.net[name]) * 1e6
+        for at in [np.unravel_index(i, net[name].shape) for i in rng.integers(0, net[name].size, 12)]:
+            sums = []
+            for step in (1e-2, -1e-2):
+                moved = {k: v.astype(np.float64) for k, v in net.items()}
+                moved[name][at] += step
+                sums.append(-log_probs(moved, seen, targets).mean())
+            assert slope[at] == pytest.approx((sums[0] - sums[1]) / 2e-2, abs=0.05)
+
+
+def test_training_raises_the_likelihood():
     rng = np.random.default_rng(3)
-    line = bordered([np.tile(rng.integers(0, 30, 10), 40).astype(np.int16)])
-    at = np.arange(ll.SIDE, len(line) - ll.SIDE)
-    net = start(seed=1)
-    before = log_probs(net, line, at).mean()
+    line = np.tile(rng.integers(0, 30, 10), 40).astype(np.uint8)
+    seen, net = windows([line]), start(seed=1)
+    before = log_probs(net, seen, line).mean()
     trainer = Trainer(net)
     for _ in range(30):
-        trainer.add(line, at)
+        trainer.add(seen, line)
         trainer.flush()
-    assert log_probs(net, line, at).mean() > before + 1.5
-    assert trainer.seen == 30 * len(at)
+    assert log_probs(net, seen, line).mean() > before + 1.5 and trainer.seen == 30 * 400
 
 
-def test_words_in_slices_and_forgotten(monkeypatch):
-    words = Words(["the", "of"])
-    text = "The OF x the Other " * 50
-    whole = words(text)
-    monkeypatch.setattr(ll, "MEMORY", 3)
-    assert np.array_equal(np.concatenate([Words(["the", "of"])(t) for t in ll.slices(text, 7)]), whole)
-    assert list(whole[:4]) == [0, 1, whole[2], 0] and whole[2] >= ll.FREQUENT
+def test_marks_of_words_also_in_long_texts(monkeypatch):
+    text = "The house of X stands beside a lake\nand another HOUSE stands éa " * 30
+    words = text.lower().split()
+    want = plain_marks(words)
+    assert [m for _, marks in Reader()(text) for m in marks] == want
+    monkeypatch.setattr(ll, "SLICE", 40)
+    parts = list(Reader()(text))
+    assert len(parts) > 5 and [w for p in parts for w in p[0]] == words and [m for p in parts for m in p[1]] == want
+    assert list(Reader()(None)) == [] and [len(w) for w, _ in Reader()(" ")] in ([], [0])
 
 
 def test_scores_tell_text_from_shuffled_words(spark):
@@ -67,13 +96,16 @@ def test_scores_tell_text_from_shuffled_words(spark):
         if len(w) > 100:
             rng.shuffle(w)
             extra.append((10_000 + r.doc_id, " ".join(w)))
-    found = {r.doc_id: r for r in pseudo_likelihood(spark.createDataFrame([(r.doc_id, r.text) for r in rows] + extra, "doc_id long, text string")).collect()}
+    given = [(r.doc_id, r.text) for r in rows] + extra
+    found = {r.doc_id: r for r in pseudo_likelihood(spark.createDataFrame(given, "doc_id long, text string")).collect()}
     assert len(found) == len(rows) + len(extra)
     assert all(found[r.doc_id].n_tokens == len(r.text.split()) for r in rows)
-    mean = np.mean([found[r.doc_id].mean_log_prob for r in rows if found[r.doc_id].n_tokens])
-    assert mean > -np.log(ll.TOKENS) + 0.5  # far better than guessing
+    seen = Counter(w for _, text in given for w in text.lower().split())
+    total = sum(seen.values())
+    shares = {r.doc_id: np.mean([np.log(seen[w] / total) for w in r.text.lower().split()]) for r in rows if found[r.doc_id].n_tokens}
+    assert np.mean([found[i].mean_log_prob for i in shares]) > np.mean(list(shares.values())) + 0.5  # what the sides are worth
     better = [found[i - 10_000].mean_log_prob > found[i].mean_log_prob for i, _ in extra]
-    assert np.mean(better) > 0.5
+    assert np.mean(better) > 0.8
 
 
 def test_odd_rows(spark):
@@ -87,46 +119,71 @@ def test_odd_rows(spark):
 def test_every_word_has_its_own_probability(spark, monkeypatch):
     rng = np.random.default_rng(6)
     ending = ["ing", "éa", "日本語", "z", "xy"]
-    vocabulary = [f"w{i}{ending[i % 5]}" for i in range(600)] + ["日本語", "z", "xy", "é"]
-    texts = [" ".join(rng.choice(vocabulary, rng.integers(1, 60))) for _ in range(80)] + [None, " "]
+    words = [f"w{i}{ending[i % 5]}" for i in range(600)] + ["日本語", "z", "xy", "é"]
+    texts = [" ".join(rng.choice(words, rng.integers(1, 60))) for _ in range(80)] + [None, " "]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    seen = Counter(w for t in texts for w in (t or "").split())
-    counted = ll.word_counts(docs)
-    frequent, shares, sizes = ll.frequent_words(counted)
-    assert frequent == sorted(seen, key=lambda w: (-seen[w], w))[: ll.FREQUENT]
-    tokens = {w: int(Words(frequent)(w)[0]) for w in seen}
-    classes = Counter()
-    for w, n in seen.items():
-        classes[tokens[w]] += n
-    assert shares == pytest.approx([(classes[t] + 1) / (sum(classes.values()) + ll.TOKENS) for t in range(ll.TOKENS)])
-    values = flat(start(shares))
+    seen, marked = Counter(), Counter()
+    for t in texts:
+        own = (t or "").split()
+        seen.update(own)
+        marked.update(zip(own, plain_marks(own)))
+    counted = word_counts(docs)
+    values = flat(start())
     monkeypatch.setattr(ll, "train", lambda *_: values)
-    for hot in (ll.HOT, 700, 1):  # every word is sent to all tasks, some are, all are joined
+    for hot, least in ((10**9, 1), (700, 1), (10**9, 5), (1, 1)):  # every word is hot, some are, none is
         monkeypatch.setattr(ll, "HOT", hot)
-        sent, joined = ll.within(counted, frequent, sizes)
-        given = sent | {r.word: r.weight for r in joined.collect()}
-        assert set(given) == set(seen) - set(frequent) and (hot > 1 or not sent) and (hot == 700) == bool(sent and joined.count())
-        for token in range(ll.FREQUENT, ll.BORDER):
-            assert sum(np.exp(given[w]) for w in given if tokens[w] == token) == pytest.approx(1.0 if classes[token] else 0.0)
+        monkeypatch.setattr(ll, "LEAST", least)
+        known, rare = vocabulary(counted)
+        frequent = sorted(seen, key=lambda w: (-seen[w], w))[: ll.FREQUENT]
+        assert list(known.ids)[: ll.FREQUENT] == frequent
+        hot_words = {w for w in seen if w not in frequent and seen[w] * hot >= sum(seen.values()) and seen[w] >= least}
+        assert set(known.ids) == set(frequent) | hot_words
+        own_class = {w: min((m for v, m in marked if v == w), key=lambda m: (-marked[w, m], m)) for w in hot_words}
+        sizes = Counter()
+        for w in hot_words:
+            sizes[own_class[w]] += seen[w]
+        pairs = {p: n for p, n in marked.items() if p[0] not in known.ids}
+        for (_, m), n in pairs.items():
+            sizes[m] += n
+        assert {(r.word, r.mark): r.weight for r in rare.collect()} == pytest.approx({p: np.log(n / sizes[p[1]]) for p, n in pairs.items()}, abs=1e-6)
+        shares = np.array([*[seen[w] for w in frequent], *[sizes[c] for c in range(ll.CLASSES)]]) + 1.0
+        assert known.shares == pytest.approx(shares / shares.sum())
         for r in pseudo_likelihood(docs).collect():
-            found = (texts[r.doc_id] or "").split()
-            want = brute(shaped(values), [tokens[w] for w in found]) + sum(np.log(seen[w] / classes[tokens[w]]) for w in found)
-            assert r.n_tokens == len(found) and r.log_likelihood == pytest.approx(want, rel=1e-4, abs=1e-6)
-
-
-def test_every_position_is_a_target_once(monkeypatch):
+            own = (texts[r.doc_id] or "").split()
+            marks, sides, targets, more = plain_marks(own), [], [], 0.0
+            for w, m in zip(own, marks):
+                if w in frequent:
+                    sides.append(frequent.index(w))
+                    targets.append(frequent.index(w))
+                elif w in hot_words:
+                    sides.append(ll.FREQUENT + own_class[w])
+                    targets.append(ll.FREQUENT + own_class[w])
+                    more += np.log(seen[w] / sizes[own_class[w]])
+                else:
+                    sides.append(ll.TARGETS + zlib.crc32(w[-3:].encode()) % ll.ENDINGS)
+                    targets.append(ll.FREQUENT + m)
+                    more += np.log(marked[w, m] / sizes[m])
+            assert r.n_tokens == len(own) and r.log_likelihood == pytest.approx(brute(shaped(values), sides, targets) + more, rel=1e-4, abs=1e-5)
+
+
+def test_what_is_seen_does_not_depend_on_the_target():
+    tokens = Tokens(ll.Vocabulary(["the"], [], np.ones(ll.CLASSES), np.ones(ll.TARGETS)))
+    a, b = tokens("the big house of one man")[0], tokens("the big house zebra one man")[0]
+    assert [x for i, x in enumerate(a) if i != 3] == [x for i, x in enumerate(b) if i != 3]
+
+
+def test_every_position_is_a_target_once(spark, monkeypatch):
+    tokens = Tokens(ll.Vocabulary([], [], np.ones(ll.CLASSES), np.ones(ll.TARGETS)))
     texts = ["one", "a b c " * 9000, None, "x y"]
-    line_of = {}
-    taken, add = Counter(), Trainer.add
-
-    def watched(self, line, at):
-        assert len(at) <= ll.BATCH
-        line_of[line.tobytes()] = len(line) - 2 * ll.SIDE
-        taken.update((line.tobytes(), int(i)) for i in at)
-        add(self, line, at)
-
-    monkeypatch.setattr(Trainer, "add", watched)
-    batch = pa.record_batch({"text": pa.array(texts, pa.string())})
-    (row,) = ll._train([], flat(start()), ll.MASKED)(iter([batch]))
-    assert row.column("n")[0].as_py() == sum(len((t or "").split()) for t in texts)
-    assert taken == {(k, i): 1 for k, n in line_of.items() for i in range(ll.SIDE, ll.SIDE + n)}
+    found = [tokens(t) for t in texts]
+    batch = pa.record_batch({"sides": pa.array([f[0].tobytes() for f in found], pa.binary()), "targets": pa.array([f[1].tobytes() for f in found], pa.binary())})
+    taken = []
+    monkeypatch.setattr(Trainer, "step", lambda self, seen, targets: taken.append(len(targets)) or setattr(self, "seen", self.seen + len(targets)))
+    monkeypatch.setattr(ll, "FLUSH", 1000)
+    (row,) = ll._train(flat(start()))(iter([batch]))
+    assert row.column("n")[0].as_py() == sum(taken) == sum(len((t or "").split()) for t in texts) and max(taken) <= ll.STEP
+    rows = spark.range(1000)
+    from pyspark.sql import functions as F
+
+    parts = rows.groupBy(F.pmod(F.xxhash64("id"), F.lit(ll.ROUNDS)).alias("p")).count().collect()
+    assert sum(r["count"] for r in parts) == 1000 and len(parts) == ll.ROUNDS
