@@ -22,6 +22,13 @@ ROUNDS = 15
 #: Tokens of an entity, and characters of context on either side of a digit or @ at most.
 LONGEST = 20
 CONTEXT = 32
+#: Digits of an entity without an @ at most.
+MOST_DIGITS = 19
+#: Characters of a window that is cut whole; a longer one without line ends is cut block by block of so many tokens,
+#: each seen with so many tokens beside it.
+WHOLE = 2000
+BLOCK = 400
+BESIDE = 3 * LONGEST
 #: Posterior that a span beyond the base patterns needs.
 SURE = 0.9
 
@@ -119,7 +126,8 @@ def _features(text: str, a: int, b: int) -> list[str]:
 def candidates(text: str, a: int, b: int) -> tuple[int, list[tuple[int, int, int, int]]]:
     """Tokens in a window, and segments (first token, end token, start, end) of at most LONGEST tokens.
 
-    Segments begin and end at the borders of words, hold a digit or an @, and do not end in white space.
+    Segments begin and end at the borders of words, hold a digit or an @, do not end in white space and do not
+    cross a line end; without an @ they hold at most MOST_DIGITS digits.
     """
     tokens = [(a + m.start(), a + m.end()) for m in _TOKEN.finditer(text[a:b])]
     found = []
@@ -127,11 +135,13 @@ def candidates(text: str, a: int, b: int) -> tuple[int, list[tuple[int, int, int
         c = text[start]
         if not (c.isalnum() or c in "+(") or (start and text[start - 1].isalnum() and c.isalnum()):
             continue
-        held = False
+        digits, address = 0, False
         for j in range(i, min(len(tokens), i + LONGEST)):
             end = tokens[j][1]
-            held = held or bool(_TRIGGER.search(text, tokens[j][0], end))
-            if held and text[end - 1].isalnum() and not text[end : end + 1].isalnum():
+            if "0" <= text[tokens[j][0]] <= "9":
+                digits += end - tokens[j][0]
+            address = address or text[tokens[j][0]] == "@"
+            if (address or 0 < digits <= MOST_DIGITS) and text[end - 1].isalnum() and not text[end : end + 1].isalnum():
                 found.append((i, j + 1, start, end))
             if "\n" in text[tokens[j][0] : end]:
                 break
@@ -263,12 +273,37 @@ def fit(found: list[tuple[str, list[Span]]], rounds: int = ROUNDS, seed: int = 7
     return field
 
 
+def stretches(text: str, a: int, b: int) -> Iterator[tuple[int, int, int, int]]:
+    """Parts of a window that are cut by themselves (from, to), and where the segments that count begin (first, end).
+
+    No segment crosses a line end, so lines are cut apart with the same result. A line of more than WHOLE
+    characters is taken in blocks; what lies more than BESIDE tokens away hardly weighs.
+    """
+    at = a
+    while at < b:
+        end = text.find("\n", at, b) + 1 or b
+        if end - at <= WHOLE:
+            yield at, end, at, end
+        else:
+            borders: list[int] = []
+            left = at
+            for m in _TOKEN.finditer(text, at, end):
+                borders.append(m.start())
+                if len(borders) == BLOCK + 2 * BESIDE:
+                    yield left, m.start(), borders[0] if left == at else borders[BESIDE], borders[BLOCK + BESIDE]
+                    borders = borders[BLOCK:]
+                    left = borders[0]
+            yield left, end, borders[0] if left == at else borders[BESIDE], end
+        at = end
+
+
 def find(text: str, field: Field, sure: float = SURE) -> tuple[list[Span], list[Span]]:
     """Base spans, and spans that the field adds: of its best cut, with posterior of at least `sure`, clear of base spans."""
     base = base_spans(text)
     taken = sorted((a, b) for _, a, b in base)
     added: list[Span] = []
-    for a, b in windows(text):
+    free = 0
+    for a, b, first, last in (part for window in windows(text) for part in stretches(text, *window)):
         n, segments = candidates(text, a, b)
         if not segments or all(any(x <= s[2] and s[3] <= y for x, y in taken) for s in segments):
             continue
@@ -280,8 +315,10 @@ def find(text: str, field: Field, sure: float = SURE) -> tuple[list[Span], list[
         p = marginals(n, segments, scores)
         for k, kind in best:
             start, end = segments[k][2:]
-            if p[k, kind] >= sure and not any(x < end and start < y for x, y in taken):
-                added.append((KINDS[kind], start, end))
+            if first <= start < last and start >= free:
+                free = end
+                if p[k, kind] >= sure and not any(x < end and start < y for x, y in taken):
+                    added.append((KINDS[kind], start, end))
     return base, added
 
 
@@ -296,13 +333,13 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             base = base_spans(text)
             for a, b in windows(text):
                 inside = [(k, x - a, y - a) for k, x, y in base if a <= x and y <= b]
-                if b - a <= 2000:
+                if b - a <= WHOLE:
                     rows.append((text[a:b], _said(inside)))
         yield pa.record_batch({"text": pa.array([r[0] for r in rows], pa.string()), "spans": pa.array([r[1] for r in rows], pa.string())})
 
 
 def fit_sample(docs: DataFrame, fit_docs: int = FIT_DOCS, fit_windows: int = FIT_WINDOWS) -> list[tuple[str, list[Span]]]:
-    """Windows and base spans of at most fit_docs whole documents of the least hashes, at most fit_windows of them."""
+    """Windows of up to WHOLE characters and base spans of at most fit_docs whole documents of the least hashes, at most fit_windows of them."""
     chosen = least_hashes(docs.where(F.col("text").rlike("[0-9@]")).select("text", F.xxhash64("text").alias("h")), fit_docs)
     rows = chosen.select("text").mapInArrow(_windows, "text string, spans string").distinct().orderBy(F.xxhash64("text", "spans"), "text").limit(fit_windows).toArrow()
     found = []
@@ -342,7 +379,8 @@ def find_personal(docs: DataFrame, fit_docs: int = FIT_DOCS) -> DataFrame:
     kind:start:end by kind, then start, in code points with exclusive ends. The field is fitted on windows of at
     most fit_docs whole documents with the base spans as labels, in their own form, in forms the
     patterns miss, and beside look-alikes. Where there is nothing to learn from it adds nothing. Entities have at
-    most LONGEST tokens in the field, of any length in the patterns. A null or empty text has no
+    most LONGEST tokens in the field, of any length in the patterns. Long lines are cut block by block, so that
+    a text of numbers takes memory for some hundred tokens. A null or empty text has no
     spans. Null ids stay null, repeated rows come back alike, an empty table gives no rows; other
     columns are ignored.
     """
