@@ -48,10 +48,15 @@ STATES = "has no with without is not hide show"
 SITE = "site page global top main"
 #: Weight of a keyword elsewhere in a name, where none is learned.
 FIXED = -0.5
+#: A name says nothing of an element that holds so many words, and so many times the words of the article without it,
+#: but for words for what readers and other articles say.
+MOST_WORDS = 30
+MOST_TIMES = 4
+OTHERS = "comment comments commentlist reply replies respond disqus related recommended recommendations"
 #: Elements whose name says nothing; their class, id and role do.
 GENERIC = "html body div section span center table tbody thead tr td"
 _RAW, _VOID, _INLINE, _OUTSIDE, _KEYWORDS, _GENERIC = (frozenset(x.split()) for x in (RAW, VOID, INLINE, OUTSIDE, KEYWORDS, GENERIC))
-_SILENT, _SHUT, _TITLED, _HOLDERS, _STATES, _SITE = (frozenset(x.split()) for x in (SILENT, SHUT, TITLED, HOLDERS, STATES, SITE))
+_SILENT, _SHUT, _TITLED, _HOLDERS, _STATES, _SITE, _OTHERS = (frozenset(x.split()) for x in (SILENT, SHUT, TITLED, HOLDERS, STATES, SITE, OTHERS))
 _FIXED = {f".{word}": FIXED for word in _KEYWORDS}
 _IN_RAW = {name: re.compile(rf"</{name}\s*(?:>|$)|</{name}(?=[\s/])[^>]*>?", re.I) for name in _RAW}
 _MARKUP = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|$)|<(/?)([A-Za-z][^\s/>]*)([^>]*)(?:>|$)", re.S)
@@ -113,13 +118,14 @@ def _outside(parts: list[str], labelled: bool) -> bool:
 class _Open:
     """An open element: its name, features, and what holds for text in it."""
 
-    __slots__ = ("name", "features", "outside", "shut", "labelled", "around", "weight")
+    __slots__ = ("name", "features", "outside", "shut", "labelled", "around", "weight", "region", "mark")
 
-    def __init__(self, name: str, names: list[list[str]], above: _Open | None, weights: dict[str, float]) -> None:
+    def __init__(self, name: str, names: list[list[str]], above: _Open | None, weights: dict[str, float], number: int, plain: bool) -> None:
+        """number counts the elements of the page; the names of a plain one do not put it outside."""
         self.name = name
         self.features = [*([] if name in _GENERIC else [name]), *[f".{m}" for parts in names for m in parts]]
         self.labelled = bool(above and above.labelled) or name in LABELS
-        marked = any(_outside(parts, self.labelled) for parts in names)
+        marked = not plain and any(_outside(parts, self.labelled) for parts in names)
         own = name in _OUTSIDE or (name == "header" and not self.labelled) or (name not in (*LABELS, "body", "html") and marked)
         self.shut = bool(above and above.shut) or name in _SHUT
         # an article in a marked element is article text, unless the mark is in another article or on this one
@@ -127,6 +133,11 @@ class _Open:
         if name in LABELS and not (above and above.labelled) and not self.shut and not marked:
             inherited = False
         self.outside = inherited or own
+        # the article or main around it, and the outermost element in that which is outside by its names alone
+        self.region = above.region if above and above.region is not None else number if name in LABELS else None
+        self.mark = above.mark if above and inherited else None
+        if marked and not inherited and self.region not in (None, number) and name not in _OUTSIDE and not any(_OTHERS.intersection(parts) for parts in names):
+            self.mark = number
         # a feature counts once, however often elements with it are nested
         around = above.around if above else frozenset()
         new = [f for f in dict.fromkeys(self.features) if f not in around]
@@ -134,9 +145,10 @@ class _Open:
         self.weight = (above.weight if above else 0.0) + sum(weights.get(f, _FIXED.get(f, 0.0)) for f in new)
 
 
-def walk(page: str, weights: dict[str, float]) -> Iterator[tuple[str, str, _Open | None, list[str]]]:
+def walk(page: str, weights: dict[str, float], plain: frozenset[int] = frozenset()) -> Iterator[tuple[str, str, _Open | None, list[str]]]:
     """(kind, data, innermost open element, features) of each token; forgives unclosed and stray tags."""
     stack: list[_Open] = []
+    number = 0
     for kind, name, attributes in tokens(page):
         top = stack[-1] if stack else None
         if kind == "text":
@@ -148,6 +160,10 @@ def walk(page: str, weights: dict[str, float]) -> Iterator[tuple[str, str, _Open
             if name == "body":  # a head without its end
                 while stack and stack[-1].name == "head":
                     stack.pop()
+            if name in LABELS:  # a menu without its end
+                menu = next((k for k, x in enumerate(stack) if x.name == "nav"), None)
+                if menu is not None:
+                    del stack[menu:]
             if name not in _INLINE and name not in _VOID:  # a block ends an open paragraph, an item the item before
                 for k in range(len(stack) - 1, -1, -1):
                     if stack[k].name == "p" or (name == "li" and stack[k].name == "li"):
@@ -155,7 +171,8 @@ def walk(page: str, weights: dict[str, float]) -> Iterator[tuple[str, str, _Open
                         break
                     if stack[k].name not in _INLINE:
                         break
-            opened = _Open(name, _names(name, attributes), stack[-1] if stack else None, weights)
+            number += 1
+            opened = _Open(name, _names(name, attributes), stack[-1] if stack else None, weights, number, number in plain)
             yield kind, name, opened, opened.features
             if name not in _VOID and not attributes.rstrip().endswith("/"):
                 stack.append(opened)
@@ -179,21 +196,30 @@ def best_run(scores: list[float]) -> tuple[int, int]:
     return found
 
 
-def main_text(page: str, weights: dict[str, float]) -> str:
+def main_text(page: str, weights: dict[str, float], plain: frozenset[int] = frozenset()) -> str:
     """Blocks of the best run, without what is outside the article, one a line.
 
+    Names that would put nearly all words of an article outside it are passed over (see MOST_WORDS).
+
     A word scores between -1 and 1 by the weights of the elements around it; a tag costs what its
     weight says, at least a little. In elements that are never article text, words have a cost with
     a bound for each such element, and tags have none.
     """
     steps: list[tuple[float, str | None]] = []  # score, and text or None for a border of blocks
     spent = 0.0  # in the present element outside the article
-    for kind, data, element, features in walk(page, weights):
+    inside: Counter[int] = Counter()  # words of each article
+    marked: Counter[tuple[int, int]] = Counter()  # words outside it by names alone
+    for kind, data, element, features in walk(page, weights, plain):
         outside = bool(element and element.outside)
         if not outside:
             spent = 0.0
         if kind == "text":
             n = len(data.split())
+            if element and element.region is not None:
+                if element.mark is not None:
+                    marked[element.region, element.mark] += n
+                elif not outside:
+                    inside[element.region] += n
             if outside:
                 cost = min(n * OUTSIDE_COST[0], OUTSIDE_COST[1] - spent)
                 spent += cost
@@ -206,10 +232,13 @@ def main_text(page: str, weights: dict[str, float]) -> str:
         elif outside:
             steps.append((0.0, "" if data in _INLINE else None))
         else:
-            inside = bool(element and element.labelled and data not in LABELS)
+            labelled = bool(element and element.labelled and data not in LABELS)
             odds = sum(weights.get(f, 0.0) for f in features)
-            cost = TAG_COST[0] if inside else min(TAG_COST[1], max(TAG_COST[0], -odds))
+            cost = TAG_COST[0] if labelled else min(TAG_COST[1], max(TAG_COST[0], -odds))
             steps.append((-cost, "" if data in _INLINE else None))
+    passed = frozenset(mark for (region, mark), n in marked.items() if n >= MOST_WORDS and n > MOST_TIMES * inside[region])
+    if passed and not plain:
+        return main_text(page, weights, passed)
     a, b = best_run([s for s, _ in steps])
     blocks, held = [], []
     for _, text in [*steps[a:b], (0.0, None)]:

@@ -3,6 +3,7 @@
 import html
 import random
 import re
+import time
 
 import pytest
 
@@ -64,7 +65,22 @@ def test_odd_pages(spark, weights):
 
 def test_time_is_linear_in_broken_markup(weights):
     for page in ("<" * 100_000, "<a " * 50_000, "<a b='" * 30_000, "<!--" * 30_000, "</p" * 50_000, "&" * 100_000):
+        began = time.process_time()
         main_text(page, weights)
+        assert time.process_time() - began < 10
+
+
+def test_names_do_not_empty_an_article(weights):
+    long = "This paragraph of the article says a good deal about its subject and goes on for some time. " * 3
+    body = f"<p>{long}</p><p>{long}</p>"
+    want = "\n".join([long.strip()] * 2)
+    for name in ("search", "c-copyright", "widget", "share"):
+        assert main_text(f"<article><div class='{name}'>{body}</div></article>", weights) == want == main_text(f"<article><div class='{name}'>{body}</div></article>", {})
+    assert main_text(f"<body><nav><a href=x>Home</a> <a>About us</a><article>{body}</article></body>", weights) == want  # a menu without its end
+    page = f"<main><h1>Title of it</h1>{body}<div class='search'><p>{long}</p></div><div class='comments'>{body}</div></main>"
+    assert main_text(page, weights) == "Title of it\n" + want
+    comments = f"<article><p>Short text of a few words in one line.</p><div class='comments'>{body}{body}</div></article>"
+    assert main_text(comments, weights) == "Short text of a few words in one line."
 
 
 def test_names_that_only_hold_a_word_of_the_list(weights):
