@@ -16,8 +16,9 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from tessera.operators.blocks import sums
 
-#: Steps of a range in a pass, and bytes of the arrays that a task counts in.
+#: Steps of a range in a pass, at least and at most, and bytes of the arrays that a task counts in.
 STEPS = 32
+MOST_STEPS = 128
 ARRAY_BYTES = 64 * 1024 * 1024
 
 
@@ -50,12 +51,12 @@ def _ends(rows: DataFrame, groups: pa.Array, cut: slice, width: int, parts: int)
     return found["n"], found["min"], found["max"]
 
 
-def _place(x: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+def _place(x: np.ndarray, low: np.ndarray, high: np.ndarray, steps: int) -> np.ndarray:
     """Step of each value in its range; the ends always lie in the first and the last step, so ranges shrink."""
     with np.errstate(all="ignore"):
         share = (x / 2 - low / 2) / (high / 2 - low / 2)
-    step = np.clip(np.nan_to_num(share * STEPS), 0, STEPS - 1).astype(np.int64)
-    return np.where(x == low, 0, np.where(x == high, STEPS - 1, step))
+    step = np.clip(np.nan_to_num(share * steps), 0, steps - 1).astype(np.int64)
+    return np.where(x == low, 0, np.where(x == high, steps - 1, step))
 
 
 def _narrow(rows: DataFrame, groups: pa.Array, cut: slice, rank: np.ndarray, low: np.ndarray, high: np.ndarray, parts: int) -> np.ndarray:
@@ -69,20 +70,21 @@ def _narrow(rows: DataFrame, groups: pa.Array, cut: slice, rank: np.ndarray, low
         cells = np.full(open_.shape, -1)
         cells[open_] = np.arange(open_.sum())  # done ranges take no arrays
         size = int(open_.sum())
+        steps = max(STEPS, min(MOST_STEPS, ARRAY_BYTES // (24 * size)))
         sent = context.broadcast((low, high, cells))
 
-        def add(arrays, batch, sent=sent):
+        def add(arrays, batch, sent=sent, steps=steps):
             low, high, cells = sent.value
             x, g = _values(batch.column("x"), cut), _number(batch.column("g"), groups)
             cell = cells[g]
             inside = (cell >= 0) & (x >= low[g]) & (x <= high[g])
-            at = cell[inside] * STEPS + _place(x, low[g], high[g])[inside]
+            at = cell[inside] * steps + _place(x, low[g], high[g], steps)[inside]
             held = x[inside]
             arrays["n"] += np.bincount(at, minlength=len(arrays["n"]))
             np.minimum.at(arrays["min"], at, held)
             np.maximum.at(arrays["max"], at, held)
 
-        found = {name: array.reshape(size, STEPS) for name, array in sums(rows, {name: (size * STEPS,) for name in ("n", "min", "max")}, add, parts).items()}
+        found = {name: array.reshape(size, steps) for name, array in sums(rows, {name: (size * steps,) for name in ("n", "min", "max")}, add, parts).items()}
         up_to = np.cumsum(found["n"], axis=1)
         step = (up_to <= rank[open_][:, None]).sum(axis=1)
         line = np.arange(size)
