@@ -24,8 +24,10 @@ from tessera.operators.numbering import numbered
 from tessera.session import settle
 
 Kernel = Callable[[np.ndarray], np.ndarray]
+#: Bytes that an image takes up inside a kernel.
+Room = Callable[[np.ndarray], int]
 
-# Pixel bytes handed to a kernel at once.
+# Bytes that the images handed to a kernel at once take up there.
 STACK_BYTES = 2 * 1024 * 1024
 # A template table above this size is not sent whole to every executor.
 TEMPLATE_BYTES = 64 * 1024 * 1024
@@ -83,10 +85,21 @@ def vectors(rows: list[np.ndarray | None], kind: pa.DataType) -> pa.Array:
     return pa.array([None if r is None else r.ravel() for r in rows], pa.list_(kind))
 
 
-def by_shape(images: list[np.ndarray | None], kernel: Kernel) -> list:
+def as_doubles(image: np.ndarray) -> int:
+    """Room of a kernel that makes nothing larger than the image in doubles."""
+    return 8 * image.size
+
+
+def and_more(numbers: int) -> Room:
+    """Room of a kernel that makes so many numbers besides, whatever the size of the image."""
+    return lambda image: 8 * (image.size + numbers)
+
+
+def by_shape(images: list[np.ndarray | None], kernel: Kernel, room: Room = as_doubles) -> list:
     """Run the kernel on stacks of images of one size; results in input order.
 
-    Stacks are kept short, so what a kernel builds up on the way stays small.
+    Stacks are kept short by what a kernel builds up on the way, which for small images can be
+    a thousand times the image.
     """
     places: dict[tuple, list[int]] = {}
     for i, image in enumerate(images):
@@ -94,7 +107,7 @@ def by_shape(images: list[np.ndarray | None], kernel: Kernel) -> list:
             places.setdefault((image.shape, image.dtype.str), []).append(i)
     out: list = [None] * len(images)
     for where in places.values():
-        step = max(1, STACK_BYTES // max(1, images[where[0]].nbytes))
+        step = max(1, STACK_BYTES // max(1, room(images[where[0]])))
         for start in range(0, len(where), step):
             part = where[start : start + step]
             for i, result in zip(part, kernel(np.stack([images[i] for i in part]))):
@@ -102,23 +115,23 @@ def by_shape(images: list[np.ndarray | None], kernel: Kernel) -> list:
     return out
 
 
-def image_map(kernel: Kernel) -> Callable[[Column], Column]:
+def image_map(kernel: Kernel, room: Room = as_doubles) -> Callable[[Column], Column]:
     """Column function image -> image."""
 
     @arrow_udf(schema.IMAGE)
     def run(images: pa.Array) -> pa.Array:
-        return pack(by_shape(unpack(images), kernel))
+        return pack(by_shape(unpack(images), kernel, room))
 
     return run
 
 
-def vector_map(kernel: Kernel, element: str) -> Callable[[Column], Column]:
+def vector_map(kernel: Kernel, element: str, room: Room = as_doubles) -> Callable[[Column], Column]:
     """Column function image -> flat array of the element type."""
     spark_kind, kind = ELEMENTS[element]
 
     @arrow_udf(T.ArrayType(spark_kind))
     def run(images: pa.Array) -> pa.Array:
-        return vectors(by_shape(unpack(images), kernel), kind)
+        return vectors(by_shape(unpack(images), kernel, room), kind)
 
     return run
 
@@ -224,7 +237,7 @@ def contrast(factor: float = 3.0) -> Callable[[Column], Column]:
     return image_map(run)
 
 
-def _channel_of(to: Kernel, back: Kernel, channel: int, change: Kernel) -> Callable[[Column], Column]:
+def _channel_of(to: Kernel, back: Kernel, channel: int, change: Kernel, room: Room = as_doubles) -> Callable[[Column], Column]:
     """Change one channel of another colour space and come back to RGB."""
 
     def run(stack: np.ndarray) -> np.ndarray:
@@ -232,7 +245,7 @@ def _channel_of(to: Kernel, back: Kernel, channel: int, change: Kernel) -> Calla
         other[..., channel] = change(np.ascontiguousarray(other[..., channel]))
         return back(other)
 
-    return image_map(run)
+    return image_map(run, room)
 
 
 hsv_image = image_map(kernels.to_hsv)
@@ -242,8 +255,10 @@ stretched_plane = vector_map(lambda s: kernels.stretch(kernels.grey(s)), "smalli
 stretch_lightness = _channel_of(kernels.to_lab, kernels.from_lab, 0, lambda p: kernels.stretch(p, 100))
 stretch_value = _channel_of(kernels.to_hsv, kernels.from_hsv, 2, kernels.stretch)
 equalise_value = _channel_of(kernels.to_hsv, kernels.from_hsv, 2, kernels.equalise)
-clahe_value = _channel_of(kernels.to_hsv, kernels.from_hsv, 2, lambda p: kernels.clahe(p, 3.0))
-clahe_lightness = _channel_of(kernels.to_lab, kernels.from_lab, 0, lambda p: kernels.clahe(p, 255))
+# a table of 256 levels for each of 8x8 tiles
+LEVEL_TABLES = and_more(8 * 8 * 256)
+clahe_value = _channel_of(kernels.to_hsv, kernels.from_hsv, 2, lambda p: kernels.clahe(p, 3.0), LEVEL_TABLES)
+clahe_lightness = _channel_of(kernels.to_lab, kernels.from_lab, 0, lambda p: kernels.clahe(p, 255), LEVEL_TABLES)
 
 
 def blur(sigma: float = 2.0) -> Callable[[Column], Column]:
@@ -512,7 +527,7 @@ def embedder(predict, values: int, batch: int = 100) -> Callable[[Column], Colum
         if name not in _MODELS:
             _MODELS.clear()  # workers serve one model at a time
             _MODELS[name] = predict()
-        return vectors(by_shape(unpack(images), embed), pa.float32())
+        return vectors(by_shape(unpack(images), embed, lambda image: image.nbytes), pa.float32())
 
     return run
 

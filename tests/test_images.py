@@ -1,5 +1,7 @@
 """Readers, writers, the image and feature tables and the Arrow operators."""
 
+import tracemalloc
+
 import numpy as np
 import pyarrow.parquet as pq
 import pytest
@@ -482,3 +484,23 @@ def test_banks_of_templates_change_nothing(spark):
 def test_an_image_of_another_size_is_not_embedded(spark):
     with pytest.raises(Exception, match="has not 100 but 192 values"):
         ops.embed_images(tile_images(spark), lambda: lambda flat: flat, 100).collect()
+
+
+def _small_images(n=3000):
+    rng = np.random.default_rng(0)
+    return ops.pack(list(rng.integers(0, 256, (n, 4, 4, 3), dtype=np.uint8)))
+
+
+def _peak(column, images):
+    """MB that NumPy and Python hold at most while the column of a batch is computed."""
+    tracemalloc.start()
+    try:
+        column.func(images)
+        return tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+
+
+def test_level_tables_are_held_for_few_images_at_a_time():
+    images = _small_images()
+    assert max(_peak(c, images) for c in (ops.clahe_value, ops.clahe_lightness)) < 60  # the tables of all: 393 MB
