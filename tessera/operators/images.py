@@ -257,6 +257,7 @@ stretch_value = _channel_of(kernels.to_hsv, kernels.from_hsv, 2, kernels.stretch
 equalise_value = _channel_of(kernels.to_hsv, kernels.from_hsv, 2, kernels.equalise)
 # a table of 256 levels for each of 8x8 tiles
 LEVEL_TABLES = and_more(8 * 8 * 256)
+clahe_plane = vector_map(lambda s: kernels.clahe(kernels.grey(s), 3.0), "smallint", LEVEL_TABLES)
 clahe_value = _channel_of(kernels.to_hsv, kernels.from_hsv, 2, lambda p: kernels.clahe(p, 3.0), LEVEL_TABLES)
 clahe_lightness = _channel_of(kernels.to_lab, kernels.from_lab, 0, lambda p: kernels.clahe(p, 255), LEVEL_TABLES)
 

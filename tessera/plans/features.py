@@ -182,8 +182,7 @@ def stretch_lightness(spark, d):
     SELECT image_id, {LINE} AS plane FROM m GROUP BY image_id""",
 )
 def clahe(spark, d):
-    even = ops.vector_map(lambda s: kernels.clahe(kernels.grey(s), 3.0), "smallint")
-    return grey_images(spark, d).select("image_id", text_of(even("image")).alias("plane"))
+    return grey_images(spark, d).select("image_id", text_of(ops.clahe_plane("image")).alias("plane"))
 
 
 def _tile_blend_sql(relation: str, level: str, name: str) -> str:

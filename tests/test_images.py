@@ -504,3 +504,7 @@ def _peak(column, images):
 def test_level_tables_are_held_for_few_images_at_a_time():
     images = _small_images()
     assert max(_peak(c, images) for c in (ops.clahe_value, ops.clahe_lightness)) < 60  # the tables of all: 393 MB
+
+
+def test_level_tables_of_grey_planes_are_held_for_few_images_at_a_time():
+    assert _peak(ops.clahe_plane, _small_images()) < 60
