@@ -181,18 +181,28 @@ def centre_crop(height: int, width: int) -> Callable[[Column], Column]:
     return image_map(lambda s: kernels.centre_crop(s, height, width))
 
 
+def _rescaled(size: int) -> Room:
+    """Room of an image whose shorter side becomes size."""
+
+    def room(image: np.ndarray) -> int:
+        h, w, channels = image.shape
+        return 8 * (image.size + size * size * channels * max(h, w) // max(1, min(h, w)))
+
+    return room
+
+
 def rescale(size: int = 64) -> Callable[[Column], Column]:
     """Shorter side to size, then the central square."""
-    return image_map(lambda s: kernels.rescale(s, size))
+    return image_map(lambda s: kernels.rescale(s, size), _rescaled(size))
 
 
 def rescale_wide(size: int = 256, part: int = 224) -> Callable[[Column], Column]:
     """Input size of the usual pretrained networks: rescale, then the centre."""
-    return image_map(lambda s: kernels.centre_crop(kernels.rescale(s, size), part, part))
+    return image_map(lambda s: kernels.centre_crop(kernels.rescale(s, size), part, part), _rescaled(size))
 
 
 def resize(height: int, width: int) -> Callable[[Column], Column]:
-    return image_map(lambda s: kernels.resize_bilinear(kernels.to_unit(s), height, width).astype(np.float32))
+    return image_map(lambda s: kernels.resize_bilinear(kernels.to_unit(s), height, width).astype(np.float32), and_more(4 * height * width))
 
 
 def shrink(percent: int = 30) -> Callable[[Column], Column]:
@@ -207,7 +217,7 @@ def shrink(percent: int = 30) -> Callable[[Column], Column]:
 
 def fit(height: int, width: int) -> Callable[[Column], Column]:
     """Keep the shape and fill up with zeros."""
-    return image_map(lambda s: kernels.fit(kernels.to_unit(s), height, width).astype(np.float32))
+    return image_map(lambda s: kernels.fit(kernels.to_unit(s), height, width).astype(np.float32), and_more(4 * height * width))
 
 
 # ---- colour and light ------------------------------------------------------------------------

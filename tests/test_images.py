@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import planes
 from tessera.operators import build, columns, images as ops, joins
+from tessera.plans.registry import QUERIES
 from tessera.sources import checks, readers, writers
 from tessera.streaming import rowmaps
 
@@ -508,3 +509,14 @@ def test_level_tables_are_held_for_few_images_at_a_time():
 
 def test_level_tables_of_grey_planes_are_held_for_few_images_at_a_time():
     assert _peak(ops.clahe_plane, _small_images()) < 60
+
+
+def test_enlarged_images_are_held_as_doubles_for_few_at_a_time():
+    images = _small_images()
+    assert max(_peak(c, images) for c in (ops.rescale(16), ops.resize(16, 16), ops.fit(16, 16))) < 28  # 9 MB leave
+
+
+@pytest.mark.parametrize("name", ["rescale_network", "rescale_image", "embed_images"])
+def test_an_image_is_computed_once_where_its_values_become_rows(spark, name):
+    plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
