@@ -82,7 +82,11 @@ def pack(images: list[np.ndarray | None]) -> pa.Array:
 
 
 def vectors(rows: list[np.ndarray | None], kind: pa.DataType) -> pa.Array:
-    return pa.array([None if r is None else r.ravel() for r in rows], pa.list_(kind))
+    """One list a row; the numbers are copied once, into one buffer."""
+    flat = [r.ravel() for r in rows if r is not None]
+    numbers = pa.array(np.concatenate(flat)).cast(kind) if flat else pa.array([], kind)
+    ends = np.cumsum([0, *[0 if r is None else r.size for r in rows]]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends, mask=np.array([*[r is None for r in rows], False])), numbers)
 
 
 def as_doubles(image: np.ndarray) -> int:
@@ -264,7 +268,7 @@ grey_plane = vector_map(kernels.grey, "smallint")
 stretched_plane = vector_map(lambda s: kernels.stretch(kernels.grey(s)), "smallint")
 stretch_lightness = _channel_of(kernels.to_lab, kernels.from_lab, 0, lambda p: kernels.stretch(p, 100))
 stretch_value = _channel_of(kernels.to_hsv, kernels.from_hsv, 2, kernels.stretch)
-equalise_value = _channel_of(kernels.to_hsv, kernels.from_hsv, 2, kernels.equalise)
+equalise_value = _channel_of(kernels.to_hsv, kernels.from_hsv, 2, kernels.equalise, and_more(256))
 # a table of 256 levels for each of 8x8 tiles
 LEVEL_TABLES = and_more(8 * 8 * 256)
 clahe_plane = vector_map(lambda s: kernels.clahe(kernels.grey(s), 3.0), "smallint", LEVEL_TABLES)
@@ -279,15 +283,18 @@ def blur(sigma: float = 2.0) -> Callable[[Column], Column]:
 # ---- features ----------------------------------------------------------------------------------
 
 
+HSV_BINS, LBP_BINS = (180, 256, 256), 1024
+
+
 def _hsv_counts(stack: np.ndarray) -> list[tuple]:
     hsv = kernels.to_hsv(stack)
-    return list(zip(*[kernels.histograms(hsv[..., c], bins) for c, bins in enumerate((180, 256, 256))]))
+    return list(zip(*[kernels.histograms(hsv[..., c], bins).astype(np.int32) for c, bins in enumerate(HSV_BINS)]))
 
 
 @arrow_udf(HSV_TYPE)
 def hsv_histograms(images: pa.Array) -> pa.Array:
     """Struct of hue (180), saturation (256) and value (256) counts."""
-    counts = by_shape(unpack(images), _hsv_counts)
+    counts = by_shape(unpack(images), _hsv_counts, and_more(sum(HSV_BINS)))
     fields = [vectors([None if c is None else c[i] for c in counts], pa.int32()) for i in range(3)]
     return pa.StructArray.from_arrays(fields, ["hue_hist", "saturation_hist", "value_hist"])
 
@@ -302,11 +309,11 @@ def lbp(legacy_uint8: bool = False) -> Callable[[Column], Column]:
 
     def both(stack: np.ndarray) -> list[tuple]:
         codes = _lbp_codes(stack, legacy_uint8)
-        return list(zip(codes, kernels.histograms(codes, 1024)))
+        return list(zip(codes, kernels.histograms(codes, LBP_BINS).astype(np.int32)))
 
     @arrow_udf(LBP_TYPE)
     def run(images: pa.Array) -> pa.Array:
-        found = by_shape(unpack(images), both)
+        found = by_shape(unpack(images), both, and_more(LBP_BINS))
         fields = [
             vectors([None if f is None else f[i] for f in found], kind)
             for i, kind in enumerate((pa.int16(), pa.int32()))
@@ -454,6 +461,12 @@ def _stored_planes(templates: DataFrame, image: str) -> tuple[DataFrame, int, in
     return stored.select("class_id", "plane"), h, w
 
 
+def _patterns(templates: int, h: int, w: int, margin: int) -> Room:
+    """Room of an image that so many templates of a size are matched with."""
+    reach = lambda side, own: max(0, side + 2 * margin - own + 1)
+    return lambda image: 8 * (image.size + templates * reach(image.shape[0], h) * reach(image.shape[1], w))
+
+
 def template_pattern(
     df: DataFrame, templates: DataFrame, image: str = "image", margin: int = 4, max_bytes: int = TEMPLATE_BYTES
 ) -> DataFrame:
@@ -465,7 +478,8 @@ def template_pattern(
     stored, h, w = _stored_planes(templates, image)
 
     def column(classes: list, bank) -> Column:
-        return vector_map(lambda s: kernels.template_map(kernels.grey(s), bank.value.reshape(-1, h, w), margin), "float")(image)
+        match = lambda s: kernels.template_map(kernels.grey(s), bank.value.reshape(-1, h, w), margin)
+        return vector_map(match, "float", _patterns(len(classes), h, w, margin))(image)
 
     return _by_bank(df.drop("template_pattern"), _banks(stored, max_bytes), column, "template_pattern", image)
 
@@ -488,22 +502,24 @@ def all_features(
     }
     banks = _banks(stored, max_bytes)
     _, stack = next(banks)
+    matched, counted = _patterns(len(stack), h, w, margin), 8 * (sum(HSV_BINS) + LBP_BINS)
     bank = df.sparkSession.sparkContext.broadcast(stack)
 
     def compute(stack: np.ndarray) -> list[tuple]:
         plane, codes = kernels.grey(stack), _lbp_codes(stack)
         pattern = kernels.template_map(plane, bank.value.reshape(-1, h, w), margin)
-        columns = [codes, kernels.histograms(codes, 1024), kernels.hog(stack, 9, 6, 2), pattern]
+        columns = [codes, kernels.histograms(codes, LBP_BINS).astype(np.int32), kernels.hog(stack, 9, 6, 2), pattern]
         return [(*hsv, *others) for hsv, others in zip(_hsv_counts(stack), zip(*columns))]
 
     @arrow_udf(_struct(*[(n, T.ArrayType(ELEMENTS[k][0])) for n, k in kinds.items()]))
     def run(images: pa.Array) -> pa.Array:
-        found = by_shape(unpack(images), compute)
+        found = by_shape(unpack(images), compute, lambda image: matched(image) + counted)
         fields = [vectors([None if f is None else f[i] for f in found], ELEMENTS[k][1]) for i, k in enumerate(kinds.values())]
         return pa.StructArray.from_arrays(fields, list(kinds))
 
     def column(classes: list, bank) -> Column:
-        return vector_map(lambda s: kernels.template_map(kernels.grey(s), bank.value.reshape(-1, h, w), margin), "float")(image)
+        match = lambda s: kernels.template_map(kernels.grey(s), bank.value.reshape(-1, h, w), margin)
+        return vector_map(match, "float", _patterns(len(classes), h, w, margin))(image)
 
     df = df.withColumn("features", run(image))
     more = next(banks, None)

@@ -243,7 +243,7 @@ def lbp_image(spark, d):
 def lbp_histogram(spark, d):
     lbp = ops.lbp()
     coded = grey_images(spark, d).select("image_id", lbp("image").alias("l"))
-    return coded.select("image_id", F.posexplode("l.lbp_hist").alias("bin", "n")).where("n > 0")
+    return coded.select("image_id", F.posexplode_outer("l.lbp_hist").alias("bin", "n")).where("n > 0")
 
 
 GREY_LAB_SQL = f"""{PIXELS_SQL}, lin AS (SELECT image_id, pos, {_linear('v')} AS y FROM px),

@@ -3,12 +3,13 @@
 import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from conftest import write_png
 from pyspark.sql import functions as F
 
-from tessera.functions import planes
+from tessera.functions import kernels, planes
 from tessera.operators import build, columns, images as ops, joins
 from tessera.plans.registry import QUERIES
 from tessera.sources import checks, readers, writers
@@ -520,3 +521,23 @@ def test_enlarged_images_are_held_as_doubles_for_few_at_a_time():
 def test_an_image_is_computed_once_where_its_values_become_rows(spark, name):
     plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("ArrowEvalPython") == 1
+
+
+def test_histograms_are_counted_for_few_images_at_a_time(monkeypatch):
+    counted, histograms = [], kernels.histograms
+    monkeypatch.setattr(kernels, "histograms", lambda plane, bins: counted.append((len(plane), bins)) or histograms(plane, bins))
+    images = _small_images()
+    found = ops.hsv_histograms.func(images)
+    assert max(8 * n * bins for n, bins in counted) <= ops.STACK_BYTES
+    assert sum(n for n, bins in counted if bins == 180) == 3000
+    assert [sum(h) for h in found.field("hue_hist").to_pylist()] == [16] * 3000
+    counted.clear()
+    ops.lbp().func(images)
+    assert max(8 * n * bins for n, bins in counted) <= ops.STACK_BYTES
+
+
+def test_vectors_keep_missing_and_empty_rows():
+    rows = [np.array([[1, 2], [3, 4]]), None, np.array([], int), np.array([5])]
+    assert ops.vectors(rows, pa.int32()).to_pylist() == [[1, 2, 3, 4], None, [], [5]]
+    assert ops.vectors([None], pa.float32()).to_pylist() == [None]
+    assert ops.vectors([], pa.float32()).to_pylist() == []
