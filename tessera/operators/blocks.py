@@ -20,8 +20,9 @@ from pyspark.sql import functions as F
 #: Numbers of a cell, and tasks whose cells are added at a time.
 CELL = 65_536
 FAN = 32
-#: Arrays of all tasks together that the driver adds itself.
-DRIVER_BYTES = 64 * 1024 * 1024
+#: Arrays of all tasks together that the driver adds itself. Fits ask for sums up to a hundred times, so what is
+#: sent each time is little more than the result, however many tasks there are.
+DRIVER_BYTES = 2 * 1024 * 1024
 
 _ROWS = "name string, cell int, part int, numbers binary"
 
@@ -96,8 +97,8 @@ def gathered(df: DataFrame, shapes: dict[str, tuple[int, ...]], task: Callable[[
     return {name: found[name].reshape(shape) for name, shape in shapes.items()}
 
 
-def sums(df: DataFrame, shapes: dict[str, tuple[int, ...]], add: Callable[[Arrays, pa.RecordBatch], None], parts: int | None = None) -> Arrays:
-    """Arrays of the given shapes to which `add` has added every batch of the frame; an empty frame leaves them as they begin."""
+def summing(shapes: dict[str, tuple[int, ...]], add: Callable[[Arrays, pa.RecordBatch], None]) -> Callable[[Iterator[pa.RecordBatch]], Arrays | None]:
+    """What a task does to add up its batches; without rows it gives nothing."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Arrays | None:
         arrays = None
@@ -106,4 +107,10 @@ def sums(df: DataFrame, shapes: dict[str, tuple[int, ...]], add: Callable[[Array
             add(arrays, batch)
         return arrays
 
-    return gathered(df, shapes, task, parts)
+    return task
+
+
+def sums(df: DataFrame, shapes: dict[str, tuple[int, ...]], add: Callable[[Arrays, pa.RecordBatch], None], parts: int | None = None) -> Arrays:
+    """Arrays of the given shapes to which `add` has added every batch of the frame; an empty frame leaves them as they begin."""
+
+    return gathered(df, shapes, summing(shapes, add), parts)

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
-from tessera.operators.blocks import matrix, sums
+from tessera.operators.blocks import gathered, matrix, summing, sums
 
 #: Width of the quadratic bend that makes the hinge smooth.
 BEND = 0.05
@@ -157,10 +157,11 @@ def _fit(table: _Table, problems: Problems, max_iter: int, tolerance: float) ->
         place = np.full(m, -1)
         place[chosen] = np.arange(len(chosen))
         kinds = {kind: (place[own][place[own] >= 0], y[place[own] >= 0]) for kind, (own, y) in sides.items()}
-        sent = context.broadcast((weights, shifts, kinds))
+        used = scale[chosen] != 0
+        sent = context.broadcast((weights, shifts, kinds, used))
 
         def add(arrays, batch):
-            weights, shifts, kinds = sent.value
+            weights, shifts, kinds, _ = sent.value
             x, c, f = matrix(batch.column("x")), batch.column("c").to_numpy(zero_copy_only=False), batch.column("f").to_numpy(zero_copy_only=False)
             for kind, (own, y) in kinds.items():
                 rows = x[(c == kind[0]) & (f == kind[1])]
@@ -173,10 +174,18 @@ def _fit(table: _Table, problems: Problems, max_iter: int, tolerance: float) ->
                 arrays["shift"][own] += pull.sum(axis=0)
 
         n = len(chosen)
-        found = sums(table.rows, {"loss": (n,), "pull": (n, width), "shift": (n,)}, add, table.parts)
+        added = summing({"loss": (n,), "pull": (n, width), "shift": (n,)}, add)
+
+        def task(batches):
+            arrays = added(batches)  # columns that a problem leaves out stay in the task
+            return arrays and arrays | {"pull": arrays["pull"][sent.value[3]]}
+
+        found = gathered(table.rows, {"loss": (n,), "pull": (int(used.sum()),), "shift": (n,)}, task, table.parts)
         sent.unpersist()
+        pull = np.zeros((n, width))
+        pull[used] = found["pull"]
         w, c = point[chosen, :-1], penalty[chosen]
-        slope = w + c[:, None] * (found["pull"] - found["shift"][:, None] * mean[chosen]) * scale[chosen]
+        slope = w + c[:, None] * (pull - found["shift"][:, None] * mean[chosen]) * scale[chosen]
         return c * found["loss"] + (w * w).sum(axis=1) / 2, np.column_stack([slope, c * found["shift"]])
 
     point = np.zeros((m, width + 1))

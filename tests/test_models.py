@@ -99,6 +99,36 @@ def test_sums_are_merged_in_a_tree(spark, monkeypatch):
     assert (found["min"][0], found["max"][0]) == (0, 999)
 
 
+def test_sums_send_little_more_than_the_result(spark, monkeypatch):
+    frame, sent = type(spark.range(1)), []
+    collect = frame.collect
+
+    def measured(df):
+        rows = collect(df)
+        sent.extend(len(r["numbers"]) for r in rows if "numbers" in df.columns)
+        return rows
+
+    monkeypatch.setattr(frame, "collect", measured)
+    df = spark.range(0, 1000, numPartitions=40)
+
+    def add(arrays, batch):
+        arrays["count"][batch.column(0).to_numpy()] += 1
+
+    found = blocks.sums(df, {"count": (40_000,)}, add)
+    assert found["count"].sum() == 1000 and found["count"][:1000].all()
+    assert sum(sent) <= 2 * 8 * 40_000
+
+
+def test_machines_send_only_columns_they_use(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    df = spark.createDataFrame([(rng.normal(size=8).tolist(), i % 3) for i in range(60)], "vector array<double>, class_id int")
+    asked, gathered = [], blocks.gathered
+    monkeypatch.setattr(machines, "gathered", lambda df, shapes, task, parts: asked.append(shapes) or gathered(df, shapes, task, parts))
+    found = machines.fit_machines(df, lambda classes: machines.one_vs_one(classes, 0.1, columns=np.array([1, 5])) + machines.one_vs_one(classes, 0.1))
+    assert asked[0] == {"loss": (6,), "pull": (3 * 2 + 3 * 8,), "shift": (6,)}
+    assert (found.weights[:3, [0, 2, 3, 4, 6, 7]] == 0).all() and (found.weights[:3, [1, 5]] != 0).all()
+
+
 def plain_objective(x, y, weights, shift, penalty):
     """Loss and slope of one machine on scaled columns."""
     short = 1 - y * (x @ weights + shift)
