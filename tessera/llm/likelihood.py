@@ -10,7 +10,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.common import chunks, held, keep, pick
@@ -44,10 +45,14 @@ RATE = 0.6
 ROUNDS = 4
 #: Models that are merged by one task of a round.
 MERGE = 64
-#: Short words and endings that a Python worker remembers, and characters of a text that are split at a time.
+#: Short words and endings that a Python worker remembers, bytes of texts and characters of a long text that are split at a
+#: time, and tokens whose windows are held.
 MEMORY = 200_000
+PART = 8 * 1024 * 1024
 SLICE = 1_000_000
 FLUSH = 300_000
+#: Exponentials of numbers less than this and their sums are well within the range of 32 bits.
+LARGE = 60.0
 
 _GAP = re.compile(r"\s")
 
@@ -75,61 +80,101 @@ class _Hashes(dict):
         return found
 
 
+def _words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """Where the words of each text end and begin, the number of each word, and the numbered words in lower case.
+
+    Words are those of `str.lower` and `str.split`. A word can have several numbers, one for each spelling with capitals beyond ASCII.
+    """
+    # white space at the end of the last text could be taken for a word
+    lists = pc.utf8_split_whitespace(pc.utf8_trim_whitespace(pc.ascii_lower(pc.fill_null(texts.cast(pa.string()), ""))))
+    coded = lists.flatten().dictionary_encode()
+    words, codes = coded.dictionary, coded.indices.to_numpy()
+    bounds = lists.offsets.to_numpy()
+    bounds = bounds - bounds[0]
+    empty = pc.index(words, "").as_py()  # that of a text without words
+    if empty >= 0:
+        there = codes != empty
+        bounds = np.concatenate(([0], np.cumsum(there)))[bounds]
+        codes = codes[there]
+    wide = pc.invert(pc.string_is_ascii(words))
+    if pc.any(wide).as_py():
+        words = pc.replace_with_mask(words, wide, pa.array([w.lower() for w in words.filter(wide).to_pylist()], pa.string()))
+    return bounds, codes, words
+
+
 class Reader:
     """Words of texts in lower case, with the mark of each: a hash of the first short word among those at the places NEAR it."""
 
     def __init__(self) -> None:
         self.short = _Hashes(UNMARKED)
 
-    def _own(self, words: list[str]) -> np.ndarray:
-        short = self.short
-        return np.fromiter([short[x] if len(x) <= SHORT else -1 for x in words], np.int8, len(words))
-
-    def __call__(self, text: str | None) -> Iterator[tuple[list[str], np.ndarray]]:
-        """The parts of a text; a part's marks know the words of its neighbours."""
-        if not text:
-            return
-        parts = [text.lower().split()] if len(text) <= SLICE else None  # a long text is split twice, so that only its marks are held
-        split = lambda: parts or (part.lower().split() for part in slices(text, SLICE))
-        own = np.concatenate([self._own(words) for words in split()])
-        line = np.concatenate((np.full(2, -1, np.int8), own, np.full(2, -1, np.int8)))
-        marks = np.full(len(own), UNMARKED, np.int8)
+    def _own(self, words: pa.Array) -> np.ndarray:
+        own = np.full(len(words), -1, np.int8)
+        at = np.flatnonzero(pc.less_equal(pc.utf8_length(words), SHORT).to_numpy(zero_copy_only=False))
+        own[at] = [self.short[x] for x in words.take(pa.array(at)).to_pylist()]
+        return own
+
+    @staticmethod
+    def _marks(line: np.ndarray) -> np.ndarray:
+        """Marks of the words of a line but the two at either end, by the hashes of the short ones; -1 is no short word."""
+        n = len(line) - 4
+        marks = np.full(n, UNMARKED, np.int8)
         for d in reversed(NEAR):
-            there = line[2 + d : 2 + d + len(own)]
+            there = line[2 + d : 2 + d + n]
             marks = np.where(there >= 0, there, marks)
-        at = 0
-        for words in split():
-            yield words, marks[at : at + len(words)]
-            at += len(words)
+        return marks
 
+    def read(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, pa.Array, np.ndarray]]:
+        """Bounds of the texts, numbers of their words, the numbered words, and marks; a long text, alone, comes in parts.
 
-def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts: Counter[tuple[str, int]] = Counter()
+        A part's marks know the words of its neighbours.
+        """
+        if len(texts) == 1 and len(text := texts[0].as_py() or "") > SLICE:
+            yield from self._long(text)
+            return
+        bounds, codes, words = _words(texts)
+        at = np.arange(len(codes)) + 2 * np.repeat(np.arange(1, len(texts) + 1), np.diff(bounds))
+        line = np.full(len(codes) + 2 * len(texts) + 2, -1, np.int8)
+        line[at] = self._own(words)[codes]
+        yield bounds, codes, words, self._marks(line)[at - 2]
+
+    def _long(self, text: str) -> Iterator[tuple[np.ndarray, np.ndarray, pa.Array, np.ndarray]]:
+        def split():  # twice, so that only its marks are held
+            return (_words(pa.array([part], pa.string())) for part in slices(text, SLICE))
+
+        gap = np.full(2, -1, np.int8)
+        marks = self._marks(np.concatenate((gap, *[self._own(words)[codes] for _, codes, words in split()], gap)))
+        at = 0
+        for bounds, codes, words in split():
+            yield bounds, codes, words, marks[at : at + len(codes)]
+            at += len(codes)
+
+    def __call__(self, text: str | None) -> Iterator[tuple[list[str], np.ndarray]]:
+        """The parts of one text."""
+        for _, codes, words, marks in self.read(pa.array([text], pa.string())):
+            if len(codes):
+                yield words.take(pa.array(codes)).to_pylist(), marks
 
-    def rows() -> pa.RecordBatch:
-        return pa.record_batch({"word": pa.array([k[0] for k in counts], pa.string()), "mark": pa.array([k[1] for k in counts], pa.int32()), "n": pa.array(list(counts.values()), pa.int64())})
 
+def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held(None)
-    read = Reader()
-    for batch in (part for whole in batches for part in chunks(whole)):
-        for text in batch.column("text").to_pylist():
-            for words, marks in read(text):
-                counts.update(zip(words, marks.tolist()))
-            if len(counts) > FLUSH:
-                yield rows()
-                counts.clear()
-    yield rows()
+    read = Reader().read
+    for batch in (part for whole in batches for part in chunks(whole, limit=PART)):
+        for _, codes, words, marks in read(batch.column("text")):
+            pairs, n = np.unique(codes * np.int64(CLASSES) + marks, return_counts=True)
+            yield pa.record_batch({"word": words.take(pa.array(pairs // CLASSES)), "mark": pa.array((pairs % CLASSES).astype(np.int32)), "n": pa.array(n.astype(np.int64))})
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
-    """word, n, class, marks: all words of all texts in lower case, how often each has which mark (mark, n), and the mark it has most often.
+    """word, mark, n, of, class: how often each word of all texts in lower case has each mark, how often it is there at all, and the mark it has most often.
 
-    Counts are merged within tasks before the shuffle; a word has CLASSES marks at most.
+    Counts are merged in parts of texts before the one shuffle, by the word; a word has CLASSES marks at most.
     """
-    pairs = pick(docs, "text").mapInArrow(_word_counts, "word string, mark int, n bigint").groupBy("word", "mark").agg(F.sum("n").alias("n"))
-    words = pairs.groupBy("word").agg(F.sum("n").alias("n"), F.array_sort(F.collect_list(F.struct("mark", "n"))).alias("marks"))
-    most = F.array_max(F.transform("marks", lambda m: F.struct(m["n"].alias("n"), (-m["mark"]).alias("less"))))
-    return keep(words.withColumn("class", -most["less"]), "words")
+    parts = pick(docs, "text").mapInArrow(_word_counts, "word string, mark int, n bigint").repartition("word")
+    pairs = parts.groupBy("word", "mark").agg(F.sum("n").alias("n"))
+    word = Window.partitionBy("word")
+    most = F.max(F.col("n") * CLASSES + (CLASSES - 1 - F.col("mark"))).over(word)  # of marks as frequent the least
+    return keep(pairs.select("word", "mark", "n", F.sum("n").over(word).alias("of"), (CLASSES - 1 - most % CLASSES).cast("int").alias("class")), "words")
 
 
 class Vocabulary:
@@ -141,6 +186,7 @@ class Vocabulary:
 
     def __init__(self, frequent: list[str], hot: list[tuple[str, int, int]], sizes: np.ndarray, shares: np.ndarray) -> None:
         self.ids = {word: i for i, word in enumerate([*frequent, *[word for word, _, _ in hot]])}
+        self.words = pa.array(list(self.ids), pa.string())
         self.target = np.array([*range(len(frequent)), *[FREQUENT + c for _, _, c in hot]], np.uint8)
         self.weight = np.array([0.0] * len(frequent) + [np.rint(np.log(n / sizes[c]) * GRAIN) / GRAIN for _, n, c in hot])
         self.sizes, self.shares = sizes, shares
@@ -153,18 +199,19 @@ def vocabulary(counts: DataFrame) -> tuple[Vocabulary, DataFrame]:
     task of a join by the word gets many rows of one.
     """
     total = counts.agg(F.sum("n")).first()[0] or 0
-    frequent = counts.orderBy(F.desc("n"), "word").limit(FREQUENT).collect()
-    names = [r["word"] for r in frequent]
-    others = counts.where(~F.col("word").isin(names)) if names else counts
-    hot = (F.col("n") * HOT >= total) & (F.col("n") >= LEAST) & (F.char_length("word") <= LETTERS)
-    chosen = [(r["word"], r["n"], r["class"]) for r in others.where(hot).select("word", "n", "class").orderBy("word").collect()]
-    rare = others.where(~hot).select("word", F.inline("marks"))
+    words = counts.where(F.col("mark") == F.col("class"))  # one row for each
+    frequent = [(r["word"], r["of"]) for r in words.orderBy(F.desc("of"), "word").limit(FREQUENT).collect()]
+    names = [word for word, _ in frequent]
+    other = ~F.col("word").isin(names) if names else F.lit(True)
+    hot = (F.col("of") * HOT >= total) & (F.col("of") >= LEAST) & (F.char_length("word") <= LETTERS)
+    chosen = [(r["word"], r["of"], r["class"]) for r in words.where(other & hot).select("word", "of", "class").orderBy("word").collect()]
+    rare = counts.where(other & ~hot).select("word", "mark", "n")
     sizes = np.zeros(CLASSES)
     for _, n, c in chosen:
         sizes[c] += n
     for r in rare.groupBy("mark").agg(F.sum("n").alias("n")).collect():
         sizes[r["mark"]] += r["n"]
-    share = np.concatenate([[float(r["n"]) for r in frequent], np.zeros(FREQUENT - len(names)), sizes]) + 1
+    share = np.concatenate([[float(n) for _, n in frequent], np.zeros(FREQUENT - len(names)), sizes]) + 1
     size = F.get(F.array(*[F.lit(float(max(x, 1))) for x in sizes]), F.col("mark"))
     return Vocabulary(names, chosen, sizes, share / share.sum()), rare.select("word", "mark", (F.rint(F.log(F.col("n") / size) * GRAIN) / GRAIN).alias("weight"))
 
@@ -173,44 +220,72 @@ class Tokens:
     """What the network sees and predicts of texts."""
 
     def __init__(self, vocabulary: Vocabulary) -> None:
-        self.vocabulary, self.read, self.endings = vocabulary, Reader(), _Hashes(ENDINGS)
+        self.vocabulary, self.reader, self.endings = vocabulary, Reader(), _Hashes(ENDINGS)
+        self.target, self.weight = np.append(vocabulary.target, np.uint8(0)), np.append(vocabulary.weight, 0.0)  # the last is that of other words
+
+    def _seen(self, words: pa.Array, ids: np.ndarray) -> np.ndarray:
+        """What the network sees of each word: its target, or the hash of its ending."""
+        seen = self.target[ids]
+        rare = np.flatnonzero(ids < 0)
+        endings = pc.utf8_slice_codeunits(words.take(pa.array(rare)), -3).dictionary_encode()
+        hashes = np.array([TARGETS + self.endings[x] for x in endings.dictionary.to_pylist()], np.uint8)
+        seen[rare] = hashes[endings.indices.to_numpy()]
+        return seen
+
+    def read(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, tuple[np.ndarray, pa.RecordBatch]]]:
+        """Bounds of the texts, their side and target tokens, the summed weights of each one's hot words, and its other words with their marks.
+
+        The last are rows (word, mark, times) with the bounds of each text's. A long text, alone, comes in parts.
+        """
+        for bounds, codes, words, marks in self.reader.read(texts):
+            ids = pc.fill_null(pc.index_in(words, value_set=self.vocabulary.words), -1).to_numpy()
+            targets = self.target[ids][codes]
+            rare = np.flatnonzero((ids < 0)[codes])
+            targets[rare] = FREQUENT + marks[rare]
+            weights = np.concatenate(([0.0], np.cumsum(self.weight[ids][codes])))[bounds]  # exact, as sums of multiples of 1 / GRAIN
+            size = max(len(words), 1) * CLASSES
+            text = np.searchsorted(bounds, rare, side="right") - 1
+            pairs, times = np.unique((text * size + codes[rare] * np.int64(CLASSES)) + marks[rare], return_counts=True)
+            ends = np.searchsorted(pairs, np.arange(len(bounds)) * size)
+            pairs %= size
+            others = {"word": words.take(pa.array(pairs // CLASSES)), "mark": pa.array((pairs % CLASSES).astype(np.int32)), "times": pa.array(times.astype(np.int64))}
+            yield bounds, self._seen(words, ids)[codes], targets, np.diff(weights), (ends, pa.record_batch(others))
+
+    def whole(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, tuple[np.ndarray, pa.RecordBatch]]:
+        """The same of whole texts."""
+        parts = list(self.read(texts))
+        if len(parts) == 1:
+            return parts[0]
+        sides, targets, weights = (np.concatenate([p[k] for p in parts]) for k in (1, 2, 3))
+        others = pa.Table.from_batches([p[4][1] for p in parts]).group_by(["word", "mark"]).aggregate([("times", "sum")])
+        others = pa.RecordBatch.from_arrays([pc.cast(others[c], t).combine_chunks() for c, t in (("word", pa.string()), ("mark", pa.int32()), ("times_sum", pa.int64()))], ["word", "mark", "times"])
+        return np.array([0, len(sides)]), sides, targets, weights.sum(keepdims=True), (np.array([0, others.num_rows]), others)
 
     def __call__(self, text: str | None) -> tuple[np.ndarray, np.ndarray, float, Counter]:
-        """Side and target tokens of a text, the summed weights of its hot words, and its other words with their marks."""
-        sides, targets, weight, others = [np.zeros(0, np.uint8)], [np.zeros(0, np.uint8)], 0.0, Counter()
-        known, endings = self.vocabulary.ids.get, self.endings
-        for words, marks in self.read(text):
-            ids = np.fromiter([known(x, -1) for x in words], np.int32, len(words))
-            rare = np.flatnonzero(ids < 0)
-            seen = self.vocabulary.target[ids] if len(self.vocabulary.target) else np.zeros(len(ids), np.uint8)
-            target = seen.copy()
-            if len(rare):
-                own, own_marks = [words[i] for i in rare.tolist()], marks[rare]
-                target[rare] = FREQUENT + own_marks
-                seen[rare] = np.fromiter([TARGETS + endings[x[-3:]] for x in own], np.uint8, len(own))
-                others.update(zip(own, own_marks.tolist()))
-            weight += float(self.vocabulary.weight[ids[ids >= 0]].sum())
-            sides.append(seen)
-            targets.append(target)
-        return np.concatenate(sides), np.concatenate(targets), weight, others
+        """Side and target tokens of one text, the summed weights of its hot words, and its other words with their marks."""
+        _, sides, targets, weight, (_, rows) = self.whole(pa.array([text], pa.string()))
+        others = Counter()
+        for r in rows.to_pylist():
+            others[r["word"], r["mark"]] += r["times"]
+        return sides, targets, float(weight[0]), others
+
+
+def _binary(bounds: np.ndarray, values: np.ndarray) -> pa.Array:
+    """Bytes of each text."""
+    return pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(values))])
 
 
 def _tokens(model, name: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = held(name, lambda: Tokens(model.value))
-        for batch in (part for whole in batches for part in chunks(whole)):
-            found = [tokens(text) for text in batch.column("text").to_pylist()]
-            lines = [key for f in found for key in f[3]]
-            pairs = pa.StructArray.from_arrays(
-                [pa.array([k[0] for k in lines], pa.string()), pa.array([k[1] for k in lines], pa.int32()), pa.array([n for f in found for n in f[3].values()], pa.int64())], ["word", "mark", "times"]
-            )
-            ends = pa.array(np.concatenate(([0], np.cumsum([len(f[3]) for f in found]))).astype(np.int32))
+        for batch in (part for whole in batches for part in chunks(whole, limit=PART)):
+            bounds, sides, targets, weights, (ends, others) = tokens.whole(batch.column("text"))
             columns = {c: batch.column(c) for c in ("row", "doc_id")} | {
-                "n_tokens": pa.array([len(f[0]) for f in found], pa.int64()),
-                "sides": pa.array([f[0].tobytes() for f in found], pa.binary()),
-                "targets": pa.array([f[1].tobytes() for f in found], pa.binary()),
-                "weight": pa.array([f[2] for f in found], pa.float64()),
-                "others": pa.ListArray.from_arrays(ends, pairs),
+                "n_tokens": pa.array(np.diff(bounds).astype(np.int64)),
+                "sides": _binary(bounds, sides),
+                "targets": _binary(bounds, targets),
+                "weight": pa.array(weights),
+                "others": pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), others.to_struct_array()),
             }
             yield pa.record_batch(columns)
 
@@ -250,25 +325,37 @@ def windows(sides: list[np.ndarray]) -> np.ndarray:
     line = np.concatenate([gap, *[x for t in sides for x in (t, gap)]])
     at = np.flatnonzero(line != BORDER)
     steps = [*range(-SIDE, 0), *range(1, SIDE + 1)]
-    return np.stack([line[at + d].astype(np.int16) + k * SIDES for k, d in enumerate(steps)], axis=1)
+    return np.stack([line[at + d].astype(np.int16) + k * SIDES for k, d in enumerate(steps)]).T
 
 
-def _layer(net: Network, seen: np.ndarray) -> np.ndarray:
-    total = net["near"][seen[:, 0]]
+def _layer(near: np.ndarray, seen: np.ndarray) -> np.ndarray:
+    """The layer, and a column of ones that takes the bias."""
+    total = near.take(seen[:, 0], axis=0)
     for k in range(1, seen.shape[1]):
-        total += net["near"][seen[:, k]]
-    return np.tanh(total, out=total)
+        total += near.take(seen[:, k], axis=0)
+    layer = np.ones((len(seen), WIDTH + 1), near.dtype)
+    np.tanh(total, out=layer[:, :WIDTH])
+    return layer
+
+
+def _logits(layer: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Logits by the rows of `out` and the bias, less the largest where their exponentials could leave the range; the layer is in -1 to 1."""
+    logits = layer @ rows
+    if not np.abs(rows).sum(axis=0).max() < LARGE:
+        logits -= logits.max(axis=1, keepdims=True)
+    return logits
 
 
 def log_probs(net: Network, seen: np.ndarray, targets: np.ndarray) -> np.ndarray:
     """Log-probability of the targets, given what is seen around each."""
     found = np.empty(len(seen), np.float64)
+    rows = np.vstack((net["out"], net["bias"]))
+    ones = np.ones(rows.shape[1], rows.dtype)
     for a in range(0, len(seen), BATCH):
-        logits = _layer(net, seen[a : a + BATCH]) @ net["out"] + net["bias"]
-        logits -= logits.max(axis=1, keepdims=True)
+        logits = _logits(_layer(net["near"], seen[a : a + BATCH]), rows)
         target = logits[np.arange(len(logits)), targets[a : a + BATCH]]
         np.exp(logits, out=logits)
-        found[a : a + BATCH] = target - np.log(logits.sum(axis=1))
+        found[a : a + BATCH] = target - np.log(logits @ ones)
     return found
 
 
@@ -277,6 +364,9 @@ class Trainer:
 
     def __init__(self, net: Network, rate: float = RATE) -> None:
         self.net, self.rate, self.seen = net, rate, 0
+        self.rows = np.vstack((net["out"], net["bias"]))
+        net["out"], net["bias"] = self.rows[:-1], self.rows[-1]  # the same memory, so that both are one product
+        self.ones = np.ones(self.rows.shape[1], self.rows.dtype)
         self.scale = {k: np.full(v.shape, 1e-3, np.float32) for k, v in net.items()}
         self.held: list[tuple[np.ndarray, np.ndarray]] = []
         self.waiting = 0
@@ -297,22 +387,24 @@ class Trainer:
 
     def step(self, seen: np.ndarray, targets: np.ndarray) -> None:
         net, n = self.net, len(seen)
-        layer = _layer(net, seen)
-        p = layer @ net["out"] + net["bias"]
-        p -= p.max(axis=1, keepdims=True)
+        layer = _layer(net["near"], seen)
+        p = _logits(layer, self.rows)
         np.exp(p, out=p)
-        p /= p.sum(axis=1, keepdims=True) * np.float32(n)
-        p[np.arange(n), targets] -= np.float32(1 / n)
-        back = (p @ net["out"].T) * (1 - layer * layer)
-        places = seen.T.ravel()
-        order = np.argsort(places, kind="stable")
-        ordered = places[order]
-        first = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
-        near = np.add.reduceat(back[order % n], first, axis=0)
-        used = ordered[first]
-        self.scale["near"][used] += near * near
-        net["near"][used] -= self.rate * near / np.sqrt(self.scale["near"][used])
-        for name, grad in (("out", layer.T @ p), ("bias", p.sum(axis=0))):
+        sums = p @ self.ones
+        p[np.arange(n), targets] -= sums  # the gradient but for a factor of each row, which the narrow side of the products takes
+        share = (1 / (sums * np.float32(n)))[:, None]
+        back = (p @ net["out"].T) * (1 - layer[:, :WIDTH] ** 2) * share
+        order = seen.T.ravel().astype(np.int32) * np.int32(seen.size) + np.arange(seen.size, dtype=np.int32)  # sorts faster than argsort
+        order.sort()
+        places, order = np.divmod(order, np.int32(seen.size))
+        first = np.flatnonzero(np.concatenate(([True], places[1:] != places[:-1])))
+        near = np.add.reduceat(back.take(order % n, axis=0), first, axis=0)
+        used = places[first]
+        scale = self.scale["near"].take(used, axis=0) + near * near
+        self.scale["near"][used] = scale
+        net["near"][used] -= self.rate * near / np.sqrt(scale)
+        rows = (layer * share).T @ p
+        for name, grad in (("out", rows[:-1]), ("bias", rows[-1])):
             self.scale[name] += grad * grad
             net[name] -= self.rate * grad / np.sqrt(self.scale[name])
         self.seen += n
@@ -326,14 +418,38 @@ def _parts(sides: np.ndarray, targets: np.ndarray) -> Iterator[tuple[np.ndarray,
         yield around[min(a, SIDE) :][: b - a], targets[a:b]
 
 
+def _texts(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, bool]]:
+    """Windows and targets of texts, FLUSH tokens at most, the bounds of the texts, and whether the last goes on in the next part."""
+    sides, targets, n = [], [], 0
+
+    def together():
+        return windows(sides), np.concatenate(targets), np.concatenate(([0], np.cumsum([len(s) for s in sides]))), False
+
+    for s, t in zip(batch.column("sides"), batch.column("targets")):
+        s, t = np.frombuffer(s.as_buffer(), np.uint8), np.frombuffer(t.as_buffer(), np.uint8)
+        if sides and n + len(s) > FLUSH:
+            yield together()
+            sides, targets, n = [], [], 0
+        if len(s) > FLUSH:
+            left = len(s)
+            for seen, part in _parts(s, t):
+                left -= len(part)
+                yield seen, part, np.array([0, len(part)]), left > 0
+        else:
+            sides.append(s)
+            targets.append(t)
+            n += len(s)
+    if sides:
+        yield together()
+
+
 def _train(values: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held(None)
         trainer = Trainer(shaped(values))
-        for batch in batches:
-            for sides, targets in zip(batch.column("sides"), batch.column("targets")):
-                for part in _parts(np.frombuffer(sides.as_buffer(), np.uint8), np.frombuffer(targets.as_buffer(), np.uint8)):
-                    trainer.add(*part)
+        for seen, targets, bounds, _ in (group for batch in batches for group in _texts(batch)):
+            for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+                trainer.add(seen[a:b], targets[a:b])
         trainer.flush()
         yield _row(trainer.seen, flat(trainer.net))
 
@@ -383,26 +499,12 @@ def _score(model, name: str):
         net = held(name, lambda: shaped(model.value))
         for batch in batches:
             sums: list[float] = []
-            waiting: list[tuple[np.ndarray, np.ndarray]] = []
-
-            def flush() -> None:
-                found = np.concatenate((log_probs(net, windows([s for s, _ in waiting]), np.concatenate([t for _, t in waiting])), [0.0]))
-                bounds = np.concatenate(([0], np.cumsum([len(s) for s, _ in waiting])))
-                sums.extend(float(found[a:b].sum()) for a, b in zip(bounds[:-1], bounds[1:]))
-                waiting.clear()
-
-            for sides, targets in zip(batch.column("sides"), batch.column("targets")):
-                sides, targets = np.frombuffer(sides.as_buffer(), np.uint8), np.frombuffer(targets.as_buffer(), np.uint8)
-                if len(sides) > FLUSH:
-                    if waiting:
-                        flush()
-                    sums.append(sum(float(log_probs(net, *part).sum()) for part in _parts(sides, targets)))
-                    continue
-                waiting.append((sides, targets))
-                if sum(len(s) for s, _ in waiting) > 50_000:
-                    flush()
-            if waiting:
-                flush()
+            begun = 0.0
+            for seen, targets, bounds, more in _texts(batch):
+                found = log_probs(net, seen, targets)
+                sums.extend(float(found[a:b].sum()) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()))
+                sums[-1] += begun
+                begun = sums.pop() if more else 0.0
             values = np.array(sums) + batch.column("weight").to_numpy()
             yield pa.record_batch({**{c: batch.column(c) for c in ("row", "doc_id", "n_tokens")}, "log_likelihood": pa.array(values)})
 

@@ -1,5 +1,6 @@
 """Masked pseudo-likelihood: marks, weights and sums against a plain reading, gradients, training, odd rows."""
 
+import sys
 import zlib
 from collections import Counter
 
@@ -187,3 +188,122 @@ def test_every_position_is_a_target_once(spark, monkeypatch):
 
     parts = rows.groupBy(F.pmod(F.xxhash64("id"), F.lit(ll.ROUNDS)).alias("p")).count().collect()
     assert sum(r["count"] for r in parts) == 1000 and len(parts) == ll.ROUNDS
+
+
+def _batch(texts):
+    numbers = pa.array(range(len(texts)), pa.int64())
+    return pa.record_batch({"row": numbers, "doc_id": numbers, "text": pa.array(texts, pa.string())})
+
+
+def _python_calls(run):
+    """How many functions Python calls."""
+    calls = 0
+
+    def count(frame, event, arg):
+        nonlocal calls
+        calls += event in ("call", "c_call")
+
+    sys.setprofile(count)
+    try:
+        run()
+    finally:
+        sys.setprofile(None)
+    return calls
+
+
+def test_words_are_not_handled_one_by_one():
+    text = "The house of one man stands beside another lake " * 10
+    known = ll.Vocabulary(["the"], [("house", 5, 1)], np.ones(ll.CLASSES), np.ones(ll.TARGETS))
+
+    class Sent:
+        value = known
+
+    def steps(texts):
+        return _python_calls(lambda: list(ll._word_counts(iter([_batch(texts)])))), _python_calls(lambda: list(ll._tokens(Sent, "calls")(iter([_batch(texts)]))))
+
+    steps([text])
+    for few, many in zip(steps([text] * 4), steps([text * 50] * 4)):
+        assert many < few + 100  # 17,640 words more
+
+
+def test_words_are_counted_with_one_shuffle(spark):
+    counted = []
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(ll, "keep", lambda df, _: counted.append(df) or df)
+        word_counts(spark.createDataFrame([(1, "a b")], "doc_id long, text string"))
+    (df,) = counted
+    df.collect()
+    assert df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0].count("Exchange hashpartitioning") == 1
+
+
+def test_texts_together_and_in_parts(monkeypatch):
+    rng = np.random.default_rng(8)
+    lines = [rng.integers(0, ll.TARGETS, n).astype(np.uint8) for n in (3, 0, 40, 7, 95, 1, 0, 30, 31, 0)]
+    data = pa.array([x.tobytes() for x in lines], pa.binary())
+    numbers = pa.array(range(len(lines)), pa.int64())
+    batch = pa.record_batch({"row": numbers, "doc_id": numbers, "n_tokens": numbers, "sides": data, "targets": data, "weight": pa.array([0.5] * len(lines))})
+    monkeypatch.setattr(ll, "FLUSH", 30)
+
+    class Sent:
+        value = flat(start(seed=5))
+
+    (found,) = ll._score(Sent, "parts")(iter([batch]))
+    net = start(seed=5)
+    assert found.column("log_likelihood").to_pylist() == pytest.approx([brute(net, x, x) + 0.5 for x in lines], rel=1e-4)
+    taken = []
+    monkeypatch.setattr(Trainer, "add", lambda self, seen, targets: taken.append((seen, targets)))
+    list(ll._train(flat(net))(iter([batch])))
+    assert np.array_equal(np.concatenate([s for s, _ in taken]), windows(lines)) and np.array_equal(np.concatenate([t for _, t in taken]), np.concatenate(lines))
+
+
+def test_words_are_those_of_python(monkeypatch):
+    rng = np.random.default_rng(7)
+    signs = [*"aB.x1", *"éÉΣσİßẞ日Ω", "K", "́", "ǅ", "\U00010400", "​", "\0", *" \n\t\v\x1c\x1f\x85\xa0 　"]
+    known = ll.Vocabulary(["a", "é"], [("b", 3, 2), ("σ", 5, 7)], np.full(ll.CLASSES, 50.0), np.ones(ll.TARGETS))
+    for turn in range(200):
+        texts = [None, "", " ", *["".join(rng.choice(signs, rng.integers(1, 120))) for _ in range(5)], "a \x1f\x85"]
+        if turn % 2:
+            monkeypatch.setattr(ll, "SLICE", 7)  # a text alone is long
+            texts = texts[-1 - turn % 3 :][:1]
+        want, others = Counter(), []
+        for t in texts:
+            own = (t or "").lower().split()
+            pairs = list(zip(own, plain_marks(own)))
+            want.update(pairs)
+            others.append(Counter(p for p in pairs if p[0] not in known.ids))
+        got = Counter()
+        for part in ll._word_counts(iter([_batch(texts)])):
+            for r in part.to_pylist():
+                got[r["word"], r["mark"]] += r["n"]
+        assert got == want
+
+        class Sent:
+            value = known
+
+        rows = [r for part in ll._tokens(Sent, f"odd {turn}")(iter([_batch(texts)])) for r in part.to_pylist()]
+        for t, r, rare in zip(texts, rows, others, strict=True):
+            own = (t or "").lower().split()
+            found = Counter()
+            for x in r["others"]:
+                found[x["word"], x["mark"]] += x["times"]
+            assert found == rare and r["n_tokens"] == len(own)
+            assert list(r["sides"]) == [known.target[known.ids[w]] if w in known.ids else ll.TARGETS + zlib.crc32(w[-3:].encode()) % ll.ENDINGS for w in own]
+            assert list(r["targets"]) == [known.target[known.ids[w]] if w in known.ids else ll.FREQUENT + m for w, m in zip(own, plain_marks(own))]
+            assert r["weight"] == sum(known.weight[known.ids[w]] for w in own if w in known.ids)
+            assert Tokens(known)(t)[3] == rare
+        monkeypatch.undo()
+
+
+def test_large_weights_stay_in_range():
+    rng = np.random.default_rng(9)
+    line = rng.integers(0, ll.TARGETS, 50).astype(np.uint8)
+    net = {k: v * np.float32(400) for k, v in start(seed=2).items()}
+    net["bias"] += np.float32(300)
+    found = log_probs(net, windows([line]), line)
+    layer = np.tanh(net["near"].astype(float)[windows([line])].sum(axis=1))
+    logits = layer @ net["out"] + net["bias"]
+    logits -= logits.max(axis=1, keepdims=True)
+    assert found == pytest.approx(logits[np.arange(50), line] - np.log(np.exp(logits).sum(axis=1)), rel=1e-3, abs=1e-2)
+    trainer = Trainer(net)
+    trainer.step(windows([line]), line)
+    assert all(np.isfinite(v).all() for v in trainer.net.values())
